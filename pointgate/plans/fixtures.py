@@ -50,12 +50,14 @@ def pick(number: Column, *choices: Column) -> Column:
     return chain.otherwise(choices[-1])
 
 
-def write_lines(df: DataFrame, label: str, header: str | None = None, extension: str = "txt", under: str = "") -> str:
+def write_lines(df: DataFrame, label: str, header: str | None = None, extension: str = "csv") -> str:
     """Write a one-column frame as text files, each starting with ``header`` when given; returns the folder."""
-    root = scratch_path(df.sparkSession, label) + under
-    plain = df.select(df.columns[0]) if header is None else df.toDF(header)
-    writer = plain.write.option("sep", "\u0001").option("quote", "\u0002").option("escape", "\u0002")
-    writer = writer.option("emptyValue", "").option("header", header is not None)
-    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.option("extension", extension).csv(root)
+    root = scratch_path(df.sparkSession, label)
+    if header is None:
+        df.write.text(root)
+        return root
+    # The CSV writer with unused separators writes the text as it is and repeats the header in every file.
+    writer = df.toDF(header).write.option("sep", "\u0001").option("quote", "\u0002").option("escape", "\u0002")
+    writer = writer.option("emptyValue", "").option("header", True).option("extension", extension)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root)
     return root

@@ -190,19 +190,26 @@ FROM p JOIN walk USING (event_id)
 WIDE = {"future_tolerance_ms": 400 * DAY_MS, "stale_tolerance_ms": 400 * DAY_MS}
 
 
-@register("gate_spike", spikes_only_sql("event_type"))
-def gate_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five keys, so each holds a big share of all rows: keys over 1,000 rows are split."""
+def _spikes(spark: SparkSession, sf_dir: str, key: str, **how) -> DataFrame:
     opts = options(spike_max_delta={0: 100.0}, **WIDE)
     checked = apply_checks(event_points(spark, sf_dir), opts, AS_OF_MS, 2)
-    return shown(apply_spikes(checked, opts, "event_type", ORDER, max_key_rows=1_000), "baseline")
+    return shown(apply_spikes(checked, opts, key, ORDER, **how), "baseline")
+
+
+@register("gate_spike", spikes_only_sql("event_type"))
+def gate_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spikes(spark, sf_dir, "event_type")
+
+
+@register("gate_spike_split", spikes_only_sql("event_type"))
+def gate_spike_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way for big keys, forced: every event type is spread over several partitions."""
+    return _spikes(spark, sf_dir, "event_type", max_key_rows=1_000)
 
 
 @register("gate_spike_keyed", spikes_only_sql("user_id"))
 def gate_spike_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    opts = options(spike_max_delta={0: 100.0}, **WIDE)
-    checked = apply_checks(event_points(spark, sf_dir), opts, AS_OF_MS, 2)
-    return shown(apply_spikes(checked, opts, "user_id", ORDER), "baseline")
+    return _spikes(spark, sf_dir, "user_id")
 
 
 FULL = {"bounds": BOUNDS, "spike_max_delta": {0: 150.0}}

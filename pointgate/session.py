@@ -2,31 +2,26 @@
 
 from __future__ import annotations
 
+import importlib
 import os
-import shutil
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
-_SHIPPED: set[str] = set()
+def ship_package() -> None:
+    """Send this package's task functions by value, so that no worker needs the package installed.
 
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package once per application (the Arrow stages import it)."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="pointgate-zip-"), "pointgate")
-    sc.addPyFile(shutil.make_archive(target, "zip", root, "pointgate"))
-    _SHIPPED.add(sc.applicationId)
+    That includes the helper process of stateful streams, which files added to the session do not reach.
+    """
+    cloudpickle.register_pickle_by_value(importlib.import_module("pointgate"))
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the SQL settings whose values change results (all can be set at run time) and ship the package."""
-    ship_package(spark)
+    ship_package()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # Repeated JSON keys resolve to the last one.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
@@ -59,3 +54,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/pointgate/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system Spark can reach."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

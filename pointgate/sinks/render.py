@@ -22,11 +22,10 @@ def rejected(df: DataFrame) -> DataFrame:
     return df.filter(F.col("status") == P.REJECTED)
 
 
-def csv_rows(df: DataFrame, field_count: int, opts: OutputOptions) -> DataFrame:
+def csv_cells(names: list[str]) -> list[Column]:
     """Text columns of the CSV sink under their header names."""
-    names = opts.header_names(field_count)
     cells = [csv_number(F.get("metrics", F.lit(i))).alias(name) for i, name in enumerate(names[1:])]
-    return df.select(F.col("timestamp_ns").cast("string").alias(names[0]), *cells)
+    return [F.col("timestamp_ns").cast("string").alias(names[0]), *cells]
 
 
 def _has_feed(opts: OutputOptions) -> Column:
@@ -43,11 +42,11 @@ def json_unwritable(width: int | None = None) -> Column:
     return bad
 
 
-def jsonl_lines(df: DataFrame, field_count: int, opts: OutputOptions) -> DataFrame:
+def json_line(field_count: int, opts: OutputOptions) -> Column:
     """One JSON object per point: timestamp_ns, feed unless scoped, metric_i.  Key order is not promised."""
     metrics = [F.get("metrics", F.lit(i)).alias(f"metric_{i}") for i in range(field_count)]
     feed = F.when(_has_feed(opts), F.col("feed")).alias("feed")
-    return df.select(F.to_json(F.struct("timestamp_ns", feed, *metrics)).alias("value"))
+    return F.to_json(F.struct("timestamp_ns", feed, *metrics))
 
 
 def canonical_line(field_count: int, opts: OutputOptions) -> Column:
@@ -71,10 +70,6 @@ def _json_string(text: Column) -> Column:
     return F.substr(wrapped, F.lit(2), F.length(wrapped) - 2)
 
 
-def canonical_lines(df: DataFrame, field_count: int, opts: OutputOptions) -> DataFrame:
-    return df.select(canonical_line(field_count, opts).alias("value"))
-
-
 @arrow_udf(T.StringType())
 def _reason(
     code: pa.Array, metric: pa.Array, observed: pa.Array, limit: pa.Array, baseline: pa.Array, detail: pa.Array

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointgate.functions import times
 from pointgate.operators import points as P
 from pointgate.options import GateOptions, OutputOptions
+from pointgate.session import path_exists
 from pointgate.sinks import render
 
 
@@ -56,27 +56,22 @@ def accepted_frame(df: DataFrame, field_count: int, opts: OutputOptions) -> Data
     if opts.format == "canonical_jsonl":
         return df.select(render.canonical_line(field_count, opts).alias("value"), *extra)
     if opts.format == "jsonl":
-        metrics = [F.get("metrics", F.lit(i)).alias(f"metric_{i}") for i in range(field_count)]
-        feed = F.when(render._has_feed(opts), F.col("feed")).alias("feed")
-        return df.select(F.to_json(F.struct("timestamp_ns", feed, *metrics)).alias("value"), *extra)
+        return df.select(render.json_line(field_count, opts).alias("value"), *extra)
     names = opts.header_names(field_count)
     if opts.format == "csv":
-        cells = [render.csv_number(F.get("metrics", F.lit(i))).alias(n) for i, n in enumerate(names[1:])]
-        return df.select(F.col("timestamp_ns").cast("string").alias(names[0]), *cells, *extra)
-    cells = [F.get("metrics", F.lit(i)).alias(n) for i, n in enumerate(names[1:])]
+        return df.select(*render.csv_cells(names), *extra)
+    cells = P.metric_columns(names[1:])
     feed = [] if opts.channel_scoped else ["feed"]
     return df.select(F.col("timestamp_ns").alias(names[0]), *feed, *cells, *extra)
 
 
 def check_headers(df: DataFrame, path: str, opts: OutputOptions) -> None:
     """Appending to a table whose columns differ is an error before anything is written."""
-    if opts.format not in ("csv", "parquet"):
-        return
-    reader = df.sparkSession.read.option("header", True)
-    try:
-        existing = (reader.csv(path) if opts.format == "csv" else reader.parquet(path)).columns
-    except AnalysisException:
+    spark = df.sparkSession
+    if opts.format not in ("csv", "parquet") or not path_exists(spark, path):
         return
+    reader = spark.read.option("header", True)
+    existing = (reader.csv(path) if opts.format == "csv" else reader.parquet(path)).columns
     if existing and existing != df.columns:
         raise ValueError(f"header mismatch: existing {existing}, expected {df.columns}")
 

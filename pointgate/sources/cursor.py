@@ -5,10 +5,11 @@ The cursor is one row in a small table; plain Structured Streaming sources keep
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pointgate.session import path_exists
+
 IN_PROGRESS = "in_progress"
 COMPLETED = "completed"
 _SCHEMA = "version int, source string, status string, last_path string, cursor string"
@@ -20,10 +21,9 @@ class RunCompleted(RuntimeError):
 
 def load_cursor(spark: SparkSession, state_path: str) -> str | None:
     """The last file done, null for a fresh start.  A finished run may not be repeated."""
-    try:
-        row = spark.read.schema(_SCHEMA).json(state_path).first()
-    except AnalysisException:
+    if not path_exists(spark, state_path):
         return None
+    row = spark.read.schema(_SCHEMA).json(state_path).first()
     if row is None:
         return None
     if row.status == COMPLETED:
