@@ -14,15 +14,17 @@ from pointgate.operators import points as P
 from pointgate.operators.spike import _OUT, _VALUE, _merge, _prepared, walk
 from pointgate.options import GateOptions
 
-_GROUP = "__spike_group"
-_ORDER = "__spike_order_{}"
+# Names in front of pandas: it cannot take column names that start with an underscore.
+_GROUP, _ORDER, _METRIC, _ABSENT, _CARRIED = "spike_group", "spike_order{}", "spike_value{}", "spike_absent{}", "carried{}"
 _EXACT = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DecimalType)
 _REJECTED_GROUPS = 64
 
 
 class _SpikeProcessor(StatefulProcessor):
-    def __init__(self, thresholds: list[tuple[int, float]], alpha: float, orders: int, ttl_ms: int | None):
-        self.thresholds, self.alpha, self.orders, self.ttl_ms = thresholds, alpha, orders, ttl_ms
+    def __init__(self, thresholds: list[tuple[int, float]], alpha: float, orders: int, carried: int, ttl_ms: int | None):
+        self.thresholds, self.alpha, self.ttl_ms = thresholds, alpha, ttl_ms
+        self.order = [_ORDER.format(i) for i in range(orders)]
+        self.carried = [_CARRIED.format(i) for i in range(carried)]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = T.StructType([T.StructField("baselines", T.ArrayType(T.DoubleType()))])
@@ -31,20 +33,21 @@ class _SpikeProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # Rows of one key and micro-batch; the source's rate limit bounds them.
         frame = pd.concat(list(rows), ignore_index=True)
-        frame = frame.sort_values([_ORDER.format(i) for i in range(self.orders)], kind="stable", ignore_index=True)
+        frame = frame.sort_values(self.order, kind="stable", ignore_index=True)
         stored = self.state.get() if self.state.exists() else None
         state = [None] * len(self.thresholds) if stored is None else list(stored[0])
         columns = [
-            [None if hole else float(v) for v, hole in zip(frame[name], frame[name + "_absent"])]
-            for name in (_VALUE.format(s) for s in range(len(self.thresholds)))
+            [None if absent else float(v) for v, absent in zip(frame[_METRIC.format(s)], frame[_ABSENT.format(s)])]
+            for s in range(len(self.thresholds))
         ]
-        before, hits = list(state), []
+        before = list(state)
+        hits: list[tuple[int, int, float, float]] = []
         walk(columns, 0, len(frame), self.thresholds, self.alpha, state, hits)
-        if stored is None or state != before:
+        if state != before:
             self.state.update((state,))
         found = pd.DataFrame(hits, columns=["row", *_OUT.names]).set_index("row").reindex(frame.index)
         found["__hit_metric"] = found["__hit_metric"].astype("Int32")
-        yield pd.concat([frame.drop(columns=[c for c in frame.columns if c.startswith("__spike")]), found], axis=1)
+        yield pd.concat([frame[self.carried], found], axis=1)
 
     def close(self) -> None:
         pass
@@ -67,28 +70,32 @@ def stream_spikes(
         return df
     keys = [key] if isinstance(key, str) else list(key)
     thresholds = sorted((int(i), float(d)) for i, d in opts.spike_max_delta.items())
-    columns = df.schema.fields
+    fields = df.schema.fields
     rows = _prepared(df, keys, thresholds)
-    accepted = F.col("status") == P.ACCEPTED
+    text_key = F.col("__spike_key")
+    own = F.concat(F.lit("key-"), text_key.isNull().cast("string"), F.coalesce(text_key, F.lit("")))
     # Rejected rows keep no state; they are spread so that they never gather on one task.
     spread = F.concat(F.lit("rejected-"), F.pmod(F.hash(*order), F.lit(_REJECTED_GROUPS)).cast("string"))
-    own = F.concat(F.lit("key-"), F.coalesce(F.col("__spike_key"), F.lit("")), F.col("__spike_key").isNull().cast("string"))
-    values = [_VALUE.format(s) for s in range(len(thresholds))]
+    values = [F.col(_VALUE.format(s)) for s in range(len(thresholds))]
     # Whole numbers travel as text: pandas would turn a column with nulls into doubles.
-    exact = [f for f in columns if isinstance(f.dataType, _EXACT)]
+    exact = [isinstance(f.dataType, _EXACT) for f in fields]
+    carried = [F.col(f"`{f.name}`").cast("string") if e else F.col(f"`{f.name}`") for f, e in zip(fields, exact)]
     rows = rows.select(
-        F.when(accepted, own).otherwise(spread).alias(_GROUP),
+        F.when(F.col("status") == P.ACCEPTED, own).otherwise(spread).alias(_GROUP),
         *[F.col(f"`{name}`").alias(_ORDER.format(i)) for i, name in enumerate(order)],
-        *[F.coalesce(v, F.lit(0.0)).alias(v) for v in values],
-        *[F.col(v).isNull().alias(v + "_absent") for v in values],
-        *[F.col(f"`{f.name}`").cast("string").alias(f.name) if f in exact else F.col(f"`{f.name}`") for f in columns],
+        *[F.coalesce(v, F.lit(0.0)).alias(_METRIC.format(s)) for s, v in enumerate(values)],
+        *[v.isNull().alias(_ABSENT.format(s)) for s, v in enumerate(values)],
+        *[c.alias(_CARRIED.format(i)) for i, c in enumerate(carried)],
     )
-    carried = [T.StructField(f.name, T.StringType() if f in exact else f.dataType) for f in columns]
+    back = [
+        T.StructField(_CARRIED.format(i), T.StringType() if e else f.dataType)
+        for i, (f, e) in enumerate(zip(fields, exact))
+    ]
     decided = rows.groupBy(_GROUP).transformWithStateInPandas(
-        _SpikeProcessor(thresholds, opts.alpha, len(order), ttl_ms),
-        T.StructType(carried + _OUT.fields),
+        _SpikeProcessor(thresholds, opts.alpha, len(order), len(fields), ttl_ms),
+        T.StructType(back + _OUT.fields),
         "Append",
         "None" if ttl_ms is None else "ProcessingTime",
     )
-    restored = decided.withColumns({f.name: F.col(f"`{f.name}`").cast(f.dataType) for f in exact})
-    return _merge(restored, thresholds)
+    restored = [F.col(_CARRIED.format(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]
+    return _merge(decided.select(*restored, *_OUT.names), thresholds)
