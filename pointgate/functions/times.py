@@ -88,7 +88,8 @@ def datetime_to_ns(text: Column, fmt: str, date_override: str | None = None) ->
         month = _month_number(F.regexp_extract(value, regex, groups["month_name"]))
         pick = lambda name: F.regexp_extract(value, regex, groups[name])
         head = F.concat(pick("year"), F.lit("-"), month, F.lit("-"), pick("day"), F.lit(" "))
-        clock = F.concat_ws(":", *[pick(n) for n in ("hour", "minute", "second") if n in groups])
+        second = pick("second") if "second" in groups else F.lit("0")
+        clock = F.concat_ws(":", pick("hour"), pick("minute"), second)
         canonical = F.concat(head, clock)
     else:
         second = f"${groups['second']}" if "second" in groups else "0"
