@@ -290,8 +290,7 @@ def json_wrapped_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("\n[", F.col("items"), "]"),
     )
     path = scratch_path(spark, "json")
-    documents = listed.select(F.translate(body, "\n", " ").alias("value"))
-    documents.repartition(8).write.option("maxRecordsPerFile", 1).text(path)
+    listed.select(body.alias("value")).repartition(8).write.option("maxRecordsPerFile", 1).text(path)
     points = json_points(read_json(spark, path), _JSON_MAPPING, AS_OF_MS)
     return _with_id(points).select(
         "event_id",

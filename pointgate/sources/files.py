@@ -111,7 +111,9 @@ def read_csv(
     blank = F.lit(True)
     for name in names:
         blank = blank & (F.trim(F.coalesce(F.col(f"`{name}`"), F.lit(""))) == "")
-    unreadable = F.col(_CORRUPT).isNotNull()
+    # Always true, but it names a data column: Spark refuses to read the corrupt-record column alone.
+    some_cell = F.length(F.concat_ws("", F.col(f"`{names[0]}`"))) >= 0
+    unreadable = F.col(_CORRUPT).isNotNull() & some_cell
     return (
         df.filter(unreadable | ~blank)
         .withColumns(
@@ -183,7 +185,7 @@ def read_json(
     The root is an array, or an object whose first present key of rows, data, records holds the array.  Any
     other document gives one rejected record.  A document cannot be split: use JSON lines for big files.
     """
-    df = _after(_reader(spark, {"wholetext": True, **options}).text(path), cursor)
+    df = _after(_reader(spark, options).text(path, wholetext=True), cursor)
     if by_extension is not None:
         df = df.filter(_only(by_extension))
     df = df.select("value", *_file_columns(F.lit(0).cast("bigint")))
