@@ -1,30 +1,47 @@
-"""JSON access over VARIANT: strict parsing and dot paths."""
+"""JSON access: strict documents, dot paths, and many paths in one parse."""
 
 from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pointgate.functions.numbers import strict_double
 
-# The text is parsed as the first element of an array that ends with this mark.  Text after the value
-# (or several values) moves the mark, so both are noticed without a second parse.
-_END_MARK = "~end-of-value~"
-ROOT = "$[0]"
+# The text is parsed as a member of an object that ends with a mark.  Text after the value (or a bracket too
+# many) makes the parse fail or leaves the mark out, so both are noticed without a second parse.
+_VALUE, _END = "~value~", "~end~"
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def parse_document(text: Column) -> Column:
-    """Text -> VARIANT holding [value, mark]; check with ``is_document``, read with the helpers below."""
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END_MARK}"]')))
+def _from_json(text: Column, value_type: T.DataType) -> Column:
+    wrapped = F.concat(F.lit(f'{{"{_VALUE}":'), text, F.lit(f',"{_END}":"{_END}"}}'))
+    schema = T.StructType([T.StructField(_VALUE, value_type), T.StructField(_END, T.StringType())])
+    return F.from_json(wrapped, schema, _STRICT)
 
 
-def is_document(doc: Column) -> Column:
-    """True when the text was exactly one JSON value."""
-    mark = F.try_variant_get(doc, "$[1]", "string")
-    return F.coalesce((mark == _END_MARK) & F.try_variant_get(doc, "$[2]", "variant").isNull(), F.lit(False))
+def parse_document(text: Column, value_type: str | T.DataType = "variant") -> Column:
+    """Text -> parsed document, to be staged as a column and read with ``is_document`` and ``document_value``.
+
+    ``value_type`` names the members to keep; members of other kinds than declared are null.
+    """
+    if isinstance(value_type, str):
+        value_type = T.VariantType() if value_type == "variant" else T.StructType.fromDDL(value_type)
+    return _from_json(text, value_type)
+
+
+def is_document(doc: str) -> Column:
+    """True when the text of the staged document was exactly one JSON value."""
+    return F.coalesce(F.col(f"{doc}.`{_END}`") == _END, F.lit(False))
+
+
+def document_value(doc: str) -> Column:
+    return F.col(f"{doc}.`{_VALUE}`")
 
 
 def _key(part: str) -> str:
@@ -37,46 +54,31 @@ def _key(part: str) -> str:
     raise ValueError(f"JSON path part with both quote signs: {part!r}")
 
 
-def variant_paths(path: str, index_only: bool = False, root: str = ROOT) -> list[str]:
-    """Dot path -> VARIANT paths to try.
+def _is_index(part: str) -> bool:
+    return re.fullmatch(r"\+?\d+", part) is not None
+
+
+def variant_paths(parts: list[str], index_only: bool = False) -> list[str]:
+    """Path parts -> VARIANT paths to try.
 
     A numeric part is an index on arrays and a key on objects (with ``index_only``: just an index).
     """
     choices = []
-    for part in path.split("."):
-        if re.fullmatch(r"\+?\d+", part):
+    for part in parts:
+        if _is_index(part):
             index = f"[{int(part)}]"
             choices.append([index] if index_only else [index, _key(part)])
         else:
             choices.append([_key(part)])
-    return [root + "".join(combo) for combo in itertools.product(*choices)]
-
-
-def get_variant(doc: Column, path: str, index_only: bool = False, root: str = ROOT) -> Column:
-    """The value at a dot path as VARIANT; SQL null only when absent (a JSON null is a VARIANT)."""
-    found = [F.try_variant_get(doc, p, "variant") for p in variant_paths(path, index_only, root)]
-    return found[0] if len(found) == 1 else F.coalesce(*found)
+    return ["$" + "".join(combo) for combo in itertools.product(*choices)]
 
 
-def get_text(doc: Column, path: str, index_only: bool = False, root: str = ROOT) -> Column:
-    """The value at a dot path as text (numbers and booleans printed, nested values as JSON)."""
-    found = [F.try_variant_get(doc, p, "string") for p in variant_paths(path, index_only, root)]
+def get_as(value: Column, parts: list[str], kind: str, index_only: bool = False) -> Column:
+    """The value at a path of a VARIANT.  As ``variant`` it is SQL null only when absent."""
+    found = [F.try_variant_get(value, path, kind) for path in variant_paths(parts, index_only)]
     return found[0] if len(found) == 1 else F.coalesce(*found)
 
 
-def get_double(doc: Column, path: str, index_only: bool = False, root: str = ROOT) -> Column:
-    """A number, or a string that is a number; null for everything else.
-
-    Booleans, nested values and JSON nulls print as text that is no number, so one strict parse decides.
-    """
-    return strict_double(get_text(doc, path, index_only, root))
-
-
-def present(doc: Column, path: str, root: str = ROOT) -> Column:
-    """True when the key exists, whatever its value."""
-    return get_variant(doc, path, root=root).isNotNull()
-
-
 def value_type(value: Column) -> Column:
     """Type name of a VARIANT value; stage it as a column when it is needed more than once."""
     return F.schema_of_variant(value)
@@ -90,14 +92,86 @@ def is_string(type_name: Column) -> Column:
     return type_name == "STRING"
 
 
-def get_string(doc: Column, path: str, root: str = ROOT) -> Column:
-    """The value when it is a JSON string, else null."""
-    value = get_variant(doc, path, root=root)
-    return F.when(is_string(value_type(value)), get_text(doc, path, root=root))
+def string_or_null(value: Column) -> Column:
+    """The text of a VARIANT that holds a JSON string, else null."""
+    return F.when(is_string(value_type(value)), F.try_variant_get(value, "$", "string"))
+
+
+def as_double(value: Column) -> Column:
+    """A VARIANT holding a number, or a string that is a number; null for everything else."""
+    return strict_double(F.try_variant_get(value, "$", "string"))
 
 
 def unsigned(value: Column) -> Column:
     """A VARIANT holding a whole number >= 0 -> BIGINT; strings, fractions and negatives give null."""
-    # A whole number is the only kind of value whose text is all digits, but for strings.
-    number = F.regexp_extract(F.try_variant_get(value, "$", "string"), r"\A(\d{1,19})\z", 1).try_cast("bigint")
-    return F.when(value_type(value) == "BIGINT", number)
+    digits = F.when(value_type(value) == "BIGINT", F.try_variant_get(value, "$", "string"))
+    return F.regexp_extract(digits, r"\A(\d+)\z", 1).try_cast("bigint")
+
+
+@dataclass
+class _Node:
+    """A member of the document: the members below it, or the whole value."""
+
+    children: dict[str, "_Node"] = field(default_factory=dict)
+    leaf: str | None = None  # "string" or "variant"
+
+    def add(self, parts: list[str], kind: str) -> None:
+        if not parts:
+            # The same path as text and as value, or a path that goes on below: keep the whole value.
+            self.leaf = kind if self.leaf in (None, kind) and not self.children else "variant"
+        elif self.leaf is not None or _is_index(parts[0]):
+            self.leaf = "variant"
+        else:
+            self.children.setdefault(parts[0], _Node()).add(parts[1:], kind)
+        if self.leaf is not None and self.children:
+            self.leaf = "variant"
+        names = [name.lower() for name in self.children]
+        if len(set(names)) < len(names):
+            # Names that differ by case only cannot be told apart as columns.
+            self.leaf = "variant"
+        if self.leaf is not None:
+            self.children = {}
+
+    def type(self) -> T.DataType:
+        if self.leaf == "string":
+            return T.StringType()
+        if self.leaf == "variant":
+            return T.VariantType()
+        return T.StructType([T.StructField(name, node.type()) for name, node in self.children.items()])
+
+
+def _read(column: Column, node: _Node, parts: list[str], kind: str, index_only: bool) -> Column:
+    while parts and node.leaf is None:
+        column, node, parts = column.getField(parts[0]), node.children[parts[0]], parts[1:]
+    if node.leaf == kind and not parts:
+        return column
+    return get_as(column, parts, kind, index_only)
+
+
+def with_json_fields(
+    df: DataFrame,
+    text: Column,
+    texts: Mapping[str, str] | None = None,
+    values: Mapping[str, str] | None = None,
+    ok: str = "__ok",
+    index_only: bool = False,
+) -> DataFrame:
+    """Stage the members at dot paths as columns, in one parse of ``text``.
+
+    ``texts`` (column -> path) gives members as text: numbers and booleans printed, nested values as JSON.
+    ``values`` (column -> path) gives VARIANT, which keeps the kind of the member and tells null from absent.
+    Column ``ok`` says whether the text was exactly one JSON value.  Only the named members are built; a
+    numeric path part, whose meaning depends on the document, is looked up in a VARIANT.
+    """
+    wanted = [(name, path.split("."), "string") for name, path in (texts or {}).items()]
+    wanted += [(name, path.split("."), "variant") for name, path in (values or {}).items()]
+    for _, parts, _ in wanted:
+        for part in parts:
+            _key(part)
+    root = _Node()
+    for _, parts, kind in wanted:
+        root.add(parts, kind)
+    doc = "__json"
+    staged = df.withColumn(doc, _from_json(text, root.type() if wanted else T.VariantType()))
+    columns = {name: _read(document_value(doc), root, parts, kind, index_only) for name, parts, kind in wanted}
+    return staged.withColumns({ok: is_document(doc), **columns}).drop(doc)

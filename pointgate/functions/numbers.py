@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,8 @@ NUMBER_TEXT = (
     r"(?i)\A(?:[+-](?=nan\z))?"
     r"([+-]?(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|nan|[+-]?inf(?:inity)?)\z"
 )
+# How a JSON number beyond the range of DOUBLE is printed by from_json.
+_OUT_OF_RANGE = r'\A"(-?Infinity)"\z'
 
 
 def strict_double(text: Column) -> Column:
@@ -44,16 +49,16 @@ def saturating_bigint(value: Column) -> Column:
     )
 
 
-def hex_digits(text: Column) -> Column:
-    """The significant digits of ``0x...`` text that fits 64 bits, else null."""
-    digits = F.regexp_replace(F.regexp_replace(text, r"\A(?:0x)+", ""), r"\A\+?0*(?=[0-9a-fA-F])", "")
-    return F.when(digits.rlike(r"\A[0-9a-fA-F]{1,16}\z"), digits)
-
+def json_double(text: Column) -> Column:
+    """Text of a JSON number or string -> DOUBLE; a number beyond the range is infinite."""
+    plain = F.when(text.startswith('"'), F.regexp_extract(text, _OUT_OF_RANGE, 1)).otherwise(text)
+    return strict_double(plain)
 
-def hex_to_decimal(text: Column) -> Column:
-    """Unsigned 64-bit hexadecimal text -> DECIMAL(20,0)."""
-    return F.conv(hex_digits(text), 16, 10).try_cast("decimal(20,0)")
 
+def hex_to_decimal_text(text: Column) -> Column:
+    """``0x...`` text that fits 64 bits -> its decimal digits as text, else null."""
+    digits = F.regexp_extract(text, r"\A(?:0x)*\+?0*([0-9a-fA-F]{1,16})\z", 1)
+    return F.conv(digits, 16, 10)
 
 
 def _plain(text: str) -> str:
@@ -93,33 +98,29 @@ def json_text(value: float) -> str:
     return f"{mantissa}e{int(exponent)}"
 
 
-def _render(values: pa.Array, slow) -> pa.Array:
-    """Arrow's own shortest rendering where it is final (no exponent); ``slow`` for the few others."""
-    text = values.cast(pa.string()).to_pylist()
-    floats = values.to_pylist()
-    return pa.array(
-        [None if t is None else slow(v) if ("e" in t or "n" in t) else t for t, v in zip(text, floats)],
-        pa.string(),
-    )
+def _replaced(text: pa.Array, values: pa.Array, rare: pa.Array, spell) -> pa.Array:
+    """``text`` with the few ``rare`` elements spelled one by one."""
+    rare = pc.fill_null(rare, False)
+    if not pc.any(rare).as_py():
+        return text
+    few = pa.array([spell(v) for v in values.filter(rare).to_pylist()], pa.string())
+    return pc.replace_with_mask(text, rare, few)
 
 
 @arrow_udf(T.StringType())
 def csv_number(values: pa.Array) -> pa.Array:
     """DOUBLE -> text of the CSV sink."""
-    return _render(values, csv_text)
+    # Arrow prints the shortest digits; only exponents, NaN and infinities are spelled differently here.
+    text = values.cast(pa.string())
+    return _replaced(text, values, pc.match_substring_regex(text, "[en]"), csv_text)
 
 
 @arrow_udf(T.StringType())
 def json_number(values: pa.Array) -> pa.Array:
-    """Finite DOUBLE -> text of the byte-stable JSON sink."""
-    text = values.cast(pa.string()).to_pylist()
-    floats = values.to_pylist()
-    out = []
-    for t, v in zip(text, floats):
-        if t is None or v != v or v in (float("inf"), float("-inf")):
-            out.append(None)
-        elif "e" in t or abs(v) < 1e-5 and v != 0.0:
-            out.append(json_text(v))
-        else:
-            out.append(t if "." in t else t + ".0")
-    return pa.array(out, pa.string())
+    """Finite DOUBLE -> text of the byte-stable JSON sink; null for NaN and infinities."""
+    text = values.cast(pa.string())
+    whole = pc.invert(pc.match_substring(text, "."))
+    dotted = pc.if_else(whole, pc.binary_join_element_wise(text, ".0", ""), text)
+    small = pc.and_(pc.less(pc.abs(values), 1e-5), pc.not_equal(values, 0.0))
+    rare = pc.or_(pc.match_substring_regex(text, "[en]"), small)
+    return _replaced(dotted, values, rare, lambda v: json_text(v) if math.isfinite(v) else None)

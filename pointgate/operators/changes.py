@@ -6,19 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointgate.functions import json as J
-from pointgate.functions.numbers import is_finite, strict_double
+from pointgate.functions.json import with_json_fields
+from pointgate.functions.numbers import is_finite
 from pointgate.functions.times import as_of_ns
 from pointgate.operators import points as P
 from pointgate.operators.normalize import with_path_time
 from pointgate.options import PathMapping
 
-_DOC = "__doc"
-
-
-def _column_value(columns: Column, name: str) -> Column:
+def _column_value(name: str) -> Column:
     """VARIANT ``value`` of the first column entry with this name; null when there is none."""
-    named = F.filter(columns, lambda c: F.try_variant_get(c, "$.name", "string") == name)
-    return F.try_variant_get(F.get(named, F.lit(0)), "$.value", "variant")
+    named = F.filter("__columns", lambda c: c["name"] == name)
+    return F.get(named, F.lit(0))["value"]
 
 
 def decode_change_rows(
@@ -29,28 +27,25 @@ def decode_change_rows(
     Metrics and time are looked up by column name first, then as JSON paths.  Blank messages and anything but
     insert, update and delete rows with a ``columns`` list are skipped; invalid JSON is rejected.
     """
-    df = df.filter(F.trim(F.col(raw)) != "").withColumn(_DOC, J.parse_document(F.col(raw)))
-    doc = F.col(_DOC)
+    slots = [f"__m{i}" for i in range(len(mapping.field_paths))]
+    paths = dict(zip(slots, mapping.field_paths))
+    if mapping.timestamp_path is not None:
+        paths["__ts_value"] = mapping.timestamp_path
+    df = df.filter(F.trim(F.col(raw)) != "")
+    df = with_json_fields(df, F.col(raw), values={"__action": "action", "__list": "columns", **paths})
     df = df.withColumns(
         {
-            "__ok": J.is_document(doc),
-            "__columns": F.try_variant_get(doc, J.ROOT + ".columns", "array<variant>"),
-            "__action": F.try_variant_get(doc, J.ROOT + ".action", "string"),
+            "__action": F.try_variant_get("__action", "$", "string"),
+            "__columns": F.try_variant_get("__list", "$", "array<struct<name string, value variant>>"),
         }
     )
-    change = F.col("__columns").isNotNull() & F.col("__action").isin("I", "U", "D")
-    columns = F.col("__columns")
-    staged: dict[str, Column] = {}
-    for i, path in enumerate(mapping.field_paths):
-        by_name = strict_double(F.try_variant_get(_column_value(columns, path), "$", "string"))
-        staged[f"__m{i}"] = F.coalesce(by_name, J.get_double(doc, path))
+    by_name = {slot: J.as_double(_column_value(path)) for slot, path in paths.items() if slot in slots}
+    found = {slot: F.coalesce(by_name[slot], J.as_double(F.col(slot))) for slot in slots}
     if mapping.timestamp_path is not None:
-        staged["__ts_value"] = F.coalesce(
-            _column_value(columns, mapping.timestamp_path), J.get_variant(doc, mapping.timestamp_path)
-        )
-    df = df.withColumns(staged)
+        found["__ts_value"] = F.coalesce(_column_value(mapping.timestamp_path), F.col("__ts_value"))
+    df = df.withColumns(found)
+    change = F.col("__columns").isNotNull() & F.col("__action").isin("I", "U", "D")
     checks: list[tuple[Column, Column | str]] = [(~F.col("__ok"), "cdc change data is not JSON")]
-    slots = [f"__m{i}" for i in range(len(mapping.field_paths))]
     for slot, path in zip(slots, mapping.field_paths):
         checks.append((F.col(slot).isNull(), f"Missing Field: {path}"))
         checks.append((~is_finite(F.col(slot)), f"Non-finite value at path {path}"))
@@ -67,7 +62,7 @@ def decode_change_rows(
         F.col(raw),
         parse_error=P.first_error(*checks),
         keep=~F.col("__ok") | F.coalesce(change, F.lit(False)),
-        drop=(_DOC, "__ok", "__columns", "__action", *staged, "__ts", "__ts_type"),
+        drop=("__ok", "__action", "__list", "__columns", *slots, "__ts_value", "__ts", "__ts_type"),
     )
 
 

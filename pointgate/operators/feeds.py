@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pointgate.functions import json as J
 from pointgate.functions import times
-from pointgate.functions.numbers import hex_to_decimal, is_finite, positive
+from pointgate.functions.numbers import hex_to_decimal_text, is_finite, json_double, positive
 from pointgate.operators import points as P
 
 PROVIDERS = ("kraken", "binance", "binance_futures", "binance_ws_api", "alchemy", "infura")
@@ -22,8 +22,10 @@ OVERSIZE_TEXT = "[oversize websocket text frame]"
 DEFAULT_PENDING_GAS = 21_000.0
 
 _DOC = "__doc"
-_POINT_TYPE = "struct<timestamp_ns:bigint,metrics:array<double>,feed:string,all_positive:boolean>"
-_MOST_METRICS = 5
+_POINT_TYPE = (
+    "struct<timestamp_ns:bigint,texts:array<string>,metrics:array<double>,feed:string,all_positive:boolean,"
+    "zero_slot:int>"
+)
 
 
 def resolve_channels(
@@ -51,145 +53,168 @@ def resolve_channels(
     return [defaults[provider]] if provider in defaults else []
 
 
-def _at(*parts: str | int) -> str:
-    return "".join(f"[{p}]" if isinstance(p, int) else f'["{p}"]' for p in parts)
+def _event_ts(now: Column, ms: str) -> Column:
+    """Time from a staged column of whole milliseconds."""
+    return F.coalesce(times.whole_ms_to_ns(F.col(ms)), now)
 
 
-class _Reader:
-    """Values below one VARIANT column."""
+def _members(value: str, members: str, path: str = "$") -> Column:
+    """Several members of a VARIANT object at once; those of another kind than declared are null."""
+    return F.try_variant_get(value, path, f"struct<{members}>")
 
-    def __init__(self, column: str, root: str = "$"):
-        self.column, self.root = column, root
 
-    def value(self, *parts: str | int) -> Column:
-        return F.try_variant_get(self.column, self.root + _at(*parts), "variant")
+def _point(
+    ts: Column, feed: str, *texts: Column | str, all_positive: bool = False, zero_slot: int = -1
+) -> Column:
+    """A candidate point with its metrics still as text.
 
-    def has(self, *parts: str | int) -> Column:
-        return self.value(*parts).isNotNull()
-
-    def text(self, *parts: str | int) -> Column:
-        """Compared with plain words only, which no number or nested value prints as."""
-        return F.try_variant_get(self.column, self.root + _at(*parts), "string")
-
-    def number(self, *parts: str | int) -> Column:
-        return J.strict_double(self.text(*parts))
-
-    def at(self, *parts: str | int) -> "_Reader":
-        return _Reader(self.column, self.root + _at(*parts))
-
-
-def _event_ms(now: Column, value: Column) -> Column:
-    return F.coalesce(times.whole_ms_to_ns(J.unsigned(value)), now)
+    The message kind only chooses which texts to read; they are turned into numbers in one place for all
+    kinds, which keeps the generated code small (the JVM does not compile methods beyond a size).  ``zero_slot`` is the metric that is 0 when unusable.
+    """
+    slots = [F.col(t) if isinstance(t, str) else t for t in texts]
+    return F.struct(
+        ts.alias("timestamp_ns"),
+        F.array(*slots).alias("texts"),
+        F.lit(None).cast("array<double>").alias("metrics"),
+        F.lit(feed).alias("feed"),
+        F.lit(all_positive).alias("all_positive"),
+        F.lit(zero_slot).alias("zero_slot"),
+    )
 
 
-def _point(ts: Column, feed: str, *metrics: Column, all_positive: bool = False) -> Column:
-    """A candidate point; ``_usable`` decides on its staged values, so each is computed once."""
+def _number_point(ts: Column, feed: str, *metrics: Column) -> Column:
+    """A candidate point whose metrics are numbers already."""
     return F.struct(
         ts.alias("timestamp_ns"),
+        F.lit(None).cast("array<string>").alias("texts"),
         F.array(*metrics).alias("metrics"),
         F.lit(feed).alias("feed"),
-        F.lit(all_positive).alias("all_positive"),
+        F.lit(False).alias("all_positive"),
+        F.lit(-1).alias("zero_slot"),
     )
 
 
-def _usable(point: str) -> Column:
-    """No metric is missing, the time is known, and trades have a price and a quantity above zero."""
-    metrics = F.col(f"{point}.metrics")
-    count = F.size(metrics)
-    complete = F.col(f"{point}.timestamp_ns").isNotNull()
-    for i in range(_MOST_METRICS):
-        complete = complete & ((count <= i) | F.get(metrics, F.lit(i)).isNotNull())
-    fair = positive(F.get(metrics, F.lit(0))) & positive(F.get(metrics, F.lit(1)))
-    return F.coalesce(complete & (~F.col(f"{point}.all_positive") | fair), F.lit(False))
+def _metric_stages(from_text: bool) -> list[dict[str, Column]]:
+    """Stage ``__metrics`` and ``__usable`` of ``__point``.
+
+    Usable: no metric is missing, the time is known, and trades have a price and a quantity above zero.
+    """
+    if from_text:
+        zero = F.col("__point.zero_slot")
+        metrics = F.transform("__point.texts", lambda t, i: F.coalesce(json_double(t), F.when(i == zero, F.lit(0.0))))
+    else:
+        metrics = F.col("__point.metrics")
+    complete = F.col("__point.timestamp_ns").isNotNull() & F.forall("__metrics", lambda m: m.isNotNull())
+    fair = positive(F.get("__metrics", F.lit(0))) & positive(F.get("__metrics", F.lit(1)))
+    usable = complete & (~F.col("__point.all_positive") | fair)
+    return [{"__metrics": metrics}, {"__usable": F.coalesce(usable, F.lit(False))}]
 
 
-def _or_zero(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0.0))
+def _as_text(value: str | Column) -> Column:
+    """Text of a VARIANT member."""
+    return F.try_variant_get(value, "$", "string")
 
 
-Decoded = tuple[list[dict[str, Column]], Column]
+# What a decoder gives: the type of the document, further staged columns, the candidate point.
+Decoded = tuple[str, list[dict[str, Column]], Column]
 
 
-def _kraken(now: Column, ts_path: tuple[str | int, ...] | None) -> Decoded:
-    doc = _Reader(_DOC, J.ROOT)
-    # Only the first element of ``data`` counts.
-    row = _Reader("__row")
-    stages = [{"__row": doc.value("data", 0), "__kind": F.when(~doc.has("method"), doc.text("channel"))}]
+def _kraken(now: Column, ts_path: str | None) -> Decoded:
+    document = "method variant, channel string, data variant"
+    # Only the first element of ``data`` counts.  Members whose presence matters are kept as VARIANT.
+    row = (
+        "price string, qty variant, quantity string, bid string, ask string, last string, volume variant,"
+        " bids variant, asks variant, open string, high string, low string, close string"
+    )
+    kind = F.col("__kind")
+    stages = [
+        {"__kind": F.when(F.col("__v.method").isNull(), F.col("__v.channel")), "__data": F.col("__v.data")},
+        {"__row": _members("__data", row, "$[0]")},
+        {
+            "__bid": F.when(kind == "book", _members("__row.bids", "price string, qty string", "$[0]")),
+            "__ask": F.when(kind == "book", _members("__row.asks", "price string, qty string", "$[0]")),
+        },
+    ]
     if ts_path is not None:
-        stages.append({"__now": F.coalesce(times.rfc3339_to_ns(row.text(*ts_path)), now)})
+        stated = F.try_variant_get("__data", f'$[0]["{ts_path}"]', "string")
+        stages.append({"__now": F.coalesce(times.rfc3339_to_ns(stated), now)})
         now = F.col("__now")
-    n = row.number
-    qty = F.when(row.has("qty"), n("qty")).otherwise(n("quantity"))
-    volume = F.when(row.has("volume"), _or_zero(n("volume")))
-    kind = F.col("__kind")
-    bid, ask = row.at("bids", 0), row.at("asks", 0)
+    has_qty, has_volume = F.col("__row.qty").isNotNull(), F.col("__row.volume").isNotNull()
+    qty = F.when(has_qty, _as_text("__row.qty")).otherwise(F.col("__row.quantity"))
+    quote = ("__row.bid", "__row.ask", "__row.last", _as_text("__row.volume"))
+    bar = ("__row.open", "__row.high", "__row.low", "__row.close", _as_text("__row.volume"))
     point = (
-        F.when(kind == "trade", _point(now, "trade", n("price"), qty, all_positive=True))
-        .when(kind == "ticker", _point(now, "ticker", n("bid"), n("ask"), n("last"), volume))
-        .when(
-            kind == "book",
-            _point(now, "book", bid.number("price"), bid.number("qty"), ask.number("price"), ask.number("qty")),
-        )
-        .when(kind == "ohlc", _point(now, "ohlc", n("open"), n("high"), n("low"), n("close"), volume))
+        F.when(kind == "trade", _point(now, "trade", "__row.price", qty, all_positive=True))
+        .when((kind == "ticker") & has_volume, _point(now, "ticker", *quote, zero_slot=3))
+        .when(kind == "book", _point(now, "book", "__bid.price", "__bid.qty", "__ask.price", "__ask.qty"))
+        .when((kind == "ohlc") & has_volume, _point(now, "ohlc", *bar, zero_slot=4))
     )
-    return stages, point
+    return document, stages, point
 
 
 def _binance(now: Column) -> Decoded:
-    doc, inner = _Reader(_DOC, J.ROOT), _Reader("__inner")
+    # ``E`` and ``T`` are read apart from the other members: names that differ by case only are ambiguous.
+    member = "e string, p string, q string, b variant, a variant, c string, v string, r string, k variant"
+    kind = F.col("__kind")
     stages = [
+        {"__outer": _members("__v", "stream variant, data variant")},
         # Combined streams wrap the message.
-        {"__inner": F.when(doc.has("stream"), doc.value("data")).otherwise(doc.value())},
-        {"__kind": inner.text("e"), "__event_ts": _event_ms(now, inner.value("E"))},
+        {"__inner": F.when(F.col("__outer.stream").isNotNull(), F.col("__outer.data")).otherwise(F.col("__v"))},
+        {"__in": _members("__inner", member), "__event": F.try_variant_get("__inner", "$.E", "variant")},
+        {"__kind": F.col("__in.e")},
+        {
+            "__bar": F.when(
+                kind == "kline",
+                _members("__in.k", "T variant, o string, h string, l string, c string, v string"),
+            ),
+            "__bid": F.when(kind == "depthUpdate", F.try_variant_get("__in.b", "$[0]", "array<string>")),
+            "__ask": F.when(kind == "depthUpdate", F.try_variant_get("__in.a", "$[0]", "array<string>")),
+        },
+        {"__ms": J.unsigned(F.when(kind == "kline", F.col("__bar.T")).otherwise(F.col("__event")))},
     ]
-    ts, kind, n = F.col("__event_ts"), F.col("__kind"), inner.number
-    bar = inner.at("k")
+    ts = _event_ts(now, "__ms")
+    quote = (_as_text("__in.b"), _as_text("__in.a"), "__in.c", "__in.v")
+    best = [F.get(side, F.lit(i)) for side in ("__bid", "__ask") for i in (0, 1)]
     point = (
-        F.when(kind.isin("trade", "aggTrade"), _point(ts, "trade", n("p"), n("q"), all_positive=True))
-        .when(kind == "24hrTicker", _point(ts, "ticker", n("b"), n("a"), n("c"), _or_zero(n("v"))))
-        .when(
-            kind == "depthUpdate", _point(ts, "depth", n("b", 0, 0), n("b", 0, 1), n("a", 0, 0), n("a", 0, 1))
-        )
-        .when(
-            kind == "kline",
-            _point(
-                _event_ms(now, bar.value("T")),
-                "kline",
-                bar.number("o"),
-                bar.number("h"),
-                bar.number("l"),
-                bar.number("c"),
-                _or_zero(bar.number("v")),
-            ),
-        )
-        .when(kind == "markPriceUpdate", _point(ts, "markPrice", n("p"), _or_zero(n("r"))))
+        F.when(kind.isin("trade", "aggTrade"), _point(ts, "trade", "__in.p", "__in.q", all_positive=True))
+        .when(kind == "24hrTicker", _point(ts, "ticker", *quote, zero_slot=3))
+        .when(kind == "depthUpdate", _point(ts, "depth", *best))
+        .when(kind == "kline", _point(ts, "kline", *(f"__bar.{m}" for m in "ohlcv"), zero_slot=4))
+        .when(kind == "markPriceUpdate", _point(ts, "markPrice", "__in.p", "__in.r", zero_slot=1))
     )
-    return stages, point
+    return "variant", stages, point
 
 
 def _request_response(now: Column, channels: Sequence[str]) -> Decoded:
     """Replies to polling requests, and order reports of the account stream."""
-    doc = _Reader(_DOC, J.ROOT)
-    event, result = _Reader("__event"), _Reader("__result")
-    stages = [{"__event": doc.value("event"), "__result": doc.value("result"), "__status": doc.value("status")}]
-    # The second time is used only when the first is absent, not when it is unusable.
-    moment = F.coalesce(event.value("E"), event.value("T"))
-    report = _point(_event_ms(now, moment), "user_data", event.number("p"), event.number("q"), all_positive=True)
+    document = "event variant, status bigint, result variant"
     primary = next((c for c in channels if c != "user_data"), "trades_recent")
-    n = result.number
+    is_event = F.col("__event").isNotNull()
+    stages = [
+        {"__event": F.col("__v.event"), "__result": F.col("__v.result")},
+        {
+            "__report": _members("__event", "e string, p string, q string, T variant"),
+            "__moment": F.try_variant_get("__event", "$.E", "variant"),
+            "__trade": F.when(~is_event, _members("__result", "price string, qty string, time variant", "$[0]")),
+        },
+        # The second time is used only when the first is absent, not when it is unusable.
+        {"__ms": J.unsigned(F.when(is_event, F.coalesce("__moment", "__report.T")).otherwise(F.col("__trade.time")))},
+    ]
+    ts = _event_ts(now, "__ms")
+    report = _point(ts, "user_data", "__report.p", "__report.q", all_positive=True)
+    at = lambda path: F.try_variant_get("__result", path, "string")
     if primary == "ticker_price":
-        reply = _point(now, primary, n("price"))
+        reply = _point(now, primary, at("$.price"))
     elif primary == "trades_recent":
-        ts = _event_ms(now, result.value(0, "time"))
-        reply = _point(ts, primary, n(0, "price"), n(0, "qty"), all_positive=True)
+        reply = _point(ts, primary, "__trade.price", "__trade.qty", all_positive=True)
     elif primary == "depth_snapshot":
-        reply = _point(now, primary, n("bids", 0, 0), n("bids", 0, 1), n("asks", 0, 0), n("asks", 0, 1))
+        reply = _point(now, primary, at("$.bids[0][0]"), at("$.bids[0][1]"), at("$.asks[0][0]"), at("$.asks[0][1]"))
     else:
         reply = F.lit(None)
-    point = F.when(F.col("__event").isNotNull(), F.when(event.text("e") == "executionReport", report)).otherwise(
-        F.when(J.unsigned(F.col("__status")) == 200, reply)
+    point = F.when(is_event, F.when(F.col("__report.e") == "executionReport", report)).otherwise(
+        F.when(F.col("__v.status") == 200, reply)
     )
-    return stages, point
+    return document, stages, point
 
 
 # Where a pending transaction states its price, in order of preference.
@@ -198,46 +223,57 @@ PENDING_PRICES = ("gasPrice", "maxFeePerGas", "maxPriorityFeePerGas")
 
 def _chain(now: Column, channels: Sequence[str]) -> Decoded:
     """Block headers (newHeads) and pending transactions of a JSON-RPC subscription."""
-    doc = _Reader(_DOC, J.ROOT)
-    result = _Reader("__result")
     number_keys = ("gasUsed", "baseFeePerGas", "gas", *PENDING_PRICES)
-    values = {f"__v_{key}": result.value(key) for key in (*number_keys, "timestamp")}
-    types = {f"__t_{key}": J.value_type(F.col(f"__v_{key}")) for key in (*number_keys, "timestamp")}
+    members = ", ".join(f"{key} variant" for key in ("number", "timestamp", *number_keys))
+    document = f"method string, params struct<result struct<{members}>>"
+    block = F.col("__block")
+    # A header and a transaction need different members; reading them through shared slots keeps the code small.
+    slots = ("a", "b", "c", "d")
+    header_keys, pending_keys = ("gasUsed", "baseFeePerGas", None, None), (*PENDING_PRICES, "gas")
+
+    def member_of(header: str | None, pending: str) -> Column:
+        other = F.col(f"__result.{pending}")
+        return F.when(block, F.col(f"__result.{header}")).otherwise(other) if header else F.when(~block, other)
 
-    def quantity(key: str) -> Column:
+    kind = lambda slot: F.col(f"__type_{slot}")
+    text = lambda slot: F.try_variant_get(f"__x_{slot}", "$", "string")
+    from_hex = lambda slot: hex_to_decimal_text(text(slot))
+
+    def quantity(slot: str) -> Column:
         """A string is hexadecimal, a JSON number is itself."""
-        value, kind = F.col(f"__v_{key}"), F.col(f"__t_{key}")
-        from_hex = hex_to_decimal(F.try_variant_get(value, "$", "string")).cast("double")
-        return F.when(J.is_string(kind), from_hex).when(J.is_number(kind), F.try_variant_get(value, "$", "double"))
+        plain = F.when(J.is_number(kind(slot)), text(slot))
+        return F.when(J.is_string(kind(slot)), from_hex(slot)).otherwise(plain).try_cast("double")
 
-    moment = F.col("__v_timestamp")
-    hex_seconds = hex_to_decimal(F.try_variant_get(moment, "$", "string")).try_cast("bigint")
-    seconds = F.when(J.is_string(F.col("__t_timestamp")), hex_seconds).otherwise(J.unsigned(moment))
+    seconds = F.when(J.is_string(kind("time")), from_hex("time").try_cast("bigint"))
     stages = [
-        {"__kind": doc.text("method"), "__result": doc.value("params", "result")},
-        {"__block": result.has("number"), **values},
-        types,
-        {"__seconds": seconds, **{f"__n_{key}": quantity(key) for key in number_keys}},
+        {"__kind": F.col("__v.method"), "__result": F.col("__v.params.result")},
+        {"__block": F.col("__result.number").isNotNull(), "__x_time": F.col("__result.timestamp")},
+        {f"__x_{s}": member_of(header, pending) for s, header, pending in zip(slots, header_keys, pending_keys)},
+        {f"__type_{slot}": J.value_type(F.col(f"__x_{slot}")) for slot in (*slots, "time")},
+        {
+            "__seconds": seconds.otherwise(J.unsigned(F.col("__x_time"))),
+            **{f"__q_{slot}": quantity(slot) for slot in slots},
+        },
     ]
 
-    def usable(key: str) -> Column:
-        value = F.col(f"__n_{key}")
+    def usable(slot: str) -> Column:
+        value = F.col(f"__q_{slot}")
         return F.when(positive(value) & is_finite(value), value)
 
     last_second = F.lit(9_223_372_036).cast("bigint")
     capped = F.when(F.col("__seconds") > last_second, last_second).otherwise(F.col("__seconds"))
-    block_ts = capped * F.lit(1_000_000_000).cast("bigint")
-    gas_used = F.col("__n_gasUsed")
-    header = _point(block_ts, "newHeads", F.coalesce(usable("baseFeePerGas"), gas_used), gas_used)
-    price = F.coalesce(*[usable(key) for key in PENDING_PRICES])
-    pending = _point(now, "pending", price, F.coalesce(usable("gas"), F.lit(DEFAULT_PENDING_GAS)))
-    block = F.col("__block")
+    gas_used = F.col("__q_a")
+    header = _number_point(
+        capped * F.lit(1_000_000_000).cast("bigint"), "newHeads", F.coalesce(usable("b"), gas_used), gas_used
+    )
+    price = F.coalesce(usable("a"), usable("b"), usable("c"))
+    pending = _number_point(now, "pending", price, F.coalesce(usable("d"), F.lit(DEFAULT_PENDING_GAS)))
     chosen = F.lit(None)
     if "pending" in channels:
         chosen = F.when(~block, pending)
     if "newHeads" in channels:
         chosen = F.when(block, header).otherwise(chosen)
-    return stages, F.when(F.col("__kind") == "eth_subscription", chosen)
+    return document, stages, F.when(F.col("__kind") == "eth_subscription", chosen)
 
 
 def decode_feed(
@@ -247,12 +283,12 @@ def decode_feed(
     channels: Sequence[str] | None = None,
     subscription: str | None = None,
     as_of_ms: int | None = None,
-    ts_path: tuple[str | int, ...] | None = None,
+    ts_path: str | None = None,
     max_bytes: int = MAX_MESSAGE_BYTES,
 ) -> DataFrame:
     """Raw messages -> points with ``feed``.  Works on batch frames and streams; adds no shuffle.
 
-    ``ts_path`` (kraken only) takes the time from the message row instead of the arrival time.
+    ``ts_path`` (kraken only) names the member of the message row to take the time from, instead of arrival.
     """
     provider = provider.lower()
     if provider not in PROVIDERS:
@@ -260,16 +296,19 @@ def decode_feed(
     wanted = resolve_channels(provider, channels, subscription)
     now = times.as_of_ns(as_of_ms)
     if provider == "kraken":
-        stages, point = _kraken(now, ts_path)
+        document, stages, point = _kraken(now, ts_path)
     elif provider == "binance_ws_api":
-        stages, point = _request_response(now, wanted)
+        document, stages, point = _request_response(now, wanted)
     elif provider in ("alchemy", "infura"):
-        stages, point = _chain(now, wanted)
+        document, stages, point = _chain(now, wanted)
     else:
-        stages, point = _binance(now)
+        document, stages, point = _binance(now)
     oversize = F.octet_length(raw) > max_bytes
-    staged = df.withColumns({"__over": oversize, _DOC: J.parse_document(F.when(~oversize, F.col(raw)))})
-    for stage in [{"__ok": J.is_document(F.col(_DOC))}, *stages, {"__point": point.cast(_POINT_TYPE)}]:
+    text = F.when(~oversize, F.col(raw))
+    staged = df.withColumns({"__over": oversize, _DOC: J.parse_document(text, document)})
+    opened = {"__ok": J.is_document(_DOC), "__v": J.document_value(_DOC)}
+    metric_stages = _metric_stages(from_text=provider not in ("alchemy", "infura"))
+    for stage in [opened, *stages, {"__point": point.cast(_POINT_TYPE)}, *metric_stages]:
         staged = staged.withColumns(stage)
     made = [c for c in staged.columns if c not in df.columns]
     error = F.when(F.col("__over"), F.lit(f"message exceeded {max_bytes} bytes")).when(
@@ -279,11 +318,11 @@ def decode_feed(
     return P.with_point(
         staged,
         F.col("__point.timestamp_ns"),
-        F.col("__point.metrics"),
+        F.col("__metrics"),
         F.when(F.col("__over"), F.lit(OVERSIZE_TEXT)).otherwise(F.col(raw)),
         feed=F.when(F.col("__ok"), F.col("__point.feed")),
         parse_error=error,
         error_code=code,
-        keep=F.col("__over") | ~F.col("__ok") | _usable("__point"),
+        keep=F.col("__over") | ~F.col("__ok") | F.col("__usable"),
         drop=tuple(made),
     )

@@ -8,11 +8,11 @@ from pyspark.sql import types as T
 
 from pointgate.functions import json as J
 from pointgate.functions import times
-from pointgate.functions.numbers import is_finite, strict_double
+from pointgate.functions.json import with_json_fields
+from pointgate.functions.numbers import is_finite, json_double, strict_double
 from pointgate.operators import points as P
 from pointgate.options import PathMapping, PointMapping, TimeSpec
 
-_DOC = "__doc"
 _TS = "__ts"
 _TS_VALUE = "__ts_value"
 _TS_TYPE = "__ts_type"
@@ -108,18 +108,18 @@ def normalize_json_map(
     A missing time means now.  Unmapped metrics are 0.0.  A frame with ``error_code`` set keeps those errors.
     """
     spec = mapping.time
-    text = F.col(raw)
-    df = df.withColumn(_DOC, J.parse_document(F.trim(text) if trim else text))
-    doc = F.col(_DOC)
-    staged: dict[str, Column] = {"__ok": J.is_document(doc)}
-    for name, index in mapping.by_index():
-        staged[f"__m{index}"] = J.get_double(doc, name)
+    source = F.trim(F.col(raw)) if trim else F.col(raw)
+    texts = {f"__m{index}": name for name, index in mapping.by_index()}
+    values = {} if spec.field is None else {_TS_VALUE: spec.field}
+    df = with_json_fields(df, source, texts, values)
+    staged: dict[str, Column] = {slot: json_double(F.col(slot)) for slot in texts}
     if spec.field is not None:
+        moment = F.try_variant_get(_TS_VALUE, "$", "string")
         if spec.format is not None:
-            staged["__ts_text"] = J.get_string(doc, spec.field)
-        staged["__ts_number"] = J.get_double(doc, spec.field)
+            staged["__ts_text"] = F.when(J.is_string(J.value_type(F.col(_TS_VALUE))), moment)
+        staged["__ts_number"] = json_double(moment)
     df = df.withColumns(staged)
-    checks: list[tuple[Column, Column | str]] = [(~F.coalesce("__ok", F.lit(False)), "invalid JSON")]
+    checks: list[tuple[Column, Column | str]] = [(~F.col("__ok"), "invalid JSON")]
     now = times.as_of_ns(as_of_ms)
     ts = now
     if spec.field is not None:
@@ -146,7 +146,8 @@ def normalize_json_map(
     if "error_code" in df.columns:
         error = F.when(F.col("error_code").isNotNull(), F.col("parse_error")).otherwise(error)
         code = F.coalesce(F.col("error_code"), code)
-    return P.with_point(df, ts, metrics, text, parse_error=error, error_code=code, drop=(_DOC, *staged))
+    made = ("__ok", _TS_VALUE, *staged)
+    return P.with_point(df, ts, metrics, F.col(raw), parse_error=error, error_code=code, drop=made)
 
 
 def path_time(value: str, type_name: str, as_of_ms: int | None) -> tuple[Column, Column]:
@@ -173,6 +174,16 @@ def with_path_time(df: DataFrame, as_of_ms: int | None) -> tuple[DataFrame, Colu
     return df.withColumn(_TS, ts), wrong
 
 
+def _path_fields(
+    df: DataFrame, raw: str, mapping: PathMapping, index_only: bool = False
+) -> tuple[DataFrame, list[str]]:
+    """Stage metrics (as numbers), the time value and ``__ok``; returns the frame and the metric columns."""
+    texts = {f"__m{i}": path for i, path in enumerate(mapping.field_paths)}
+    values = {} if mapping.timestamp_path is None else {_TS_VALUE: mapping.timestamp_path}
+    df = with_json_fields(df, F.col(raw), texts, values, index_only=index_only)
+    return df.withColumns({slot: json_double(F.col(slot)) for slot in texts}), list(texts)
+
+
 def normalize_json_paths(
     df: DataFrame,
     raw: str,
@@ -185,18 +196,11 @@ def normalize_json_paths(
     Missing and non-finite metrics and a missing time path are errors.  ``error_before`` is the text of an
     error found earlier (e.g. invalid UTF-8).
     """
-    df = df.withColumn(_DOC, J.parse_document(F.col(raw)))
-    doc = F.col(_DOC)
-    slots = [f"__m{i}" for i in range(len(mapping.field_paths))]
-    staged: dict[str, Column] = {"__ok": J.is_document(doc)}
-    staged.update({slot: J.get_double(doc, path) for slot, path in zip(slots, mapping.field_paths)})
-    if mapping.timestamp_path is not None:
-        staged[_TS_VALUE] = J.get_variant(doc, mapping.timestamp_path)
-    df = df.withColumns(staged)
+    df, slots = _path_fields(df, raw, mapping)
     checks: list[tuple[Column, Column | str]] = []
     if error_before is not None:
         checks.append((error_before.isNotNull(), error_before))
-    checks.append((~F.coalesce("__ok", F.lit(False)), "invalid JSON"))
+    checks.append((~F.col("__ok"), "invalid JSON"))
     for slot, path in zip(slots, mapping.field_paths):
         checks.append((F.col(slot).isNull(), f"Missing Field: {path}"))
         checks.append((~is_finite(F.col(slot)), f"Non-finite value at path {path}"))
@@ -212,7 +216,7 @@ def normalize_json_paths(
         F.array(*slots),
         F.col(raw),
         parse_error=P.first_error(*checks),
-        drop=(_DOC, *staged, _TS, _TS_TYPE),
+        drop=("__ok", *slots, _TS_VALUE, _TS, _TS_TYPE),
     )
 
 
@@ -224,21 +228,14 @@ def normalize_custom_feed(
     A record that misses a path is dropped without notice, invalid JSON is rejected.  Numeric path parts are
     array positions only.  The time is a number or numeric string in milliseconds.
     """
-    df = df.withColumn(_DOC, J.parse_document(F.col(raw)))
-    doc = F.col(_DOC)
-    slots = [f"__m{i}" for i in range(len(mapping.field_paths))]
-    staged = {"__ok": F.coalesce(J.is_document(doc), F.lit(False))}
-    staged.update(
-        {slot: J.get_double(doc, path, index_only=True) for slot, path in zip(slots, mapping.field_paths)}
-    )
+    df, slots = _path_fields(df, raw, mapping, index_only=True)
     needed = [F.col(s).isNotNull() for s in slots]
     ts = times.as_of_ns(as_of_ms)
     if mapping.timestamp_path is not None:
-        staged["__ts_ms"] = J.get_double(doc, mapping.timestamp_path, index_only=True)
+        df = df.withColumn("__ts_ms", json_double(F.try_variant_get(_TS_VALUE, "$", "string")))
         needed.append(F.col("__ts_ms").isNotNull())
         ms = F.when(F.isnan("__ts_ms"), F.lit(0.0)).otherwise(F.col("__ts_ms"))
         ts = times.truncated_ms_to_ns(ms)
-    df = df.withColumns(staged)
     complete = F.lit(True)
     for have in needed:
         complete = complete & have
@@ -249,7 +246,7 @@ def normalize_custom_feed(
         F.col(raw),
         parse_error=F.when(~F.col("__ok"), F.lit("invalid JSON")),
         keep=~F.col("__ok") | complete,
-        drop=(_DOC, *staged),
+        drop=("__ok", *slots, _TS_VALUE, "__ts_ms"),
     )
 
 

@@ -103,7 +103,20 @@ def _runs(keys: pa.Array) -> list[tuple[int, int, str | None]]:
 
 
 def _value_lists(batch: pa.RecordBatch, slots: int) -> list[list[float | None]]:
-    return [batch.column(batch.schema.get_field_index(_VALUE.format(s))).to_pylist() for s in range(slots)]
+    columns = [_column(batch, _VALUE.format(slot)) for slot in range(slots)]
+    return [c.to_pylist() if c.null_count else c.to_numpy(zero_copy_only=False).tolist() for c in columns]
+
+
+def _hit_columns(hits: list[tuple[int, int, float, float]], rows: int) -> list[pa.Array]:
+    """The hit columns of a batch: null but for the rejected rows."""
+    absent = np.ones(rows, bool)
+    columns = [np.zeros(rows, np.int32), np.zeros(rows), np.zeros(rows)]
+    if hits:
+        row, *found = zip(*hits)
+        absent[list(row)] = False
+        for column, values in zip(columns, found):
+            column[list(row)] = values
+    return [pa.array(column, mask=absent) for column in columns]
 
 
 def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -127,13 +140,8 @@ def _decide(thresholds, alpha, kept: list[str], starts: dict[int, list[float | N
                     state = [None] * len(thresholds)
                 key, first = run_key, False
                 walk(columns, begin, end, thresholds, alpha, state, hits)
-            metric = [None] * batch.num_rows
-            delta, base = list(metric), list(metric)
-            for row, hit_metric, hit_delta, hit_base in hits:
-                metric[row], delta[row], base[row] = hit_metric, hit_delta, hit_base
             yield pa.RecordBatch.from_arrays(
-                [_column(batch, name) for name in kept]
-                + [pa.array(metric, pa.int32()), pa.array(delta, pa.float64()), pa.array(base, pa.float64())],
+                [_column(batch, name) for name in kept] + _hit_columns(hits, batch.num_rows),
                 names=[*kept, *_OUT.names],
             )
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointgate.functions import json as J
 from pointgate.functions import times
-from pointgate.functions.numbers import csv_number, json_number, strict_double
+from pointgate.functions.json import string_or_null, with_json_fields
+from pointgate.functions.numbers import csv_number, json_double, json_number, strict_double
 from pointgate.plans.fixtures import pick, table, text
 from pointgate.plans.registry import register
 
@@ -133,17 +133,22 @@ def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
         '{"a":{"b":', value, '},"l":[{"p":', F.col("props"), '}],"n":{"0":"', value, '"},"with space":',
         value + 1, ',"flag":', pick(F.col("event_id"), F.lit("true"), value.cast("string")), ',"w":"', F.col("event_type"), '"}',
     )
-    events = table(spark, sf_dir, "events").withColumn("doc", J.parse_document(body))
-    get = lambda path: J.get_double(F.col("doc"), path)
+    paths = {
+        "nested": "a.b",
+        "in_list": "l.0.p.k",
+        "numeric_key": "n.0",
+        "spaced": "with space",
+        "flag": "flag",
+        "absent": "a.c",
+    }
+    events = with_json_fields(table(spark, sf_dir, "events"), body, paths, {"word": "w"})
+    get = lambda name: json_double(F.col(name))
     return events.select(
         "event_id",
-        get("a.b").alias("nested"),
-        get("l.0.p.k").alias("in_list"),
-        get("n.0").alias("numeric_key"),
-        get("with space").alias("spaced"),
+        *[get(name).alias(name) for name in ("nested", "in_list", "numeric_key", "spaced")],
         get("flag").isNull().alias("flag_is_null"),
-        get("a.c").isNull().cast("int").alias("absent_is_null"),
-        J.get_string(F.col("doc"), "w").alias("word"),
+        get("absent").isNull().cast("int").alias("absent_is_null"),
+        string_or_null(F.col("word")).alias("word"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pointgate.functions import json as J
 from pointgate.functions import times
+from pointgate.functions.json import with_json_fields
 from pointgate.functions.numbers import strict_double
 from pointgate.operators import normalize as N
 from pointgate.operators import points as P
@@ -82,16 +83,12 @@ def decode_pages(
     without a good record, and with the first page whose cursor is not a string (when ``cursor_path`` is set).
     Columns ``next_cursor`` and ``item_no`` are added.
     """
-    pages = limit_pages(df, max_pages, page).withColumn("__doc", J.parse_document(F.col(body)))
-    doc = F.col("__doc")
-    cursor = F.lit(None).cast("string") if cursor_path is None else J.get_string(doc, cursor_path)
-    pages = pages.withColumns(
-        {
-            "__valid": J.is_document(doc),
-            "__list": F.schema_of_variant(F.try_variant_get(doc, J.ROOT, "variant")).startswith("ARRAY"),
-            "next_cursor": cursor,
-        }
-    ).drop("__doc")
+    values = {} if cursor_path is None else {"__cursor": cursor_path}
+    pages = with_json_fields(limit_pages(df, max_pages, page), F.col(body), values=values, ok="__valid")
+    cursor = F.lit(None).cast("string") if cursor_path is None else J.string_or_null(F.col("__cursor"))
+    # The first character of a valid document tells a list from anything else.
+    listed = F.regexp_extract(body, r"\A\s*(\S)", 1) == "["
+    pages = pages.withColumns({"next_cursor": cursor, "__list": listed})
     items = _page_items(F.col(body), F.col("__valid"), F.coalesce("__list", F.lit(False)))
     exploded = pages.select(
         page, "next_cursor", F.posexplode_outer(items).alias("item_no", "__item")

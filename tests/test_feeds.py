@@ -69,7 +69,7 @@ def test_kraken_other_channels(spark):
 
 
 def test_kraken_time_of_the_message(spark):
-    got = one(spark, "kraken", kraken("trade", TRADE), ts_path=("timestamp",))
+    got = one(spark, "kraken", kraken("trade", TRADE), ts_path="timestamp")
     assert got[2] == 1_704_412_800_500_000_000
 
 
@@ -155,5 +155,5 @@ def test_messages_are_parsed_once_and_not_shuffled(spark, provider):
     df = spark.createDataFrame([("{}",)], "raw string").repartition(2)
     points = decode_feed(df, provider, as_of_ms=NOW).filter("metrics[0] > 0")
     plan = points._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parseJson") + plan.count("try_parse_json") == 1
+    assert plan.count("from_json") == 1
     assert points._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 1

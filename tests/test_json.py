@@ -2,10 +2,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointgate.functions import json as J
+from pointgate.functions.numbers import json_double
 
 
-def parsed(spark, *texts):
-    return spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).withColumn("d", J.parse_document(F.col("t")))
+def texts(spark, *values):
+    return spark.createDataFrame([(t,) for t in values], "t string").coalesce(1)
+
+
+def parsed(spark, *values):
+    df = texts(spark, *values).withColumn("doc", J.parse_document(F.col("t")))
+    return df.withColumns({"ok": J.is_document("doc"), "v": J.document_value("doc")})
 
 
 @pytest.mark.parametrize(
@@ -18,7 +24,9 @@ def parsed(spark, *texts):
         ('{"a":1} x', False),
         ('{"a":1}] x', False),
         ("1,2", False),
-        ('1,"~end-of-value~"', False),
+        ('{"a":1}}', False),
+        ('"a', False),
+        ('{"a":NaN}', False),
         ("", False),
         ("NaN", False),
         ("01", False),
@@ -27,15 +35,17 @@ def parsed(spark, *texts):
     ],
 )
 def test_strict_documents(spark, text, valid):
-    assert parsed(spark, text).select(J.is_document(F.col("d"))).first()[0] is valid
+    assert parsed(spark, text).first().ok is valid
+    assert J.with_json_fields(texts(spark, text), F.col("t"), {"x": "a"}).first()["__ok"] is valid
 
 
 def test_null_text(spark):
-    assert parsed(spark, None).select(J.is_document(F.col("d"))).first()[0] is False
+    assert parsed(spark, None).first().ok is False
 
 
 def one(spark, text, path, index_only=False):
-    return parsed(spark, text).select(J.get_double(F.col("d"), path, index_only)).first()[0]
+    df = J.with_json_fields(texts(spark, text), F.col("t"), {"x": path}, index_only=index_only)
+    return df.select(json_double(F.col("x"))).first()[0]
 
 
 def test_paths(spark):
@@ -74,17 +84,38 @@ def test_long_numbers(spark):
 
 
 def test_unsigned(spark):
-    values = {'{"v":5}': 5, '{"v":-5}': None, '{"v":5.0}': None, '{"v":"5"}': None, '{"v":0}': 0, '{"v":true}': None}
-    df = parsed(spark, *values)
-    rows = df.select("t", J.unsigned(J.get_variant(F.col("d"), "v")).alias("n")).collect()
+    values = {"5": 5, "-5": None, "5.0": None, "5.5": None, '"5"': None, "0": 0, "true": None, "1e400": None, "null": None}
+    rows = parsed(spark, *values).select("t", J.unsigned(F.col("v")).alias("n")).collect()
     assert {r.t: r.n for r in rows} == values
 
 
-def test_present(spark):
-    df = parsed(spark, '{"v":null}', '{"w":1}', '{"v":{}}')
-    assert [r[0] for r in df.select(J.present(F.col("d"), "v")).collect()] == [True, False, True]
+def test_values_tell_null_from_absent(spark):
+    df = J.with_json_fields(texts(spark, '{"v":null}', '{"w":1}', '{"v":{}}', "5"), F.col("t"), values={"x": "v"})
+    assert [r[0] for r in df.select(F.col("x").isNotNull()).collect()] == [True, False, True, False]
 
 
 def test_string_only(spark):
-    df = parsed(spark, '{"v":"x"}', '{"v":1}', '{"v":null}')
-    assert [r[0] for r in df.select(J.get_string(F.col("d"), "v")).collect()] == ["x", None, None]
+    df = J.with_json_fields(texts(spark, '{"v":"x"}', '{"v":1}', '{"v":null}', "{}"), F.col("t"), values={"x": "v"})
+    assert [r[0] for r in df.select(J.string_or_null(F.col("x"))).collect()] == ["x", None, None, None]
+
+
+def test_many_paths_at_once(spark):
+    """Shared parents, a path below another, names that differ by case, repeated paths, odd members."""
+    paths = {"p": "a.b", "q": "a.c.d", "r": "a.c", "s": "A.b", "t1": "x", "t2": "x", "u": "l.1.m", "w": "k.b"}
+    text = '{"a":{"b":1,"c":{"d":2}},"A":{"b":3},"x":"4","l":[{},{"m":5}],"k":7,"pad":[1,2,3]}'
+    df = J.with_json_fields(texts(spark, text), F.col("t"), paths, {"v": "a.b", "z": "a"})
+    row = df.select("__ok", *[json_double(F.col(c)).alias(c) for c in paths], F.to_json("z").alias("z")).first()
+    assert row.asDict() == {
+        "__ok": True, "p": 1.0, "q": 2.0, "r": None, "s": 3.0, "t1": 4.0, "t2": 4.0, "u": 5.0, "w": None,
+        "z": '{"b":1,"c":{"d":2}}',
+    }
+
+
+def test_mistyped_members_leave_the_others(spark):
+    df = J.with_json_fields(texts(spark, '{"a":5,"b":1}', '{"b":1,"a":[{"x":1}]}'), F.col("t"), {"x": "a.x", "y": "b"})
+    assert [(r.x, r.y) for r in df.collect()] == [(None, "1"), (None, "1")]
+
+
+def test_empty_path_part():
+    with pytest.raises(ValueError):
+        J.with_json_fields(None, None, {"x": "a..b"})

@@ -39,7 +39,7 @@ def test_hex(spark):
         "0x00000000000000000001": 1, "": None, "0x": None, "xyz": None, "-1": None, "0x1ffffffffffffffff": None,
     }
     df = spark.createDataFrame([(k,) for k in cases], "text string")
-    rows = df.select("text", N.hex_to_decimal(F.col("text")).alias("v")).collect()
+    rows = df.select("text", N.hex_to_decimal_text(F.col("text")).alias("v")).collect()
     assert {r.text: None if r.v is None else int(r.v) for r in rows} == cases
 
 
