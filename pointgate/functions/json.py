@@ -9,39 +9,37 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pointgate.functions.numbers import strict_double
 
-# The text is parsed as a member of an object that ends with a mark.  Text after the value (or a bracket too
-# many) makes the parse fail or leaves the mark out, so both are noticed without a second parse.
-_VALUE, _END = "~value~", "~end~"
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# The text is parsed as the first element of a list that ends with a mark.  Text after the value (or several
+# values) makes the parse fail or moves the mark, so both are noticed without a second parse.
+_END = "~end-of-value~"
+ROOT = "$[0]"
+# Any JSON text of this size fits a VARIANT.
+_SURE_BYTES = 2_000_000
 
 
-def _from_json(text: Column, value_type: T.DataType) -> Column:
-    wrapped = F.concat(F.lit(f'{{"{_VALUE}":'), text, F.lit(f',"{_END}":"{_END}"}}'))
-    schema = T.StructType([T.StructField(_VALUE, value_type), T.StructField(_END, T.StringType())])
-    return F.from_json(wrapped, schema, _STRICT)
+def parse_document(text: Column) -> Column:
+    """Text -> VARIANT of [value, mark], to be staged as a column; the value is at ``ROOT``."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
 
 
-def parse_document(text: Column, value_type: str | T.DataType = "variant") -> Column:
-    """Text -> parsed document, to be staged as a column and read with ``is_document`` and ``document_value``.
-
-    ``value_type`` names the members to keep; members of other kinds than declared are null.
-    """
-    if isinstance(value_type, str):
-        value_type = T.VariantType() if value_type == "variant" else T.StructType.fromDDL(value_type)
-    return _from_json(text, value_type)
-
-
-def is_document(doc: str) -> Column:
+def is_document(doc: str | Column) -> Column:
     """True when the text of the staged document was exactly one JSON value."""
-    return F.coalesce(F.col(f"{doc}.`{_END}`") == _END, F.lit(False))
+    return F.coalesce(F.try_variant_get(doc, "$[1]", "string") == _END, F.lit(False))
 
 
-def document_value(doc: str) -> Column:
-    return F.col(f"{doc}.`{_VALUE}`")
+def is_valid_json(text: Column) -> Column:
+    """True when a text of any size is one JSON value.
+
+    A VARIANT has a size limit; texts that may exceed it are judged by a streaming parse, which overlooks
+    some damage inside the value.
+    """
+    wrapped = F.concat(F.lit('{"value":'), text, F.lit(f',"end":"{_END}"}}'))
+    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    streamed = F.from_json(F.when(F.octet_length(text) > _SURE_BYTES, wrapped), "value string, end string", options)
+    return is_document(parse_document(text)) | F.coalesce(streamed["end"] == _END, F.lit(False))
 
 
 def _key(part: str) -> str:
@@ -58,7 +56,7 @@ def _is_index(part: str) -> bool:
     return re.fullmatch(r"\+?\d+", part) is not None
 
 
-def variant_paths(parts: list[str], index_only: bool = False) -> list[str]:
+def variant_paths(parts: list[str], index_only: bool = False, root: str = "$") -> list[str]:
     """Path parts -> VARIANT paths to try.
 
     A numeric part is an index on arrays and a key on objects (with ``index_only``: just an index).
@@ -70,12 +68,12 @@ def variant_paths(parts: list[str], index_only: bool = False) -> list[str]:
             choices.append([index] if index_only else [index, _key(part)])
         else:
             choices.append([_key(part)])
-    return ["$" + "".join(combo) for combo in itertools.product(*choices)]
+    return [root + "".join(combo) for combo in itertools.product(*choices)]
 
 
-def get_as(value: Column, parts: list[str], kind: str, index_only: bool = False) -> Column:
+def get_as(value: Column, parts: list[str], kind: str, index_only: bool = False, root: str = "$") -> Column:
     """The value at a path of a VARIANT.  As ``variant`` it is SQL null only when absent."""
-    found = [F.try_variant_get(value, path, kind) for path in variant_paths(parts, index_only)]
+    found = [F.try_variant_get(value, path, kind) for path in variant_paths(parts, index_only, root)]
     return found[0] if len(found) == 1 else F.coalesce(*found)
 
 
@@ -132,15 +130,15 @@ class _Node:
         if self.leaf is not None:
             self.children = {}
 
-    def type(self) -> T.DataType:
-        if self.leaf == "string":
-            return T.StringType()
-        if self.leaf == "variant":
-            return T.VariantType()
-        return T.StructType([T.StructField(name, node.type()) for name, node in self.children.items()])
+    def type(self) -> str:
+        if self.leaf is not None:
+            return self.leaf
+        named = (f"`{name.replace('`', '``')}` {node.type()}" for name, node in self.children.items())
+        return f"struct<{', '.join(named)}>"
 
 
-def _read(column: Column, node: _Node, parts: list[str], kind: str, index_only: bool) -> Column:
+def _read(members: str, node: _Node, parts: list[str], kind: str, index_only: bool) -> Column:
+    column = F.col(members)
     while parts and node.leaf is None:
         column, node, parts = column.getField(parts[0]), node.children[parts[0]], parts[1:]
     if node.leaf == kind and not parts:
@@ -171,7 +169,12 @@ def with_json_fields(
     root = _Node()
     for _, parts, kind in wanted:
         root.add(parts, kind)
-    doc = "__json"
-    staged = df.withColumn(doc, _from_json(text, root.type() if wanted else T.VariantType()))
-    columns = {name: _read(document_value(doc), root, parts, kind, index_only) for name, parts, kind in wanted}
-    return staged.withColumns({ok: is_document(doc), **columns}).drop(doc)
+    doc, members = "__json", "__members"
+    staged = df.withColumn(doc, parse_document(text))
+    if root.leaf is None and wanted:
+        # One call reads all members; those of another kind than wanted are null.
+        staged = staged.withColumn(members, F.try_variant_get(doc, ROOT, root.type()))
+        columns = {name: _read(members, root, parts, kind, index_only) for name, parts, kind in wanted}
+    else:
+        columns = {name: get_as(F.col(doc), parts, kind, index_only, ROOT) for name, parts, kind in wanted}
+    return staged.withColumns({ok: is_document(doc), **columns}).drop(doc, members)

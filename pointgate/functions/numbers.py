@@ -18,8 +18,6 @@ NUMBER_TEXT = (
     r"(?i)\A(?:[+-](?=nan\z))?"
     r"([+-]?(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|nan|[+-]?inf(?:inity)?)\z"
 )
-# How a JSON number beyond the range of DOUBLE is printed by from_json.
-_OUT_OF_RANGE = r'\A"(-?Infinity)"\z'
 
 
 def strict_double(text: Column) -> Column:
@@ -49,12 +47,6 @@ def saturating_bigint(value: Column) -> Column:
     )
 
 
-def json_double(text: Column) -> Column:
-    """Text of a JSON number or string -> DOUBLE; a number beyond the range is infinite."""
-    plain = F.when(text.startswith('"'), F.regexp_extract(text, _OUT_OF_RANGE, 1)).otherwise(text)
-    return strict_double(plain)
-
-
 def hex_to_decimal_text(text: Column) -> Column:
     """``0x...`` text that fits 64 bits -> its decimal digits as text, else null."""
     digits = F.regexp_extract(text, r"\A(?:0x)*\+?0*([0-9a-fA-F]{1,16})\z", 1)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pointgate.functions import json as J
 from pointgate.functions import times
-from pointgate.functions.numbers import hex_to_decimal_text, is_finite, json_double, positive
+from pointgate.functions.numbers import hex_to_decimal_text, is_finite, positive, strict_double
 from pointgate.operators import points as P
 
 PROVIDERS = ("kraken", "binance", "binance_futures", "binance_ws_api", "alchemy", "infura")
@@ -101,7 +101,7 @@ def _metric_stages(from_text: bool) -> list[dict[str, Column]]:
     """
     if from_text:
         zero = F.col("__point.zero_slot")
-        metrics = F.transform("__point.texts", lambda t, i: F.coalesce(json_double(t), F.when(i == zero, F.lit(0.0))))
+        metrics = F.transform("__point.texts", lambda t, i: F.coalesce(strict_double(t), F.when(i == zero, F.lit(0.0))))
     else:
         metrics = F.col("__point.metrics")
     complete = F.col("__point.timestamp_ns").isNotNull() & F.forall("__metrics", lambda m: m.isNotNull())
@@ -115,8 +115,8 @@ def _as_text(value: str | Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
-# What a decoder gives: the type of the document, further staged columns, the candidate point.
-Decoded = tuple[str, list[dict[str, Column]], Column]
+# What a decoder gives: columns to stage over the parsed document, and the candidate point.
+Decoded = tuple[list[dict[str, Column]], Column]
 
 
 def _kraken(now: Column, ts_path: str | None) -> Decoded:
@@ -128,6 +128,7 @@ def _kraken(now: Column, ts_path: str | None) -> Decoded:
     )
     kind = F.col("__kind")
     stages = [
+        {"__v": _members(_DOC, document, J.ROOT)},
         {"__kind": F.when(F.col("__v.method").isNull(), F.col("__v.channel")), "__data": F.col("__v.data")},
         {"__row": _members("__data", row, "$[0]")},
         {
@@ -149,7 +150,7 @@ def _kraken(now: Column, ts_path: str | None) -> Decoded:
         .when(kind == "book", _point(now, "book", "__bid.price", "__bid.qty", "__ask.price", "__ask.qty"))
         .when((kind == "ohlc") & has_volume, _point(now, "ohlc", *bar, zero_slot=4))
     )
-    return document, stages, point
+    return stages, point
 
 
 def _binance(now: Column) -> Decoded:
@@ -157,9 +158,13 @@ def _binance(now: Column) -> Decoded:
     member = "e string, p string, q string, b variant, a variant, c string, v string, r string, k variant"
     kind = F.col("__kind")
     stages = [
-        {"__outer": _members("__v", "stream variant, data variant")},
+        {"__outer": _members(_DOC, "stream variant, data variant", J.ROOT)},
         # Combined streams wrap the message.
-        {"__inner": F.when(F.col("__outer.stream").isNotNull(), F.col("__outer.data")).otherwise(F.col("__v"))},
+        {
+            "__inner": F.when(F.col("__outer.stream").isNotNull(), F.col("__outer.data")).otherwise(
+                F.try_variant_get(_DOC, J.ROOT, "variant")
+            )
+        },
         {"__in": _members("__inner", member), "__event": F.try_variant_get("__inner", "$.E", "variant")},
         {"__kind": F.col("__in.e")},
         {
@@ -182,15 +187,16 @@ def _binance(now: Column) -> Decoded:
         .when(kind == "kline", _point(ts, "kline", *(f"__bar.{m}" for m in "ohlcv"), zero_slot=4))
         .when(kind == "markPriceUpdate", _point(ts, "markPrice", "__in.p", "__in.r", zero_slot=1))
     )
-    return "variant", stages, point
+    return stages, point
 
 
 def _request_response(now: Column, channels: Sequence[str]) -> Decoded:
     """Replies to polling requests, and order reports of the account stream."""
-    document = "event variant, status bigint, result variant"
+    document = "event variant, status variant, result variant"
     primary = next((c for c in channels if c != "user_data"), "trades_recent")
     is_event = F.col("__event").isNotNull()
     stages = [
+        {"__v": _members(_DOC, document, J.ROOT)},
         {"__event": F.col("__v.event"), "__result": F.col("__v.result")},
         {
             "__report": _members("__event", "e string, p string, q string, T variant"),
@@ -212,9 +218,9 @@ def _request_response(now: Column, channels: Sequence[str]) -> Decoded:
     else:
         reply = F.lit(None)
     point = F.when(is_event, F.when(F.col("__report.e") == "executionReport", report)).otherwise(
-        F.when(F.col("__v.status") == 200, reply)
+        F.when(J.unsigned(F.col("__v.status")) == 200, reply)
     )
-    return document, stages, point
+    return stages, point
 
 
 # Where a pending transaction states its price, in order of preference.
@@ -246,6 +252,7 @@ def _chain(now: Column, channels: Sequence[str]) -> Decoded:
 
     seconds = F.when(J.is_string(kind("time")), from_hex("time").try_cast("bigint"))
     stages = [
+        {"__v": _members(_DOC, document, J.ROOT)},
         {"__kind": F.col("__v.method"), "__result": F.col("__v.params.result")},
         {"__block": F.col("__result.number").isNotNull(), "__x_time": F.col("__result.timestamp")},
         {f"__x_{s}": member_of(header, pending) for s, header, pending in zip(slots, header_keys, pending_keys)},
@@ -273,7 +280,7 @@ def _chain(now: Column, channels: Sequence[str]) -> Decoded:
         chosen = F.when(~block, pending)
     if "newHeads" in channels:
         chosen = F.when(block, header).otherwise(chosen)
-    return document, stages, F.when(F.col("__kind") == "eth_subscription", chosen)
+    return stages, F.when(F.col("__kind") == "eth_subscription", chosen)
 
 
 def decode_feed(
@@ -296,17 +303,17 @@ def decode_feed(
     wanted = resolve_channels(provider, channels, subscription)
     now = times.as_of_ns(as_of_ms)
     if provider == "kraken":
-        document, stages, point = _kraken(now, ts_path)
+        stages, point = _kraken(now, ts_path)
     elif provider == "binance_ws_api":
-        document, stages, point = _request_response(now, wanted)
+        stages, point = _request_response(now, wanted)
     elif provider in ("alchemy", "infura"):
-        document, stages, point = _chain(now, wanted)
+        stages, point = _chain(now, wanted)
     else:
-        document, stages, point = _binance(now)
+        stages, point = _binance(now)
     oversize = F.octet_length(raw) > max_bytes
     text = F.when(~oversize, F.col(raw))
-    staged = df.withColumns({"__over": oversize, _DOC: J.parse_document(text, document)})
-    opened = {"__ok": J.is_document(_DOC), "__v": J.document_value(_DOC)}
+    staged = df.withColumns({"__over": oversize, _DOC: J.parse_document(text)})
+    opened = {"__ok": J.is_document(_DOC)}
     metric_stages = _metric_stages(from_text=provider not in ("alchemy", "infura"))
     for stage in [opened, *stages, {"__point": point.cast(_POINT_TYPE)}, *metric_stages]:
         staged = staged.withColumns(stage)

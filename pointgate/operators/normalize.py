@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pointgate.functions import json as J
 from pointgate.functions import times
 from pointgate.functions.json import with_json_fields
-from pointgate.functions.numbers import is_finite, json_double, strict_double
+from pointgate.functions.numbers import is_finite, strict_double
 from pointgate.operators import points as P
 from pointgate.options import PathMapping, PointMapping, TimeSpec
 
@@ -112,12 +112,12 @@ def normalize_json_map(
     texts = {f"__m{index}": name for name, index in mapping.by_index()}
     values = {} if spec.field is None else {_TS_VALUE: spec.field}
     df = with_json_fields(df, source, texts, values)
-    staged: dict[str, Column] = {slot: json_double(F.col(slot)) for slot in texts}
+    staged: dict[str, Column] = {slot: strict_double(F.col(slot)) for slot in texts}
     if spec.field is not None:
         moment = F.try_variant_get(_TS_VALUE, "$", "string")
         if spec.format is not None:
             staged["__ts_text"] = F.when(J.is_string(J.value_type(F.col(_TS_VALUE))), moment)
-        staged["__ts_number"] = json_double(moment)
+        staged["__ts_number"] = strict_double(moment)
     df = df.withColumns(staged)
     checks: list[tuple[Column, Column | str]] = [(~F.col("__ok"), "invalid JSON")]
     now = times.as_of_ns(as_of_ms)
@@ -181,7 +181,7 @@ def _path_fields(
     texts = {f"__m{i}": path for i, path in enumerate(mapping.field_paths)}
     values = {} if mapping.timestamp_path is None else {_TS_VALUE: mapping.timestamp_path}
     df = with_json_fields(df, F.col(raw), texts, values, index_only=index_only)
-    return df.withColumns({slot: json_double(F.col(slot)) for slot in texts}), list(texts)
+    return df.withColumns({slot: strict_double(F.col(slot)) for slot in texts}), list(texts)
 
 
 def normalize_json_paths(
@@ -232,7 +232,7 @@ def normalize_custom_feed(
     needed = [F.col(s).isNotNull() for s in slots]
     ts = times.as_of_ns(as_of_ms)
     if mapping.timestamp_path is not None:
-        df = df.withColumn("__ts_ms", json_double(F.try_variant_get(_TS_VALUE, "$", "string")))
+        df = df.withColumn("__ts_ms", strict_double(F.try_variant_get(_TS_VALUE, "$", "string")))
         needed.append(F.col("__ts_ms").isNotNull())
         ms = F.when(F.isnan("__ts_ms"), F.lit(0.0)).otherwise(F.col("__ts_ms"))
         ts = times.truncated_ms_to_ns(ms)

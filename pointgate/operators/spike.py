@@ -295,7 +295,7 @@ def _by_hash(rows: DataFrame, keys, order, thresholds, alpha, kept, partitions)
     return placed.mapInArrow(_decide(thresholds, alpha, kept), schema)
 
 
-def _by_range(rows: DataFrame, order, thresholds, alpha, kept, partitions: int) -> tuple[DataFrame, int]:
+def _by_range(rows: DataFrame, order, thresholds, alpha, kept, partitions: int) -> DataFrame:
     spark = rows.sparkSession
     shared_dir(spark)
     # Written to the shared checkpoint folder: later rounds must see the very same partitions, also after
@@ -316,7 +316,7 @@ def _by_range(rows: DataFrame, order, thresholds, alpha, kept, partitions: int)
         chain.learn(part.mapInArrow(_summarise(thresholds, alpha, guesses), _SUMMARY).collect(), guesses)
         starts, todo = chain.resolve()
     schema = T.StructType([placed.schema[name] for name in kept] + _OUT.fields)
-    return placed.mapInArrow(_decide(thresholds, alpha, kept, starts), schema), chain.rounds
+    return placed.mapInArrow(_decide(thresholds, alpha, kept, starts), schema)
 
 
 def apply_spikes(
@@ -341,10 +341,13 @@ def apply_spikes(
     if max_key_rows is not None:
         sizes = df.groupBy(*keys).agg(F.count_if(F.col("status") == P.ACCEPTED).alias("count"))
         biggest, total = sizes.agg(F.max("count"), F.sum("count")).first()
+        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Enough partitions that none gets much more rows than the biggest key may have.
+        wanted = math.ceil((total or 0) / max_key_rows)
         if (biggest or 0) > max_key_rows:
-            shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            wanted = partitions or max(shuffle, math.ceil(total / max_key_rows))
-            decided, _ = _by_range(rows, list(order), thresholds, opts.alpha, kept, wanted)
-            return _merge(decided, thresholds)
+            count = partitions or max(shuffle, wanted)
+            return _merge(_by_range(rows, list(order), thresholds, opts.alpha, kept, count), thresholds)
+        if partitions is None and wanted > shuffle:
+            partitions = wanted
     decided = _by_hash(rows, keys, list(order), thresholds, opts.alpha, kept, partitions)
     return _merge(decided, thresholds)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pointgate.functions import times
 from pointgate.functions.json import with_json_fields
-from pointgate.functions.numbers import json_double
+from pointgate.functions.numbers import strict_double
 from pointgate.operators import normalize as N
 from pointgate.options import PointMapping, TimeSpec
 from pointgate.session import configure, scratch_path
@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as points: metric 0 is value, metric 1 is props.k, feed is event_type."""
     events = table(spark, sf_dir, "events")
-    events = with_json_fields(events, F.col("props"), {"k": "k"}).withColumn("k", json_double(F.col("k")))
+    events = with_json_fields(events, F.col("props"), {"k": "k"}).withColumn("k", strict_double(F.col("k")))
     mapping = PointMapping({"value": 0, "k": 1}, 2, TimeSpec(field="ts"))
     points = N.normalize_columns(events, mapping, F.col("props"), AS_OF_MS)
     return points.withColumn("feed", F.col("event_type")).drop("value", "props", "k", "__ok")

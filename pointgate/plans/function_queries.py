@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pointgate.functions import times
 from pointgate.functions.json import string_or_null, with_json_fields
-from pointgate.functions.numbers import csv_number, json_double, json_number, strict_double
+from pointgate.functions.numbers import csv_number, json_number, strict_double
 from pointgate.plans.fixtures import pick, table, text
 from pointgate.plans.registry import register
 
@@ -142,7 +142,7 @@ def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
         "absent": "a.c",
     }
     events = with_json_fields(table(spark, sf_dir, "events"), body, paths, {"word": "w"})
-    get = lambda name: json_double(F.col(name))
+    get = lambda name: strict_double(F.col(name))
     return events.select(
         "event_id",
         *[get(name).alias(name) for name in ("nested", "in_list", "numeric_key", "spaced")],

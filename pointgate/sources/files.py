@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pointgate.functions.json import is_valid_json
 from pointgate.functions.payloads import oversize_preview
 from pointgate.operators import normalize as N
 from pointgate.operators import points as P
@@ -197,12 +198,16 @@ def read_json(
             "__big": (first == "{") & (F.octet_length("value") > max_bytes),
         }
     )
-    as_object = (F.col("__first") == "{") & ~F.col("__big")
+    # Typed lists forgive syntax errors inside them, so the whole document is checked first.
+    df = df.withColumn("__valid", F.when(~F.col("__big"), is_valid_json(F.col("value"))).otherwise(F.lit(False)))
+    as_object = (F.col("__first") == "{") & F.col("__valid")
     df = df.withColumns(
         {
             "__keys": F.when(as_object, F.json_object_keys("value")),
             "__wrapped": F.when(as_object, F.from_json("value", wrapper)),
-            "__root": F.when(F.col("__first") == "[", F.from_json("value", "array<string>")),
+            "__root": F.when(
+                (F.col("__first") == "[") & F.col("__valid"), F.from_json("value", "array<string>")
+            ),
         }
     )
     has = lambda key: F.array_contains("__keys", key)
@@ -215,7 +220,7 @@ def read_json(
     problem = (
         F.when(F.col("__big"), F.lit(f"JSON document exceeds {max_bytes} bytes"))
         .when(~F.col("__first").isin("[", "{"), F.lit("JSON root must be array or object"))
-        .when(F.col("__keys").isNull() & F.col("__root").isNull(), F.lit("invalid JSON"))
+        .when(~F.col("__valid"), F.lit("invalid JSON"))
         .otherwise(F.lit("JSON object must have 'rows', 'data', or 'records' array"))
     )
     listed = df.withColumn("__rows", rows).select(

@@ -17,7 +17,7 @@ from pointgate.options import GateOptions
 # Names in front of pandas: it cannot take column names that start with an underscore.
 _GROUP, _ORDER, _METRIC, _ABSENT, _CARRIED = "spike_group", "spike_order{}", "spike_value{}", "spike_absent{}", "carried{}"
 _EXACT = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DecimalType)
-_REJECTED_GROUPS = 64
+_REJECTED_GROUPS = 1024
 
 
 class _SpikeProcessor(StatefulProcessor):

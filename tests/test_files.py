@@ -75,6 +75,8 @@ def json_rows(spark, path):
         ('{"v":1}', [(P.PARSE_ERROR, "JSON object must have 'rows', 'data', or 'records' array", None, 0)]),
         ("5", [(P.PARSE_ERROR, "JSON root must be array or object", None, 0)]),
         ('{"rows":[', [(P.PARSE_ERROR, "invalid JSON", None, 0)]),
+        ('{"rows":[{"v":1},{"v":2]}', [(P.PARSE_ERROR, "invalid JSON", None, 0)]),
+        ('[{"v":1},{"v":2}', [(P.PARSE_ERROR, "invalid JSON", None, 0)]),
         ("[1,{}]", [(P.PARSE_ERROR, "Missing Field: v", None, 0), (P.PARSE_ERROR, "Missing Field: v", None, 1)]),
         ("[]", []),
     ],

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointgate.functions import json as J
-from pointgate.functions.numbers import json_double
+from pointgate.functions.numbers import strict_double
 
 
 def texts(spark, *values):
@@ -11,7 +11,7 @@ def texts(spark, *values):
 
 def parsed(spark, *values):
     df = texts(spark, *values).withColumn("doc", J.parse_document(F.col("t")))
-    return df.withColumns({"ok": J.is_document("doc"), "v": J.document_value("doc")})
+    return df.withColumns({"ok": J.is_document("doc"), "v": F.try_variant_get("doc", J.ROOT, "variant")})
 
 
 @pytest.mark.parametrize(
@@ -24,6 +24,9 @@ def parsed(spark, *values):
         ('{"a":1} x', False),
         ('{"a":1}] x', False),
         ("1,2", False),
+        ('{"a":1},{"b":2}', False),
+        ('{"a":1},"b":2', False),
+        ('1,"b":2', False),
         ('{"a":1}}', False),
         ('"a', False),
         ('{"a":NaN}', False),
@@ -45,7 +48,7 @@ def test_null_text(spark):
 
 def one(spark, text, path, index_only=False):
     df = J.with_json_fields(texts(spark, text), F.col("t"), {"x": path}, index_only=index_only)
-    return df.select(json_double(F.col("x"))).first()[0]
+    return df.select(strict_double(F.col("x"))).first()[0]
 
 
 def test_paths(spark):
@@ -104,7 +107,7 @@ def test_many_paths_at_once(spark):
     paths = {"p": "a.b", "q": "a.c.d", "r": "a.c", "s": "A.b", "t1": "x", "t2": "x", "u": "l.1.m", "w": "k.b"}
     text = '{"a":{"b":1,"c":{"d":2}},"A":{"b":3},"x":"4","l":[{},{"m":5}],"k":7,"pad":[1,2,3]}'
     df = J.with_json_fields(texts(spark, text), F.col("t"), paths, {"v": "a.b", "z": "a"})
-    row = df.select("__ok", *[json_double(F.col(c)).alias(c) for c in paths], F.to_json("z").alias("z")).first()
+    row = df.select("__ok", *[strict_double(F.col(c)).alias(c) for c in paths], F.to_json("z").alias("z")).first()
     assert row.asDict() == {
         "__ok": True, "p": 1.0, "q": 2.0, "r": None, "s": 3.0, "t1": 4.0, "t2": 4.0, "u": 5.0, "w": None,
         "z": '{"b":1,"c":{"d":2}}',
@@ -119,3 +122,49 @@ def test_mistyped_members_leave_the_others(spark):
 def test_empty_path_part():
     with pytest.raises(ValueError):
         J.with_json_fields(None, None, {"x": "a..b"})
+
+
+def test_strictness_against_python(spark):
+    """Damaged documents: every way of reading must agree with a strict parser."""
+    import json
+    import random
+
+    def strict(text):
+        def refuse(word):
+            raise ValueError(word)
+
+        try:
+            json.loads(text, parse_constant=refuse)
+        except ValueError:
+            return False
+        return True
+
+    rng = random.Random(11)
+    base = '{"a":{"b":[1,{"c":"x\\n"},null],"d":-1.5e3},"l":[[1,2],[3]],"s":"q","t":true,"a2":{"x":{"y":0}}}'
+    samples = {base}
+    for _ in range(1500):
+        text = list(base)
+        for _ in range(rng.randint(1, 2)):
+            at = rng.randrange(len(text))
+            how = rng.random()
+            if how < 0.4:
+                del text[at]
+            elif how < 0.7:
+                text.insert(at, rng.choice('{}[],:"1x '))
+            else:
+                text = text[: at + 1]
+        samples.add("".join(text))
+    want = {t: strict(t) for t in samples}
+    df = texts(spark, *samples)
+    by_path = J.with_json_fields(df, F.col("t"), {"m": "a.d", "n": "l.0.1", "o": "a2.x.y", "p": "s"}, {"v": "t"}, ok="fields")
+    both = by_path.withColumns({"whole": J.is_valid_json(F.col("t")), "doc": J.parse_document(F.col("t"))})
+    rows = both.withColumn("variant", J.is_document("doc")).select("t", "fields", "whole", "variant").collect()
+    odd = [r for r in rows if {r.fields, r.variant, r.whole} != {want[r.t]}]
+    assert odd == []
+    assert sum(want.values()) > 20
+
+
+def test_big_documents(spark):
+    """Beyond the limit of a VARIANT."""
+    df = spark.sql("select concat('[', repeat('1,', 80000000), '1]') t union all select concat('[', repeat('1,', 80000000)) t")
+    assert sorted(r[0] for r in df.select(J.is_valid_json(F.col("t"))).collect()) == [False, True]
