@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from pointgate.plans import queries as registered
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registered.QUERIES, registered.ORACLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
@@ -37,6 +38,8 @@ def sorted_rows(columns, rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
