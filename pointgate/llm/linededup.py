@@ -89,7 +89,9 @@ def boilerplate_keys(lines: DataFrame, options: LineOptions) -> DataFrame:
 def removed_places(docs: DataFrame, options: LineOptions) -> DataFrame:
     """Per row key, the places of the lines to remove."""
     lines = keyed_lines(docs, options)
-    gone = lines.join(boilerplate_keys(lines, options), KEY).where(F.struct(*ROW, "place") != F.col("first"))
+    # Written, so that both sides of the join are plain exchanges and the rows of a hot line can be split.
+    keys = materialise(boilerplate_keys(lines, options), "boilerplate")
+    gone = lines.join(keys, KEY).where(F.struct(*ROW, "place") != F.col("first"))
     return gone.groupBy(*ROW).agg(F.collect_set("place").alias("gone"))
 
 
