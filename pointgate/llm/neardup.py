@@ -4,13 +4,15 @@ Two texts are linked when the weighted Jaccard similarity of their shingle multi
 larger counts) is at least ``threshold``; classes are the connected components of the links.
 
 * Texts that are equal after lower-casing and up to white space form one node; only nodes are compared.
-* A node's signature is cut into bands; nodes that share a band's key meet in a bucket.  Every bucket compares its
-  first member with all others; links are verified on the multisets and merged into components.  Buckets whose
-  members are all in one component are done.  The others go on with further leaders, twice as many each round, and
-  only with members of other components, until no pair is left uncompared: a hot group of near copies costs one
-  comparison per member, and no pair that could join two components is left out.
+* A node's signature is cut into bands; nodes that share a band's key meet in a bucket.  First every bucket compares
+  its most connected member (the one that meets most others over all buckets) with all others: one comparison per
+  member, however large a group of near copies is.  Links are verified on the multisets and merged to components.
+* Buckets that still hold several components are cut into blocks of bounded size; a task takes two blocks and
+  compares members of different components, each pair only in the first band it shares.  It sends the links that
+  joined something, at most one per member.  So no link that could join two components is left out, and no group is
+  ever held or sent whole.
 * Pairs whose sizes rule the threshold out, or whose signatures agree far too little (six standard deviations), are
-  dropped before their multisets are fetched.
+  dropped before their multisets are compared.
 
 Null texts count as empty; all texts without words are one class.  A text of fewer than five words is one shingle.
 Repeated rows and ids are kept: one result row per input row.  The class id is the smallest ``doc_id`` of the class
@@ -41,6 +43,7 @@ class NearOptions:
     threshold: float = 0.8
     bands: int = 24
     rows: int = 5
+    block_bytes: int = 4_000_000
 
     @property
     def size(self) -> int:
@@ -175,10 +178,21 @@ def verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     return joined.mapInArrow(run, "a binary, b binary, similarity double")
 
 
-def near_links(docs: DataFrame, options: NearOptions = NearOptions()) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """All rows with their node; verified links; and the component of each linked node (None without links)."""
+def meetings(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries (bucket, node, members) of buckets with several nodes, and the leader of each bucket."""
+    entries = nodes.select("node", F.explode("bands").alias("bucket"))
+    sizes = materialise(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "sizes")
+    shared = materialise(entries.join(sizes, "bucket"), "meetings")
+    reach = shared.groupBy("node").agg(F.sum("members").alias("reach"))
+    leaders = (
+        shared.join(reach, "node").groupBy("bucket").agg(F.max(F.struct("reach", "node"))["node"].alias("leader"))
+    )
+    return shared, materialise(leaders, "leaders")
+
+
+def near_links(docs: DataFrame, options: NearOptions = NearOptions()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows with their node; verified links (a, b) that connect every class; each linked node's component."""
     rows = materialise(signed(docs, options), "signatures")
-    spark = docs.sparkSession
     nodes = materialise(
         rows.groupBy("node").agg(
             F.min("doc_id").alias("doc_id"), F.max("n").alias("n"),
@@ -186,64 +200,124 @@ def near_links(docs: DataFrame, options: NearOptions = NearOptions()) -> tuple[D
         ),
         "nodes",
     )
-    entries = nodes.select("node", F.explode("bands").alias("bucket"))
-    leaders = (
-        entries.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a != z").drop("z")
-    )
-    shared = materialise(entries.join(leaders, "bucket"), "buckets")
-    pairs = shared.where("a != node").select("a", F.col("node").alias("b")).distinct()
-    links: DataFrame | None = None
-    components: DataFrame | None = None
-    turn = 0
-    while True:
-        possible = materialise(agreeing(pairs, nodes, options), "pairs")
-        if not possible.isEmpty():
-            ends = possible.select(F.col("a").alias("node")).union(possible.select("b")).distinct()
-            bags = materialise(multisets(docs, nodes.join(ends, "node").select("doc_id", "node")), "multisets")
-            found = verified(possible, bags, options.threshold)
-            links = materialise(found if links is None else links.union(found), "near-links")
-            if not links.isEmpty():
-                components = connected(links)
-        turn += 1
-        open_entries = unsettled(shared, components)
-        pairs = materialise(next_pairs(open_entries, turn), "open-pairs")
-        if pairs.isEmpty():
-            break
-        shared = open_entries.select("bucket", "node")
-    if links is None:
-        links = spark.createDataFrame([], "a binary, b binary, similarity double")
+    shared, leaders = meetings(nodes)
+    stars = (
+        shared.join(leaders, "bucket").where("leader != node")
+        .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    )
+    possible = materialise(agreeing(stars, nodes, options), "pairs")
+    wanted = (
+        possible.select(F.col("a").alias("node")).union(possible.select("b"))
+        .union(shared.where("members > 2").select("node")).distinct()
+    )
+    bags = materialise(multisets(docs, nodes.join(wanted, "node").select("doc_id", "node")), "multisets")
+    links = materialise(verified(possible, bags, options.threshold), "star-links").select("a", "b")
+    components = connected(links)
+    more = materialise(block_links(shared, leaders, components, nodes, bags, options), "block-links")
+    if not more.isEmpty():
+        links = links.union(more)
+        components = connected(links)
     return rows, links, components
 
 
-def unsettled(shared: DataFrame, components: DataFrame | None) -> DataFrame:
-    """Entries (bucket, node, component) of buckets that hold more than one component."""
-    entries = shared.select("bucket", "node")
-    if components is None:
-        labelled = entries.withColumn("component", F.col("node"))
-    else:
-        labelled = entries.join(components, "node", "left").select(
-            "bucket", "node", F.coalesce("component", "node").alias("component")
-        )
-    mixed = (
+def open_entries(shared: DataFrame, leaders: DataFrame, components: DataFrame) -> DataFrame:
+    """Entries (bucket, node, component, leader) of buckets that still hold several components.
+
+    A bucket of two nodes is settled by its star.
+    """
+    labelled = (
+        shared.where("members > 2").select("bucket", "node")
+        .join(components, "node", "left")
+        .select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    )
+    mixed = materialise(
         labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo != hi").select("bucket")
+        .where("lo != hi").select("bucket").join(leaders, "bucket"),
+        "mixed",
     )
-    return materialise(labelled.join(mixed, "bucket", "left_semi"), "open-buckets")
-
+    return materialise(labelled.join(mixed, "bucket"), "open")
+
+
+def block_links(
+    shared: DataFrame, leaders: DataFrame, components: DataFrame, nodes: DataFrame, bags: DataFrame,
+    options: NearOptions,
+) -> DataFrame:
+    """Links between components inside open buckets, each task holding two blocks of one bucket."""
+    entries = open_entries(shared, leaders, components)
+    order = Window.partitionBy("bucket").orderBy("node")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    weight = F.col("n") * 8 + options.size * 2 + 400
+    placed = (
+        entries.join(nodes.select("node", "n"), "node")
+        .withColumn("block", F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0)) / options.block_bytes).cast("int"))
+        .drop("n")
+    )
+    blocks = placed.groupBy("bucket").agg(F.max("block").alias("last"))
+    # unit (low, high): all pairs of blocks, a block with itself included
+    units = placed.join(blocks, "bucket").select(
+        "bucket", "node", "component", "leader", "block",
+        F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"),
+    ).select(
+        "bucket", "node", "component", "leader", "block",
+        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+    )
+    full = units.join(nodes.select("node", "bands", "signature"), "node").join(bags, "node")
 
-def next_pairs(entries: DataFrame, turn: int) -> DataFrame:
-    """The next 2**turn members of each bucket as leaders, with all later members of other components.
+    def run(table: pa.Table) -> pa.Table:
+        found = settle(table, options)
+        return pa.table(
+            {"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())}
+        )
 
-    Members keep their place (by node) in every round, for the buckets that remain are whole; so each pair of places
-    comes up in exactly one round.
-    """
-    placed = entries.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("node")))
-    first, last = 2**turn, 2 ** (turn + 1) - 1
-    lead = placed.where(F.col("place").between(first, last)).select(
-        "bucket", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("place").alias("pa")
-    )
-    met = placed.join(lead, "bucket").where((F.col("place") > F.col("pa")) & (F.col("component") != F.col("ca")))
-    return met.select("a", F.col("node").alias("b")).distinct()
+    return full.groupBy("bucket", "low", "high").applyInArrow(run, "a binary, b binary").distinct()
+
+
+def settle(table: pa.Table, options: NearOptions) -> list[tuple[bytes, bytes]]:
+    """The links among one or two blocks of a bucket that join components."""
+    bucket, leader = table.column("bucket")[0].as_py(), table.column("leader")[0].as_py()
+    names = table.column("node").to_pylist()
+    blocks = table.column("block").to_numpy()
+    crossing = blocks.min() != blocks.max()
+    labels = table.column("component").to_pylist()
+    number = {c: k for k, c in enumerate(dict.fromkeys(labels))}
+    own = np.array([number[c] for c in labels])
+    root = list(range(len(number)))
+
+    def top(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    count = len(names)
+    bags = [np.frombuffer(b, np.uint64) for b in table.column("bag").to_pylist()]
+    sizes = np.array([len(b) for b in bags])
+    marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(count, options.size)
+    keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(count, options.bands)
+    band = int(np.flatnonzero(keys[0] == bucket)[0])
+    leads = np.array([n == leader for n in names])
+    tested: list[tuple[float, int, int]] = []
+    for i in range(count - 1):
+        rest = np.arange(i + 1, count)
+        rest = rest[(own[rest] != own[i]) & ~(leads[rest] | leads[i])]  # the leader met everyone already
+        if crossing:
+            rest = rest[blocks[rest] != blocks[i]]
+        rest = rest[np.minimum(sizes[rest], sizes[i]) >= options.threshold * np.maximum(sizes[rest], sizes[i])]
+        if not len(rest):
+            continue
+        agree = (marks[rest] == marks[i]).mean(axis=1)
+        first = (keys[rest] == keys[i]).argmax(axis=1) == band
+        keep = first & (agree >= options.least_agreement)
+        tested += zip((-agree[keep]).tolist(), [i] * int(keep.sum()), rest[keep].tolist())
+    found = []
+    for _, i, j in sorted(tested):  # the most alike first, so that most others are joined when their turn comes
+        a, b = top(own[i]), top(own[j])
+        if a != b:
+            both = overlap(bags[i], bags[j])
+            if both >= options.threshold * (sizes[i] + sizes[j] - both):
+                root[max(a, b)] = min(a, b)
+                found.append((names[i], names[j]))
+    return found
 
 
 def near_classes(docs: DataFrame, options: NearOptions = NearOptions()) -> DataFrame:
@@ -252,14 +326,11 @@ def near_classes(docs: DataFrame, options: NearOptions = NearOptions()) -> DataF
     return classes_of(rows, components)
 
 
-def classes_of(rows: DataFrame, components: DataFrame | None) -> DataFrame:
-    if components is None:
-        placed = rows.select("doc_id", "node", F.col("node").alias("component"))
-    else:
-        placed = rows.select("doc_id", "node").join(components, "node", "left").select(
-            "doc_id", "node", F.coalesce("component", "node").alias("component")
-        )
-    ids = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+def classes_of(rows: DataFrame, components: DataFrame) -> DataFrame:
+    placed = rows.select("doc_id", "node").join(components, "node", "left").select(
+        "doc_id", "node", F.coalesce("component", "node").alias("component")
+    )
+    ids = materialise(placed.groupBy("component").agg(F.min("doc_id").alias("class_id")), "class-ids")
     return placed.join(ids, "component").select("doc_id", "class_id", "node")
 
 
