@@ -120,22 +120,24 @@ def densified(bins: Column) -> Column:
 
 
 def packed(bins: Column) -> Column:
-    """Low-order bits of all bins as 64-bit words, the first bin lowest."""
+    """Low-order bits of all bins as 64-bit words, the first bin highest in the first word.
 
-    def pack(own: Column) -> Column:
-        def word(w: int) -> Column:
-            total = F.lit(0).cast("bigint")
-            for k in range(_PER_WORD):
-                bin_number = w * _PER_WORD + k
-                # hashed with the bin: copies of one minimum must not agree by chance in all their bins at once
-                value = F.xxhash64(F.get(own, F.lit(bin_number)), F.lit(bin_number))
-                low = value.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
-                total = total.bitwiseOR(F.shiftleft(low, k * LOW_BITS))
-            return total
+    The bits are those of a hash of minimum and bin: copies of one minimum must not agree by chance in all their bins.
+    """
+    mask = F.lit((1 << LOW_BITS) - 1).cast("bigint")
+    low = F.transform(bins, lambda v, b: F.xxhash64(v, b).bitwiseAND(mask))
 
-        return F.array(*[word(w) for w in range(WORDS)])
+    def pack(own: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.lit(BINS), F.lit(_PER_WORD)),
+            lambda begin: F.aggregate(
+                F.slice(own, begin, F.lit(_PER_WORD)),
+                F.lit(0).cast("bigint"),
+                lambda word, bits: F.shiftleft(word, LOW_BITS).bitwiseOR(bits),
+            ),
+        )
 
-    return let(bins, pack)
+    return let(low, pack)
 
 
 def fingerprint_words(text: Column) -> Column:
@@ -154,12 +156,15 @@ def as_hex(words: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """Estimated Jaccard similarity of two fingerprints, chance agreement taken out."""
     ones = F.lit(int("1" * (64 // LOW_BITS), 16)).cast("bigint")  # lowest bit of each bin's group
-    apart = F.lit(0)
-    for w in range(WORDS):
-        x = F.get(a, F.lit(w)).bitwiseXOR(F.get(b, F.lit(w)))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        apart = apart + F.bit_count(x.bitwiseAND(ones))
+
+    def differing(x: Column, y: Column) -> Column:
+        def count(d: Column) -> Column:
+            half = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+            return F.bit_count(half.bitwiseOR(F.shiftrightunsigned(half, 2)).bitwiseAND(ones))
+
+        return count(x.bitwiseXOR(y))
+
+    apart = F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda total, n: total + n)
     chance = 1.0 / (1 << LOW_BITS)
     share = (F.lit(float(BINS)) - apart) / F.lit(float(BINS))
     estimate = F.greatest(F.lit(0.0), (share - F.lit(chance)) / F.lit(1.0 - chance))
@@ -187,18 +192,20 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     Only the borrowed beginnings travel besides the texts, and of each result its fingerprint.
     """
     prepare(docs.sparkSession)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
+    doc_id = F.col("doc_id")
+    if docs.schema["doc_id"].dataType.simpleString() != "bigint":  # a plain column keeps the exchanges below alike
+        doc_id = doc_id.cast("long").alias("doc_id")
+    rows = docs.select(doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chars = rows.select("doc_id", F.length("text").alias("n")).groupBy("doc_id").agg(F.max("n").alias("n"))
     following = next_ids(chars)
     # per lender: who borrows and how much at most
     wanted = following.join(chars, "doc_id").select(
         F.col("next_id").alias("doc_id"), F.col("doc_id").alias("borrower"), F.expr("n div 3").cast("int").alias("need")
     )
+    # Both joins below read the same exchange of (doc_id, text): the texts are shuffled once.
+    named = rows.where("doc_id is not null")
     lent = (
-        rows.join(wanted, "doc_id")
+        named.join(wanted, "doc_id")
         .select(F.col("borrower").alias("doc_id"), F.expr("substring(text, 1, need)").alias("lent"))
         .groupBy("doc_id")
         .agg(F.min("lent").alias("lent"))
@@ -206,7 +213,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     size = F.length("text")
     keep = size - F.floor(size / 3).cast("int")
     borrowed = F.substring(F.coalesce(F.col("lent"), F.lit("")), F.lit(1), F.floor(size / 3).cast("int"))
-    joined = rows.join(lent, "doc_id", "left").select(
+    alone = rows.where("doc_id is null").withColumn("lent", F.lit(""))
+    joined = named.join(lent, "doc_id", "left").unionByName(alone).select(
         "doc_id",
         size.cast("long").alias("n_chars"),
         "text",
