@@ -58,7 +58,10 @@ def grams(points: np.ndarray) -> np.ndarray:
 
 def ranked(points: np.ndarray, size: int) -> np.ndarray:
     """The most frequent n-grams, most frequent first; ties by key."""
-    keys, counts = np.unique(grams(points), return_counts=True)
+    return most_frequent(*np.unique(grams(points), return_counts=True), size)
+
+
+def most_frequent(keys: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     if len(keys) > size:
         least = np.partition(counts, len(counts) - size)[len(counts) - size]
         keep = counts >= least
@@ -102,14 +105,20 @@ class Profiles:
 
 
 def local_profiles(texts: list[str], langs: list[str | None], size: int) -> Profiles:
-    """Profiles of a few texts at hand."""
+    """Profiles of texts at hand, counted a few texts at a time."""
     table = letter_table()
-    found: dict[str, list[np.ndarray]] = {}
-    for text, lang in zip(texts, langs):
-        if lang is not None:
-            found.setdefault(lang, []).append(letters(text, table))
-    lists = {lang: ranked(np.concatenate(parts), size) for lang, parts in found.items()}
-    return Profiles.of({k: v for k, v in lists.items() if len(v)}, size)
+    found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for lang in sorted({x for x in langs if x is not None}):
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        own = [t for t, x in zip(texts, langs) if x == lang]
+        for begin in range(0, len(own), 100):
+            part = np.concatenate([letters(t, table) for t in own[begin : begin + 100]])
+            more, times = np.unique(grams(part), return_counts=True)
+            keys, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, times]), len(keys)).astype(np.int64)
+        if len(keys):
+            found[lang] = (keys, counts)
+    return Profiles.of({lang: most_frequent(*kc, size) for lang, kc in found.items()}, size)
 
 
 def learn_profiles(docs: DataFrame, options: LangOptions = LangOptions()) -> Profiles:
