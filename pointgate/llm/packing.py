@@ -9,12 +9,14 @@ padded.
 A document's tokens are its ids from the given tokenizer file and one end id.  A null or empty text is the end id
 alone.  Rows that repeat an id are packed each.  Ties on the curve are ordered by ``doc_id`` and text hash, so a
 group of copies spans as many partitions as it needs.  An empty table gives no pieces.
+
+The tokenizer must drop white space and set letters apart from marks, as word-level BPE files do; then equal words
+have equal ids everywhere and each distinct word is encoded once.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,12 +24,13 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointgate.llm.hilbert import hilbert_keys
-from pointgate.llm.text import kept_in_worker, materialise, mix, partitions_for, pieces, row_of, share, split_words
+from pointgate.llm.text import gathered, kept_in_worker, materialise, mix, partitions_for, pieces, row_of, share, split_words
 from pointgate.llm.text import sum_rows, text_column, texts_of
 
 
@@ -37,7 +40,8 @@ class PackOptions:
     end_id: int = 1
     dimensions: int = 4
     bits: int = 12
-    cache_words: int = 600_000
+    cache_words: int = 400_000
+    piece_bytes: int = 10 << 20
 
 
 def directions(count: int, dimensions: int) -> np.ndarray:
@@ -62,44 +66,97 @@ def curve_keys(bounds: np.ndarray, ids: np.ndarray, table: np.ndarray, options:
     return hilbert_keys(grid, options.bits)
 
 
+#: Closing marks that the tokenizer always sets apart from the letters before them.
+MARKS = ".,;:!?"
+#: Letters below U+0250 (but U+0130, which folds to two code points): words of them alone are one word to the tokenizer.
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
+
+
 class WordTokens:
-    """Token ids by distinct words: white space never joins tokens here, so equal words have equal ids."""
+    """Token ids by distinct words: white space never joins tokens here, so equal words have equal ids.
+
+    Letters are looked up without their closing mark and with A-Z folded, as the tokenizer does itself; anything
+    unusual goes to the tokenizer as it is.  Words seen lately are kept in two generations of bounded size.
+    """
 
     def __init__(self, definition: str, options: PackOptions):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         self.tokenizer = Tokenizer.from_str(definition)
+        # the same vocabulary for words of letters alone, without the steps that change nothing for them
+        self.letters = Tokenizer.from_str(definition)
+        self.letters.normalizer = normalizers.Lowercase()
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.table = directions(self.tokenizer.get_vocab_size(with_added_tokens=True) + 2, options.dimensions)
+        self.closes = np.zeros(len(self.table), bool)  # tokens that end a word
+        self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        marks = [e.ids for e in self.encode(list(MARKS))]
+        self.single = all(len(m) == 1 for m in marks)
+        self.marks = np.array([0, *(m[0] for m in marks)], "<u4")
         self.limit = options.cache_words
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def words(self, bodies: list[str]) -> Iterator[bytes]:
+        """Ids of words made of letters: each is one word to the tokenizer, so many go in one text."""
+        for begin in range(0, len(bodies), 500):
+            part = bodies[begin : begin + 500]
+            (made,) = self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(made.ids, "<u4")
+            edges = np.append(0, np.flatnonzero(self.closes[ids]) + 1)
+            if len(edges) != len(part) + 1:  # a vocabulary without word ends
+                yield from (np.array(e.ids, "<u4").tobytes() for e in self.encode(part))
+                continue
+            raw = ids.tobytes()
+            yield from (raw[4 * a : 4 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()))
 
-    def ids(self, distinct: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each word."""
+    def look_up(self, bodies: list[str], plain: list[bool]) -> list[bytes]:
         if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
-        missing = [w for w in distinct if w not in known]
-        split = {w: parts(w) for w in missing}
-        needed = [p for p in dict.fromkeys(p for ps in split.values() for p in ps) if p not in known]
-        made = self.tokenizer.encode_batch_fast(needed, add_special_tokens=False)
-        own = {p: np.array(m.ids, "<u4").tobytes() for p, m in zip(needed, made)}
-        for word in missing:
-            known[word] = b"".join([own[p] if p in own else known[p] for p in split[word]])
-        return [known[w] for w in distinct]
-
-
-def parts(word: str) -> tuple[str, ...]:
-    """A word as pieces that the tokenizer treats alone: Latin letters, then one closing mark; else the word itself.
-
-    Upper-case ASCII is folded where the tokenizer folds it too; anything unusual goes to the tokenizer unchanged.
-    """
-    body, mark = (word[:-1], word[-1]) if len(word) > 1 and word[-1] in ".,;:!?" else (word, "")
-    if not body.isalpha() or max(body) >= "ɐ":
-        return (word,)
-    if body.isascii():
-        body = body.lower()
-    return (body, mark) if mark else (body,)
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        found = [known.get(w) or older.get(w) for w in bodies]
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        easy = [k for k in missing if plain[k]]
+        odd = [k for k in missing if not plain[k]]
+        for k, ids in zip(easy, self.words([bodies[k] for k in easy])):
+            found[k] = ids
+        for k, made in zip(odd, self.encode([bodies[k] for k in odd])):
+            found[k] = np.array(made.ids, "<u4").tobytes()
+        known.update(zip(bodies, found))
+        return found
+
+    def ids(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ragged rows of ids, one for each word: offsets and ids."""
+        words = pa.array(distinct, pa.large_string())
+        bare = pc.ascii_rtrim(words, characters=MARKS)
+        cut = pc.subtract(pc.binary_length(words), pc.binary_length(bare)).to_numpy(zero_copy_only=False)
+        plain = pc.match_substring_regex(bare, LETTERS).to_numpy(zero_copy_only=False) & (cut <= int(self.single))
+        coded = pc.if_else(pa.array(plain), pc.ascii_lower(bare), words).dictionary_encode()
+        body = coded.indices.to_numpy(zero_copy_only=False)
+        bodies = coded.dictionary.to_pylist()
+        easy = np.zeros(len(bodies), bool)
+        easy[body] = plain
+        encoded = self.look_up(bodies, easy.tolist())
+        flat = np.frombuffer(b"".join(encoded), "<u4")
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        starts = np.cumsum(sizes) - sizes
+        marked = plain & (cut == 1)
+        lengths = sizes[body] + marked
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.empty(int(bounds[-1]), "<u4")
+        own = sizes[body]
+        before = np.cumsum(own) - own
+        inner = np.arange(int(own.sum())) - np.repeat(before, own)
+        out[np.repeat(bounds[:-1], own) + inner] = flat[np.repeat(starts[body], own) + inner]
+        last = pc.utf8_slice_codeunits(words.filter(pa.array(marked)), -1).to_pylist()
+        out[bounds[1:][marked] - 1] = self.marks[[MARKS.index(m) + 1 for m in last]]
+        return bounds, out
 
 
 def token_rows(
@@ -107,32 +164,28 @@ def token_rows(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ragged rows of token ids with the end id, and the curve key of each text."""
     offsets, codes, distinct = split_words(texts)
-    encoded = words.ids(distinct)
-    flat = np.frombuffer(b"".join(encoded), "<u4")
-    lengths = np.fromiter((len(e) // 4 for e in encoded), np.int64, len(encoded))
-    starts = np.cumsum(lengths) - lengths
+    edges, flat = words.ids(distinct)
     # the end id follows the words of every text
     flat = np.append(flat, np.uint32(options.end_id))
-    lengths, starts = np.append(lengths, 1), np.append(starts, len(flat) - 1)
+    lengths, starts = np.append(np.diff(edges), 1), np.append(edges[:-1], len(flat) - 1)
     with_end = np.insert(codes.astype(np.int64), offsets[1:], len(distinct))
-    word_offsets = offsets + np.arange(len(offsets))
     own = lengths[with_end]
     before = np.cumsum(own) - own
     ids = flat[np.repeat(starts[with_end] - before, own) + np.arange(int(own.sum()))]
-    ends = np.concatenate([[0], np.cumsum(own)])
-    bounds = ends[word_offsets]
+    bounds = np.concatenate([[0], np.cumsum(own)])[offsets + np.arange(len(offsets))]
     return bounds, ids, curve_keys(bounds, ids, words.table, options)
 
 
 def tokenized(docs: DataFrame, tokenizer: str, options: PackOptions) -> DataFrame:
     """doc_id, curve, tie, n and ids (32-bit little-endian; 16-bit on the way if they fit) of every row."""
     rows = texts_of(docs).withColumn("tie", F.xxhash64("text"))
-    definition = share(rows.sparkSession, Path(tokenizer).read_text(encoding="utf-8"))  # one file, fixed size
-    name = uuid.uuid4().hex
+    content = Path(tokenizer).read_text(encoding="utf-8")
+    definition = share(rows.sparkSession, content)  # one file, fixed size
+    name = f"words-{zlib.crc32(content.encode())}-{options}"  # one set of known words per worker
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = kept_in_worker(name, lambda: WordTokens(definition(), options))
-        for piece in pieces(batches):
+        for piece in pieces(gathered(batches, options.piece_bytes), limit=options.piece_bytes):
             bounds, ids, keys = token_rows(text_column(piece), words, options)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -145,7 +198,8 @@ def tokenized(docs: DataFrame, tokenizer: str, options: PackOptions) -> DataFram
                 ["doc_id", "curve", "tie", "n", "ids"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, curve long, tie long, n long, ids binary")
+    made = rows.mapInArrow(run, "doc_id long, curve long, tie long, n long, ids binary")
+    return materialise(made, "tokens")  # finding the ranges reads the rows once more than sorting does
 
 
 def compact(ids: np.ndarray) -> bytes:

@@ -105,6 +105,18 @@ def pieces(
             begin = end
 
 
+def gathered(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to about ``limit`` bytes: fewer distinct words per word."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     """The texts in buffers of their own: some string kernels misread a slice of a larger array."""
     return fresh(pc.fill_null(batch.column(name).cast(pa.large_string()), ""))
