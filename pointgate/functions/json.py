@@ -16,8 +16,8 @@ from pointgate.functions.numbers import strict_double
 # values) makes the parse fail or moves the mark, so both are noticed without a second parse.
 _END = "~end-of-value~"
 ROOT = "$[0]"
-# Any JSON text of this size fits a VARIANT.
-_SURE_BYTES = 2_000_000
+# A VARIANT holds no more than this; longer texts cannot be judged strictly.
+_VARIANT_BYTES = 128 << 20
 
 
 def parse_document(text: Column) -> Column:
@@ -33,12 +33,11 @@ def is_document(doc: str | Column) -> Column:
 def is_valid_json(text: Column) -> Column:
     """True when a text of any size is one JSON value.
 
-    A VARIANT has a size limit; texts that may exceed it are judged by a streaming parse, which overlooks
-    some damage inside the value.
+    Texts beyond the limit of a VARIANT are judged by a streaming parse, which overlooks some damage inside the value.
     """
     wrapped = F.concat(F.lit('{"value":'), text, F.lit(f',"end":"{_END}"}}'))
     options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-    streamed = F.from_json(F.when(F.octet_length(text) > _SURE_BYTES, wrapped), "value string, end string", options)
+    streamed = F.from_json(F.when(F.octet_length(text) > _VARIANT_BYTES, wrapped), "value string, end string", options)
     return is_document(parse_document(text)) | F.coalesce(streamed["end"] == _END, F.lit(False))
 
 

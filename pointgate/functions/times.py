@@ -149,8 +149,8 @@ def truncated_ms_to_ns(ms: Column) -> Column:
 
 
 def native_to_ns(moment: Column) -> Column:
-    """TIMESTAMP (or TIMESTAMP_NTZ read as UTC) -> ns."""
-    return F.unix_micros(moment.cast("timestamp")) * F.lit(1000).cast("bigint")
+    """TIMESTAMP (or TIMESTAMP_NTZ read as UTC) -> ns; null beyond the range of BIGINT nanoseconds."""
+    return F.try_multiply(F.unix_micros(moment.cast("timestamp")), F.lit(1000).cast("bigint"))
 
 
 def _div(value: Column, by: int) -> Column:

@@ -17,7 +17,6 @@ from pointgate.functions.numbers import hex_to_decimal_text, is_finite, positive
 from pointgate.operators import points as P
 
 PROVIDERS = ("kraken", "binance", "binance_futures", "binance_ws_api", "alchemy", "infura")
-MAX_MESSAGE_BYTES = 1_048_576
 OVERSIZE_TEXT = "[oversize websocket text frame]"
 DEFAULT_PENDING_GAS = 21_000.0
 
@@ -291,7 +290,7 @@ def decode_feed(
     subscription: str | None = None,
     as_of_ms: int | None = None,
     ts_path: str | None = None,
-    max_bytes: int = MAX_MESSAGE_BYTES,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Raw messages -> points with ``feed``.  Works on batch frames and streams; adds no shuffle.
 
@@ -310,7 +309,7 @@ def decode_feed(
         stages, point = _chain(now, wanted)
     else:
         stages, point = _binance(now)
-    oversize = F.octet_length(raw) > max_bytes
+    oversize = F.lit(False) if max_bytes is None else F.octet_length(raw) > max_bytes
     text = F.when(~oversize, F.col(raw))
     staged = df.withColumns({"__over": oversize, _DOC: J.parse_document(text)})
     opened = {"__ok": J.is_document(_DOC)}

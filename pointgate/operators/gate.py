@@ -56,7 +56,7 @@ def _bound_checks(opts: GateOptions) -> list[tuple[Column, Column]]:
 
 def _time_checks(opts: GateOptions, as_of_ms: Column) -> list[tuple[Column, Column]]:
     ts_ms = times.to_ms(F.col("timestamp_ns"))
-    latest = as_of_ms + F.lit(opts.future_tolerance_ms)
+    latest = F.coalesce(F.try_add(as_of_ms, F.lit(opts.future_tolerance_ms)), F.lit(times.BIGINT_MAX))
     age = F.greatest(as_of_ms - ts_ms, F.lit(0).cast("bigint"))
     return [
         (ts_ms > latest, _verdict(P.TOO_FUTURE, None, ts_ms - latest, opts.future_tolerance_ms)),

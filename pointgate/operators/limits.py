@@ -19,14 +19,12 @@ def _literal(value: object, kind: T.DataType) -> Column:
     return F.lit(value).cast(kind)
 
 
-def _nth(keys: DataFrame, order: Sequence[str], n: int, top_k_rows: int, part_rows: int) -> Row | None:
-    """Order values of the n-th row (1-based), or null when there are fewer rows."""
-    if n <= top_k_rows:
-        last = F.max(F.struct(*order))
-        found = keys.orderBy(*order).limit(n).agg(F.count("*").alias("rows"), last.alias("last")).first()
-        return found.last if found.rows == n else None
-    # Many records: a top-k would pass through one task.  Count the ranges of a range shuffle instead and
-    # number only the rows of the range the n-th one falls in.
+def _nth(keys: DataFrame, order: Sequence[str], n: int, part_rows: int) -> Row | None:
+    """Order values of the n-th row (1-based), or null when there are fewer rows.
+
+    A top-k would pass through one task.  Count the ranges of a range shuffle instead and number only the rows of
+    the range the n-th one falls in.
+    """
     total = keys.count()
     if total < n:
         return None
@@ -50,7 +48,6 @@ def limit_accepted(
     df: DataFrame,
     max_records: int | None,
     order: Sequence[str],
-    top_k_rows: int = 100_000,
     part_rows: int = 5_000_000,
 ) -> DataFrame:
     """All records up to and including the ``max_records``-th accepted one, rejected ones among them kept.
@@ -62,7 +59,7 @@ def limit_accepted(
     if max_records <= 0:
         return df.limit(0)
     accepted = df.filter(F.col("status") == P.ACCEPTED).select(*order)
-    cut = _nth(accepted, list(order), max_records, top_k_rows, part_rows)
+    cut = _nth(accepted, list(order), max_records, part_rows)
     if cut is None:
         return df
     edge = {name: _literal(cut[name], df.schema[name].dataType) for name in order}

@@ -282,6 +282,7 @@ def normalize_columns(
         if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             ts = times.native_to_ns(moment)
             checks.append((moment.isNull(), f"Missing Field: {spec.field}"))
+            checks.append((ts.isNull(), f"timestamp out of range at {spec.field}"))
             checks.append((ts < 0, f"datetime before Unix epoch at {spec.field}"))
         elif spec.format is not None:
             words = moment.cast("string")

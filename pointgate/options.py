@@ -113,6 +113,11 @@ class GateOptions:
     ema_alpha: float | None = None
     burst_ema_alpha: float | None = None
 
+    def __post_init__(self):
+        # A tolerance beyond BIGINT accepts everything a BIGINT can say.
+        for name in ("future_tolerance_ms", "stale_tolerance_ms"):
+            object.__setattr__(self, name, min(getattr(self, name), 2**63 - 1))
+
     def metric_bounds(self, index: int) -> tuple[float | None, float | None]:
         """(min, max) of a metric; None is unbounded.  Metric 1 is never negative unless told otherwise."""
         if index in self.bounds:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pointgate.functions.times import native_to_ns
 from pointgate.operators.counts import counts_per_file
 from pointgate.operators.gate import apply_checks
-from pointgate.operators.normalize import normalize_csv, normalize_json_map
+from pointgate.operators.normalize import normalize_columns, normalize_csv, normalize_json_map
 from pointgate.operators.points import metric_columns, output_columns
 from pointgate.options import GateOptions, OutputOptions, PointMapping, TimeSpec
 from pointgate.plans.fixtures import AS_OF_MS, ms, pick, table, text, write_lines
@@ -19,6 +19,7 @@ from pointgate.plans.registry import register
 from pointgate.session import scratch_path
 from pointgate.sources import cursor as resume
 from pointgate.sources.files import (
+    csv_file_points,
     csv_points,
     directory_points,
     json_points,
@@ -112,6 +113,38 @@ def tsv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(csv_points(cells, MAPPING, strict=False, as_of_ms=AS_OF_MS, keep_unreadable=True))
 
 
+@register(
+    "csv_mixed_headers",
+    f"""
+WITH l AS (
+  SELECT event_id % 4 AS kind, CAST(event_id AS VARCHAR) AS id, CAST({_MS} AS VARCHAR) AS t,
+         CAST(value AS VARCHAR) AS v, {_KT} AS k, value, {_K} AS m1, {_NS} AS ns
+  FROM events)
+SELECT CASE WHEN kind = 3 THEN -1 ELSE ns END AS timestamp_ns, CASE WHEN kind < 3 THEN value END AS metric_0,
+       CASE WHEN kind < 3 THEN m1 END AS metric_1, CASE WHEN kind = 3 THEN 'PARSE_ERROR' END AS error_code,
+       CASE kind WHEN 0 THEN id || '|' || t || '|' || v || '|' || k WHEN 1 THEN k || '|' || v || '|' || t || '|' || id
+                 WHEN 2 THEN id || '|x|' || t || '|' || v || '|' || k ELSE id || '|' || t || '|' || v END AS raw
+FROM l
+""",
+)
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with reordered, additional and missing columns in one folder."""
+    root = scratch_path(spark, "headers")
+    fields = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        ms("ts").cast("string").alias("ts_ms"),
+        F.col("value").cast("string").alias("price"),
+        F.get_json_object("props", "$.k").alias("volume"),
+        F.lit("x").alias("other"),
+        F.pmod("event_id", F.lit(4)).alias("kind"),
+    )
+    shapes = (HEADER.split(","), ["volume", "price", "ts_ms", "event_id"],
+              ["event_id", "other", "ts_ms", "price", "volume"], ["event_id", "ts_ms", "price"])
+    for kind, names in enumerate(shapes):
+        fields.filter(F.col("kind") == kind).select(*names).write.option("header", True).csv(f"{root}/{kind}")
+    return shown(csv_file_points(spark, root, MAPPING, as_of_ms=AS_OF_MS, recursiveFileLookup=True))
+
+
 _STRICT = GateOptions(future_tolerance_ms=0, stale_tolerance_ms=0, replay_mode=True, price_max=400.0)
 
 
@@ -331,17 +364,42 @@ def output_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     "parquet_passthrough",
     """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
-       l_returnflag, l_linestatus, 1 AS shipdate_is_null
+       l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.000') AS l_shipdate
 FROM lineitem
 """,
 )
 def parquet_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON lines are parsed again for the comparison."""
     rows = table(spark, sf_dir, "lineitem")
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "l_shipdate")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema} | {"l_shipdate": "string"}
     lines = passthrough_lines(read_parquet(spark, f"{sf_dir}/lineitem.parquet"))
-    parsed = lines.select(F.from_json("line", fields).alias("r"), F.col("line").contains('"l_shipdate":null').alias("n"))
-    return parsed.select("r.*", F.col("n").cast("int").alias("shipdate_is_null"))
+    return lines.select(F.from_json("line", ", ".join(f"{n} {k}" for n, k in kinds.items())).alias("r")).select("r.*")
+
+
+@register(
+    "parquet_wild_times",
+    f"""
+SELECT event_id, CASE WHEN event_id % 5 < 3 THEN -1 ELSE epoch_us(ts) * 1000 END AS timestamp_ns,
+       CASE WHEN event_id % 5 >= 3 THEN value END AS metric_0, CASE WHEN event_id % 5 >= 3 THEN {_K} END AS metric_1,
+       CASE WHEN event_id % 5 < 3 THEN 'PARSE_ERROR' END AS error_code
+FROM events
+""",
+)
+def parquet_wild_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times in 9999 and 1900 and missing ones reject their record and leave the others alone."""
+    path = scratch_path(spark, "wild")
+    kind = F.pmod("event_id", F.lit(5))
+    moment = (
+        F.when(kind == 0, F.lit("9999-12-31 00:00:00").cast("timestamp"))
+        .when(kind == 1, F.lit("1900-01-01 00:00:00").cast("timestamp"))
+        .when(kind != 2, F.col("ts").cast("timestamp"))
+    )
+    table(spark, sf_dir, "events").select(
+        "event_id", moment.alias("ts_ms"), F.col("value").alias("price"),
+        F.get_json_object("props", "$.k").cast("double").alias("volume"),
+    ).write.parquet(path)
+    rows = read_parquet(spark, path).withColumn("raw", F.lit(""))
+    return shown(normalize_columns(rows, MAPPING, F.lit(""), AS_OF_MS), "event_id").drop("raw")
 
 
 def _tree(spark: SparkSession, sf_dir: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -11,7 +12,12 @@ from pointgate.operators.gate import abort_on_read_error, apply_checks
 from pointgate.operators.limits import limit_accepted
 from pointgate.operators.spike import apply_spikes
 from pointgate.options import GateOptions, LimitOptions, OutputOptions
-from pointgate.sinks.write import write_both
+from pointgate.sinks.write import quarantine_unwritable, write_both
+
+
+def run_clock(as_of_ms: int | None) -> int:
+    """One clock reading for a whole run: its jobs (limit, both outputs) must not judge by different times."""
+    return int(time.time() * 1000) if as_of_ms is None else as_of_ms
 
 
 def gate_points(
@@ -25,6 +31,7 @@ def gate_points(
     **spike_options,
 ) -> DataFrame:
     """The whole gate on a table of points: stateless checks, spikes per ``key``, the record limit."""
+    as_of_ms = run_clock(as_of_ms)
     gated = apply_checks(abort_on_read_error(points, opts), opts, as_of_ms, width)
     if key is not None:
         gated = apply_spikes(gated, opts, key, order, **spike_options)
@@ -46,8 +53,10 @@ def run_batch(
     limits: LimitOptions | None = None,
     **spike_options,
 ) -> dict[str, int]:
-    """Gate a table of points, write both outputs, return the counters."""
+    """Gate a table of points, write both outputs, return the counters of what was written."""
+    as_of_ms = run_clock(as_of_ms)
     gated = gate_points(points, opts, key, order, as_of_ms, field_count, limits, **spike_options)
+    gated = quarantine_unwritable(gated, output, field_count)
     outcomes = Observation("outcomes")
     write_both(
         observe_outcomes(gated, outcomes), accepted_path, dead_letter_path, field_count, output, opts, as_of_ms

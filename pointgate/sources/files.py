@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,6 @@ from pointgate.operators import normalize as N
 from pointgate.operators import points as P
 from pointgate.options import PointMapping
 
-MAX_LINE_BYTES = 5_242_880
-MAX_WRAPPED_BYTES = 524_288_000
 FILE_ORDER = ("file_path", "file_block", "file_row")
 
 _CORRUPT = "__corrupt"
@@ -62,6 +62,38 @@ def _only(format_name: str) -> Column:
     return name.rlike(r"\.(?:" + "|".join(wanted) + r")\z")
 
 
+def csv_groups(
+    spark: SparkSession,
+    path: str | list[str],
+    sep: str = ",",
+    cursor: str | None = None,
+    by_extension: str | None = None,
+    **options,
+) -> list[tuple[list[str], list[str]]]:
+    """The distinct headers of a set of files, each with the files that begin with it.
+
+    One distributed job reads the files as lines and keeps the first of each.  The driver gets a path and a line per
+    file, as it does when Spark lists them.  Files without a line belong to no group.
+    """
+    lines = _after(_reader(spark, options).text(path), cursor)
+    if by_extension is not None:
+        lines = lines.filter(_only(by_extension))
+    firsts = (
+        lines.filter("_metadata.file_block_start = 0")
+        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
+        .groupBy("path")
+        .agg(F.min_by("value", "at").alias("line"))
+    )
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in firsts.orderBy("path").collect():
+        cells = next(csv.reader([row["line"].removeprefix("\ufeff").rstrip("\r")], delimiter=sep), [])
+        names = [c.strip() for c in cells]
+        # a name that comes twice gets its position, as Spark's own reader does
+        header = tuple(f"{n}{i}" if names.count(n) > 1 or not n else n for i, n in enumerate(names))
+        groups.setdefault(header, []).append(unquote(row["path"]))
+    return [(list(header), paths) for header, paths in groups.items() if header]
+
+
 def csv_columns(spark: SparkSession, path: str | list[str], sep: str = ",", has_headers: bool = True, **options) -> list[str]:
     """Column names from the first line only; positional names when there is no header."""
     # One line is read; types are never inferred.
@@ -84,8 +116,19 @@ def read_csv(
     """CSV -> string cells plus ``error_code``/``parse_error`` of unreadable (ragged) records.
 
     Records whose cells are all blank are skipped.  ``multi_line`` allows line breaks in quoted cells, at the
-    price of one task per file.
+    price of one task per file.  Without ``columns`` every file is read by its own header; columns that a file lacks
+    are null (``csv_file_points`` keeps each file's cells apart).
     """
+    if columns is None and has_headers:
+        groups = csv_groups(spark, path, sep, cursor, by_extension, **options)
+        parts = [
+            read_csv(spark, paths, names, sep, trim, has_headers, multi_line, **options) for names, paths in groups
+        ]
+        if parts:
+            union = parts[0]
+            for part in parts[1:]:
+                union = union.unionByName(part, allowMissingColumns=True)
+            return union
     names = list(columns or csv_columns(spark, path, sep, has_headers, **options))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
     reader = _reader(
@@ -143,22 +186,49 @@ def csv_points(
     return points.select(*FILE_ORDER, *P.POINT_COLUMNS)
 
 
+def csv_file_points(
+    spark: SparkSession,
+    path: str | list[str],
+    mapping: PointMapping,
+    sep: str = ",",
+    trim: bool = True,
+    strict: bool = True,
+    as_of_ms: int | None = None,
+    keep_unreadable: bool = False,
+    cursor: str | None = None,
+    by_extension: str | None = None,
+    **options,
+) -> DataFrame:
+    """CSV files with headers of their own -> points; one reader per distinct header."""
+    union = None
+    for names, paths in csv_groups(spark, path, sep, cursor, by_extension, **options):
+        cells = read_csv(spark, paths, names, sep, trim)
+        part = csv_points(cells, mapping, strict, as_of_ms, keep_unreadable)
+        union = part if union is None else union.union(part)
+    if union is None:
+        nothing = spark.createDataFrame([], "file_path string, file_block long, file_row long")
+        return P.with_point(nothing, F.lit(0).cast("bigint"), F.array(F.lit(0.0)), F.lit("")).select(
+            *FILE_ORDER, *P.POINT_COLUMNS
+        )
+    return union
+
+
 def read_jsonl(
     spark: SparkSession,
     path: str | list[str],
-    max_line_bytes: int = MAX_LINE_BYTES,
+    max_line_bytes: int | None = None,
     hash_raw: bool = False,
     cursor: str | None = None,
     by_extension: str | None = None,
     **options,
 ) -> DataFrame:
-    """JSON lines -> ``raw`` text (splittable).  Blank lines are skipped, overlong ones flagged."""
+    """JSON lines -> ``raw`` text (splittable).  Blank lines are skipped; lines over a cap, if set, are flagged."""
     df = _after(_reader(spark, {"lineSep": "\n", **options}).text(path), cursor)
     if by_extension is not None:
         df = df.filter(_only(by_extension))
     df = df.select("value", *_file_columns())
     # The line break counts towards the cap.
-    over = F.octet_length("value") + 1 > max_line_bytes
+    over = F.lit(False) if max_line_bytes is None else F.octet_length("value") + 1 > max_line_bytes
     text = F.make_valid_utf8("value")
     return (
         df.filter(F.col("value").rlike(r"[^ \t\n\f\r]"))
@@ -166,7 +236,9 @@ def read_jsonl(
             {
                 "error_code": F.when(over, F.lit(P.OVERSIZE)),
                 "parse_error": F.when(over, F.lit(f"JSONL line exceeded MAX_JSONL_LINE_BYTES ({max_line_bytes})")),
-                "raw": F.when(over, oversize_preview(F.col("value"), max_line_bytes, hash_raw)).otherwise(text),
+                "raw": text
+                if max_line_bytes is None
+                else F.when(over, oversize_preview(F.col("value"), max_line_bytes, hash_raw)).otherwise(text),
             }
         )
         .drop("value")
@@ -176,7 +248,7 @@ def read_jsonl(
 def read_json(
     spark: SparkSession,
     path: str | list[str],
-    max_bytes: int = MAX_WRAPPED_BYTES,
+    max_bytes: int | None = None,
     cursor: str | None = None,
     by_extension: str | None = None,
     **options,
@@ -195,7 +267,7 @@ def read_json(
     df = df.withColumns(
         {
             "__first": first,
-            "__big": (first == "{") & (F.octet_length("value") > max_bytes),
+            "__big": F.lit(False) if max_bytes is None else (first == "{") & (F.octet_length("value") > max_bytes),
         }
     )
     # Typed lists forgive syntax errors inside them, so the whole document is checked first.
@@ -275,10 +347,10 @@ _JSON_READY = (
 )
 
 
-def passthrough_lines(df: DataFrame, render_all: bool = False) -> DataFrame:
+def passthrough_lines(df: DataFrame, render_all: bool = True) -> DataFrame:
     """Every row as a JSON object of all its columns, unchecked (column ``line``).
 
-    Other column types than numbers, booleans and text give null unless ``render_all``.
+    Without ``render_all``, columns of other types than numbers, booleans and text give null.
     """
     cells = []
     for f in df.schema.fields:
@@ -293,6 +365,13 @@ def passthrough_lines(df: DataFrame, render_all: bool = False) -> DataFrame:
     return df.select(F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}).alias("line"))
 
 
+def formats_present(spark: SparkSession, root: str) -> set[str]:
+    """The formats of the files below a folder, by extension; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    ends = files.select(F.regexp_extract("path", r"\.([^./]+)\z", 1).alias("end")).distinct().collect()
+    return {_EXTENSIONS.get(row["end"], "csv") for row in ends}
+
+
 def directory_points(
     spark: SparkSession,
     root: str,
@@ -304,21 +383,24 @@ def directory_points(
 ) -> DataFrame:
     """A folder tree of mixed files -> points with ``file_path`` and ``format``.
 
-    One reader per format over the whole tree, so files are read in parallel.  Files of other extensions are
-    read as CSV.  ``cursor`` skips files up to that path.
+    One reader per format present (for CSV and TSV: per distinct header), so files are read in parallel.  Files of
+    other extensions are read as CSV.  ``cursor`` skips files up to that path.
     """
     look = {"recursiveFileLookup": True}
     parts = []
+    present = formats_present(spark, root)
     for name in formats:
+        if name in _EXTENSIONS.values() and name not in present:
+            continue
         at: dict[str, object] = {"cursor": cursor, "by_extension": name, **look}
         if name in ("csv", "tsv"):
             sep = "\t" if name == "tsv" else ","
             glob = {"pathGlobFilter": "*.tsv"} if name == "tsv" else {}
-            names = csv_names or csv_columns(
-                spark, root, sep, **look, pathGlobFilter=f"*.{name}"
-            )
-            cells = read_csv(spark, root, names, sep, trim=False, **at, **glob)
-            points = csv_points(cells, mapping, strict=False, as_of_ms=as_of_ms, keep_unreadable=True)
+            if csv_names:
+                cells = read_csv(spark, root, csv_names, sep, trim=False, **at, **glob)
+                points = csv_points(cells, mapping, strict=False, as_of_ms=as_of_ms, keep_unreadable=True)
+            else:
+                points = csv_file_points(spark, root, mapping, sep, False, False, as_of_ms, True, **at, **glob)
         elif name == "json":
             points = json_points(read_json(spark, root, **at, pathGlobFilter="*.json"), mapping, as_of_ms)
         elif name == "jsonl":
@@ -329,6 +411,8 @@ def directory_points(
         else:
             raise ValueError(f"unsupported file format: {name}")
         parts.append(points.withColumn("format", F.lit(name)))
+    if not parts:
+        raise ValueError(f"no files of the formats {', '.join(formats)} below {root}")
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pointgate.operators.counts import observe_outcomes
 from pointgate.operators.gate import apply_checks
 from pointgate.options import GateOptions, OutputOptions
-from pointgate.sinks.write import write_both
+from pointgate.sinks.write import quarantine_unwritable, write_both
 from pointgate.streaming.spikes import stream_spikes
 
 
@@ -61,6 +61,7 @@ def start(
         if on_batch is not None:
             on_batch(batch, batch_id)
 
+    gated = quarantine_unwritable(gated, output, field_count)  # counted as it is written
     writer = observe_outcomes(gated, "outcomes").writeStream.foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -125,9 +125,9 @@ def test_parquet_reads_mapped_columns_only(spark, tmp_path):
 
 def test_passthrough(spark):
     df = spark.sql("select 1 a, cast('nan' as double) b, 'x' c, timestamp'2024-01-01' d, true e, cast(null as string) f, 1.5BD g")
-    line = json.loads(S.passthrough_lines(df).first().line)
+    line = json.loads(S.passthrough_lines(df, render_all=False).first().line)
     assert line == {"a": 1, "b": None, "c": "x", "d": None, "e": True, "f": None, "g": None}
-    assert json.loads(S.passthrough_lines(df, render_all=True).first().line)["g"] == 1.5
+    assert json.loads(S.passthrough_lines(df).first().line)["g"] == 1.5
 
 
 def make_tree(root):
@@ -179,3 +179,34 @@ def test_formats():
     assert S.resolve_format("x/y.json", "tsv") == "tsv"
     assert S.resolve_format("x/y.parquet", "") == "parquet"
     assert S.resolve_format("x/y.CSV") == "csv"
+
+
+def test_every_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("t,price,volume\n1,10,1\n")
+    (tmp_path / "b b.csv").write_text("\ufefft,volume,price\r\n1,2,20\r\n")
+    (tmp_path / "c.csv").write_text("t,more,price,volume\n1,x,30,3\n1,x,30\n")
+    (tmp_path / "d.csv").write_text("t,price\n1,40\n")
+    (tmp_path / "e.csv").write_text("")
+    for points in (
+        S.directory_points(spark, str(tmp_path), MAPPING, as_of_ms=NOW),
+        S.csv_file_points(spark, str(tmp_path), MAPPING, strict=False, as_of_ms=NOW),
+    ):
+        got = sorted((r.error_code or "", r.metrics or []) for r in points.collect())
+        assert got == [
+            ("", [10.0, 1.0]), ("", [20.0, 2.0]), ("", [30.0, 3.0]), (P.CSV_READ_ERROR, []), (P.PARSE_ERROR, []),
+        ]
+    union = S.read_csv(spark, str(tmp_path))
+    assert {"t", "price", "volume", "more"} <= set(union.columns) and union.count() == 5
+
+
+def test_only_formats_that_are_there(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("t,price,volume\n1,10,1\n")
+    assert S.directory_points(spark, str(tmp_path), MAPPING, as_of_ms=NOW).count() == 1
+    assert S.formats_present(spark, str(tmp_path)) == {"csv"}
+
+
+def test_no_cap_unless_set(spark, tmp_path):
+    line = '{"t":1,"price":1,"volume":1,"pad":"' + "x" * 6_000_000 + '"}'
+    (tmp_path / "a.jsonl").write_text(line + "\n")
+    row = S.json_points(S.read_jsonl(spark, str(tmp_path)), MAPPING, NOW).first()
+    assert row.error_code is None and row.raw == line
