@@ -20,7 +20,13 @@ LONG_MONTHS = (
     "July", "August", "September", "October", "November", "December",
 )
 
-_MACROS = {"%T": "%H:%M:%S", "%F": "%Y-%m-%d", "%R": "%H:%M", "%e": "%d"}
+WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
+LONG_WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+
+_MACROS = {
+    "%T": "%H:%M:%S", "%F": "%Y-%m-%d", "%R": "%H:%M", "%e": "%d", "%D": "%m/%d/%y", "%h": "%b", "%k": "%H",
+    "%r": "%I:%M:%S %p", "%l": "%I", "%n": "\n", "%t": "\t", "%P": "%p",
+}
 _TWO_DIGITS = r"\s*(\d{1,2})"
 _PARTS = {
     "%Y": ("year", r"\s*\+?(\d{4})"),
@@ -31,6 +37,13 @@ _PARTS = {
     "%S": ("second", _TWO_DIGITS),
     "%b": ("month_name", r"(?i:(" + "|".join(MONTHS) + "))"),
     "%B": ("month_name", r"(?i:(" + "|".join(LONG_MONTHS) + "))"),
+    "%y": ("short_year", _TWO_DIGITS),
+    "%I": ("half_hour", _TWO_DIGITS),
+    "%p": ("half", r"(?i:(am|pm))"),
+    "%j": ("year_day", r"\s*(\d{1,3})"),
+    "%s": ("epoch", r"\s*([+-]?\d+)"),
+    "%a": ("weekday", r"(?i:(" + "|".join(WEEKDAYS) + "))"),
+    "%A": ("weekday", r"(?i:(" + "|".join(LONG_WEEKDAYS) + "))"),
     "%.f": ("fraction", r"(?:\.(\d+))?"),
     "%f": ("nanos", r"\s*(\d{1,9})"),
     "%z": (None, r"\s*(?:Z|[+-]\d{2}:?\d{2})"),
@@ -56,9 +69,15 @@ def _compile(fmt: str) -> tuple[str, dict[str, int]]:
                 groups[name] = len(groups) + 1
         else:
             raise ValueError(f"unsupported date-time format token {token} in {fmt!r}")
-    missing = {"year", "day", "hour", "minute"} - set(groups)
-    if missing or not {"month", "month_name"} & set(groups):
-        raise ValueError(f"date-time format {fmt!r} lacks {sorted(missing) or ['month']}")
+    has = set(groups)
+    if "epoch" not in has:
+        missing = [] if {"year", "short_year"} & has else ["year"]
+        if "year_day" not in has:
+            missing += [*({"day"} - has), *([] if {"month", "month_name"} & has else ["month"])]
+        missing += [] if "hour" in has or {"half_hour", "half"} <= has else ["hour"]
+        missing += sorted({"minute"} - has)
+        if missing:
+            raise ValueError(f"date-time format {fmt!r} lacks {missing}")
     return regex + r"\z", groups
 
 
@@ -75,6 +94,38 @@ def _month_number(name: Column) -> Column:
     return number
 
 
+_LESS_COMMON = {"short_year", "half_hour", "year_day", "epoch", "weekday"}
+
+
+def _from_parts(value: Column, regex: str, groups: dict[str, int]) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` from any parts; null when they contradict each other."""
+    pick = lambda name: F.regexp_extract(value, regex, groups[name])
+    number = lambda name: pick(name).try_cast("int")
+    if "epoch" in groups:
+        moment = F.try_multiply(pick("epoch").try_cast("bigint"), F.lit(1_000_000).cast("bigint"))
+        return F.date_format(F.timestamp_micros(moment), "yyyy-MM-dd HH:mm:ss")
+    year = number("year") if "year" in groups else number("short_year")
+    if "year" not in groups:
+        year = F.when(year < 69, year + 2000).otherwise(year + 1900)
+    padded = F.lpad(year.cast("string"), 4, "0")
+    if "year_day" in groups:
+        day = F.date_add(F.concat(padded, F.lit("-01-01")).try_cast("date"), number("year_day") - 1)
+        day = F.when((F.year(day) == year) & (number("year_day") > 0), day)
+    else:
+        month = _month_number(pick("month_name")) if "month_name" in groups else pick("month")
+        day = F.concat_ws("-", padded, month, pick("day")).try_cast("date")
+    if "weekday" in groups:
+        told = F.lower(F.substring(pick("weekday"), 1, 3))
+        day = F.when(F.lower(F.date_format(day, "EEE")) == told, day)
+    hour = number("hour") if "hour" in groups else number("half_hour")
+    if "hour" not in groups:
+        late = F.when(F.lower(pick("half")) == "pm", 12).otherwise(0)
+        hour = F.when(hour.between(1, 12), hour % 12 + late)
+    second = pick("second") if "second" in groups else F.lit("0")
+    clock = F.concat(hour.cast("string"), F.lit(":"), pick("minute"), F.lit(":"), second)
+    return F.concat(day.cast("string"), F.lit(" "), clock)
+
+
 def datetime_to_ns(text: Column, fmt: str, date_override: str | None = None) -> Column:
     """Date-time text -> ns, exact to the nanosecond; null when it does not parse.  Negative before 1970."""
     value = F.trim(text)
@@ -84,7 +135,9 @@ def datetime_to_ns(text: Column, fmt: str, date_override: str | None = None) ->
         value = F.concat(F.lit(date_override + " "), value)
         fmt = "datetime_utc_ms"
     regex, groups = _compile(PRESETS.get(fmt, fmt))
-    if "month_name" in groups:
+    if _LESS_COMMON & set(groups):
+        canonical = _from_parts(value, regex, groups)
+    elif "month_name" in groups:
         month = _month_number(F.regexp_extract(value, regex, groups["month_name"]))
         pick = lambda name: F.regexp_extract(value, regex, groups[name])
         head = F.concat(pick("year"), F.lit("-"), month, F.lit("-"), pick("day"), F.lit(" "))

@@ -118,25 +118,28 @@ def _as_text(value: str | Column) -> Column:
 Decoded = tuple[list[dict[str, Column]], Column]
 
 
-def _kraken(now: Column, ts_path: str | None) -> Decoded:
+def _kraken(now: Column, ts_path: str | None, explode_all: bool) -> Decoded:
     document = "method variant, channel string, data variant"
-    # Only the first element of ``data`` counts.  Members whose presence matters are kept as VARIANT.
+    # Only the first element of ``data`` counts, unless all are asked for.  Members whose presence matters are kept
+    # as VARIANT.
     row = (
         "price string, qty variant, quantity string, bid string, ask string, last string, volume variant,"
         " bids variant, asks variant, open string, high string, low string, close string"
     )
     kind = F.col("__kind")
+    at = "$" if explode_all else "$[0]"
     stages = [
         {"__v": _members(_DOC, document, J.ROOT)},
         {"__kind": F.when(F.col("__v.method").isNull(), F.col("__v.channel")), "__data": F.col("__v.data")},
-        {"__row": _members("__data", row, "$[0]")},
+        *([{"__data": F.explode_outer(F.try_variant_get("__data", "$", "array<variant>"))}] if explode_all else []),
+        {"__row": _members("__data", row, at)},
         {
             "__bid": F.when(kind == "book", _members("__row.bids", "price string, qty string", "$[0]")),
             "__ask": F.when(kind == "book", _members("__row.asks", "price string, qty string", "$[0]")),
         },
     ]
     if ts_path is not None:
-        stated = F.try_variant_get("__data", f'$[0]["{ts_path}"]', "string")
+        stated = F.try_variant_get("__data", f'{at}["{ts_path}"]', "string")
         stages.append({"__now": F.coalesce(times.rfc3339_to_ns(stated), now)})
         now = F.col("__now")
     has_qty, has_volume = F.col("__row.qty").isNotNull(), F.col("__row.volume").isNotNull()
@@ -291,9 +294,11 @@ def decode_feed(
     as_of_ms: int | None = None,
     ts_path: str | None = None,
     max_bytes: int | None = None,
+    explode_all: bool = False,
 ) -> DataFrame:
     """Raw messages -> points with ``feed``.  Works on batch frames and streams; adds no shuffle.
 
+    ``explode_all`` (kraken only) makes a point of every row of a message, not of its first alone.
     ``ts_path`` (kraken only) names the member of the message row to take the time from, instead of arrival.
     """
     provider = provider.lower()
@@ -302,7 +307,7 @@ def decode_feed(
     wanted = resolve_channels(provider, channels, subscription)
     now = times.as_of_ns(as_of_ms)
     if provider == "kraken":
-        stages, point = _kraken(now, ts_path)
+        stages, point = _kraken(now, ts_path, explode_all)
     elif provider == "binance_ws_api":
         stages, point = _request_response(now, wanted)
     elif provider in ("alchemy", "infura"):

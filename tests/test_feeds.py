@@ -157,3 +157,13 @@ def test_messages_are_parsed_once_and_not_shuffled(spark, provider):
     plan = points._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") + plan.count("try_parse_json") == 1
     assert points._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 1
+
+
+def test_kraken_rows_of_a_message(spark):
+    rows = [{**TRADE, "price": p} for p in (1.0, 0.0, 3.0)]
+    message = json.dumps({"channel": "trade", "data": rows})
+    others = ['{"channel":"trade","data":[]}', '{"channel":"trade","data":{}}', '{"channel":']
+    assert [r.metrics[0] for r in decode(spark, "kraken", message)] == [1.0]
+    got = decode(spark, "kraken", message, *others, explode_all=True)
+    assert sorted(r.metrics[0] for r in got if r.error_code is None) == [1.0, 3.0]
+    assert sum(r.error_code is not None for r in got) == 1

@@ -37,6 +37,17 @@ def column(spark, values, kind="string"):
         ("%m|%d|%Y %H.%M.%S", "12|31|2031 23.59.58", ns(2031, 12, 31, 23, 59, 58)),
         ("y%Y m%m d%d h%H m%M s%S", "y1999 m01 d02 h03 m04 s05", ns(1999, 1, 2, 3, 4, 5)),
         ("%S%.3f s, %H:%M, %d/%m/%Y", "07.250 s, 05:06, 04/03/2024", ns(2024, 3, 4, 5, 6, 7, extra=250_000_000)),
+        ("%D %I:%M %p", "07/04/68 12:30 am", ns(2068, 7, 4, 0, 30)),
+        ("%D %r", "07/04/99 01:02:03 PM", ns(1999, 7, 4, 13, 2, 3)),
+        ("%D %r", "07/04/99 13:02:03 PM", None),
+        ("%Y/%j %R", "2024/366 23:59", ns(2024, 12, 31, 23, 59)),
+        ("%Y/%j %R", "2023/366 23:59", None),
+        ("%s", "1700000000", 1_700_000_000_000_000_000),
+        ("%s", "99999999999999999999", None),
+        ("%a, %d %h %Y %T", "Fri, 05 Jan 2024 10:11:12", ns(2024, 1, 5, 10, 11, 12)),
+        ("%A%t%F%n%T", "friday 2024-01-05 10:11:12", ns(2024, 1, 5, 10, 11, 12)),
+        ("%a, %d %h %Y %T", "Mon, 05 Jan 2024 10:11:12", None),
+        ("%a, %d %h %Y %T", "soon", None),
         ("%FT%TZ", "2024-03-04T05:06:07Z", ns(2024, 3, 4, 5, 6, 7)),
         ("%d %B %Y %R", "4 March 2024 05:06", ns(2024, 3, 4, 5, 6)),
         ("%b %e %Y %T", "mar  4 2024 05:06:07", ns(2024, 3, 4, 5, 6, 7)),
