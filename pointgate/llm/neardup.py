@@ -43,7 +43,7 @@ class NearOptions:
     threshold: float = 0.8
     bands: int = 24
     rows: int = 5
-    block_bytes: int = 4_000_000
+    block_bytes: int = 2_000_000
 
     @property
     def size(self) -> int:
@@ -296,7 +296,9 @@ def settle(table: pa.Table, options: NearOptions) -> list[tuple[bytes, bytes]]:
     keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(count, options.bands)
     band = int(np.flatnonzero(keys[0] == bucket)[0])
     leads = np.array([n == leader for n in names])
-    tested: list[tuple[float, int, int]] = []
+    alike: list[np.ndarray] = []
+    left: list[np.ndarray] = []
+    right: list[np.ndarray] = []
     for i in range(count - 1):
         rest = np.arange(i + 1, count)
         rest = rest[(own[rest] != own[i]) & ~(leads[rest] | leads[i])]  # the leader met everyone already
@@ -308,9 +310,16 @@ def settle(table: pa.Table, options: NearOptions) -> list[tuple[bytes, bytes]]:
         agree = (marks[rest] == marks[i]).mean(axis=1)
         first = (keys[rest] == keys[i]).argmax(axis=1) == band
         keep = first & (agree >= options.least_agreement)
-        tested += zip((-agree[keep]).tolist(), [i] * int(keep.sum()), rest[keep].tolist())
+        alike.append(agree[keep].astype(np.float32))
+        left.append(np.full(int(keep.sum()), i, np.int32))
+        right.append(rest[keep].astype(np.int32))
     found = []
-    for _, i, j in sorted(tested):  # the most alike first, so that most others are joined when their turn comes
+    if not left:
+        return found
+    # the most alike first, so that most others are joined when their turn comes
+    order = np.argsort(-np.concatenate(alike), kind="stable")
+    firsts, seconds = np.concatenate(left)[order], np.concatenate(right)[order]
+    for i, j in zip(firsts, seconds):
         a, b = top(own[i]), top(own[j])
         if a != b:
             both = overlap(bags[i], bags[j])

@@ -68,10 +68,10 @@ def partitions_for(spark: SparkSession, least: int = 1) -> int:
 
 
 def kept_in_worker(key: str, make: Callable[[], Any]) -> Any:
-    """A value that later tasks of the same Python worker find again; the last few are kept."""
+    """A value that later tasks of the same Python worker find again; the last two are kept."""
     store = sys.__dict__.setdefault("_pointgate_llm_kept", {})
     if key not in store:
-        while len(store) >= 4:
+        while len(store) >= 2:
             del store[next(iter(store))]
         store[key] = make()
     return store[key]
