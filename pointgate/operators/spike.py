@@ -5,11 +5,12 @@ that and all later metrics as they were; any other value moves its baseline.  Wh
 baseline depends on the baseline, so the records of one key form one sequence.
 
 * Usual case: hash the rows by key, sort within partitions, walk them once.  One shuffle, constant memory.
-* A key with more rows than ``max_key_rows``: range-partition by (key, order) so that a big key spans many
-  partitions, walk all partitions at once from guessed baselines, and repeat only the partitions whose
-  guess turns out wrong.  A guess counts as right only if it equals the baseline its predecessor really
+* Keys with more rows than ``max_key_rows``: range-partition their rows by (key, order) so that a big key
+  spans many partitions, walk all partitions at once from guessed baselines, and repeat only the partitions
+  whose guess turns out wrong.  A guess counts as right only if it equals the baseline its predecessor really
   ends with, so the result is exactly the sequential one.  Baselines forget their start, so two or three
-  rounds are normal; each round settles at least one more partition.
+  rounds are normal.  What is open after ``_ROUNDS`` rounds (slow averages, baselines frozen at two levels) is
+  walked in order in one more job, a task per key that streams its values.  All other keys go the usual way.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ State = tuple[float | None, ...]
 _VALUE = "__spike_value_{}"
 _KEY = "__spike_key"
 _CHUNK = "__spike_chunk"
+_ROUNDS = 3
 _OUT = T.StructType(
     [
         T.StructField("__hit_metric", T.IntegerType()),
@@ -194,6 +196,44 @@ def _summarise(thresholds, alpha, guesses: dict[int, list[list[float | None]]]):
     return run
 
 
+_STARTS = T.StructType(
+    [T.StructField("chunk", T.IntegerType()), T.StructField("start", T.ArrayType(T.DoubleType()))]
+)
+
+
+def _follow(thresholds, alpha, starts: dict[int, list[float | None]]):
+    """Task body: walk whole keys chunk by chunk; one row per chunk with the baselines it begins with.
+
+    ``starts`` holds the baselines of the first chunk of each key.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = key = None
+        state: list[float | None] = []
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            columns = _value_lists(batch, len(thresholds))
+            chunks = _column(batch, _CHUNK).to_numpy()
+            found: dict[int, list[float | None]] = {}
+            for begin, end, run_key in _runs(_column(batch, _KEY)):
+                cuts = (np.flatnonzero(np.diff(chunks[begin:end])) + begin + 1).tolist()
+                for b, e in zip([begin, *cuts], [*cuts, end]):
+                    here = int(chunks[b])
+                    if here != chunk or run_key != key:
+                        if chunk is None or run_key != key:
+                            state = list(starts[here])
+                        chunk, key = here, run_key
+                        found[here] = list(state)
+                    walk(columns, b, e, thresholds, alpha, state)
+            yield pa.RecordBatch.from_pydict(
+                {"chunk": list(found), "start": list(found.values())},
+                schema=pa.schema([("chunk", pa.int32()), ("start", pa.list_(pa.float64()))]),
+            )
+
+    return run
+
+
 def _token(state: Sequence[float | None]) -> tuple:
     """A state as a comparable value, bit for bit (NaN equals NaN, -0.0 differs from 0.0)."""
     return tuple(None if v is None else "nan" if math.isnan(v) else v.hex() for v in state)
@@ -253,6 +293,18 @@ class _Chain:
         return starts, todo
 
 
+    def open_keys(self, todo) -> dict[str | None, tuple[int, int]]:
+        """Keys with open chunks: the first chunk to walk (its start is certain) and the last one that matters."""
+        spans: dict[str | None, tuple[int, int]] = {}
+        for chunk in sorted(self.keys):
+            first_key = self.keys[chunk][0]
+            if first_key in spans:
+                spans[first_key] = (spans[first_key][0], chunk)
+            elif chunk in todo:
+                spans[first_key] = (chunk, chunk)
+        return spans
+
+
 def _text_key(keys: Sequence[str]) -> Column:
     if len(keys) == 1:
         return F.col(keys[0]).cast("string")
@@ -306,15 +358,26 @@ def _by_range(rows: DataFrame, order, thresholds, alpha, kept, partitions: int)
         .withColumn(_CHUNK, F.spark_partition_id())
         .checkpoint()
     )
-    narrow = placed.select(_KEY, _CHUNK, *[_VALUE.format(s) for s in range(len(thresholds))])
+    values = [_VALUE.format(s) for s in range(len(thresholds))]
+    narrow = placed.select(_KEY, _CHUNK, *values)
     chain = _Chain(len(thresholds))
     guesses: dict[int, list[list[float | None]]] = {}
     todo: dict[int, list[list[float | None]]] | None = None
-    while todo is None or todo:
+    while (todo is None or todo) and chain.rounds < _ROUNDS:
         part = narrow if todo is None else narrow.filter(F.col(_CHUNK).isin(list(todo)))
         guesses = todo or {}
         chain.learn(part.mapInArrow(_summarise(thresholds, alpha, guesses), _SUMMARY).collect(), guesses)
         starts, todo = chain.resolve()
+    if todo:
+        open_rows = F.lit(False)
+        firsts: dict[int, list[float | None]] = {}
+        for key, (low, high) in chain.open_keys(todo).items():
+            open_rows = open_rows | (F.col(_KEY).eqNullSafe(F.lit(key)) & F.col(_CHUNK).between(low, high))
+            firsts[low] = starts[low]
+        rest = placed.filter(open_rows).select(_KEY, _CHUNK, *[F.col(c) for c in order], *values)
+        rest = rest.repartition(_KEY).sortWithinPartitions(_KEY, _CHUNK, *order).select(_KEY, _CHUNK, *values)
+        for row in rest.mapInArrow(_follow(thresholds, alpha, firsts), _STARTS).collect():
+            starts[row.chunk] = list(row.start)
     schema = T.StructType([placed.schema[name] for name in kept] + _OUT.fields)
     return placed.mapInArrow(_decide(thresholds, alpha, kept, starts), schema)
 
@@ -330,24 +393,36 @@ def apply_spikes(
     """Run the spike check on a checked frame (``operators.gate.apply_checks``).
 
     ``key`` scopes the baselines (a feed, a sensor, a source file); ``order`` must order its rows totally.
-    A count per key decides between the two ways above; ``max_key_rows=None`` skips the count and always
-    hashes.  When the check cannot reject anything the frame is returned as it is.
+    A count per key decides which keys are split; ``max_key_rows=None`` skips the count and always hashes.
+    When the check cannot reject anything the frame is returned as it is.
     """
     if not opts.spikes_active:
         return df
     keys = [key] if isinstance(key, str) else list(key)
+    order = list(order)
     thresholds = sorted((int(i), float(d)) for i, d in opts.spike_max_delta.items())
     rows, kept = _prepared(df, keys, thresholds), list(df.columns)
-    if max_key_rows is not None:
-        sizes = df.groupBy(*keys).agg(F.count_if(F.col("status") == P.ACCEPTED).alias("count"))
-        biggest, total = sizes.agg(F.max("count"), F.sum("count")).first()
-        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # Enough partitions that none gets much more rows than the biggest key may have.
-        wanted = math.ceil((total or 0) / max_key_rows)
-        if (biggest or 0) > max_key_rows:
-            count = partitions or max(shuffle, wanted)
-            return _merge(_by_range(rows, list(order), thresholds, opts.alpha, kept, count), thresholds)
-        if partitions is None and wanted > shuffle:
-            partitions = wanted
-    decided = _by_hash(rows, keys, list(order), thresholds, opts.alpha, kept, partitions)
-    return _merge(decided, thresholds)
+    if max_key_rows is None:
+        return _merge(_by_hash(rows, keys, order, thresholds, opts.alpha, kept, partitions), thresholds)
+    counts = rows.filter(F.col("status") == P.ACCEPTED).groupBy(_KEY).agg(F.count("*").alias("count"))
+    is_big = F.col("count") > max_key_rows
+    # One row comes back; at most one key per max_key_rows rows is in its list.
+    sizes = counts.agg(
+        F.sum("count").alias("total"),
+        F.coalesce(F.sum(F.when(is_big, F.col("count"))), F.lit(0)).alias("split"),
+        F.collect_list(F.when(is_big, F.struct(F.col(_KEY).alias("key")))).alias("big"),
+    ).first()
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Enough partitions that none gets much more rows than the biggest key may have.
+    small_wanted = math.ceil(((sizes.total or 0) - sizes.split) / max_key_rows)
+    small_parts = partitions or (small_wanted if small_wanted > shuffle else None)
+    if not sizes.big:
+        return _merge(_by_hash(rows, keys, order, thresholds, opts.alpha, kept, small_parts), thresholds)
+    named = [row.key for row in sizes.big if row.key is not None]
+    split = F.coalesce(F.col(_KEY).isin(named), F.lit(any(row.key is None for row in sizes.big)))
+    # Rejected rows take no part and stay out of the ranges.
+    split = split & (F.col("status") == P.ACCEPTED)
+    big_parts = partitions or max(shuffle, math.ceil(sizes.split / max_key_rows))
+    big = _by_range(rows.filter(split), order, thresholds, opts.alpha, kept, big_parts)
+    small = _by_hash(rows.filter(~split), keys, order, thresholds, opts.alpha, kept, small_parts)
+    return _merge(big.unionByName(small), thresholds)

@@ -155,6 +155,22 @@ def test_one_shuffle_for_small_keys(spark):
     assert out._jdf.queryExecution().sparkPlan().toString().count("Exchange") <= 1
 
 
+@pytest.mark.parametrize("levels", [(100.0,), (10.0, 400.0)])
+def test_slow_average_over_many_chunks_needs_few_jobs(spark, monkeypatch, levels):
+    """Baselines that do not forget their start within a chunk: three rounds, then one ordered walk."""
+    rng = random.Random(8)
+    rows = series([rng.choice(levels) + rng.random() for _ in range(1200)])
+    rows += [(5000 + i, None, i, [50.0 + rng.random()]) for i in range(300)]
+    rows += [(9000 + i, "c", i, [20.0 + 40 * rng.random()]) for i in range(9)]
+    rounds, learn = [], spike._Chain.learn
+    monkeypatch.setattr(spike._Chain, "learn", lambda *a: (rounds.append(1), learn(*a)))
+    options = opts({0: 30.0}, ema_alpha=0.001)
+    out = spike.apply_spikes(frame(spark, rows), options, "key", ["seq", "id"], partitions=24, max_key_rows=100)
+    got, count = found(out)
+    assert (got, count) == (brute(rows, {0: 30.0}, 0.001), len(rows))
+    assert len(rounds) <= 3
+
+
 class Chunks:
     """A row of a chunk summary."""
 
