@@ -71,41 +71,21 @@ def _json_string(text: Column) -> Column:
 
 
 @arrow_udf(T.StringType())
-def _reason(
-    code: pa.Array, metric: pa.Array, observed: pa.Array, limit: pa.Array, baseline: pa.Array, detail: pa.Array
-) -> pa.Array:
-    """Reason text with two-decimal numbers rounded from their exact binary values."""
-    columns = [c.to_pylist() for c in (code, metric, observed, limit, baseline, detail)]
-    return pa.array([_reason_text(*row) for row in zip(*columns)], pa.string())
+def _two(numbers: pa.Array) -> pa.Array:
+    """Two decimals, rounded from the exact binary value; each distinct number of a batch is printed once."""
+    codes = numbers.dictionary_encode()
+    printed = pa.array(["NaN" if v != v else f"{v:.2f}" for v in codes.dictionary.to_pylist()], pa.string())
+    return printed.take(codes.indices)
 
 
-def _two(value: float | None) -> str:
-    """Two decimals; infinities and NaN by name."""
-    if value is None:
-        return "NaN"
-    if value != value:
-        return "NaN"
-    return f"{value:.2f}"
+def _two_decimals(number: Column) -> Column:
+    """Text of a number under the codes that print decimals; only those numbers leave the JVM."""
+    wanted = F.col("reason_code").isin(P.BELOW_MIN, P.ABOVE_MAX, P.SPIKE)
+    return F.coalesce(_two(F.when(wanted, number)), F.lit("NaN"))
 
 
-def _reason_text(code, metric, observed, limit, baseline, detail) -> str:
-    # Reason texts.
-    if code == P.NON_FINITE:
-        return "Non-finite metric detected"
-    if code == P.BELOW_MIN:
-        return f"Value below minimum: metric_{metric}={_two(observed)} < min={_two(limit)}"
-    if code == P.ABOVE_MAX:
-        return f"Value exceeds maximum: metric_{metric}={_two(observed)} > max={_two(limit)}"
-    if code == P.TOO_FUTURE:
-        return f"Timestamp too far in future: {int(observed)}ms ahead of tolerance"
-    if code == P.TOO_OLD:
-        return f"Timestamp too old: {int(observed)}ms exceeds staleness limit of {int(limit)}ms"
-    if code == P.SPIKE:
-        return (
-            f"Sudden change detected: metric_{metric} delta={_two(observed)} exceeds threshold {_two(limit)} "
-            f"(baseline={_two(baseline)})"
-        )
-    return detail if detail is not None else (code or "")
+def _whole(number: Column) -> Column:
+    return F.coalesce(number.try_cast("decimal(38,0)").cast("string"), F.lit("0"))
 
 
 def reason_text(opts: GateOptions | None = None) -> Column:
@@ -115,8 +95,51 @@ def reason_text(opts: GateOptions | None = None) -> Column:
     detail = detail.when(
         F.col("error_code").isin(P.PARSE_ERROR, P.OVERSIZE, P.BAD_TIMESTAMP), F.concat(F.lit(prefix), F.col("parse_error"))
     ).otherwise(F.coalesce("parse_error", "error_code"))
-    return _reason(
-        F.col("reason_code"), F.col("metric_idx"), F.col("observed"), F.col("limit_value"), F.col("baseline"), detail
+    observed, limit = _two_decimals(F.col("observed")), _two_decimals(F.col("limit_value"))
+    metric = F.concat(F.lit("metric_"), F.coalesce(F.col("metric_idx").cast("string"), F.lit("")))
+    code = F.col("reason_code")
+    # Reason texts.
+    return (
+        F.when(code == P.NON_FINITE, F.lit("Non-finite metric detected"))
+        .when(
+            code == P.BELOW_MIN,
+            F.concat(F.lit("Value below minimum: "), metric, F.lit("="), observed, F.lit(" < min="), limit),
+        )
+        .when(
+            code == P.ABOVE_MAX,
+            F.concat(F.lit("Value exceeds maximum: "), metric, F.lit("="), observed, F.lit(" > max="), limit),
+        )
+        .when(
+            code == P.TOO_FUTURE,
+            F.concat(
+                F.lit("Timestamp too far in future: "), _whole(F.col("observed")), F.lit("ms ahead of tolerance")
+            ),
+        )
+        .when(
+            code == P.TOO_OLD,
+            F.concat(
+                F.lit("Timestamp too old: "),
+                _whole(F.col("observed")),
+                F.lit("ms exceeds staleness limit of "),
+                _whole(F.col("limit_value")),
+                F.lit("ms"),
+            ),
+        )
+        .when(
+            code == P.SPIKE,
+            F.concat(
+                F.lit("Sudden change detected: "),
+                metric,
+                F.lit(" delta="),
+                observed,
+                F.lit(" exceeds threshold "),
+                limit,
+                F.lit(" (baseline="),
+                _two_decimals(F.col("baseline")),
+                F.lit(")"),
+            ),
+        )
+        .otherwise(F.coalesce(detail, code, F.lit("")))
     )
 
 
