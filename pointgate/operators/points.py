@@ -14,6 +14,7 @@ CSV_READ_ERROR = "CSV_READ_ERROR"
 OVERSIZE = "OVERSIZE"
 BAD_TIMESTAMP = "BAD_TIMESTAMP"
 UNKNOWN_FEED = "UNKNOWN_FEED"
+FILE_READ_ERROR = "FILE_READ_ERROR"
 NON_FINITE = "NON_FINITE"
 BELOW_MIN = "BELOW_MIN"
 ABOVE_MAX = "ABOVE_MAX"

@@ -58,7 +58,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/pointgate/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on any file system Spark can reach."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named."""
+    if not path.startswith(f"{shared_dir(spark).rstrip('/')}/pointgate/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    files, target = _file_system(spark, path)
+    files.delete(target, True)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -330,7 +332,7 @@ def read_parquet(
     **options,
 ) -> DataFrame:
     """Parquet with its own schema; only columns used later are read."""
-    df = _after(_reader(spark, options).parquet(path), cursor)
+    df = _after(_reader(spark, options).parquet(*([path] if isinstance(path, str) else path)), cursor)
     if by_extension is not None:
         df = df.filter(_only(by_extension))
     return df.select("*", *_file_columns(F.col("_metadata.row_index")))
@@ -365,11 +367,63 @@ def passthrough_lines(df: DataFrame, render_all: bool = True) -> DataFrame:
     return df.select(F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}).alias("line"))
 
 
-def formats_present(spark: SparkSession, root: str) -> set[str]:
-    """The formats of the files below a folder, by extension; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    ends = files.select(F.regexp_extract("path", r"\.([^./]+)\z", 1).alias("end")).distinct().collect()
-    return {_EXTENSIONS.get(row["end"], "csv") for row in ends}
+def list_files(spark: SparkSession, root: str, cursor: str | None = None) -> list[tuple[str, str]]:
+    """(path, format by extension) of the files below a folder after ``cursor``, in order; contents are not read.
+
+    Paths are spelled as in ``_metadata.file_path``.  The driver gets one path per file, as it does when Spark
+    lists them.
+    """
+    files = _reader(spark, {"recursiveFileLookup": True}).format("binaryFile").load(root)
+    rows = _after(files, cursor).select(F.col("_metadata.file_path").alias("path")).orderBy("path").collect()
+    return [(row["path"], resolve_format(row["path"])) for row in rows]
+
+
+def _opens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task body: whether a small file's bytes are a Parquet file."""
+    for batch in batches:
+        good = []
+        for content in batch.column(1):
+            try:
+                pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                good.append(True)
+            except (pa.ArrowException, OSError):
+                good.append(False)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(good)], ["path", "good"])
+
+
+def parquet_rows(spark: SparkSession, paths: Sequence[str]) -> dict[str, int | None]:
+    """Rows that the footer of each Parquet file promises; null when it cannot be read.  Columns are not read."""
+    if not paths:
+        return {}
+    plain = [unquote(p) for p in paths]
+    # A column no file has: only footers are opened, and no schema has to be inferred.
+    probe = _reader(spark, {"ignoreCorruptFiles": True}).schema("pointgate_nothing int").parquet(*plain)
+    counted = probe.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("rows")).collect()
+    found: dict[str, int | None] = dict.fromkeys(paths)
+    found.update({row["path"]: row["rows"] for row in counted})
+    silent = [unquote(p) for p in paths if found[p] is None]
+    if silent:
+        # Damaged, or without rows; a file without rows is little more than a footer.
+        files = spark.read.format("binaryFile").load(silent).filter(F.col("length") < 64 << 20)
+        files = files.select(F.col("_metadata.file_path").alias("path"), "content")
+        empty = files.mapInArrow(_opens, "path string, good boolean").filter("good").collect()
+        found.update({row["path"]: 0 for row in empty})
+    return found
+
+
+def unreadable_files(spark: SparkSession, files: Sequence[tuple[str, str]]) -> DataFrame:
+    """One rejected point per file (path, format) that could not be read; the raw text is its path."""
+    rows = spark.createDataFrame(list(files), "file_path string, format string")
+    rows = rows.withColumns({"file_block": F.lit(0).cast("bigint"), "file_row": F.lit(-1).cast("bigint")})
+    points = P.with_point(
+        rows,
+        F.lit(None).cast("bigint"),
+        F.lit(None).cast("array<double>"),
+        F.col("file_path"),
+        parse_error=F.concat(F.lit("unreadable "), F.col("format"), F.lit(" file")),
+        error_code=F.lit(P.FILE_READ_ERROR),
+    )
+    return points.select(*FILE_ORDER, *P.POINT_COLUMNS, "format")
 
 
 def directory_points(
@@ -380,36 +434,47 @@ def directory_points(
     csv_names: Sequence[str] | None = None,
     as_of_ms: int | None = None,
     cursor: str | None = None,
+    files: Sequence[tuple[str, str]] | None = None,
+    parquet_counts: dict[str, int | None] | None = None,
 ) -> DataFrame:
     """A folder tree of mixed files -> points with ``file_path`` and ``format``.
 
     One reader per format present (for CSV and TSV: per distinct header), so files are read in parallel.  Files of
-    other extensions are read as CSV.  ``cursor`` skips files up to that path.
+    other extensions are read as CSV.  ``cursor`` skips files up to that path; ``files`` gives the listing instead.
+    A Parquet file without a readable footer becomes one rejected point.  A file damaged further in ends the
+    query, unless ``parquet_counts`` (``parquet_rows``) is given: then the caller compares them with what came.
     """
-    look = {"recursiveFileLookup": True}
+    for name in formats:
+        if name not in _EXTENSIONS.values():
+            raise ValueError(f"unsupported file format: {name}")
+    listed = list_files(spark, root, cursor) if files is None else files
     parts = []
-    present = formats_present(spark, root)
     for name in formats:
-        if name in _EXTENSIONS.values() and name not in present:
+        paths = [path for path, kind in listed if kind == name]
+        if not paths:
             continue
-        at: dict[str, object] = {"cursor": cursor, "by_extension": name, **look}
+        plain = [unquote(path) for path in paths]
         if name in ("csv", "tsv"):
             sep = "\t" if name == "tsv" else ","
-            glob = {"pathGlobFilter": "*.tsv"} if name == "tsv" else {}
             if csv_names:
-                cells = read_csv(spark, root, csv_names, sep, trim=False, **at, **glob)
+                cells = read_csv(spark, plain, csv_names, sep, trim=False)
                 points = csv_points(cells, mapping, strict=False, as_of_ms=as_of_ms, keep_unreadable=True)
             else:
-                points = csv_file_points(spark, root, mapping, sep, False, False, as_of_ms, True, **at, **glob)
+                points = csv_file_points(spark, plain, mapping, sep, False, False, as_of_ms, True)
         elif name == "json":
-            points = json_points(read_json(spark, root, **at, pathGlobFilter="*.json"), mapping, as_of_ms)
+            points = json_points(read_json(spark, plain), mapping, as_of_ms)
         elif name == "jsonl":
-            points = json_points(read_jsonl(spark, root, **at, pathGlobFilter="*.{jsonl,ndjson}"), mapping, as_of_ms)
-        elif name == "parquet":
-            rows = read_parquet(spark, root, **at, pathGlobFilter="*.parquet")
-            points = parquet_points(rows, mapping, as_of_ms)
+            points = json_points(read_jsonl(spark, plain), mapping, as_of_ms)
         else:
-            raise ValueError(f"unsupported file format: {name}")
+            rows = parquet_rows(spark, paths) if parquet_counts is None else parquet_counts
+            bad = [path for path in paths if rows[path] is None]
+            if bad:
+                parts.append(unreadable_files(spark, [(path, name) for path in bad]))
+            good = [unquote(path) for path in paths if rows[path] is not None]
+            if not good:
+                continue
+            lenient = {} if parquet_counts is None else {"ignoreCorruptFiles": True}
+            points = parquet_points(read_parquet(spark, good, **lenient), mapping, as_of_ms)
         parts.append(points.withColumn("format", F.lit(name)))
     if not parts:
         raise ValueError(f"no files of the formats {', '.join(formats)} below {root}")

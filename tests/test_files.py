@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointgate.operators import points as P
-from pointgate.options import PointMapping, TimeSpec
+from pointgate.options import Bound, GateOptions, OutputOptions, PointMapping, TimeSpec
+from pointgate.plans.folder import run_folder
 from pointgate.sources import cursor
 from pointgate.sources import files as S
 
@@ -202,7 +203,7 @@ def test_every_file_has_its_own_header(spark, tmp_path):
 def test_only_formats_that_are_there(spark, tmp_path):
     (tmp_path / "a.txt").write_text("t,price,volume\n1,10,1\n")
     assert S.directory_points(spark, str(tmp_path), MAPPING, as_of_ms=NOW).count() == 1
-    assert S.formats_present(spark, str(tmp_path)) == {"csv"}
+    assert {kind for _, kind in S.list_files(spark, str(tmp_path))} == {"csv"}
 
 
 def test_no_cap_unless_set(spark, tmp_path):
@@ -210,3 +211,67 @@ def test_no_cap_unless_set(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text(line + "\n")
     row = S.json_points(S.read_jsonl(spark, str(tmp_path)), MAPPING, NOW).first()
     assert row.error_code is None and row.raw == line
+
+
+OPEN = GateOptions(future_tolerance_ms=10**15, stale_tolerance_ms=10**15, bounds={0: Bound(max=50.0)})
+
+
+def small_folder(spark, root):
+    make_tree(root)
+    rows = [(1_700_000_000_000 + i, float(i), 1.0) for i in range(20_000)]
+    frame = spark.createDataFrame(rows, "t bigint, price double, volume double").coalesce(1)
+    frame.write.parquet(str(root / "good"))
+    frame.limit(0).write.parquet(str(root / "none"))
+    frame.write.option("compression", "none").parquet(str(root / "holed"))
+    [holed] = (root / "holed").glob("*.parquet")
+    data = bytearray(holed.read_bytes())
+    data[4:60] = b"\xff" * 56  # the first page; the footer stays whole
+    for side in (root / "holed").glob(".*.crc"):
+        side.unlink()
+    holed.write_bytes(data)
+    (root / "bad.parquet").write_text("no columns here")
+
+
+def test_folder_run_survives_bad_files(spark, tmp_path):
+    root, out, state = tmp_path / "in", tmp_path / "out", str(tmp_path / "state")
+    root.mkdir()
+    small_folder(spark, root)
+    got = run_folder(spark, str(root), MAPPING, OPEN, OutputOptions(format="csv"), str(out), state, as_of_ms=NOW, complete=False)
+    report = {r.file_path.rsplit("/in/")[1]: r for r in spark.read.parquet(f"{out}/files").collect()}
+    failed = {name.split("/")[0] for name, r in report.items() if r.failed}
+    assert failed == {"bad.parquet", "holed"}
+    good = [r for name, r in report.items() if name.startswith("good/")]
+    assert [(r.accepted, r.dropped) for r in good if r.dropped] == [(51, 19_949)]
+    assert any(name.startswith("none/") for name in report)
+    accepted = spark.read.option("header", True).csv(f"{out}/accepted").count()
+    dead = spark.read.text(f"{out}/dead").collect()
+    assert (got["accepted"], got["dropped"], got["files"], got["failed"]) == (accepted, len(dead), len(report), 2)
+    assert sum("unreadable parquet file" in r.value for r in dead) == 2
+    again = run_folder(spark, str(root), MAPPING, OPEN, OutputOptions(format="csv"), str(out), state, as_of_ms=NOW)
+    assert again == {"accepted": 0, "dropped": 0, "files": 0, "failed": 0}
+    with pytest.raises(cursor.RunCompleted):
+        run_folder(spark, str(root), MAPPING, OPEN, OutputOptions(format="csv"), str(out), state, as_of_ms=NOW)
+
+
+def test_folder_run_is_repeated_without_doubles(spark, tmp_path, monkeypatch):
+    root, out, state = tmp_path / "in", tmp_path / "out", str(tmp_path / "state")
+    root.mkdir()
+    make_tree(root)
+    args = (spark, str(root), MAPPING, OPEN, OutputOptions(format="csv"), str(out), state)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(cursor, "save_cursor", lost)
+        with pytest.raises(OSError):
+            run_folder(*args, as_of_ms=NOW)
+    got = run_folder(*args, as_of_ms=NOW)
+    assert spark.read.option("header", True).csv(f"{out}/accepted").count() == got["accepted"] > 0
+    assert spark.read.text(f"{out}/dead").count() == got["dropped"]
+
+
+def test_only_unreadable_parquet(spark, tmp_path):
+    (tmp_path / "x.parquet").write_text("nothing")
+    [row] = S.directory_points(spark, str(tmp_path), MAPPING, as_of_ms=NOW).collect()
+    assert (row.error_code, row.raw.rsplit("/")[-1], row.metrics) == ("FILE_READ_ERROR", "x.parquet", None)
