@@ -16,6 +16,7 @@ from pointgate.plans.fixtures import AS_OF_MS, ms, pick, table, text
 from pointgate.plans.registry import register
 from pointgate.session import scratch_path
 from pointgate.sources.messages import decode_csv_bodies, decode_datagrams, decode_kafka, decode_pages, read_landed
+from pointgate.streaming.run import run_for
 
 AS_OF_NS = AS_OF_MS * 1_000_000
 
@@ -596,19 +597,20 @@ def rest_pages_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "rest_pages_cursor",
     f"""
-WITH {_PAGE_SQL}, last AS (SELECT max(page_no) AS page FROM items)
-SELECT page_no, 0 AS item_no, ns AS timestamp_ns, CAST(NULL AS VARCHAR) AS feed, value AS metric_0,
+WITH {_PAGE_SQL}
+SELECT event_id AS page_no, 0 AS item_no, ns AS timestamp_ns, CAST(NULL AS VARCHAR) AS feed, value AS metric_0,
        CAST(NULL AS VARCHAR) AS error_code
-FROM items, last WHERE item_no = 0 AND page_no <= greatest(page // 3, 1)
+FROM items WHERE event_id < (SELECT max(event_id) FROM items)
 """,
 )
 def rest_pages_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Object pages: the first item is the record; a cursor that is a number ends the visit."""
-    pages = _pages(spark, sf_dir)
-    third = pages.agg(F.greatest(F.call_function("div", F.max("page_no"), F.lit(3)), F.lit(1)).alias("m")).scalar()
-    cursor = F.when(F.col("page_no") < third, F.lit('"next"')).otherwise(F.lit("5"))
-    body = text('{"o":[', F.array_join("items", ","), '],"meta":{"next":', cursor, "}}")
-    pages = pages.select("page_no", body.alias("body"))
+    """Object pages of one record each; a cursor that is a number ends the visit before the last page."""
+    events = table(spark, sf_dir, "events")
+    ends = F.col("event_id") >= events.agg(F.max("event_id") - 1).scalar()
+    cursor = F.when(ends, F.lit("5")).otherwise(F.lit('"next"'))
+    item = text('{"v":', F.col("value"), ',"t":', ms("ts"), "}")
+    body = text('{"o":[', item, '],"meta":{"next":', cursor, "}}")
+    pages = events.select(F.col("event_id").alias("page_no"), body.alias("body"))
     mapping = PathMapping(("o.0.v",), "o.0.t")
     return shown(
         decode_pages(pages, mapping, cursor_path="meta.next", as_of_ms=AS_OF_MS), "page_no", "item_no", metrics=1
@@ -693,7 +695,11 @@ def raw_stream_oversize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "landed")
     documents.select("doc_id", message.alias("raw")).write.parquet(path)
-    landed = read_landed(spark, path, form="parquet", schema="doc_id bigint, raw string")
+    landed = read_landed(spark, path, form="parquet", schema="doc_id bigint, raw string", streaming=True)
     points = decode_feed(landed, "kraken", as_of_ms=AS_OF_MS, max_bytes=4096)
     told = F.when(F.col("error_code").isNull(), F.lit("small")).otherwise(F.col("raw"))
-    return shown(points.withColumn("raw", told), "doc_id", raw=True)
+    out = scratch_path(spark, "decoded")
+    writer = shown(points.withColumn("raw", told), "doc_id", raw=True).writeStream.format("parquet")
+    writer = writer.option("checkpointLocation", scratch_path(spark, "stream-state")).trigger(availableNow=True)
+    run_for(writer.start(out), None)
+    return spark.read.parquet(out)

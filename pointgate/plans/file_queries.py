@@ -13,8 +13,9 @@ from pointgate.operators.counts import counts_per_file
 from pointgate.operators.gate import apply_checks
 from pointgate.operators.normalize import normalize_columns, normalize_csv, normalize_json_map
 from pointgate.operators.points import metric_columns, output_columns
-from pointgate.options import GateOptions, OutputOptions, PointMapping, TimeSpec
+from pointgate.options import Bound, GateOptions, OutputOptions, PointMapping, TimeSpec
 from pointgate.plans.fixtures import AS_OF_MS, ms, pick, table, text, write_lines
+from pointgate.plans.folder import run_folder
 from pointgate.plans.registry import register
 from pointgate.session import scratch_path
 from pointgate.sources import cursor as resume
@@ -323,7 +324,7 @@ def json_wrapped_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("\n[", F.col("items"), "]"),
     )
     path = scratch_path(spark, "json")
-    listed.select(body.alias("value")).repartition(8).write.option("maxRecordsPerFile", 1).text(path)
+    listed.select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     points = json_points(read_json(spark, path), _JSON_MAPPING, AS_OF_MS)
     return _with_id(points).select(
         "event_id",
@@ -417,7 +418,7 @@ def _tree(spark: SparkSession, sf_dir: str) -> str:
         part(i).write.option("header", True).option("sep", sep).option("extension", name).csv(f"{root}/{name}")
     grouped = part(2).groupBy(F.call_function("div", F.col("event_id"), F.lit(1000)).alias("g"))
     wrapped = grouped.agg(F.collect_list(F.struct("event_id", "ts_ms", "price", "volume")).alias("rows"))
-    wrapped.select("rows").repartition(8).write.option("maxRecordsPerFile", 1).json(f"{root}/deep/json")
+    wrapped.select("rows").write.option("maxRecordsPerFile", 1).json(f"{root}/deep/json")
     part(3).write.parquet(f"{root}/deep/parquet")
     return root
 
@@ -490,3 +491,83 @@ def resume_by_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     run(2).write.parquet(f"{out}/run=b")
     both = spark.read.parquet(f"{out}/run=a", f"{out}/run=b")
     return both.select("timestamp_ns", *metric_columns(["metric_0", "metric_1"]), "run")
+
+
+_RUN_GATE = GateOptions(future_tolerance_ms=10**15, stale_tolerance_ms=10**15, bounds={0: Bound(max=400.0)})
+
+
+def _read_run(spark: SparkSession, out: str) -> DataFrame:
+    """Both outputs of folder runs, with the number of their run."""
+    good = spark.read.parquet(f"{out}/accepted").select(
+        "run", F.lit("accepted").alias("output"), "timestamp_ns", F.col("price").alias("metric_0"),
+        F.col("volume").alias("metric_1"), F.lit(None).cast("string").alias("reason_code"),
+    )
+    bad = spark.read.parquet(f"{out}/dead").select(
+        "run", F.lit("dead letter").alias("output"),
+        F.when(F.col("reason_code") != "FILE_READ_ERROR", F.col("timestamp_ns")).alias("timestamp_ns"),
+        F.col("observed").alias("metric_0"), F.lit(None).cast("double").alias("metric_1"), "reason_code",
+    )
+    return good.unionByName(bad)
+
+
+@register(
+    "directory_with_bad_files",
+    f"""
+SELECT 1 AS run, CASE WHEN value <= 400.0 THEN 'accepted' ELSE 'dead letter' END AS output, {_NS} AS timestamp_ns,
+       value AS metric_0, CASE WHEN value <= 400.0 THEN {_K} END AS metric_1,
+       CASE WHEN value > 400.0 THEN 'ABOVE_MAX' END AS reason_code, 0 AS failed_files
+FROM events
+UNION ALL
+SELECT 1, 'dead letter', NULL, NULL, NULL, 'FILE_READ_ERROR', 1 FROM nation WHERE n_nationkey = 0
+""",
+)
+def directory_with_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in files of four formats, and among them a file whose name says Parquet and whose bytes do not."""
+    root, out = _tree(spark, sf_dir), scratch_path(spark, "folder-out")
+    odd = table(spark, sf_dir, "nation").select("n_name").coalesce(1)
+    odd.write.text(f"{root}/odd/text")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{root}/odd/text")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        if status.getPath().getName().startswith("part-"):
+            files.rename(status.getPath(), hadoop.Path(f"{root}/odd/nations.parquet"))
+    done = run_folder(
+        spark, root, MAPPING, _RUN_GATE, OutputOptions(), out, scratch_path(spark, "state"),
+        as_of_ms=AS_OF_MS, dead_letter_text=False,
+    )
+    failed = F.when(F.col("reason_code") == "FILE_READ_ERROR", F.lit(done["failed"])).otherwise(F.lit(0))
+    return _read_run(spark, out).withColumn("failed_files", failed)
+
+
+@register(
+    "folder_run_resume",
+    f"""
+SELECT CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS run,
+       CASE WHEN value <= 400.0 THEN 'accepted' ELSE 'dead letter' END AS output, {_NS} AS timestamp_ns,
+       value AS metric_0, CASE WHEN value <= 400.0 THEN {_K} END AS metric_1,
+       CASE WHEN value > 400.0 THEN 'ABOVE_MAX' END AS reason_code, true AS counted
+FROM events
+""",
+)
+def folder_run_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a folder that grows in between; the second reads only what came after the first one's cursor."""
+    root, out, state = (scratch_path(spark, label) for label in ("grows", "folder-out", "state"))
+    fields = table(spark, sf_dir, "events").select(
+        "event_id",
+        ms("ts").alias("ts_ms"),
+        F.col("value").alias("price"),
+        F.get_json_object("props", "$.k").cast("double").alias("volume"),
+    )
+    first = F.pmod("event_id", F.lit(3)) == 0
+    counted = F.lit(0)
+    for day, part in ((1, fields.filter(first)), (2, fields.filter(~first))):
+        part.write.option("header", True).csv(f"{root}/day={day}")
+        done = run_folder(
+            spark, root, MAPPING, _RUN_GATE, OutputOptions(), out, state,
+            as_of_ms=AS_OF_MS, complete=day == 2, dead_letter_text=False,
+        )
+        counted = F.when(F.col("run") == day, F.lit(done["accepted"] + done["dropped"])).otherwise(counted)
+    rows = _read_run(spark, out)
+    sizes = rows.groupBy("run").agg((F.count("*") == F.first(counted)).alias("counted"))
+    return rows.join(F.broadcast(sizes), "run")  # one row per run

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pointgate.operators.gate import apply_checks
 from pointgate.operators.normalize import normalize_columns
 from pointgate.operators.points import with_point
-from pointgate.options import OutputOptions, PointMapping, TimeSpec
+from pointgate.options import GateOptions, OutputOptions, PointMapping, TimeSpec
 from pointgate.plans.fixtures import AS_OF_MS, event_points, table, text
 from pointgate.plans.gate_queries import (
     ALL_BOUND_RULES,
@@ -288,8 +291,13 @@ def daily_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams ---------------------------------------------------------------------------------------------
 
 
-def _landed_points(spark: SparkSession, sf_dir: str, slices: int) -> DataFrame:
-    """A stream of point files that arrive slice by slice in time order, one file folder per micro-batch."""
+def _run_by_slices(
+    spark: SparkSession, sf_dir: str, slices: int, begin: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Land event points slice by slice in time order; after each, ``begin`` starts the stream anew on the folder.
+
+    The query takes what is new and ends; its checkpoint carries files done and baselines to the next start.
+    """
     points = event_points(spark, sf_dir).select(
         "event_id", "user_id", "event_type", "timestamp_ns", "metrics", "feed", "raw", "parse_error", "error_code"
     )
@@ -300,47 +308,39 @@ def _landed_points(spark: SparkSession, sf_dir: str, slices: int) -> DataFrame:
     for i in range(slices):
         low = span.lo + i * step
         part = points.filter((F.col("timestamp_ns") >= low) & (F.col("timestamp_ns") < low + step))
-        part.coalesce(1).write.mode("append").parquet(root)
-    return spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(root)
+        part.write.mode("append").parquet(root)
+        run_for(begin(spark.readStream.schema(points.schema).parquet(root)), None)
 
 
 @register("stream_spike_equals_batch", spikes_only_sql("event_type"))
 def stream_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keyed state carries over micro-batches: same result as the batch check."""
-    stream = _landed_points(spark, sf_dir, 3)
+    """The keyed state carries over micro-batches and restarts: same result as the batch check."""
     opts = options(spike_max_delta={0: 100.0}, **WIDE)
-    gated = stream_spikes(apply_checks(stream, opts, AS_OF_MS, 2), opts, "event_type", ORDER)
-    out = scratch_path(spark, "stream-out")
-    query = (
-        shown(gated, "baseline")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", scratch_path(spark, "stream-state"))
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    run_for(query, None)
+    out, state = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
+
+    def begin(stream: DataFrame) -> StreamingQuery:
+        gated = stream_spikes(apply_checks(stream, opts, AS_OF_MS, 2), opts, "event_type", ORDER)
+        writer = shown(gated, "baseline").writeStream.format("parquet").option("checkpointLocation", state)
+        return writer.trigger(availableNow=True).start(out)
+
+    _run_by_slices(spark, sf_dir, 3, begin)
     return spark.read.parquet(out)
 
 
-@register(
-    "stream_gate_equals_batch",
-    GATED_SQL
-    + """
-SELECT 'accepted' AS output, timestamp_ns, event_type AS feed, metric_0, metric_1 FROM gated WHERE status = 'accepted'
-UNION ALL
-SELECT 'dead letter', timestamp_ns, NULL, NULL, NULL FROM gated WHERE status = 'rejected'
-""",
-)
-def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole gate on a stream, both outputs per micro-batch."""
-    stream = _landed_points(spark, sf_dir, 3)
-    opts = options(**FULL)
-    gated = gate_stream(stream, opts, "event_type", ORDER, AS_OF_MS, 2)
-    good, bad = scratch_path(spark, "accepted"), scratch_path(spark, "dead")
-    query = start(
-        gated, good, bad, scratch_path(spark, "stream-state"), 2, OutputOptions(format="jsonl"), opts, AS_OF_MS
-    )
-    run_for(query, None)
+_OUTPUTS = ("SELECT 'accepted' AS output, timestamp_ns, event_type AS feed, metric_0, metric_1 FROM {} "
+            "WHERE status = 'accepted' UNION ALL "
+            "SELECT 'dead letter', timestamp_ns, NULL, NULL, NULL FROM {} WHERE status = 'rejected'")
+
+
+def _stream_outputs(spark: SparkSession, sf_dir: str, opts: GateOptions, key: str | None, slices: int) -> DataFrame:
+    """Both outputs of a stream that is started once per slice, read back."""
+    good, bad, state = (scratch_path(spark, label) for label in ("accepted", "dead", "stream-state"))
+
+    def begin(stream: DataFrame) -> StreamingQuery:
+        gated = gate_stream(stream, opts, key, ORDER, AS_OF_MS, 2)
+        return start(gated, good, bad, state, 2, OutputOptions(format="jsonl"), opts, AS_OF_MS)
+
+    _run_by_slices(spark, sf_dir, slices, begin)
     accepted = spark.read.schema("timestamp_ns bigint, feed string, metric_0 double, metric_1 double").json(
         f"{good}/*"
     )
@@ -355,3 +355,43 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
             none.cast("double").alias("metric_1"),
         )
     )
+
+
+@register("stream_gate_equals_batch", GATED_SQL + _OUTPUTS.format("gated", "gated"))
+def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole gate on a stream, both outputs per micro-batch."""
+    return _stream_outputs(spark, sf_dir, options(**FULL), "event_type", 2)
+
+
+@register("stream_restart", f"{_V_SQL}, r AS (SELECT *, m0 AS metric_0, m1 AS metric_1 FROM v) " + _OUTPUTS.format("r", "r"))
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stateless checks on a stream that is stopped and started again as files arrive: no record twice, none lost."""
+    return _stream_outputs(spark, sf_dir, options(**{**FULL, "spike_max_delta": {}}), None, 3)
+
+
+@register(
+    "header_check",
+    """
+SELECT l_quantity AS qty, l_extendedprice AS amount, epoch_us(l_shipdate) * 1000 AS timestamp_ns, true AS refused
+FROM lineitem, range(2)
+""",
+)
+def header_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appending under other headers is refused before anything is written; under the same ones it is done."""
+    lines = table(spark, sf_dir, "lineitem")
+    mapping = PointMapping({"l_quantity": 0, "l_extendedprice": 1}, 2, TimeSpec(field="l_shipdate"))
+    checked = apply_checks(normalize_columns(lines, mapping, F.lit(""), AS_OF_MS), options(replay_mode=True), AS_OF_MS, 2)
+    path = scratch_path(spark, "headers")
+    refused = False
+    for headers in (("qty", "amount"), ("amount", "qty"), ("qty", "amount")):
+        try:
+            write_accepted(checked, path, 2, OutputOptions(format="csv", headers=headers), AS_OF_MS)
+        except ValueError:
+            refused = headers == ("amount", "qty")
+    back = spark.read.option("header", True).csv(path)
+    return back.select(
+        F.col("qty").cast("double").alias("qty"),
+        F.col("amount").cast("double").alias("amount"),
+        F.col("timestamp_ns").cast("bigint").alias("timestamp_ns"),
+        F.lit(refused).alias("refused"),
+    )
