@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointgate.llm.text import fold, prepare
@@ -18,11 +18,14 @@ def labelled_sample(
     max_rows: int = 10_000,
     max_chars: int = 30_000_000,
 ) -> pd.DataFrame:
-    """Whole texts with label 0 or 1, at most ``max_rows`` rows and about ``max_chars`` code points, on the driver.
+    """Whole texts with label 0 or 1, at most ``max_rows`` rows and ``max_chars`` code points, on the driver.
 
     Rows come in the order of a hash of their id, so the sample does not depend on partitions.  Ids of the held-out
-    remainder, null ids, other label values and ids with contradicting labels are left out.  The two bounds are what
-    the driver may hold; texts that do not fit are passed over, never cut.  Columns: doc_id, text, lang, label.
+    remainder, null ids, other label values and ids with contradicting labels are left out; of an id with several
+    texts the shortest counts.  The two bounds are what the driver may hold; texts that do not fit are passed over,
+    never cut.  If that leaves out a label that exists, or nearly all rows, each label is searched by itself for half
+    of the bounds, by hash and then the shortest first; if this fails too, a ValueError says so.
+    Columns: doc_id, text, lang, label.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -41,14 +44,54 @@ def labelled_sample(
     sizes = (
         texts.select("doc_id", F.length("text").alias("__chars"))
         .join(chosen, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "__chars")
-        .limit(max_rows)
-        .toPandas()
-        .drop_duplicates("doc_id")
+        .groupBy("doc_id", "__label")
+        .agg(F.min("__chars").alias("__chars"))
     )
-    sizes = sizes[sizes["__chars"].cumsum() <= max_chars][["doc_id", "__label"]]
-    if sizes.empty:
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    taken = first_that_fit(sizes, by_hash, max_rows, max_chars)
+    if lacks(taken):
+        usable = {r["__label"]: r["count"] for r in sizes.groupBy("__label").count().collect()}
+        for order in (by_hash, [F.col("__chars"), *by_hash]):
+            if not lacks(taken, usable):
+                break
+            parts = [
+                first_that_fit(sizes.where(F.col("__label") == k), order, max_rows // 2, max_chars // 2) for k in (0, 1)
+            ]
+            taken = pd.concat(parts, ignore_index=True)
+        if lacks(taken, usable):
+            raise ValueError(
+                f"of {usable} usable texts by {label}, {len(taken)} fit into {max_rows} rows and {max_chars} code points"
+            )
+    if taken.empty:
         return pd.DataFrame({"doc_id": [], "text": [], "lang": [], "label": []})
-    ids = spark.createDataFrame(sizes.astype({"doc_id": "int64", "__label": "int32"}))
-    got = texts.join(F.broadcast(ids), "doc_id").toPandas().rename(columns={"__label": "label"})
-    return got.sort_values(["doc_id", "text"]).drop_duplicates("doc_id").reset_index(drop=True)
+    ids = spark.createDataFrame(taken.astype({"doc_id": "int64", "__label": "int32", "__chars": "int32"}))
+    got = (
+        texts.withColumn("__chars", F.length("text"))
+        .join(F.broadcast(ids), ["doc_id", "__chars"])
+        .groupBy("doc_id", F.col("__label").alias("label"))
+        .agg(F.min(F.struct("text", "lang")).alias("row"))
+        .select("doc_id", "row.text", "row.lang", "label")
+        .toPandas()
+    )
+    return got.sort_values("doc_id").reset_index(drop=True)
+
+
+#: Fewer rows than this are too few to fit on when there are more.
+LEAST_ROWS = 10
+
+
+def lacks(taken: pd.DataFrame, usable: dict[int, int] | None = None) -> bool:
+    """Whether a label or most rows are missing, of those that are ``usable`` (by default: of both labels, enough)."""
+    if usable is None:
+        return taken["__label"].nunique() < 2 or len(taken) < LEAST_ROWS
+    return set(taken["__label"]) != set(usable) or len(taken) < min(LEAST_ROWS, sum(usable.values()))
+
+
+def first_that_fit(sizes: DataFrame, order: list[Column], max_rows: int, max_chars: int) -> pd.DataFrame:
+    """Rows in order, each taken if it still fits; a text longer than the whole bound takes no place among the rows."""
+    rows = sizes.where(F.col("__chars") <= max_chars).orderBy(*order).limit(max_rows).toPandas()
+    total, fits = 0, []
+    for chars in rows["__chars"]:
+        fits.append(total + chars <= max_chars)
+        total += chars if fits[-1] else 0
+    return rows[pd.Series(fits, index=rows.index, dtype=bool)]
