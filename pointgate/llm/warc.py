@@ -11,6 +11,7 @@ Tasks write to the shared folder under names of their own; the list of files tha
 so a repeated or lost task leaves no double record.  ``pyarrow`` opens the folder by its URI.
 
 A null or empty html is an empty payload.  Rows that repeat a ``page_id`` are written each; the smallest url first.
+Where they have several payloads, the digest of a revisit tells which one it refers to.
 A row without ``page_id`` is written under the id -1 and is never referred to.  An empty table gives no bundles.
 """
 
@@ -152,12 +153,12 @@ def plan_records(pages: DataFrame, options: WarcOptions) -> DataFrame:
     Only ids and digests are grouped, partial sums first; a third of all pages under one digest is one row per task.
     """
     rows = pages.select(
-        F.coalesce(F.col("page_id").cast("long"), F.lit(-1)).alias("page_id"),
+        F.col("page_id").cast("long").alias("page_id"),
         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"),
-    )
-    narrow = rows.select("page_id", F.sha1("payload").alias("digest"), F.length("payload").alias("bytes"), "url")
-    shared = narrow.where((F.col("bytes") >= options.min_revisit_bytes) & (F.col("page_id") >= 0))
+    ).withColumn("digest", F.sha1("payload"))
+    narrow = rows.select("page_id", "digest", F.length("payload").alias("bytes"), "url")
+    shared = narrow.where((F.col("bytes") >= options.min_revisit_bytes) & F.col("page_id").isNotNull())
     first = (
         shared.groupBy("digest")
         .agg(F.min(F.struct("page_id", "url")).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -166,10 +167,12 @@ def plan_records(pages: DataFrame, options: WarcOptions) -> DataFrame:
     revisits = (
         shared.join(first, "digest")
         .where(F.struct("page_id", "url") != F.col("first"))
-        .select("page_id", "url", F.col("first.page_id").alias("refers_to"), F.lit(True).alias("again"))
+        .select("page_id", "url", "digest", F.col("first.page_id").alias("refers_to"), F.lit(True).alias("again"))
         .distinct()
     )
-    return rows.join(revisits, ["page_id", "url"], "left")
+    # One row per key, so no page is doubled; a null id meets none.
+    planned = rows.join(revisits, ["page_id", "url", "digest"], "left").drop("digest")
+    return planned.withColumn("page_id", F.coalesce("page_id", F.lit(-1)))
 
 
 def write_archives(pages: DataFrame, folder: str, options: WarcOptions = WarcOptions()) -> DataFrame:
