@@ -7,7 +7,7 @@ normalised over the classes; the second is ``(c + 1) / (tokens + distinct + 1)``
 left for tokens never seen.  The probabilities of all tokens add up to one.
 
 What is learned covers all training documents: token counts, class counts and counts of class triples are summed by
-Spark.  The driver sees the triples (at most ``classes ** 3``) and one row per class, whatever the input.
+Spark, and every fitting step takes its gradient over all counted triples.  The driver sees the triples (at most ``classes ** 3``) and one row per class, whatever the input.
 
 Counts reach the texts by chunks: texts are dealt into chunks by a hash, each chunk asks once for each of its
 distinct tokens, and counts and texts of a chunk meet again in one task.  A token that every text holds is one row

@@ -1,8 +1,9 @@
 """A log-bilinear model of classes, fitted by noise-contrastive estimation.
 
 The score of class w after classes u, v is ``R[w] . (P[u] + Q[v]) + b[w]``.  Noise-contrastive estimation tells counted
-triples from noise drawn from the class frequencies, so fitting needs no normalisation.  ``log_table`` then
-normalises over all classes with batched matrix products.
+triples from noise after the class frequencies, so fitting needs no normalisation.  Nothing is drawn: every step takes
+the gradient over all counted triples, each weighted by its count, and the expected gradient over the noise.
+``log_table`` then normalises over all classes with batched matrix products.
 """
 
 from __future__ import annotations
@@ -32,42 +33,44 @@ class LogBilinear:
             second += 0.01 * (g * g - second)
             mean = first / (1 - 0.9**self.steps)
             size = np.sqrt(second / (1 - 0.99**self.steps))
-            self.parts[name] -= (rate * mean / (size + 1e-8)).astype(np.float32)
+            self.parts[name] -= (rate * mean / (size + 1e-12)).astype(np.float32)
 
     def fit(
         self, triples: np.ndarray, counts: np.ndarray, steps: int = 500, batch: int = 4096, noise: int = 64,
-        rate: float = 0.02, seed: int = 6,
+        rate: float = 0.02, prior: float = 10.0,
     ) -> LogBilinear:
-        """``triples``: rows (u, v, w); each is drawn in proportion to its count."""
+        """``triples``: rows (u, v, w); each counts as often as it was seen, in every step.
+
+        ``noise``: noise per counted triple.  ``batch``: contexts (u, v) held at once; the result does not depend on it.
+        ``prior``: so many triples' worth of pull towards zero, which fades as counts grow.
+        """
         if len(triples) == 0:
             return self
-        random = np.random.default_rng(seed)
         share = np.bincount(triples[:, 2], counts.astype(np.float64), self.classes)
         share = (share + 0.5 * (share > 0)) / (share + 0.5 * (share > 0)).sum()
         log_noise = np.log(np.maximum(share, 1e-12) * noise).astype(np.float32)
         self.parts["b"] = np.log(np.maximum(share, 1e-9)).astype(np.float32)
-        total = np.cumsum(counts, dtype=np.float64)
-        edges = np.cumsum(share)
+        seen = np.zeros((self.classes, self.classes, self.classes), np.float32)
+        np.add.at(seen, tuple(triples.T), (counts / counts.sum(dtype=np.float64)).astype(np.float32))
+        fade = prior / float(counts.sum(dtype=np.float64))
+        drawn = (noise * share).astype(np.float32)
+        firsts = np.flatnonzero(seen.any(axis=(1, 2)))
+        width = max(1, batch // self.classes)
         for turn in range(steps):
-            drawn = triples[np.searchsorted(total, random.random(batch) * total[-1], side="right")]
-            u, v, w = drawn.T
-            other = np.minimum(np.searchsorted(edges, random.random(noise)), self.classes - 1)
             p = self.parts
-            context = p["P"][u] + p["Q"][v]
-            seen = np.einsum("nd,nd->n", context, p["R"][w]) + p["b"][w] - log_noise[w]
-            unseen = context @ p["R"][other].T + p["b"][other] - log_noise[other]
-            pull = 1 / (1 + np.exp(np.clip(seen, -30, 30)))  # how wrong about a counted class
-            push = 1 / (1 + np.exp(-np.clip(unseen, -30, 30)))  # how wrong about noise
-            back = -pull[:, None] * p["R"][w] + push @ p["R"][other]
-            to_w = np.zeros_like(p["R"])
-            np.add.at(to_w, w, -pull[:, None] * context)
-            np.add.at(to_w, other, push.T @ context)
-            to_p, to_q = np.zeros_like(p["P"]), np.zeros_like(p["Q"])
-            np.add.at(to_p, u, back)
-            np.add.at(to_q, v, back)
-            to_b = -np.bincount(w, pull, self.classes)
-            to_b += np.bincount(other, push.sum(axis=0), self.classes)
-            gradients = {"P": to_p / batch, "Q": to_q / batch, "R": to_w / batch, "b": to_b / batch}
+            gradients = {name: np.zeros_like(v) if name == "b" else np.float32(fade) * v for name, v in p.items()}
+            for begin in range(0, len(firsts), width):
+                u = firsts[begin : begin + width]
+                context = (p["P"][u][:, None] + p["Q"][None]).reshape(-1, p["P"].shape[1])
+                counted = seen[u].reshape(-1, self.classes)
+                noisy = counted.sum(axis=1)[:, None] * drawn
+                alike = 1 / (1 + np.exp(-np.clip(context @ p["R"].T + (p["b"] - log_noise), -30, 30)))
+                wrong = (counted + noisy) * alike - counted  # noise taken for counted, less counted taken for noise
+                back = (wrong @ p["R"]).reshape(len(u), self.classes, -1)
+                gradients["P"][u] = back.sum(axis=1)
+                gradients["Q"] += back.sum(axis=0)
+                gradients["R"] += wrong.T @ context
+                gradients["b"] += wrong.sum(axis=0)
             self.step(gradients, rate * (1 - turn / steps) + 1e-4)
         return self
 
