@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pointgate.llm.collocation import collocations
 from pointgate.llm.decontaminate import leaks
 from pointgate.llm.fingerprints import edited_fingerprints
 from pointgate.llm.langid import identify
 from pointgate.llm.linededup import edited
 from pointgate.llm.lm import lm_scores
 from pointgate.llm.neardup import near_classes
+from pointgate.llm.oracles import OP9_SQL, OP13_SQL
 from pointgate.llm.packing import packed
 from pointgate.llm.quality import quality_scores
 from pointgate.llm.toxicity import toxicity_scores
@@ -65,39 +67,20 @@ def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-OP9_SQL = """
-WITH cut AS (
-  SELECT doc_id, text, coalesce(source, '') AS site, string_split(text, chr(10)) AS parts FROM documents
-), lines AS (
-  SELECT doc_id, site, unnest(range(len(parts))) AS place, unnest(parts) AS line FROM cut
-), keyed AS (
-  SELECT doc_id, site, place, line, trim(line, ' ') AS key, length(trim(line, ' ')) >= 20 AS long_enough FROM lines
-), shared AS (
-  SELECT key, min({'d': doc_id, 'p': place}) AS first
-  FROM keyed WHERE long_enough GROUP BY key HAVING count(DISTINCT site) >= 5
-), marked AS (
-  SELECT k.doc_id, k.place, k.line,
-         k.long_enough AND s.key IS NOT NULL AND NOT (s.first.d = k.doc_id AND s.first.p = k.place) AS gone
-  FROM keyed k LEFT JOIN shared s ON k.key = s.key AND k.long_enough
-), kept AS (
-  SELECT doc_id, count(*) AS n_lines, sum(CASE WHEN gone THEN 1 ELSE 0 END)::BIGINT AS n_removed,
-         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text
-  FROM marked GROUP BY doc_id
-)
-SELECT c.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, md5(k.text) AS text_md5
-FROM cut c LEFT JOIN kept k ON c.doc_id = k.doc_id
-"""
-
-
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(table(spark, sf_dir, "pages"))
 
 
+def op13_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents")).drop("first")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality, op2_fingerprints, op3_lm, op4_neardup, op5_packing,
         op6_decontaminate, op7_langid, op8_toxicity, op9_linededup, op10_warc,
+        op13_collocation,
     )
 }
-ORACLES: dict[str, str] = {"op9_linededup": OP9_SQL.strip()}
+ORACLES: dict[str, str] = {"op9_linededup": OP9_SQL.strip(), "op13_collocation": OP13_SQL.strip()}
