@@ -66,3 +66,50 @@ SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DES
 FROM kept k JOIN totals t ON t.lang = k.lang
 QUALIFY rank <= 2000
 """
+
+_KIND_PATTERNS = {  # in the order in which finds at one place are listed: pattern, group that counts, its least length
+    "assign": (
+        "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
+        "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 6,
+    ),
+    "access": ("AKIA[A-Z0-9]+", 0, 20),
+    "hex": ("[0-9a-f]+", 0, 24),
+    "github": ("gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    "slack": ("xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+    "google": ("AIza[A-Za-z0-9_-]+", 0, 39),
+    "stripe": ("[rs]k_live_[A-Za-z0-9]+", 0, 24),
+    "jwt": ("eyJ[A-Za-z0-9_-]{8,}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]+", 0, 0),
+    "pem": ("-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+}
+
+#: A find begins after the texts between finds and the finds before it.
+_FINDS = """
+  SELECT row, {order} AS kind_order, '{kind}' AS kind, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
+           'start': list_sum(list_transform(p[1:i], lambda x: length(x)))
+                    + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
+           'size': length(m[i]), 'counted': length(g[i])}})) AS found, {least} AS least
+  FROM (SELECT row, string_split_regex(text, '{pattern}') AS p, regexp_extract_all(text, '{pattern}', 0) AS m,
+               regexp_extract_all(text, '{pattern}', {group}) AS g FROM docs WHERE regexp_matches(text, '{pattern}'))
+"""
+
+OP11_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), finds AS ({" UNION ALL ".join(
+    _FINDS.format(order=k, kind=kind, pattern=pattern, group=group, least=least)
+    for k, (kind, (pattern, group, least)) in enumerate(_KIND_PATTERNS.items())
+)}), spans AS (
+  SELECT row, kind, kind_order, found.start::BIGINT AS start,
+         concat_ws(':', kind, found.start::BIGINT, (found.start + found.size)::BIGINT) AS span
+  FROM finds WHERE found.counted >= least
+), per_row AS (
+  SELECT row, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY start, kind_order) FILTER (WHERE kind_order < 3) AS base,
+         string_agg(span, ',' ORDER BY start, kind_order) AS spans
+  FROM spans GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN per_row USING (row)
+"""

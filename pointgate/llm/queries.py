@@ -15,9 +15,10 @@ from pointgate.llm.langid import identify
 from pointgate.llm.linededup import edited
 from pointgate.llm.lm import lm_scores
 from pointgate.llm.neardup import near_classes
-from pointgate.llm.oracles import OP9_SQL, OP13_SQL
+from pointgate.llm.oracles import OP9_SQL, OP11_SQL, OP13_SQL
 from pointgate.llm.packing import packed
 from pointgate.llm.quality import quality_scores
+from pointgate.llm.secretscan import BASE_RULES, listed, secret_spans
 from pointgate.llm.toxicity import toxicity_scores
 from pointgate.llm.warc import archive
 
@@ -71,6 +72,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(table(spark, sf_dir, "pages"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = [r.name for r in BASE_RULES]
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return secret_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", *map(number, kinds), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
 def op13_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents")).drop("first")
 
@@ -80,7 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality, op2_fingerprints, op3_lm, op4_neardup, op5_packing,
         op6_decontaminate, op7_langid, op8_toxicity, op9_linededup, op10_warc,
-        op13_collocation,
+        op11_secrets, op13_collocation,
     )
 }
-ORACLES: dict[str, str] = {"op9_linededup": OP9_SQL.strip(), "op13_collocation": OP13_SQL.strip()}
+ORACLES: dict[str, str] = {"op9_linededup": OP9_SQL.strip(), "op11_secrets": OP11_SQL.strip(), "op13_collocation": OP13_SQL.strip()}
