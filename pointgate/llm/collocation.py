@@ -4,13 +4,13 @@ Texts (null: empty) are lower-cased (A-Z) and cut into pieces at ``[.,;:!?\\x0A-
 ``[^\\x20\\x09]+``.  A task lays the words of many texts end to end with one space between them and keeps the prefix
 polynomials of these bytes modulo 2^64, so the fingerprint of any run of words is one subtraction and one product.
 
-1. Fingerprints are counted by length: words, pairs, then longer runs.  A run is frequent only if its parts are, so a
-   level counts only runs whose words (pairs) passed the level before.  What passed is sent to the tasks as a bitmap
-   of fixed size: a false hit is counted in vain and dropped later, and a crowded bitmap only spares less work.
+1. Fingerprints are counted: first of pairs, then of longer runs.  A run is frequent only if its parts are, so the
+   second pass counts only runs of frequent pairs.  What is frequent goes to the tasks as a bitmap of fixed size: a
+   false hit is counted in vain and dropped later, and a crowded bitmap only spares less work.
 2. One more pass verifies the frequent fingerprints against the text: within a task all occurrences of a fingerprint
-   are compared word by word, and the shuffle adds them up by the phrase itself, with a pointer (document, byte) to the
-   first occurrence.  Phrases that share a fingerprint part here, so counts are exact; only frequent phrases are ever
-   materialised.
+   are compared word by word, and the shuffle adds them up by the phrase itself, with a pointer to the first document
+   that holds it.  Phrases that share a fingerprint part here, so counts are exact; only frequent phrases, and the
+   words of frequent pairs, are ever materialised.
 3. Joins score each candidate by its weakest cut and drop those that a longer phrase covers.
 
 All counts are per language (null: ``und``).  Rows that repeat are counted each.  Null and empty texts have no words.
@@ -37,6 +37,8 @@ class PhraseOptions:
     top: int = 2000
     #: A phrase is dropped if a longer one holds it with at least this share (percent) of its occurrences.
     covered: int = 80
+    #: Bits of a fingerprint as it is counted; those that collide are told apart by the text.
+    print_bits: int = 40
     bitmap_bits: int = 25
     block_bytes: int = 2 << 20
 
@@ -89,6 +91,7 @@ class Block:
         self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.starts]
         self.fresh = self.starts >= fresh
         forth, self.back = _powers_for(len(self.bytes) + 1, options)
+        self.mask = np.uint64((1 << options.print_bits) - 1)
         self.prefix = np.zeros(len(self.bytes) + 1, np.uint64)
         np.cumsum(_BYTES[self.bytes] * forth[: len(self.bytes)], out=self.prefix[1:])
 
@@ -99,7 +102,7 @@ class Block:
         begin = self.begin[:count]
         value = (self.prefix[self.end[last]] - self.prefix[begin]) * self.back[begin]
         whole = (self.piece[:count] == self.piece[last]) & self.fresh[last]
-        return mix(value + salt[:count]), whole
+        return mix(value + salt[:count]) & self.mask, whole
 
 
 def blocks(data: np.ndarray, options: PhraseOptions) -> Iterator[tuple[int, int, int]]:
@@ -141,24 +144,29 @@ class Bitmap:
         return (self.bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def passing(block: Block, salt: np.ndarray, known: list[Bitmap], sizes: range) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Size, first words and fingerprints of the fresh runs that may be frequent by what is known of their parts."""
-    prints: dict[int, np.ndarray] = {}
-    if known:
-        words, _ = block.runs(1, salt)
-        prints[1] = known[0].holds(words)
-    if len(known) > 1:
-        pairs, _ = block.runs(2, salt)
-        prints[2] = known[1].holds(pairs)
-    for size in sizes:
+def passing(block: Block, salt: np.ndarray, pairs: Bitmap, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Size, first words and fingerprints of the fresh runs of three words and more all pairs of which are frequent."""
+    prints, _ = block.runs(2, salt)
+    good = pairs.holds(prints)
+    for size in range(3, longest + 1):
         found, may = block.runs(size, salt)
-        part = min(size - 1, len(prints))
-        for shift in range(size - part + 1 if part else 0):
-            may = may & prints[part][shift : shift + len(may)]
+        for shift in range(size - 1):
+            may = may & good[shift : shift + len(may)]
         first = np.flatnonzero(may)
         yield size, first, found[first]
 
 
+def frequent(block: Block, salt: np.ndarray, pairs: Bitmap, others: Bitmap, longest: int):
+    """Size, first words and fingerprints of all fresh runs that seem frequent, and of the words of frequent pairs."""
+    for size, seen in ((1, others), (2, pairs)):
+        found, may = block.runs(size, salt)
+        first = np.flatnonzero(may & seen.holds(found))
+        yield size, first, found[first]
+    for size, first, found in passing(block, salt, pairs, longest):
+        kept = others.holds(found)
+        yield size, first[kept], found[kept]
+
+
 def _lang_salt(langs: list[str]) -> np.ndarray:
     import xxhash
 
@@ -166,7 +174,7 @@ def _lang_salt(langs: list[str]) -> np.ndarray:
 
 
 def _blocks_of(batch: pa.RecordBatch, options: PhraseOptions):
-    """Blocks of a batch with the language salt of each word, the text of each word, and the block's first byte."""
+    """Blocks of a batch with the language salt and the text of each word."""
     data, begins = joined(batch)
     salts = _lang_salt(batch.column("lang").to_pylist())
     for a, b, fresh in blocks(data, options):
@@ -174,7 +182,7 @@ def _blocks_of(batch: pa.RecordBatch, options: PhraseOptions):
         if len(block.starts) == 0:
             continue
         text = np.searchsorted(begins, block.starts + a, side="right") - 1
-        yield block, salts[text], text, begins, a
+        yield block, salts[text], text
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -186,19 +194,26 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_prints(rows: DataFrame, known: list, sizes: range, options: PhraseOptions) -> DataFrame:
-    """Fingerprints of runs of these sizes with at least ``least`` occurrences."""
+def frequent_prints(rows: DataFrame, pairs, options: PhraseOptions) -> DataFrame:
+    """Fingerprints with at least ``least`` occurrences: of pairs, or, once ``pairs`` are known, of longer runs.
+
+    With the longer runs come the words of frequent pairs, whose counts the scores need.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [Bitmap(k(), options.bitmap_bits) for k in known]
+        known = Bitmap(pairs(), options.bitmap_bits) if pairs else None
         for batch in batches:
             for block, salt, *_ in _blocks_of(batch, options):
-                for _, _, prints in passing(block, salt, maps, sizes):
-                    value, times = np.unique(prints, return_counts=True)
-                    if len(value):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(value.view(np.int64)), pa.array(times, pa.int64())], ["print", "n"]
-                        )
+                if known is None:
+                    found, whole = block.runs(2, salt)
+                    yield _counted(found[whole])
+                    continue
+                for _, _, found in passing(block, salt, known, options.longest):
+                    yield _counted(found)
+                found, whole = block.runs(2, salt)
+                first = np.flatnonzero(whole & known.holds(found))
+                words, _ = block.runs(1, salt)
+                yield _counted(words[np.union1d(first, first + 1)], options.least)
 
     return (
         rows.mapInArrow(run, "print long, n long")
@@ -207,6 +222,14 @@ def frequent_prints(rows: DataFrame, known: list, sizes: range, options: PhraseO
     )
 
 
+def _counted(prints: np.ndarray, times: int = 0) -> pa.RecordBatch:
+    """Distinct fingerprints, each with its number here or with ``times``."""
+    value, counts = np.unique(prints, return_counts=True)
+    if times:
+        counts = np.full(len(value), times)
+    return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(counts, pa.int64())], ["print", "n"])
+
+
 def bitmap_of(prints: DataFrame, options: PhraseOptions):
     """The fingerprints as a bitmap of fixed size, shared with the tasks."""
     place = F.col("print").bitwiseAND((1 << options.bitmap_bits) - 1)
@@ -219,27 +242,25 @@ def bitmap_of(prints: DataFrame, options: PhraseOptions):
     return share(prints.sparkSession, bits)
 
 
-def verified(rows: DataFrame, known: list, options: PhraseOptions) -> DataFrame:
-    """lang, phrase (null: all words), words, f, and the first occurrence, of every run that may be frequent."""
-    schema = "lang string, phrase string, words int, f long, doc_id long, at_byte long"
+def verified(rows: DataFrame, pairs, others, options: PhraseOptions) -> DataFrame:
+    """lang, phrase (null: all words), f and first_doc of every run that seems frequent, and of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [Bitmap(k(), options.bitmap_bits) for k in known]
+        maps = [Bitmap(known(), options.bitmap_bits) for known in (pairs, others)]
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             ids = batch.column("doc_id")
-            for block, salt, text, begins, a in _blocks_of(batch, options):
+            for block, salt, text in _blocks_of(batch, options):
                 spans = np.append(block.begin, len(block.bytes))
                 words = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(block.begin),
                     [None, pa.py_buffer(spans), pa.py_buffer(block.bytes)],
                 )
                 codes = words.dictionary_encode().indices.to_numpy()
+                data = block.bytes.tobytes()
                 for lang, times in tokens_by_lang(langs, text[block.fresh]):
-                    yield _batch([lang], [None], 0, [times], [None], [None], schema)
-                for size, first, prints in passing(block, salt, maps, range(1, options.longest + 1)):
-                    kept = maps[min(size, 3) - 1].holds(prints)
-                    first, prints = first[kept], prints[kept]
+                    yield _batch([lang], [None], [times], [None])
+                for size, first, prints in frequent(block, salt, *maps, options.longest):
                     if not len(first):
                         continue
                     _, lead, group, times = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
@@ -252,19 +273,14 @@ def verified(rows: DataFrame, known: list, options: PhraseOptions) -> DataFrame:
                         times = np.bincount(group[same], minlength=len(lead))
                         lead, times = np.append(lead, odd), np.append(times, np.ones(len(odd), np.int64))
                     at = first[lead]
-                    data = block.bytes.tobytes()
                     phrases = [data[p:q] for p, q in zip(block.begin[at].tolist(), block.end[at + size - 1].tolist())]
                     owner = text[at]
-                    yield _batch(
-                        [langs[k] for k in owner.tolist()], phrases, size, times, ids.take(pa.array(owner)),
-                        block.starts[at] + a - begins[owner], schema,
-                    )
+                    yield _batch([langs[k] for k in owner.tolist()], phrases, times, ids.take(pa.array(owner)))
 
     return (
-        rows.mapInArrow(run, schema)
-        .groupBy("lang", "phrase", "words")
-        .agg(F.sum("f").alias("f"), F.min(F.struct("doc_id", "at_byte")).alias("first"))
-        .where(F.col("phrase").isNull() | (F.col("f") >= options.least))
+        rows.mapInArrow(run, "lang string, phrase string, f long, doc_id long")
+        .groupBy("lang", "phrase")
+        .agg(F.sum("f").alias("f"), F.min("doc_id").alias("first_doc"))
     )
 
 
@@ -281,25 +297,26 @@ def tokens_by_lang(langs: list[str], text: np.ndarray) -> Iterator[tuple[str, in
     yield from total.items()
 
 
-def _batch(langs, phrases, size, times, ids, places, schema: str) -> pa.RecordBatch:
-    names = [c.split()[0] for c in schema.split(", ")]
+def _batch(langs, phrases, times, ids) -> pa.RecordBatch:
     phrase = pa.array(phrases, pa.binary()).view(pa.string())
     ids = ids if isinstance(ids, pa.Array) else pa.array(ids, pa.int64())
-    columns = [pa.array(langs, pa.string()), phrase, pa.array([size] * len(langs), pa.int32()),
-               pa.array(times, pa.int64()), ids, pa.array(places, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names)
+    columns = [pa.array(langs, pa.string()), phrase, pa.array(times, pa.int64()), ids]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f", "doc_id"])
 
 
 def phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions()) -> DataFrame:
-    """Every run of 1 to ``longest`` words with at least ``least`` occurrences: lang, phrase, words, f, first.
+    """Every run of 2 to ``longest`` words with at least ``least`` occurrences, and their words: lang, phrase, words, f,
+    first_doc.
 
     Rows without a phrase hold the number of all words of a language.  Written to the shared folder.
     """
     rows = _rows(docs)
-    known: list = []
-    for sizes in (range(1, 2), range(2, 3), range(3, options.longest + 1)):
-        known.append(bitmap_of(frequent_prints(rows, known[:], sizes, options), options))
-    return materialise(verified(rows, known, options), "phrases")
+    pairs = bitmap_of(frequent_prints(rows, None, options), options)
+    others = bitmap_of(frequent_prints(rows, pairs, options), options)
+    found = verified(rows, pairs, others, options)
+    frequent_only = F.col("phrase").isNull() | (F.col("f") >= options.least)
+    words = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1
+    return materialise(found.where(frequent_only).withColumn("words", words), "phrases")
 
 
 def _exact(column: str | Column) -> Column:
@@ -336,14 +353,14 @@ def covering(found: DataFrame) -> DataFrame:
 
 
 def collocations(docs: DataFrame, options: PhraseOptions = PhraseOptions()) -> DataFrame:
-    """The best ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score, first (doc_id, at_byte)."""
+    """The best ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score, first_doc."""
     found = phrases(docs, options)
     totals = found.where("phrase is null").select("lang", F.col("f").alias("n"))
     covered = F.col("longer").isNotNull() & (_exact("longer") * 100 >= _exact("a") * options.covered)
     kept = scored(found).join(covering(found), ["lang", "phrase"], "left").where(~F.coalesce(covered, F.lit(False)))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= options.top)
-    place = found.where("words >= 2").select("lang", "phrase", "first")
+    place = found.where("words >= 2").select("lang", "phrase", "first_doc")
     return best.join(totals, "lang").join(place, ["lang", "phrase"]).select(
-        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "first"
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "first_doc"
     )

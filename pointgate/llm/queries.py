@@ -85,7 +85,7 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collocations(table(spark, sf_dir, "documents")).drop("first")
+    return collocations(table(spark, sf_dir, "documents")).drop("first_doc")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
