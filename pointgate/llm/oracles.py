@@ -113,3 +113,62 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN per_row USING (row)
 """
+
+_PARTS = ("doc_id", "source", "lang", "n_chars", "{text}")
+_LEAF = f"sha256(concat({', '.join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in _PARTS)}))"
+
+OP12_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT *, CASE WHEN xor(list_reduce(
+           list_concat([4294967295::UBIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+           lambda a, c: list_reduce(list_concat([xor(a, c)], [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                    lambda b, z: xor(b >> 1, (b & 1) * 3988292384::UBIGINT))
+         ), 4294967295::UBIGINT) % 3 = 0
+         THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS text_now
+  FROM documents
+), leaves AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '0' ELSE '1' || lang END AS key,
+         {_LEAF.format(text="text")} AS leaf, {_LEAF.format(text="text_now")} AS leaf_now FROM docs
+), placed AS (
+  SELECT *, row_number() OVER () AS row,
+         row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY key) AS cnt
+  FROM leaves
+), nodes AS (
+  SELECT key, 0 AS level, idx, cnt, leaf AS hash FROM placed
+  UNION ALL
+  SELECT key, level + 1, idx // 8, (cnt + 7) // 8, sha256(string_agg(hash, '' ORDER BY idx))
+  FROM nodes WHERE cnt > 1 GROUP BY key, level, idx // 8, cnt
+), subroots AS (
+  SELECT key, hash AS subroot, row_number() OVER (ORDER BY key) - 1 AS idx, count(*) OVER () AS cnt FROM nodes WHERE cnt = 1
+), tops AS (
+  SELECT 0 AS level, idx, cnt, subroot AS hash FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 8, (cnt + 7) // 8, sha256(string_agg(hash, '' ORDER BY idx))
+  FROM tops WHERE cnt > 1 GROUP BY level, idx // 8, cnt
+), steps AS (
+  SELECT row, level AS step, coalesce(string_agg(hash, '' ORDER BY idx) FILTER (WHERE idx < own), '') AS before,
+         coalesce(string_agg(hash, '' ORDER BY idx) FILTER (WHERE idx > own), '') AS after
+  FROM (
+    SELECT p.row, n.level, n.idx, n.hash, p.idx // pow(8, n.level)::BIGINT AS own
+    FROM placed p JOIN nodes n ON n.key = p.key AND n.cnt > 1 AND n.idx // 8 = p.idx // pow(8, n.level + 1)::BIGINT
+    UNION ALL
+    SELECT p.row, 100 + n.level, n.idx, n.hash, s.idx // pow(8, n.level)::BIGINT
+    FROM placed p JOIN subroots s ON s.key = p.key
+    JOIN tops n ON n.cnt > 1 AND n.idx // 8 = s.idx // pow(8, n.level + 1)::BIGINT
+  ) GROUP BY row, level, own
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY step) AS k FROM steps
+), folds AS (
+  SELECT row, 0 AS k, leaf_now AS hash FROM placed
+  UNION ALL
+  SELECT f.row, f.k + 1, sha256(concat(s.before, f.hash, s.after)) FROM folds f JOIN numbered s ON s.row = f.row AND s.k = f.k + 1
+), folded AS (
+  SELECT row, arg_max(hash, k) AS folded_root FROM folds GROUP BY row
+), proofs AS (
+  SELECT row, sha256(string_agg(before || after, '' ORDER BY step)) AS proof FROM steps GROUP BY row
+)
+SELECT p.doc_id, p.leaf, s.subroot, t.hash AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root,
+       folded_root = t.hash AS verified
+FROM placed p JOIN subroots s ON s.key = p.key JOIN tops t ON t.cnt = 1
+JOIN folded f ON f.row = p.row LEFT JOIN proofs o ON o.row = p.row
+"""

@@ -14,11 +14,13 @@ from pointgate.llm.fingerprints import edited_fingerprints
 from pointgate.llm.langid import identify
 from pointgate.llm.linededup import edited
 from pointgate.llm.lm import lm_scores
+from pointgate.llm.manifest import folded_up, manifest, siblings
 from pointgate.llm.neardup import near_classes
-from pointgate.llm.oracles import OP9_SQL, OP11_SQL, OP13_SQL
+from pointgate.llm.oracles import OP9_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 from pointgate.llm.packing import packed
 from pointgate.llm.quality import quality_scores
 from pointgate.llm.secretscan import BASE_RULES, listed, secret_spans
+from pointgate.llm.text import fold
 from pointgate.llm.toxicity import toxicity_scores
 from pointgate.llm.warc import archive
 
@@ -84,6 +86,17 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(fold(F.col("doc_id"), 3) == 0, lower).otherwise(F.col("text"))
+    made = manifest(table(spark, sf_dir, "documents"), {"text": tampered})
+    return made.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(siblings(F.col("steps")), 256).alias("proof_sha256"),
+        folded_up(F.col("leaf_now"), F.col("steps")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents")).drop("first_doc")
 
@@ -93,7 +106,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality, op2_fingerprints, op3_lm, op4_neardup, op5_packing,
         op6_decontaminate, op7_langid, op8_toxicity, op9_linededup, op10_warc,
-        op11_secrets, op13_collocation,
+        op11_secrets, op12_manifest, op13_collocation,
     )
 }
-ORACLES: dict[str, str] = {"op9_linededup": OP9_SQL.strip(), "op11_secrets": OP11_SQL.strip(), "op13_collocation": OP13_SQL.strip()}
+ORACLES: dict[str, str] = {
+    "op9_linededup": OP9_SQL.strip(),
+    "op11_secrets": OP11_SQL.strip(),
+    "op12_manifest": OP12_SQL.strip(),
+    "op13_collocation": OP13_SQL.strip(),
+}
