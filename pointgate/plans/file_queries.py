@@ -5,6 +5,10 @@ Records get defects by their key; none is left out.
 
 from __future__ import annotations
 
+import gzip
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,6 +150,55 @@ def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(csv_file_points(spark, root, MAPPING, as_of_ms=AS_OF_MS, recursiveFileLookup=True))
 
 
+def _with_head(df: DataFrame, lines: list[str], root: str) -> None:
+    """Write one-column text rows as files that each begin with ``lines``."""
+
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["line"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["line"])
+
+    df.toDF("line").mapInArrow(run, "line string").write.option("lineSep", "\n").text(root)
+
+
+@register(
+    "csv_odd_heads",
+    f"""
+SELECT CASE event_id % 5 WHEN 0 THEN 'blank' WHEN 1 THEN 'mark' WHEN 2 THEN 'break' WHEN 3 THEN 'comment'
+       ELSE 'wide' END AS head, {_NS} AS timestamp_ns, value AS metric_0, {_K} AS metric_1, CAST(NULL AS VARCHAR) AS error_code
+FROM events
+""",
+)
+def csv_odd_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers after blank lines, behind a byte order mark, with a quoted line break, after comments, and in UTF-16."""
+    root = scratch_path(spark, "heads")
+    fields = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        ms("ts").cast("string").alias("ts_ms"),
+        F.col("value").cast("string").alias("price"),
+        F.get_json_object("props", "$.k").alias("volume"),
+        F.pmod("event_id", F.lit(5)).alias("kind"),
+    )
+    names = HEADER.split(",")
+    line = F.concat_ws(",", *names)
+    heads = {
+        "blank": ["", "   ", "", HEADER], "mark": ["\ufeff" + HEADER], "break": ['"event', 'id",ts_ms,price,volume'],
+        "comment": ["# made of events", '# "quoted', "", HEADER],
+    }
+    for kind, (name, head) in enumerate(heads.items()):
+        _with_head(fields.filter(F.col("kind") == kind).select(line), head, f"{root}/{name}")
+    wide = fields.filter("kind = 4").select(*names)
+    wide.write.option("header", True).option("encoding", "UTF-16").csv(f"{root}/wide")
+
+    def points(name: str, **options) -> DataFrame:
+        made = csv_file_points(spark, f"{root}/{name}", MAPPING, as_of_ms=AS_OF_MS, **options)
+        return shown(made, F.lit(name).alias("head")).drop("raw")
+
+    parts = [points(n) for n in ("blank", "mark", "break")]
+    parts += [points("comment", comment="#"), points("wide", encoding="UTF-16")]
+    return reduce(DataFrame.union, parts)
+
+
 _STRICT = GateOptions(future_tolerance_ms=0, stale_tolerance_ms=0, replay_mode=True, price_max=400.0)
 
 
@@ -419,7 +472,9 @@ def _tree(spark: SparkSession, sf_dir: str) -> str:
     grouped = part(2).groupBy(F.call_function("div", F.col("event_id"), F.lit(1000)).alias("g"))
     wrapped = grouped.agg(F.collect_list(F.struct("event_id", "ts_ms", "price", "volume")).alias("rows"))
     wrapped.select("rows").write.option("maxRecordsPerFile", 1).json(f"{root}/deep/json")
-    part(3).write.parquet(f"{root}/deep/parquet")
+    for i, kind in enumerate(("bigint", "double")):
+        typed = part(3).filter(F.pmod("event_id", F.lit(8)) == 3 + 4 * i).withColumn("volume", F.col("volume").cast(kind))
+        typed.write.parquet(f"{root}/deep/parquet/{kind}")
     return root
 
 
@@ -518,20 +573,30 @@ SELECT 1 AS run, CASE WHEN value <= 400.0 THEN 'accepted' ELSE 'dead letter' END
        CASE WHEN value > 400.0 THEN 'ABOVE_MAX' END AS reason_code, 0 AS failed_files
 FROM events
 UNION ALL
-SELECT 1, 'dead letter', NULL, NULL, NULL, 'FILE_READ_ERROR', 1 FROM nation WHERE n_nationkey = 0
+SELECT 1, 'dead letter', NULL, NULL, NULL, 'FILE_READ_ERROR', 4 FROM nation WHERE n_nationkey < 4
 """,
 )
 def directory_with_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events in files of four formats, and among them a file whose name says Parquet and whose bytes do not."""
+    """All events in files of four formats, and among them files that cannot be read or cannot be points.
+
+    The Parquet files have different types.  The bad ones: text under a Parquet name, packed text that ends early,
+    Parquet with a text for a number, and Parquet without a column.
+    """
     root, out = _tree(spark, sf_dir), scratch_path(spark, "folder-out")
-    odd = table(spark, sf_dir, "nation").select("n_name").coalesce(1)
-    odd.write.text(f"{root}/odd/text")
+    nations = table(spark, sf_dir, "nation").coalesce(1)
+    nations.select("n_name").write.text(f"{root}/odd/text")
+    named = nations.select(F.col("n_nationkey").alias("ts_ms"), F.col("n_name").alias("price"), F.lit(1).alias("volume"))
+    named.write.parquet(f"{root}/odd/named")
+    named.drop("price").write.parquet(f"{root}/odd/without")
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(f"{root}/odd/text")
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for status in files.listStatus(folder):
         if status.getPath().getName().startswith("part-"):
             files.rename(status.getPath(), hadoop.Path(f"{root}/odd/nations.parquet"))
+    cut = files.create(hadoop.Path(f"{root}/odd/cut.csv.gz"))
+    cut.write(bytearray(gzip.compress(HEADER.encode())[:16]))
+    cut.close()
     done = run_folder(
         spark, root, MAPPING, _RUN_GATE, OutputOptions(), out, scratch_path(spark, "state"),
         as_of_ms=AS_OF_MS, dead_letter_text=False,

@@ -5,11 +5,13 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,18 +20,24 @@ from pointgate.functions.payloads import oversize_preview
 from pointgate.operators import normalize as N
 from pointgate.operators import points as P
 from pointgate.options import PointMapping
+from pointgate.sources.probe import GONE, Dialect, probe
 
 FILE_ORDER = ("file_path", "file_block", "file_row")
 
 _CORRUPT = "__corrupt"
+_PACKED = r"\.(?:gz|bz2|zst|lz4|deflate|snappy)"
+#: Reader options that choose files; all others say how their content is read.
+_LISTING = ("recursiveFileLookup", "pathGlobFilter", "modifiedBefore", "modifiedAfter")
+#: Files that end early, or are gone, give what could be read; the probe has told which.
+_LENIENT = {"ignoreCorruptFiles": True, "ignoreMissingFiles": True}
 _EXTENSIONS = {"parquet": "parquet", "json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "tsv": "tsv", "csv": "csv"}
 
 
 def resolve_format(path: str, declared: str = "auto") -> str:
-    """The declared format, unless empty or ``auto``: then by extension, csv when unknown."""
+    """The declared format, unless empty or ``auto``: then by extension (before that of a packed file), csv when unknown."""
     if declared and declared != "auto":
         return declared
-    found = re.search(r"\.([^./]+)\Z", path)
+    found = re.search(rf"\.([^./]+?)(?:{_PACKED})?\Z", path)
     return _EXTENSIONS.get(found.group(1) if found else "", "csv")
 
 
@@ -40,6 +48,10 @@ def _reader(spark: SparkSession, options: dict[str, object]):
     return reader
 
 
+def _content(options: dict[str, object]) -> dict[str, object]:
+    return {k: v for k, v in options.items() if k not in _LISTING}
+
+
 def _after(df: DataFrame, cursor: str | None) -> DataFrame:
     """Skip files up to ``cursor``; the filter on the file path prunes whole files before reading."""
     return df if cursor is None else df.filter(F.col("_metadata.file_path") > cursor)
@@ -59,41 +71,72 @@ def _only(format_name: str) -> Column:
     name = F.col("_metadata.file_name")
     others = [e for e, f in _EXTENSIONS.items() if f != "csv"]
     if format_name == "csv":
-        return ~name.rlike(r"\.(?:" + "|".join(others) + r")\z")
+        return ~name.rlike(r"\.(?:" + "|".join(others) + rf")(?:{_PACKED})?\z")
     wanted = [e for e, f in _EXTENSIONS.items() if f == format_name]
-    return name.rlike(r"\.(?:" + "|".join(wanted) + r")\z")
+    return name.rlike(r"\.(?:" + "|".join(wanted) + rf")(?:{_PACKED})?\z")
 
 
-def csv_groups(
-    spark: SparkSession,
-    path: str | list[str],
-    sep: str = ",",
-    cursor: str | None = None,
-    by_extension: str | None = None,
-    **options,
-) -> list[tuple[list[str], list[str]]]:
-    """The distinct headers of a set of files, each with the files that begin with it.
+@dataclass(frozen=True)
+class CsvGroup:
+    """Files that begin with the same header."""
 
-    One distributed job reads the files as lines and keeps the first of each.  The driver gets a path and a line per
-    file, as it does when Spark lists them.  Files without a line belong to no group.
-    """
-    lines = _after(_reader(spark, options).text(path), cursor)
+    names: tuple[str, ...]
+    paths: tuple[str, ...]
+    multi_line: bool
+
+
+def _header_names(cells: Sequence[str]) -> tuple[str, ...]:
+    names = [c.strip() for c in cells]
+    # a name that comes twice gets its position, as Spark's own reader does
+    return tuple(f"{n}{i}" if names.count(n) > 1 or not n else n for i, n in enumerate(names))
+
+
+def _paths(
+    spark: SparkSession, path: str | list[str], cursor: str | None, by_extension: str | None, options: dict
+) -> list[str]:
+    """The files of a read in order, spelled as in ``_metadata.file_path``; their contents are not read."""
+    chosen = {k: v for k, v in options.items() if k in _LISTING}
+    files = _after(_reader(spark, chosen).format("binaryFile").load(path), cursor)
     if by_extension is not None:
-        lines = lines.filter(_only(by_extension))
+        files = files.filter(_only(by_extension))
+    return [row["path"] for row in files.select(F.col("_metadata.file_path").alias("path")).orderBy("path").collect()]
+
+
+def _first_lines(spark: SparkSession, paths: Sequence[str], dialect: Dialect) -> dict[str, list[str]]:
+    """Cells of the first line that is neither blank nor a comment, by Spark's reader: for stores only it can open."""
+    lines = spark.read.text([unquote(p) for p in paths]).filter(F.trim("value") != "")
+    if dialect.comment:
+        lines = lines.filter(~F.col("value").startswith(dialect.comment))
     firsts = (
         lines.filter("_metadata.file_block_start = 0")
         .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
         .groupBy("path")
         .agg(F.min_by("value", "at").alias("line"))
     )
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in firsts.orderBy("path").collect():
-        cells = next(csv.reader([row["line"].removeprefix("\ufeff").rstrip("\r")], delimiter=sep), [])
-        names = [c.strip() for c in cells]
-        # a name that comes twice gets its position, as Spark's own reader does
-        header = tuple(f"{n}{i}" if names.count(n) > 1 or not n else n for i, n in enumerate(names))
-        groups.setdefault(header, []).append(unquote(row["path"]))
-    return [(list(header), paths) for header, paths in groups.items() if header]
+    cells = lambda line: next(csv.reader([line.removeprefix("\ufeff")], delimiter=dialect.sep), [])
+    return {row["path"]: cells(row["line"].rstrip("\r")) for row in firsts.collect()}
+
+
+def csv_catalogue(
+    spark: SparkSession, paths: Sequence[str], dialect: Dialect, kind: str = "csv", probed: Sequence | None = None
+) -> tuple[list[CsvGroup], list[tuple[str, str]]]:
+    """The distinct headers of CSV files, each with its files, and (path, error) of those that cannot be read whole.
+
+    Only the front of each file is read (``probe``); ``probed`` gives rows of an earlier probe.  Files without a record belong to no group; a file
+    with an error belongs to one if its header could be read.
+    """
+    if not paths:
+        return [], []
+    found = probe(spark, [(p, kind) for p in paths], {kind: dialect}).collect() if probed is None else probed
+    beyond = [row["path"] for row in found if not row["reached"]]
+    lines = _first_lines(spark, beyond, dialect) if beyond else {}
+    groups: dict[tuple, list[str]] = {}
+    for row in sorted(found, key=lambda r: r["path"]):
+        header = _header_names(row["header"] or lines.get(row["path"], []))
+        if header:
+            groups.setdefault((header, row["spans_lines"] or dialect.wide), []).append(unquote(row["path"]))
+    errors = [(row["path"], row["error"]) for row in found if row["error"] is not None]
+    return [CsvGroup(header, tuple(files), spans) for (header, spans), files in groups.items()], errors
 
 
 def csv_columns(spark: SparkSession, path: str | list[str], sep: str = ",", has_headers: bool = True, **options) -> list[str]:
@@ -122,9 +165,14 @@ def read_csv(
     are null (``csv_file_points`` keeps each file's cells apart).
     """
     if columns is None and has_headers:
-        groups = csv_groups(spark, path, sep, cursor, by_extension, **options)
+        paths = _paths(spark, path, cursor, by_extension, options)
+        groups, errors = csv_catalogue(spark, paths, Dialect.of(sep, options))
+        if errors:
+            raise OSError(f"cannot read {errors[0][0]}: {errors[0][1]}")
+        kept = _content(options)
         parts = [
-            read_csv(spark, paths, names, sep, trim, has_headers, multi_line, **options) for names, paths in groups
+            read_csv(spark, list(g.paths), g.names, sep, trim, has_headers, multi_line or g.multi_line, **kept)
+            for g in groups
         ]
         if parts:
             union = parts[0]
@@ -201,18 +249,43 @@ def csv_file_points(
     by_extension: str | None = None,
     **options,
 ) -> DataFrame:
-    """CSV files with headers of their own -> points; one reader per distinct header."""
-    union = None
-    for names, paths in csv_groups(spark, path, sep, cursor, by_extension, **options):
-        cells = read_csv(spark, paths, names, sep, trim)
-        part = csv_points(cells, mapping, strict, as_of_ms, keep_unreadable)
-        union = part if union is None else union.union(part)
-    if union is None:
+    """CSV files with headers of their own -> points; one reader per distinct header.
+
+    All reader options reach the search for headers and the readers alike.  A file that cannot be read to its end
+    gives its readable records and one rejected point.
+    """
+    paths = _paths(spark, path, cursor, by_extension, options)
+    groups, errors = csv_catalogue(spark, paths, Dialect.of(sep, options))
+    return _csv_points_of(
+        spark, groups, [(p, "csv", e) for p, e in errors], mapping, sep, trim, strict, as_of_ms, keep_unreadable, options
+    )
+
+
+def _csv_points_of(
+    spark: SparkSession,
+    groups: Sequence[CsvGroup],
+    errors: Sequence[tuple[str, str, str]],
+    mapping: PointMapping,
+    sep: str,
+    trim: bool,
+    strict: bool,
+    as_of_ms: int | None,
+    keep_unreadable: bool,
+    options: dict,
+) -> DataFrame:
+    parts = [unreadable_files(spark, errors).drop("format")] if errors else []
+    kept = _content(options) | (_LENIENT if errors else {})
+    for group in groups:
+        multi_line = bool(kept.get("multiLine")) or group.multi_line
+        rest = {k: v for k, v in kept.items() if k != "multiLine"}
+        cells = read_csv(spark, list(group.paths), group.names, sep, trim, multi_line=multi_line, **rest)
+        parts.append(csv_points(cells, mapping, strict, as_of_ms, keep_unreadable))
+    if not parts:
         nothing = spark.createDataFrame([], "file_path string, file_block long, file_row long")
         return P.with_point(nothing, F.lit(0).cast("bigint"), F.array(F.lit(0.0)), F.lit("")).select(
             *FILE_ORDER, *P.POINT_COLUMNS
         )
-    return union
+    return reduce(DataFrame.union, parts)
 
 
 def read_jsonl(
@@ -411,21 +484,60 @@ def parquet_rows(spark: SparkSession, paths: Sequence[str]) -> dict[str, int | N
     return found
 
 
-def unreadable_files(spark: SparkSession, files: Sequence[tuple[str, str]]) -> DataFrame:
-    """One rejected point per file (path, format) that could not be read; the raw text is its path."""
-    rows = spark.createDataFrame(list(files), "file_path string, format string")
+def unreadable_files(spark: SparkSession, files: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One rejected point per file (path, format, reason) that could not be read whole; the raw text is its path."""
+    rows = spark.createDataFrame(list(files), "file_path string, format string, reason string")
     rows = rows.withColumns({"file_block": F.lit(0).cast("bigint"), "file_row": F.lit(-1).cast("bigint")})
     points = P.with_point(
         rows,
         F.lit(None).cast("bigint"),
         F.lit(None).cast("array<double>"),
         F.col("file_path"),
-        parse_error=F.concat(F.lit("unreadable "), F.col("format"), F.lit(" file")),
+        parse_error=F.concat(F.lit("unreadable "), F.col("format"), F.lit(" file: "), F.col("reason")),
         error_code=F.lit(P.FILE_READ_ERROR),
     )
     return points.select(*FILE_ORDER, *P.POINT_COLUMNS, "format")
 
 
+#: How the header of each text format with one is found.
+DIALECTS = {"csv": Dialect(), "tsv": Dialect(sep="\t")}
+
+
+def catalogue(spark: SparkSession, files: Sequence[tuple[str, str]]) -> list:
+    """The probe's row of each (path, format), with rows of Parquet files counted by Spark where only it reaches them."""
+    if not files:
+        return []
+    found = probe(spark, files, DIALECTS).collect()
+    beyond = [row["path"] for row in found if not row["reached"] and row["kind"] == "parquet"]
+    counted = parquet_rows(spark, beyond)
+    none = "no readable footer"
+    return [
+        Row(**row.asDict() | {"rows": counted[row["path"]], "error": none if counted[row["path"]] is None else None})
+        if row["path"] in counted else row for row in found
+    ]
+
+
+def _parquet_parts(
+    spark: SparkSession, found: Sequence, mapping: PointMapping, as_of_ms: int | None, lenient: bool
+) -> list[DataFrame]:
+    """One reader per distinct set of column types; files whose columns cannot be points are rejected whole."""
+    groups: dict[str, list[str]] = {}
+    bad = [(row["path"], "parquet", row["error"]) for row in found if row["error"] is not None]
+    for row in found:
+        if row["error"] is None:
+            groups.setdefault(row["columns"] or "", []).append(row["path"])
+    parts = []
+    for paths in groups.values():
+        rows = read_parquet(spark, [unquote(p) for p in paths], **(_LENIENT if lenient else {}))
+        try:
+            parts.append(parquet_points(rows, mapping, as_of_ms))
+        except (ValueError, TypeError) as problem:
+            bad += [(path, "parquet", str(problem)) for path in paths]
+    if bad:
+        parts.append(unreadable_files(spark, bad).drop("format"))
+    return parts
+
+
 def directory_points(
     spark: SparkSession,
     root: str,
@@ -434,51 +546,49 @@ def directory_points(
     csv_names: Sequence[str] | None = None,
     as_of_ms: int | None = None,
     cursor: str | None = None,
-    files: Sequence[tuple[str, str]] | None = None,
-    parquet_counts: dict[str, int | None] | None = None,
+    found: Sequence | None = None,
+    lenient: bool = False,
 ) -> DataFrame:
     """A folder tree of mixed files -> points with ``file_path`` and ``format``.
 
-    One reader per format present (for CSV and TSV: per distinct header), so files are read in parallel.  Files of
-    other extensions are read as CSV.  ``cursor`` skips files up to that path; ``files`` gives the listing instead.
-    A Parquet file without a readable footer becomes one rejected point.  A file damaged further in ends the
-    query, unless ``parquet_counts`` (``parquet_rows``) is given: then the caller compares them with what came.
+    One reader per format present (for CSV and TSV: per distinct header, for Parquet: per distinct column types), so
+    files are read in parallel.  Files of other extensions are read as CSV.  ``cursor`` skips files up to that path;
+    ``found`` gives the listing instead (``catalogue``).  A text file that cannot be opened or does not end well
+    (packed, cut short) gives what could be read and one rejected point, a Parquet file without a readable footer,
+    or whose columns cannot be points, the rejected point alone.  A Parquet file damaged further in, or a file that
+    goes away meanwhile, ends the query, unless ``lenient``: then the caller holds the rows of the footers against
+    those that came.
     """
     for name in formats:
         if name not in _EXTENSIONS.values():
             raise ValueError(f"unsupported file format: {name}")
-    listed = list_files(spark, root, cursor) if files is None else files
+    listed = catalogue(spark, list_files(spark, root, cursor)) if found is None else found
     parts = []
     for name in formats:
-        paths = [path for path, kind in listed if kind == name]
-        if not paths:
+        rows = [row for row in listed if row["kind"] == name]
+        if not rows:
             continue
-        plain = [unquote(path) for path in paths]
-        if name in ("csv", "tsv"):
-            sep = "\t" if name == "tsv" else ","
+        errors = [(row["path"], name, row["error"]) for row in rows if row["error"] is not None]
+        careful = _LENIENT if lenient or errors else {}
+        gone = {path for path, _, error in errors if error == GONE}
+        plain = [unquote(row["path"]) for row in rows if row["path"] not in gone]
+        if name in DIALECTS:
+            sep = DIALECTS[name].sep
             if csv_names:
-                cells = read_csv(spark, plain, csv_names, sep, trim=False)
-                points = csv_points(cells, mapping, strict=False, as_of_ms=as_of_ms, keep_unreadable=True)
+                cells = read_csv(spark, plain, csv_names, sep, trim=False, **careful)
+                made = [csv_points(cells, mapping, strict=False, as_of_ms=as_of_ms, keep_unreadable=True)] if plain else []
             else:
-                points = csv_file_points(spark, plain, mapping, sep, False, False, as_of_ms, True)
+                groups, _ = csv_catalogue(spark, [row["path"] for row in rows], DIALECTS[name], name, rows)
+                made = [_csv_points_of(spark, groups, [], mapping, sep, False, False, as_of_ms, True, careful)]
         elif name == "json":
-            points = json_points(read_json(spark, plain), mapping, as_of_ms)
+            made = [json_points(read_json(spark, plain, **careful), mapping, as_of_ms)] if plain else []
         elif name == "jsonl":
-            points = json_points(read_jsonl(spark, plain), mapping, as_of_ms)
+            made = [json_points(read_jsonl(spark, plain, **careful), mapping, as_of_ms)] if plain else []
         else:
-            rows = parquet_rows(spark, paths) if parquet_counts is None else parquet_counts
-            bad = [path for path in paths if rows[path] is None]
-            if bad:
-                parts.append(unreadable_files(spark, [(path, name) for path in bad]))
-            good = [unquote(path) for path in paths if rows[path] is not None]
-            if not good:
-                continue
-            lenient = {} if parquet_counts is None else {"ignoreCorruptFiles": True}
-            points = parquet_points(read_parquet(spark, good, **lenient), mapping, as_of_ms)
-        parts.append(points.withColumn("format", F.lit(name)))
+            made, errors = _parquet_parts(spark, rows, mapping, as_of_ms, lenient), []
+        if errors:
+            made.append(unreadable_files(spark, errors).drop("format"))
+        parts += [points.withColumn("format", F.lit(name)) for points in made]
     if not parts:
         raise ValueError(f"no files of the formats {', '.join(formats)} below {root}")
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    return reduce(DataFrame.unionByName, parts)

@@ -1,3 +1,5 @@
+import bz2
+import gzip
 import json
 
 import pytest
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pointgate.operators import points as P
 from pointgate.options import Bound, GateOptions, OutputOptions, PointMapping, TimeSpec
+from pointgate.plans import folder
 from pointgate.plans.folder import run_folder
 from pointgate.sources import cursor
 from pointgate.sources import files as S
@@ -180,6 +183,7 @@ def test_formats():
     assert S.resolve_format("x/y.json", "tsv") == "tsv"
     assert S.resolve_format("x/y.parquet", "") == "parquet"
     assert S.resolve_format("x/y.CSV") == "csv"
+    assert [S.resolve_format(n) for n in ("a.jsonl.gz", "b.gz", "a.json.x.gz", "d.tsv.bz2")] == ["jsonl", "csv", "csv", "tsv"]
 
 
 def test_every_file_has_its_own_header(spark, tmp_path):
@@ -275,3 +279,110 @@ def test_only_unreadable_parquet(spark, tmp_path):
     (tmp_path / "x.parquet").write_text("nothing")
     [row] = S.directory_points(spark, str(tmp_path), MAPPING, as_of_ms=NOW).collect()
     assert (row.error_code, row.raw.rsplit("/")[-1], row.metrics) == ("FILE_READ_ERROR", "x.parquet", None)
+
+
+def test_header_after_blank_lines_is_found(spark, tmp_path):
+    root = tmp_path / "in"
+    root.mkdir()
+    (root / "a.csv").write_text("t,price,volume\n1,10,1\n")
+    (root / "b.csv").write_text("\n \r\n\nt,price,volume\n1,20,2\n1,30,3\n")
+    (root / "c.csv").write_text("\n\n")
+    got = S.csv_file_points(spark, str(root), MAPPING, strict=False, as_of_ms=NOW).collect()
+    assert sorted(r.metrics[0] for r in got) == [10.0, 20.0, 30.0]
+    done = run_folder(
+        spark, str(root), MAPPING, OPEN, OutputOptions(format="csv"), str(tmp_path / "out"), str(tmp_path / "state"),
+        as_of_ms=NOW,
+    )
+    assert done == {"accepted": 3, "dropped": 0, "files": 3, "failed": 0}
+
+
+def test_reader_options_reach_header_and_rows(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.csv").write_text("# one, two\n\n# \"\nt;price;volume\n1;10;1\n# 3;3;3\n2;'2;0';2\n")
+    got = S.csv_file_points(spark, str(tmp_path / "a"), MAPPING, sep=";", as_of_ms=NOW, comment="#", quote="'")
+    assert sorted((r.error_code or "", (r.metrics or [0])[0]) for r in got.collect()) == [("", 10.0), ("PARSE_ERROR", 0)]
+    for encoding in ("UTF-16", "UTF-16LE", "ISO-8859-1"):
+        root = tmp_path / encoding
+        root.mkdir()
+        (root / "x.csv").write_bytes("t,price,volume,é\n1,10,1,ü\n2,20,2,\n".encode(encoding))
+        rows = S.csv_file_points(spark, str(root), MAPPING, as_of_ms=NOW, encoding=encoding, keep_unreadable=True).collect()
+        assert sorted(r.metrics[0] for r in rows) == [10.0, 20.0]
+        assert sorted(r.raw for r in rows)[0] == "1|10|1|ü"
+        assert "é" in S.read_csv(spark, str(root), encoding=encoding).columns
+
+
+def test_quoted_line_break_in_the_header(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('"t","the\nprice","volume"\n1,10,1\n2,"20",2\n')
+    mapping = PointMapping({"the\nprice": 0, "volume": 1}, 2, MAPPING.time)
+    got = S.csv_file_points(spark, str(tmp_path), mapping, as_of_ms=NOW).collect()
+    assert sorted(r.metrics[0] for r in got) == [10.0, 20.0]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_only_the_front_of_a_file_is_read(spark, tmp_path, packed):
+    body = "a,b\n" + "1,2\n" * 500_000
+    path = tmp_path / ("x.csv.gz" if packed else "x.csv")
+    path.write_bytes(gzip.compress(body.encode()) if packed else body.encode())
+    long = tmp_path / "long.csv"
+    long.write_text('"' + "x" * 300_000 + '\n",b\n' + "1,2\n" * 500_000)
+    rows = {r.path.rsplit("/")[-1]: r for r in S.probe(
+        spark, [(str(path), "csv"), (str(long), "csv")], S.DIALECTS
+    ).collect()}
+    first, second = rows[path.name], rows["long.csv"]
+    assert first.header == ["a", "b"] and first.bytes_read <= (path.stat().st_size if packed else 64 << 10)
+    assert len(second.header[0]) == 300_001 and second.spans_lines and second.bytes_read < 1 << 20
+
+
+def mixed_bad_files(spark, root):
+    good = "t,price,volume\n" + "".join(f"{i},{i % 50},1\n" for i in range(20_000))
+    (root / "a.csv").write_text(good)
+    (root / "cut.csv.gz").write_bytes(gzip.compress(good.encode())[:20_000])
+    (root / "cut.tsv.gz").write_bytes(gzip.compress(good.replace(",", "\t").encode())[:-9])
+    lines = "".join(f'{{"t":{i},"price":1,"volume":2}}\n' for i in range(20_000))
+    (root / "cut.jsonl.bz2").write_bytes(bz2.compress(lines.encode())[:-100])
+    (root / "cut.json.gz").write_bytes(gzip.compress(b'[{"t":1,"price":1,"volume":2}]' * 50)[:30])
+    (root / "whole.jsonl.gz").write_bytes(gzip.compress(lines.encode()))
+    one = spark.range(100).coalesce(1)
+    one.selectExpr("id t", "cast(id % 50 as double) price", "1 volume").write.parquet(str(root / "double"))
+    one.selectExpr("id t", "cast(id % 50 as int) price", "1.5f volume").write.parquet(str(root / "int"))
+    one.selectExpr("id t", "'x' price", "1 volume").write.parquet(str(root / "text"))
+    one.selectExpr("id t", "1 volume").write.parquet(str(root / "missing"))
+
+
+def test_folder_run_isolates_each_bad_file(spark, tmp_path):
+    root, out = tmp_path / "in", tmp_path / "out"
+    root.mkdir()
+    mixed_bad_files(spark, root)
+    done = run_folder(
+        spark, str(root), MAPPING, OPEN, OutputOptions(format="csv"), str(out), str(tmp_path / "state"), as_of_ms=NOW
+    )
+    report = {r.file_path.rsplit("/in/")[1].split("/")[0]: r for r in spark.read.parquet(f"{out}/files").collect()}
+    failed = {"cut.csv.gz", "cut.tsv.gz", "cut.jsonl.bz2", "cut.json.gz", "text", "missing"}
+    assert {name for name, r in report.items() if r.failed} == failed and done["failed"] == len(failed)
+    assert {n: (r.accepted, r.dropped) for n, r in report.items() if not r.failed} == {
+        "a.csv": (20_000, 0), "whole.jsonl.gz": (20_000, 0), "double": (100, 0), "int": (100, 0)
+    }
+    assert 0 < report["cut.csv.gz"].accepted < 20_000 and all(report[n].dropped == 1 for n in failed)
+    dead = spark.read.text(f"{out}/dead").collect()
+    assert len(dead) == len(failed) == done["dropped"]
+    assert spark.read.option("header", True).csv(f"{out}/accepted").count() == done["accepted"]
+
+
+def test_file_that_vanishes_after_the_probe(spark, tmp_path, monkeypatch):
+    root, out = tmp_path / "in", tmp_path / "out"
+    root.mkdir()
+    for name in ("a.csv", "b.csv", "empty.csv"):
+        (root / name).write_text("t,price,volume\n" + "1,10,1\n" * (name != "empty.csv"))
+    made = folder.directory_points
+
+    def late(*args, **kwargs):
+        points = made(*args, **kwargs)
+        (root / "b.csv").unlink()
+        return points
+
+    monkeypatch.setattr(folder, "directory_points", late)
+    done = run_folder(
+        spark, str(root), MAPPING, OPEN, OutputOptions(format="csv"), str(out), str(tmp_path / "state"), as_of_ms=NOW
+    )
+    assert done == {"accepted": 1, "dropped": 1, "files": 3, "failed": 1}
+    assert "file is gone" in spark.read.text(f"{out}/dead").first().value
