@@ -4,9 +4,9 @@ Texts (null: empty) are lower-cased (A-Z) and cut into pieces at ``[.,;:!?\\x0A-
 ``[^\\x20\\x09]+``.  A task lays the words of many texts end to end with one space between them and keeps the prefix
 polynomials of these bytes modulo 2^64, so the fingerprint of any run of words is one subtraction and one product.
 
-1. Fingerprints are counted: first of pairs, then of longer runs.  A run is frequent only if its parts are, so the
-   second pass counts only runs of frequent pairs.  What is frequent goes to the tasks as a bitmap of fixed size: a
-   false hit is counted in vain and dropped later, and a crowded bitmap only spares less work.
+1. Fingerprints are counted level by level: pairs, runs of three words, and so on.  A run is frequent only if its parts
+   are, so each pass counts only runs whose parts passed the one before.  What is frequent goes to the tasks as a
+   bitmap of bounded size: a false hit is counted in vain and dropped later, and a crowded bitmap only spares less work.
 2. One more pass verifies the frequent fingerprints against the text: within a task all occurrences of a fingerprint
    are compared word by word, and the shuffle adds them up by the phrase itself, with a pointer to the first document
    that holds it.  Phrases that share a fingerprint part here, so counts are exact; only frequent phrases, and the
@@ -32,14 +32,15 @@ from pointgate.llm.text import kept_in_worker, materialise, mix, prepare, share
 
 @dataclass(frozen=True)
 class PhraseOptions:
-    longest: int = 4
+    longest: int = 4  # at least 3
     least: int = 30
     top: int = 2000
     #: A phrase is dropped if a longer one holds it with at least this share (percent) of its occurrences.
     covered: int = 80
     #: Bits of a fingerprint as it is counted; those that collide are told apart by the text.
     print_bits: int = 40
-    bitmap_bits: int = 25
+    #: The bitmap has at least 16 bits a fingerprint, but never more than 2 to this power (28: 32 MB).
+    bitmap_bits: int = 28
     block_bytes: int = 2 << 20
 
 
@@ -136,35 +137,22 @@ def joined(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 class Bitmap:
     """A set of fingerprints that may hold a few more than were put in."""
 
-    def __init__(self, bits: np.ndarray, exponent: int):
-        self.bits, self.mask = bits, np.uint64((1 << exponent) - 1)
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.mask = bits, np.uint64(64 * len(bits) - 1)
 
     def holds(self, prints: np.ndarray) -> np.ndarray:
         place = prints & self.mask
         return (self.bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def passing(block: Block, salt: np.ndarray, pairs: Bitmap, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Size, first words and fingerprints of the fresh runs of three words and more all pairs of which are frequent."""
-    prints, _ = block.runs(2, salt)
-    good = pairs.holds(prints)
-    for size in range(3, longest + 1):
-        found, may = block.runs(size, salt)
-        for shift in range(size - 1):
-            may = may & good[shift : shift + len(may)]
-        first = np.flatnonzero(may)
-        yield size, first, found[first]
-
-
-def frequent(block: Block, salt: np.ndarray, pairs: Bitmap, others: Bitmap, longest: int):
-    """Size, first words and fingerprints of all fresh runs that seem frequent, and of the words of frequent pairs."""
-    for size, seen in ((1, others), (2, pairs)):
-        found, may = block.runs(size, salt)
-        first = np.flatnonzero(may & seen.holds(found))
-        yield size, first, found[first]
-    for size, first, found in passing(block, salt, pairs, longest):
-        kept = others.holds(found)
-        yield size, first[kept], found[kept]
+def candidates(block: Block, salt: np.ndarray, known: list[Bitmap], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words and fingerprints of the fresh runs of ``size`` words whose parts are frequent (by the last level)."""
+    prints, may = block.runs(size, salt)
+    if known:
+        good = known[-1].holds(block.runs(size - 1, salt)[0])
+        may = may & good[: len(may)] & good[1 : 1 + len(may)]
+    first = np.flatnonzero(may)
+    return first, prints[first]
 
 
 def _lang_salt(langs: list[str]) -> np.ndarray:
@@ -194,26 +182,22 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_prints(rows: DataFrame, pairs, options: PhraseOptions) -> DataFrame:
-    """Fingerprints with at least ``least`` occurrences: of pairs, or, once ``pairs`` are known, of longer runs.
+def frequent_prints(rows: DataFrame, known: list, size: int, options: PhraseOptions) -> DataFrame:
+    """Fingerprints of runs of ``size`` words with at least ``least`` occurrences.
 
-    With the longer runs come the words of frequent pairs, whose counts the scores need.
+    With runs of three come the words of frequent pairs, whose counts the scores need.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Bitmap(pairs(), options.bitmap_bits) if pairs else None
+        maps = [Bitmap(k()) for k in known]
         for batch in batches:
-            for block, salt, *_ in _blocks_of(batch, options):
-                if known is None:
-                    found, whole = block.runs(2, salt)
-                    yield _counted(found[whole])
-                    continue
-                for _, _, found in passing(block, salt, known, options.longest):
-                    yield _counted(found)
-                found, whole = block.runs(2, salt)
-                first = np.flatnonzero(whole & known.holds(found))
-                words, _ = block.runs(1, salt)
-                yield _counted(words[np.union1d(first, first + 1)], options.least)
+            for block, salt, _ in _blocks_of(batch, options):
+                yield _counted(candidates(block, salt, maps, size)[1])
+                if size == 3:
+                    pairs, whole = block.runs(2, salt)
+                    first = np.flatnonzero(whole & maps[-1].holds(pairs))
+                    words, _ = block.runs(1, salt)
+                    yield _counted(words[np.union1d(first, first + 1)], options.least)
 
     return (
         rows.mapInArrow(run, "print long, n long")
@@ -231,22 +215,25 @@ def _counted(prints: np.ndarray, times: int = 0) -> pa.RecordBatch:
 
 
 def bitmap_of(prints: DataFrame, options: PhraseOptions):
-    """The fingerprints as a bitmap of fixed size, shared with the tasks."""
-    place = F.col("print").bitwiseAND((1 << options.bitmap_bits) - 1)
+    """The fingerprints as a bitmap, shared with the tasks."""
+    prints = materialise(prints, "prints")
+    exponent = min(options.bitmap_bits, max(6, (16 * prints.count()).bit_length()))
+    place = F.col("print").bitwiseAND((1 << exponent) - 1)
     found = (
         prints.select(F.shiftright(place, 6).alias("slot"), F.expr("shiftleft(1L, cast(print & 63 as int))").alias("bit"))
         .groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
     )
-    bits = np.zeros(1 << (options.bitmap_bits - 6), np.uint64)
+    bits = np.zeros(1 << (exponent - 6), np.uint64)
     bits[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return share(prints.sparkSession, bits)
 
 
-def verified(rows: DataFrame, pairs, others, options: PhraseOptions) -> DataFrame:
+def verified(rows: DataFrame, known: list, options: PhraseOptions) -> DataFrame:
     """lang, phrase (null: all words), f and first_doc of every run that seems frequent, and of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [Bitmap(known(), options.bitmap_bits) for known in (pairs, others)]
+        # by size of run; the words came with the runs of three
+        maps = [Bitmap(k()) for k in (known[min(1, len(known) - 1)], *known)]
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             ids = batch.column("doc_id")
@@ -260,9 +247,12 @@ def verified(rows: DataFrame, pairs, others, options: PhraseOptions) -> DataFram
                 data = block.bytes.tobytes()
                 for lang, times in tokens_by_lang(langs, text[block.fresh]):
                     yield _batch([lang], [None], [times], [None])
-                for size, first, prints in frequent(block, salt, *maps, options.longest):
+                for size, seen in enumerate(maps, 1):
+                    prints, whole = block.runs(size, salt)
+                    first = np.flatnonzero(whole & seen.holds(prints))
                     if not len(first):
                         continue
+                    prints = prints[first]
                     _, lead, group, times = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
                     head = first[lead][group]
                     same = langs_equal(langs, text[head], text[first])
@@ -311,9 +301,10 @@ def phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions()) -> DataFr
     Rows without a phrase hold the number of all words of a language.  Written to the shared folder.
     """
     rows = _rows(docs)
-    pairs = bitmap_of(frequent_prints(rows, None, options), options)
-    others = bitmap_of(frequent_prints(rows, pairs, options), options)
-    found = verified(rows, pairs, others, options)
+    known: list = []
+    for size in range(2, options.longest + 1):
+        known.append(bitmap_of(frequent_prints(rows, known[-1:], size, options), options))
+    found = verified(rows, known, options)
     frequent_only = F.col("phrase").isNull() | (F.col("f") >= options.least)
     words = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1
     return materialise(found.where(frequent_only).withColumn("words", words), "phrases")

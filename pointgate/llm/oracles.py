@@ -73,7 +73,7 @@ _KIND_PATTERNS = {  # in the order in which finds at one place are listed: patte
         "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 6,
     ),
     "access": ("AKIA[A-Z0-9]+", 0, 20),
-    "hex": ("[0-9a-f]+", 0, 24),
+    "hex": ("[0-9a-f]{24,}", 0, 24),
     "github": ("gh[pousr]_[A-Za-z0-9]+", 0, 40),
     "slack": ("xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     "google": ("AIza[A-Za-z0-9_-]+", 0, 39),

@@ -56,7 +56,7 @@ def collected(docs, options=PhraseOptions()):
     return sorted(tuple(r) for r in collocations(docs, options).select(*COLUMNS).collect())
 
 
-@pytest.mark.parametrize("change", [{}, {"block_bytes": 40}, {"bitmap_bits": 6}, {"print_bits": 4}, {"longest": 3, "top": 5}])
+@pytest.mark.parametrize("change", [{}, {"block_bytes": 40}, {"bitmap_bits": 7}, {"print_bits": 4}, {"longest": 3, "top": 5}, {"longest": 6}])
 def test_equals_plain_counting(spark, change):
     make = random.Random(7)
     words = ["a", "bb", "Ccc", "été", "x" * 60, "(d)", "日本"]
