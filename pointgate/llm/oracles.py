@@ -67,6 +67,23 @@ FROM kept k JOIN totals t ON t.lang = k.lang
 QUALIFY rank <= 2000
 """
 
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, row_number() OVER () AS row, coalesce(url, '') AS url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS digest
+  FROM pages
+), placed AS (
+  SELECT *, row_number() OVER same AS place, first_value(page_id) OVER same AS least
+  FROM p WINDOW same AS (PARTITION BY digest ORDER BY page_id NULLS LAST, url, row)
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+         (('0x' || substr(digest, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN least END AS refers_to
+FROM placed
+"""
+
 _KIND_PATTERNS = {  # in the order in which finds at one place are listed: pattern, group that counts, its least length
     "assign": (
         "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"

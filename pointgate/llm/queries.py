@@ -16,7 +16,7 @@ from pointgate.llm.linededup import edited
 from pointgate.llm.lm import lm_scores
 from pointgate.llm.manifest import folded_up, manifest, siblings
 from pointgate.llm.neardup import near_classes
-from pointgate.llm.oracles import OP9_SQL, OP11_SQL, OP12_SQL, OP13_SQL
+from pointgate.llm.oracles import OP9_SQL, OP10_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 from pointgate.llm.packing import packed
 from pointgate.llm.quality import quality_scores
 from pointgate.llm.secretscan import BASE_RULES, listed, secret_spans
@@ -111,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op9_linededup": OP9_SQL.strip(),
+    "op10_warc": OP10_SQL.strip(),
     "op11_secrets": OP11_SQL.strip(),
     "op12_manifest": OP12_SQL.strip(),
     "op13_collocation": OP13_SQL.strip(),

@@ -55,11 +55,11 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(fold(doc_id, modulus) == F.lit(remainder), F.lit(False))
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write a table to the shared folder and read it back: later jobs neither repeat it nor depend on executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

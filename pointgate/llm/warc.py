@@ -4,15 +4,17 @@ A bundle is a file of independent Zstandard frames with some records each, and a
 frame: compressed and plain size of every frame, and a footer that says how many there are.  A record is found by its
 frame and its offset in the plain frame; reading it takes the footer, the seek table and one frame.
 
-Equal payloads are stored once: the page with the smallest id is a ``response`` record, the others are ``revisit``
-records that refer to it.  Payloads shorter than ``min_revisit_bytes`` are always responses.
+Equal payloads are stored once: the row with the smallest page id (then url; of equal rows one of them) is a
+``response`` record, all others are ``revisit`` records that refer to it.  Payloads shorter than ``min_revisit_bytes``
+are always responses.  A record's identifier is its page id and a number that no other record has.
 
-Tasks write to the shared folder under names of their own; the list of files that count is a table written by Spark,
-so a repeated or lost task leaves no double record.  ``pyarrow`` opens the folder by its URI.
+Pages are read and hashed once, into a table in the shared folder.  Tasks write bundles to the shared folder under
+names of their own; the list of files that count is a table written by Spark, so a repeated or lost task leaves no
+double record.  ``pyarrow`` opens the folder by its URI.
 
-A null or empty html is an empty payload.  Rows that repeat a ``page_id`` are written each; the smallest url first.
-Where they have several payloads, the digest of a revisit tells which one it refers to.
-A row without ``page_id`` is written under the id -1 and is never referred to.  An empty table gives no bundles.
+A null or empty html is an empty payload.  Rows that repeat a ``page_id`` are written each.  A row without ``page_id``
+comes after all others: it is a revisit of an equal payload that has an id, and of one of its kind where none has
+(``refers_to`` is null then).  An empty table gives no bundles.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 FOOTER_BYTES = 9
 
-INDEX = "page_id long, file string, frame int, start long, size long"
+INDEX = "page_id long, record long, file string, frame int, start long, size long"
 
 
 @dataclass(frozen=True)
@@ -53,7 +55,21 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode("ascii")
 
 
-def record(page_id: int, url: str, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
+def bare_digest(hexadecimal: str) -> str:
+    return base64.b32encode(bytes.fromhex(hexadecimal)).decode("ascii")
+
+
+def identifier(page_id: int | None, number: int) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}:{number}>"
+
+
+def page_of(name: str) -> tuple[int | None, int]:
+    """Page id and number in an identifier."""
+    page, number = name.removeprefix("<urn:page:").removesuffix(">").split(":")
+    return (int(page) if page else None), int(number)
+
+
+def record(own: str, url: str, payload: bytes, digest: str, refers_to: str | None, date: str) -> bytes:
     """One WARC record; a revisit keeps the HTTP header and leaves the payload out."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     block = http.encode("ascii") + (payload if refers_to is None else b"")
@@ -61,7 +77,7 @@ def record(page_id: int, url: str, payload: bytes, digest: str, refers_to: int |
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{page_id}>",
+        f"WARC-Record-ID: {own}",
         f"WARC-Date: {date}",
         f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: sha1:{digest}",
@@ -69,7 +85,7 @@ def record(page_id: int, url: str, payload: bytes, digest: str, refers_to: int |
     if refers_to is not None:
         head += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-            f"WARC-Refers-To: <urn:page:{refers_to}>",
+            f"WARC-Refers-To: {refers_to}",
         ]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -148,31 +164,32 @@ def read_frame(source, place: tuple[int, int, int]) -> bytes:
 
 
 def plan_records(pages: DataFrame, options: WarcOptions) -> DataFrame:
-    """page_id, url, html, and the id that a revisit refers to.
+    """page_id, record (its number), url, payload, digest, and page and record that a revisit refers to.
 
-    Only ids and digests are grouped, partial sums first; a third of all pages under one digest is one row per task.
+    Only ids and digests are grouped, partial sums first.  The first rows are written, so that the join by digest is
+    between plain exchanges and a digest with a third of all pages can be split.
     """
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
-        F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"),
-    ).withColumn("digest", F.sha1("payload"))
-    narrow = rows.select("page_id", "digest", F.length("payload").alias("bytes"), "url")
-    shared = narrow.where((F.col("bytes") >= options.min_revisit_bytes) & F.col("page_id").isNotNull())
-    first = (
-        shared.groupBy("digest")
-        .agg(F.min(F.struct("page_id", "url")).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+    rows = materialise(
+        pages.select(
+            F.col("page_id").cast("long").alias("page_id"),
+            F.monotonically_increasing_id().alias("record"),
+            F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
+            F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"),
+        ).withColumn("digest", F.sha1("payload")),
+        "warc-pages",
+        compression="zstd",
     )
-    revisits = (
-        shared.join(first, "digest")
-        .where(F.struct("page_id", "url") != F.col("first"))
-        .select("page_id", "url", "digest", F.col("first.page_id").alias("refers_to"), F.lit(True).alias("again"))
-        .distinct()
+    shared = rows.where(F.length("payload") >= options.min_revisit_bytes).select("page_id", "record", "url", "digest")
+    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url", "record")
+    first = materialise(
+        shared.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"),
+        "warc-firsts",
     )
-    # One row per key, so no page is doubled; a null id meets none.
-    planned = rows.join(revisits, ["page_id", "url", "digest"], "left").drop("digest")
-    return planned.withColumn("page_id", F.coalesce("page_id", F.lit(-1)))
+    revisits = (
+        shared.join(first, "digest").where(F.col("record") != F.col("first.record"))
+        .select("record", F.col("first.page_id").alias("to_page"), F.col("first.record").alias("to_record"))
+    )
+    return rows.join(revisits, "record", "left")
 
 
 def write_archives(pages: DataFrame, folder: str, options: WarcOptions = WarcOptions()) -> DataFrame:
@@ -193,29 +210,33 @@ def write_archives(pages: DataFrame, folder: str, options: WarcOptions = WarcOpt
             stream.close()
             columns = list(zip(*rows))
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array([name] * len(rows), pa.string()),
-                 pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())],
-                ["page_id", "file", "frame", "start", "size"],
+                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                 pa.array([name] * len(rows), pa.string()), pa.array(columns[2], pa.int32()),
+                 pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64())],
+                ["page_id", "record", "file", "frame", "start", "size"],
             )
 
         for piece in pieces(batches, "payload"):
-            ids, urls = piece.column("page_id").to_pylist(), piece.column("url").to_pylist()
-            refers, again = piece.column("refers_to").to_pylist(), piece.column("again").to_pylist()
+            ids, numbers, urls = (piece.column(c).to_pylist() for c in ("page_id", "record", "url"))
+            pages, records = piece.column("to_page").to_pylist(), piece.column("to_record").to_pylist()
+            digests = piece.column("digest").to_pylist()
             for k, payload in enumerate(piece.column("payload")):
                 data = payload.as_py()
                 if writer is None:
                     name, rows = f"bundle-{uuid.uuid4().hex}.warc.zst", []
                     stream = target.open_output_stream(f"{base}/{name}", compression=None)
                     writer = BundleWriter(stream, options)
-                made = record(ids[k], urls[k], data, digest_of(data), refers[k] if again[k] else None, date)
-                rows.append((ids[k], *writer.add(made), len(made)))
+                own = identifier(ids[k], numbers[k])
+                refers_to = None if records[k] is None else identifier(pages[k], records[k])
+                made = record(own, urls[k], data, bare_digest(digests[k]), refers_to, date)
+                rows.append((ids[k], numbers[k], *writer.add(made), len(made)))
                 if writer.written >= options.bundle_bytes:
                     yield close()
                     writer = None
         if writer is not None:
             yield close()
 
-    planned = plan_records(pages, options).select("page_id", "url", "payload", "refers_to", "again")
+    planned = plan_records(pages, options)
     # One more shuffle is saved by writing in the join's partitions; order within a bundle does not matter.
     return materialise(planned.mapInArrow(run, INDEX), "warc-index")
 
@@ -227,7 +248,7 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
     """
     spark = index.sparkSession
     prepare(spark)
-    files = index.groupBy("file", "frame").agg(F.sort_array(F.collect_list(F.struct("start", "page_id"))).alias("at"))
+    files = index.groupBy("file", "frame").agg(F.sort_array(F.collect_list(F.struct("start", "record"))).alias("at"))
     files = files.repartition(partitions_for(spark), "file").sortWithinPartitions("file", "frame")
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -247,7 +268,7 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                 out = []
                 for at in row["at"]:
                     fields, block, _ = parse(data, at["start"])
-                    out.append(outcome(fields, block, at["page_id"]))
+                    out.append(outcome(fields, block, at["record"]))
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(
@@ -260,20 +281,19 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
     return files.mapInArrow(run, schema)
 
 
-def outcome(fields: dict[str, str], block: bytes, page_id: int) -> tuple[int, int, str, str, int | None]:
+def outcome(fields: dict[str, str], block: bytes, number: int) -> tuple[int | None, int, str, str, int | None]:
     """What a record says; the index and the payload must agree with it."""
-    own = int(fields["WARC-Record-ID"].removeprefix("<urn:page:").removesuffix(">"))
-    if own != page_id:
-        raise ValueError(f"record {own} where {page_id} should be")
+    own, found = page_of(fields["WARC-Record-ID"])
+    if found != number:
+        raise ValueError(f"record {found} where {number} should be")
     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
     end = block.index(b"\r\n\r\n") + 4
     size = int(block[:end].split(b"Content-Length: ")[1].split(b"\r\n")[0])
     if fields["WARC-Type"] == "revisit":
-        refers = int(fields["WARC-Refers-To"].removeprefix("<urn:page:").removesuffix(">"))
-        return own, size, digest, "revisit", refers
+        return own, size, digest, "revisit", page_of(fields["WARC-Refers-To"])[0]
     payload = block[end:]
     if len(payload) != size or digest_of(payload) != digest:
-        raise ValueError(f"record {own} does not match its digest")
+        raise ValueError(f"record {number} does not match its digest")
     return own, size, digest, "response", None
 
 

@@ -147,8 +147,8 @@ def test_bundle_round_trip_by_seek_table():
     payloads = [b"", b"x" * 2000, "é\r\n\r\nWARC/1.1".encode()] * 3
     places = []
     for k, payload in enumerate(payloads):
-        refers = 1 if k > 3 and payload == payloads[1] else None
-        made = warc.record(k, "http://a/\r\nX: y", payload, warc.digest_of(payload), refers, "1970-01-01T00:00:00Z")
+        refers = warc.identifier(1, 1) if k > 3 and payload == payloads[1] else None
+        made = warc.record(warc.identifier(k, k), "http://a/\r\nX: y", payload, warc.digest_of(payload), refers, "1970-01-01T00:00:00Z")
         places.append(writer.add(made))
     writer.finish()
     size = stream.tell()

@@ -213,7 +213,7 @@ def test_archives(spark, table):
     for r in warc.archive(pages, warc.WarcOptions(frame_bytes=300, bundle_bytes=100)).collect():
         got[r.page_id].append((r.record_type, r.refers_to, r.payload_bytes))
     assert got[0] == [("response", None, 4)] and got[1] == [("revisit", 0, 4)]
-    assert got[2] == [("revisit", 0, 4)] * 3 and got[-1] == [("response", None, 4)]
+    assert got[2] == [("revisit", 0, 4)] * 3 and got[None] == [("revisit", 0, 4)]
     assert got[3] == [("response", None, 0)] and got[4] == [("revisit", 3, 0)] and got[5] == [("response", None, 6000)]
     assert warc.archive(pages.where("false")).count() == 0
     html = {r.page_id: (r.html or "").encode() for r in table("pages").collect()}
