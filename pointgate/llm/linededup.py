@@ -5,10 +5,10 @@ HyperLogLog sketches, built per task and merged by aggregation.  Keys whose esti
 threshold are decided by it; those near the threshold are counted exactly.  A key at or above the threshold is
 boilerplate: its lines go, except the very first one (smallest ``doc_id``, then position), so no text is lost.
 
-Lines shorter than ``min_chars`` code points are too common by chance and are left alone.  A null site counts as one
-site of its own, and so does a missing ``source`` column; a null text has no lines and stays null.  Of rows that
-repeat a ``doc_id`` the one with the smallest text hash comes first; equal rows are treated alike.  Row count, ids and
-all other columns are kept, whatever their names.
+Every line counts, however short, unless it is blank (nothing but spaces); blank lines are never removed.  A null
+site counts as one site of its own, and so does a missing ``source`` column; a null text has no lines and stays null.
+Of rows that repeat a ``doc_id`` the one with the smallest text hash comes first; equal rows are treated alike.  Row
+count, ids and all other columns are kept, whatever their names.
 
 DataFrame functions only.  Lines travel as hashes; a hot line is one row per task after partial aggregation, and only
 boilerplate positions travel back to the texts.
@@ -27,7 +27,6 @@ from pointgate.llm.text import materialise, prepare
 @dataclass(frozen=True)
 class LineOptions:
     min_sites: int = 5
-    min_chars: int = 20
     sketch_bits: int = 11
     margin: float = 0.25
 
@@ -49,14 +48,14 @@ def row_key(docs: DataFrame) -> list[Column]:
     ]
 
 
-def keyed_lines(docs: DataFrame, options: LineOptions) -> DataFrame:
-    """Row key, place, line key (96 bits) and site of every line that is long enough."""
+def keyed_lines(docs: DataFrame) -> DataFrame:
+    """Row key, place, line key (96 bits) and site of every line that is not blank."""
     site = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
     lines = docs.select(
         *row_key(docs), site.alias("site"), F.posexplode(lines_of(F.col("text"))).alias("place", "line")
     )
     line = F.trim(F.col("line"))
-    return lines.where(F.length(line) >= options.min_chars).select(
+    return lines.where(line != "").select(
         *ROW, "place", "site", F.xxhash64(line).alias(KEY[0]), F.hash(line).alias(KEY[1])
     )
 
@@ -86,9 +85,21 @@ def boilerplate_keys(lines: DataFrame, options: LineOptions) -> DataFrame:
     )
 
 
+def without_places(lines: Column, gone: Column) -> Column:
+    """The lines but those at the places ``gone``: the runs between them, so the work grows with the lines alone."""
+    places = F.sort_array(gone)
+
+    def kept(every: Column) -> Column:
+        before = F.concat(F.array(F.lit(-1)), places)
+        after = F.concat(places, F.array(F.size(every)))
+        return F.flatten(F.zip_with(before, after, lambda a, b: F.slice(every, a + 2, b - a - 1)))
+
+    return F.transform(F.array(lines), kept)[0]  # the text is cut into lines once
+
+
 def removed_places(docs: DataFrame, options: LineOptions) -> DataFrame:
     """Per row key, the places of the lines to remove."""
-    lines = keyed_lines(docs, options)
+    lines = keyed_lines(docs)
     # Written, so that both sides of the join are plain exchanges and the rows of a hot line can be split.
     keys = materialise(boilerplate_keys(lines, options), "boilerplate")
     gone = lines.join(keys, KEY).where(F.struct(*ROW, "place") != F.col("first"))
@@ -109,7 +120,7 @@ def edited(docs: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
     gone = removed_places(docs, options)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key(docs))
     text = F.col("row")["text"]
-    left = F.filter(lines_of(text), lambda line, place: ~F.array_contains(F.col("gone"), place))
+    left = without_places(lines_of(text), F.col("gone"))
     return rows.join(gone, ROW, "left").select(
         "row",
         F.when(F.col("gone").isNull(), text).otherwise(F.array_join(left, "\n")).alias("new_text"),

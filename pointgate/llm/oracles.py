@@ -8,14 +8,14 @@ WITH cut AS (
 ), lines AS (
   SELECT doc_id, site, unnest(range(len(parts))) AS place, unnest(parts) AS line FROM cut
 ), keyed AS (
-  SELECT doc_id, site, place, line, trim(line, ' ') AS key, length(trim(line, ' ')) >= 20 AS long_enough FROM lines
+  SELECT doc_id, site, place, line, trim(line, ' ') AS key, trim(line, ' ') <> '' AS counts FROM lines
 ), shared AS (
   SELECT key, min({'d': doc_id, 'p': place}) AS first
-  FROM keyed WHERE long_enough GROUP BY key HAVING count(DISTINCT site) >= 5
+  FROM keyed WHERE counts GROUP BY key HAVING count(DISTINCT site) >= 5
 ), marked AS (
   SELECT k.doc_id, k.place, k.line,
-         k.long_enough AND s.key IS NOT NULL AND NOT (s.first.d = k.doc_id AND s.first.p = k.place) AS gone
-  FROM keyed k LEFT JOIN shared s ON k.key = s.key AND k.long_enough
+         k.counts AND s.key IS NOT NULL AND NOT (s.first.d = k.doc_id AND s.first.p = k.place) AS gone
+  FROM keyed k LEFT JOIN shared s ON k.key = s.key AND k.counts
 ), kept AS (
   SELECT doc_id, count(*) AS n_lines, sum(CASE WHEN gone THEN 1 ELSE 0 END)::BIGINT AS n_removed,
          coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text

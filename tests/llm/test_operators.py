@@ -196,6 +196,18 @@ def test_odd_lines(odd, nothing):
     assert four.where(F.col("text").contains(LINE)).count() == 4
 
 
+def test_short_lines_and_long_texts(spark):
+    """Short lines count too, blank ones stay, and a text of 60,000 lines with half of them removed takes no longer than its length."""
+    rows = [(k, f"a\n\n  \nown line {k}\n b ", f"s{k}") for k in range(1, 6)]
+    many = [w for k in range(30_000) for w in ("a", f"x{k}")]
+    rows.append((9, "\n".join(many), "s9"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in linededup.without_boilerplate(docs).collect()}
+    assert got[1] == "a\n\n  \nown line 1\n b "
+    assert all(got[k] == f"\n  \nown line {k}" for k in range(2, 6))
+    assert got[9] == "\n".join(many[1::2])
+
+
 def test_line_query_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from read_parquet('{DATA}/documents.parquet')")
