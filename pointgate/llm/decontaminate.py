@@ -5,7 +5,8 @@ points may differ by ``e = floor(n * error_rate)`` insertions, deletions or chan
 wherever it occurs within that budget, one piece occurs unchanged.  All pieces are looked up in one pass over a text
 (Aho-Corasick); around each hit Myers' bit-parallel algorithm finds the smallest edit distance of the whole item.
 
-The test set is taken in blocks of bounded size, each against all rows.  Empty items match nothing; an item shorter
+The test set is taken in blocks of bounded size, each against all rows: an automaton has no more nodes than its block
+has code points (about 55 bytes each, per worker).  Item ids may be of any type that is written as text and back.  Empty items match nothing; an item shorter
 than ``1 / error_rate`` must occur exactly.  Null and empty texts have no hits.  Items that repeat are reported each.
 """
 
@@ -26,7 +27,7 @@ from pointgate.llm.text import filtered, kept_in_worker, pieces, prepare, share,
 @dataclass(frozen=True)
 class LeakOptions:
     error_rate: float = 0.08
-    block_chars: int = 4_000_000
+    block_chars: int = 800_000
 
 
 def normal(text: str) -> str:
@@ -119,12 +120,13 @@ class Matcher:
 
 def blocks(benchmark: DataFrame, options: LeakOptions) -> Iterator[list[tuple[object, str]]]:
     """The test set in blocks of about ``block_chars``, which is what the driver and a broadcast hold at once."""
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("length(text) > 0")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = items.where("length(text) > 0")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-total // options.block_chars))
     for number in range(count):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == number)
-        rows = sorted(block.collect(), key=lambda r: (str(r["item_id"]), r["text"]))
+        rows = sorted(block.collect(), key=lambda r: (r["item_id"] or "", r["text"]))
         if rows:
             yield [(r["item_id"], r["text"]) for r in rows]
 
@@ -134,7 +136,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, options: LeakOptions = LeakOpti
     spark = docs.sparkSession
     prepare(spark)
     kind = benchmark.schema["item_id"].dataType
-    schema = f"doc_id long, item_id {kind.simpleString()}, start long, end long, distance int"
+    schema = "doc_id long, item_id string, start long, end long, distance int"
     found = spark.createDataFrame([], schema)
     rows = texts_of(docs)
     for items in blocks(benchmark, options):
@@ -147,16 +149,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, options: LeakOptions = LeakOpti
                 if out:
                     yield pa.RecordBatch.from_pylist(
                         [dict(zip(("doc_id", "item_id", "start", "end", "distance"), o)) for o in out],
-                        pa.schema([("doc_id", pa.int64()), ("item_id", to_arrow(kind)), ("start", pa.int64()),
+                        pa.schema([("doc_id", pa.int64()), ("item_id", pa.string()), ("start", pa.int64()),
                                    ("end", pa.int64()), ("distance", pa.int32())]),
                     )
 
         found = found.union(rows.mapInArrow(run, schema))
-    return found
-
-
-def to_arrow(kind) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind.simpleString()]
+    return found.withColumn("item_id", F.col("item_id").cast(kind))
 
 
 def scanner(spark, items: list[tuple[object, str]], options: LeakOptions):
