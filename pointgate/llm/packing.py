@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointgate.llm.hilbert import hilbert_keys
-from pointgate.llm.text import gathered, kept_in_worker, materialise, mix, partitions_for, pieces, row_of, share, split_words
-from pointgate.llm.text import sum_rows, text_column, texts_of
+from pointgate.llm.text import joined_bytes, kept_in_worker, materialise, mix, partitions_for, pieces, row_of, share
+from pointgate.llm.text import sum_rows, text_column, texts_of, word_hashes, word_spans
 
 
 @dataclass(frozen=True)
@@ -40,8 +40,8 @@ class PackOptions:
     end_id: int = 1
     dimensions: int = 4
     bits: int = 12
-    cache_words: int = 400_000
-    piece_bytes: int = 10 << 20
+    cache_words: int = 300_000
+    piece_bytes: int = 4 << 20
 
 
 def directions(count: int, dimensions: int) -> np.ndarray:
@@ -75,8 +75,8 @@ LETTERS = "^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
 class WordTokens:
     """Token ids by distinct words: white space never joins tokens here, so equal words have equal ids.
 
-    Letters are looked up without their closing mark and with A-Z folded, as the tokenizer does itself; anything
-    unusual goes to the tokenizer as it is.  Words seen lately are kept in two generations of bounded size.
+    Words seen lately are kept in sorted arrays, by 64-bit hash and length: about 40 bytes a word, ``cache_words`` at
+    most; the longest unused half goes when they are full.  Only words not kept are made to strings.
     """
 
     def __init__(self, definition: str, options: PackOptions):
@@ -84,11 +84,13 @@ class WordTokens:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         self.tokenizer = Tokenizer.from_str(definition)
-        # the same vocabulary for words of letters alone, without the steps that change nothing for them
-        self.letters = Tokenizer.from_str(definition)
-        self.letters.normalizer = normalizers.Lowercase()
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self.full = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        # for words of letters alone, without the steps that change nothing for them
+        self.lean = (
+            normalizers.Lowercase(),
+            pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            ),
         )
         self.table = directions(self.tokenizer.get_vocab_size(with_added_tokens=True) + 2, options.dimensions)
         self.closes = np.zeros(len(self.table), bool)  # tokens that end a word
@@ -96,19 +98,23 @@ class WordTokens:
         marks = [e.ids for e in self.encode(list(MARKS))]
         self.single = all(len(m) == 1 for m in marks)
         self.marks = np.array([0, *(m[0] for m in marks)], "<u4")
-        self.limit = options.cache_words
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.limit, self.clock = options.cache_words, 0
+        self.keys, self.flat = np.zeros(0, np.uint64), np.zeros(0, "<u4")
+        self.starts = self.sizes = self.seen = np.zeros(0, np.int32)
 
     def encode(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
     def words(self, bodies: list[str]) -> Iterator[bytes]:
         """Ids of words made of letters: each is one word to the tokenizer, so many go in one text."""
-        for begin in range(0, len(bodies), 500):
-            part = bodies[begin : begin + 500]
-            (made,) = self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)
-            ids = np.array(made.ids, "<u4")
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.lean
+        try:
+            texts = [" ".join(bodies[k : k + 500]) for k in range(0, len(bodies), 500)]
+            made = [np.array(e.ids, "<u4") for e in self.encode(texts)]
+        finally:
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.full
+        for k, ids in enumerate(made):
+            part = bodies[500 * k : 500 * k + 500]
             edges = np.append(0, np.flatnonzero(self.closes[ids]) + 1)
             if len(edges) != len(part) + 1:  # a vocabulary without word ends
                 yield from (np.array(e.ids, "<u4").tobytes() for e in self.encode(part))
@@ -116,23 +122,22 @@ class WordTokens:
             raw = ids.tobytes()
             yield from (raw[4 * a : 4 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()))
 
-    def look_up(self, bodies: list[str], plain: list[bool]) -> list[bytes]:
-        if len(self.known) > self.limit:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        found = [known.get(w) or older.get(w) for w in bodies]
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        easy = [k for k in missing if plain[k]]
-        odd = [k for k in missing if not plain[k]]
+    def encoded(self, bodies: list[str], plain: list[bool]) -> list[bytes]:
+        found: list[bytes] = [b""] * len(bodies)
+        easy = [k for k, p in enumerate(plain) if p]
+        odd = [k for k, p in enumerate(plain) if not p]
         for k, ids in zip(easy, self.words([bodies[k] for k in easy])):
             found[k] = ids
         for k, made in zip(odd, self.encode([bodies[k] for k in odd])):
             found[k] = np.array(made.ids, "<u4").tobytes()
-        known.update(zip(bodies, found))
         return found
 
     def ids(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ragged rows of ids, one for each word: offsets and ids."""
+        """Ragged rows of ids, one for each word: offsets and ids.
+
+        Letters are encoded without their closing mark and with A-Z folded, as the tokenizer does itself; anything
+        unusual goes to the tokenizer as it is.
+        """
         words = pa.array(distinct, pa.large_string())
         bare = pc.ascii_rtrim(words, characters=MARKS)
         cut = pc.subtract(pc.binary_length(words), pc.binary_length(bare)).to_numpy(zero_copy_only=False)
@@ -142,37 +147,76 @@ class WordTokens:
         bodies = coded.dictionary.to_pylist()
         easy = np.zeros(len(bodies), bool)
         easy[body] = plain
-        encoded = self.look_up(bodies, easy.tolist())
-        flat = np.frombuffer(b"".join(encoded), "<u4")
+        encoded = self.encoded(bodies, easy.tolist())
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
-        starts = np.cumsum(sizes) - sizes
         marked = plain & (cut == 1)
-        lengths = sizes[body] + marked
-        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        bounds = np.concatenate([[0], np.cumsum(sizes[body] + marked)])
         out = np.empty(int(bounds[-1]), "<u4")
-        own = sizes[body]
-        before = np.cumsum(own) - own
-        inner = np.arange(int(own.sum())) - np.repeat(before, own)
-        out[np.repeat(bounds[:-1], own) + inner] = flat[np.repeat(starts[body], own) + inner]
-        last = pc.utf8_slice_codeunits(words.filter(pa.array(marked)), -1).to_pylist()
-        out[bounds[1:][marked] - 1] = self.marks[[MARKS.index(m) + 1 for m in last]]
+        flat = np.frombuffer(b"".join(encoded), "<u4")
+        into = ragged(bounds[:-1], sizes[body])
+        out[into] = flat[ragged((np.cumsum(sizes) - sizes)[body], sizes[body])]
+        last = pc.utf8_slice_codeunits(words.filter(pa.array(marked)), -1)
+        mark = pc.index_in(last, value_set=pa.array(list(MARKS), pa.large_string())).to_numpy(zero_copy_only=False)
+        out[bounds[1:][marked] - 1] = self.marks[mark + 1]
         return bounds, out
 
+    def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word's ids begin in ``flat``, and how many they are; words not kept are encoded now."""
+        hashes = word_hashes(data, starts, ends)
+        # the length is part of the key
+        hashes ^= (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        keys, first, code = np.unique(hashes, return_index=True, return_inverse=True)
+        self.clock += 1
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        hit = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        self.seen[at[hit]] = self.clock
+        new = np.flatnonzero(~hit)
+        if len(new):
+            self.make_room(len(new))
+            raw = data.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            bounds, ids = self.ids([raw[a:b].decode("utf-8", "replace") for a, b in spans])
+            order = np.argsort(np.concatenate([self.keys, keys[new]]), kind="stable")
+            base = len(self.flat)
+            self.flat = np.concatenate([self.flat, ids])
+            self.keys = np.concatenate([self.keys, keys[new]])[order]
+            self.starts = np.concatenate([self.starts, base + bounds[:-1]]).astype(np.int32)[order]
+            self.sizes = np.concatenate([self.sizes, np.diff(bounds)]).astype(np.int32)[order]
+            self.seen = np.concatenate([self.seen, np.full(len(new), self.clock)]).astype(np.int32)[order]
+        at = np.searchsorted(self.keys, keys)
+        return self.starts[at][code], self.sizes[at][code]
+
+    def make_room(self, count: int) -> None:
+        """Drop the longest unused words, but none of the present texts."""
+        if len(self.keys) + count <= self.limit:
+            return
+        kept = np.argsort(-self.seen, kind="stable")[: self.limit // 2]
+        kept = np.sort(np.union1d(kept, np.flatnonzero(self.seen == self.clock)))
+        self.flat = self.flat[ragged(self.starts[kept], self.sizes[kept])]
+        self.keys, self.seen, self.sizes = self.keys[kept], self.seen[kept], self.sizes[kept]
+        self.starts = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each row, one row behind the other."""
+    sizes = sizes.astype(np.int64)
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
 
 def token_rows(
     texts: pa.Array, words: WordTokens, options: PackOptions
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ragged rows of token ids with the end id, and the curve key of each text."""
-    offsets, codes, distinct = split_words(texts)
-    edges, flat = words.ids(distinct)
+    data, begins = joined_bytes(texts)
+    starts, ends = word_spans(data)
+    at, sizes = words.places(data, starts, ends)
+    offsets = np.searchsorted(starts, np.append(begins, len(data)))  # the words of each text
     # the end id follows the words of every text
-    flat = np.append(flat, np.uint32(options.end_id))
-    lengths, starts = np.append(np.diff(edges), 1), np.append(edges[:-1], len(flat) - 1)
-    with_end = np.insert(codes.astype(np.int64), offsets[1:], len(distinct))
-    own = lengths[with_end]
-    before = np.cumsum(own) - own
-    ids = flat[np.repeat(starts[with_end] - before, own) + np.arange(int(own.sum()))]
-    bounds = np.concatenate([[0], np.cumsum(own)])[offsets + np.arange(len(offsets))]
+    flat = np.append(words.flat, np.uint32(options.end_id))
+    at, sizes = np.insert(at, offsets[1:], len(flat) - 1), np.insert(sizes, offsets[1:], 1)
+    ids = flat[ragged(at, sizes)]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])[offsets + np.arange(len(offsets))]
     return bounds, ids, curve_keys(bounds, ids, words.table, options)
 
 
@@ -185,7 +229,7 @@ def tokenized(docs: DataFrame, tokenizer: str, options: PackOptions) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = kept_in_worker(name, lambda: WordTokens(definition(), options))
-        for piece in pieces(gathered(batches, options.piece_bytes), limit=options.piece_bytes):
+        for piece in pieces(batches, limit=options.piece_bytes):
             bounds, ids, keys = token_rows(text_column(piece), words, options)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -68,10 +68,10 @@ def partitions_for(spark: SparkSession, least: int = 1) -> int:
 
 
 def kept_in_worker(key: str, make: Callable[[], Any]) -> Any:
-    """A value that later tasks of the same Python worker find again; the last two are kept."""
+    """A value that later tasks of the same Python worker find again; the last three are kept."""
     store = sys.__dict__.setdefault("_pointgate_llm_kept", {})
     if key not in store:
-        while len(store) >= 2:
+        while len(store) >= 3:
             del store[next(iter(store))]
         store[key] = make()
     return store[key]
@@ -105,18 +105,6 @@ def pieces(
             begin = end
 
 
-def gathered(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """Batches joined up to about ``limit`` bytes: fewer distinct words per word."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.nbytes for b in held) >= limit:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held = []
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-
 def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     """The texts in buffers of their own: some string kernels misread a slice of a larger array."""
     return fresh(pc.fill_null(batch.column(name).cast(pa.large_string()), ""))
@@ -141,6 +129,55 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return offsets, codes, distinct
 
 
+def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of the texts with a line end behind each, and where each text begins."""
+    parts = texts.cast(pa.large_binary()).to_pylist()
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+    return np.frombuffer(b"\n".join([*parts, b""]), np.uint8), np.cumsum(sizes) - sizes
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+_HASH_BYTES = 1 << 20
+
+
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the words between ASCII white space; the last byte is white space."""
+    edge = np.diff((~_SPACE[data]).astype(np.int8), prepend=0)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    rows = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        row = np.full(count, base, np.uint64)
+        row[0] = 1
+        rows.append(np.multiply.accumulate(row))
+    return rows[0], rows[1]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words, from prefix polynomials of their bytes; arrays follow a megabyte, not the text."""
+    out = np.empty(len(starts), np.uint64)
+    letters = mix(np.arange(1, 257, dtype=np.uint64))
+    done = 0
+    while done < len(starts):
+        begin = int(starts[done])
+        last = max(done + 1, int(np.searchsorted(ends, begin + _HASH_BYTES, side="right")))
+        size = int(ends[last - 1]) - begin
+        if size <= _HASH_BYTES:
+            forth, back = kept_in_worker("powers", lambda: _powers(_HASH_BYTES + 1))
+        else:  # one word longer than that
+            forth, back = _powers(size + 1)
+        prefix = np.zeros(size + 1, np.uint64)
+        np.cumsum(letters[data[begin : begin + size]] * forth[:size], out=prefix[1:])
+        a, b = starts[done:last] - begin, ends[done:last] - begin
+        out[done:last] = (prefix[b] - prefix[a]) * back[a]
+        done = last
+    return mix(out)
+
+
 def hash_words(distinct: list[str], seed: int = 0) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     return np.fromiter((digest(w.encode("utf-8", "surrogatepass"), seed) for w in distinct), np.uint64, len(distinct))

@@ -78,8 +78,9 @@ def test_bagminhash_estimates_weighted_jaccard():
     assert (bagminhash.signatures(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), 2, 8) == 2**32 - 1).all()
 
 
-def test_token_ids_equal_the_tokenizer():
-    known = packing.WordTokens(open(FILE, encoding="utf-8").read(), packing.PackOptions(cache_words=3))
+@pytest.mark.parametrize("cache", [3, 300_000])
+def test_token_ids_equal_the_tokenizer(cache):
+    known = packing.WordTokens(open(FILE, encoding="utf-8").read(), packing.PackOptions(cache_words=cache))
     plain = Tokenizer.from_file(FILE)
     cases = ["", "  ", "It's I'll 've THE.End, a.b x.. ..", "<|endoftext|> x<|ENDOFTEXT|>a <|startoftext|>",
              "İstanbul ΣΑΣ. é. áb, ﬁn 12.5, ①② x \x85z \x1cq", "B! É! ÉA. ×. a× İ. ß? ª. x÷ ǅ. 日本。 a b.", "The the THE."]

@@ -283,6 +283,12 @@ def test_pipeline_stages(spark, table, texts):
             )
     pieces = corpus_pipeline.run(spark, DATA).collect()
     assert {p.doc_id for p in pieces} == set(after)
+    from tokenizers import Tokenizer
+
+    plain, ids = Tokenizer.from_file(FILE), collections.defaultdict(list)
+    for p in sorted(pieces, key=lambda p: p.start):
+        ids[p.doc_id] += np.frombuffer(bytes(p.ids), "<u4").tolist()
+    assert ids == {i: plain.encode(r.text, add_special_tokens=False).ids + [1] for i, r in after.items()}
     used = collections.Counter()
     for p in pieces:
         used[p.sequence_id] += p.length
