@@ -7,7 +7,12 @@ columns of ``documents``:
 2. line dedup: lines that many sites share go from all documents but the first (documents stay, ``n_chars`` follows);
 3. near-dedup: of each class of near copies the document with the smallest id stays;
 4. decontamination: documents with a benchmark item in them go;
-5. packing: the rest becomes pieces of full training sequences.
+5. packing: the rest becomes pieces of full training sequences, with their token ids.
+
+Odd rows: a null or empty text is not toxic, has no lines to lose and no benchmark item in it; all texts without words
+are one class of copies; the one that stays is the end token alone.  Rows without ``doc_id`` are judged like all
+others, and one of them stays of a class only if no row of it has an id.  Rows that repeat are copies of each other.
+Columns beyond those of ``documents`` pass through, whatever their names.  Empty tables give no pieces.
 """
 
 from __future__ import annotations
@@ -44,7 +49,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packed(docs, TOKENIZER, with_ids=False)
+    return packed(docs, TOKENIZER)
 
 
 STAGES = [
