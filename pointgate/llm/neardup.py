@@ -7,10 +7,12 @@ larger counts) is at least ``threshold``; classes are the connected components o
 * A node's signature is cut into bands; nodes that share a band's key meet in a bucket.  First every bucket compares
   its most connected member (the one that meets most others over all buckets) with all others: one comparison per
   member, however large a group of near copies is.  Links are verified on the multisets and merged to components.
-* Buckets that still hold several components are cut into blocks of bounded size; a task takes two blocks and
-  compares members of different components, each pair only in the first band it shares.  It sends the links that
-  joined something, at most one per member.  So no link that could join two components is left out, and no group is
-  ever held or sent whole.
+* Buckets that still hold several components get further rounds: the most connected member of the largest component
+  without a leader yet meets all members of other components.  A round sends each member once.
+* Buckets open after ``star_rounds`` are cut into blocks of bounded size by a hash of the member; a task takes two
+  blocks and compares members of different components, each pair only in the first band it shares.  It sends the links
+  that joined something, at most one per member.  So no link that could join two components is left out, and no group
+  is ever held, ordered or sent whole.
 * Pairs whose sizes rule the threshold out, or whose signatures agree far too little (six standard deviations), are
   dropped before their multisets are compared.
 
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointgate.llm.bagminhash import signatures
@@ -44,6 +46,7 @@ class NearOptions:
     bands: int = 24
     rows: int = 5
     block_bytes: int = 2_000_000
+    star_rounds: int = 3
 
     @property
     def size(self) -> int:
@@ -77,7 +80,7 @@ def shingles(texts: pa.Array) -> tuple[list[np.ndarray], list[bytes]]:
 
 
 def signed(docs: DataFrame, options: NearOptions) -> DataFrame:
-    """doc_id, node, number of shingles, band keys and 16-bit signature components of every row."""
+    """doc_id, tie (hash of the text), node, number of shingles, band keys and 16-bit signature components of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band = np.arange(options.bands, dtype=np.uint64) * _FACTOR
@@ -96,16 +99,17 @@ def signed(docs: DataFrame, options: NearOptions) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("doc_id"),
+                    piece.column("tie"),
                     pa.array(keys, pa.binary()),
                     pa.array([len(f) for f in found], pa.int64()),
                     pa.array([k if len(f) else [] for k, f in zip(key.astype(np.int64), found)], pa.list_(pa.int64())),
                     pa.array([row.tobytes() for row in low], pa.binary()),
                 ],
-                ["doc_id", "node", "n", "bands", "signature"],
+                ["doc_id", "tie", "node", "n", "bands", "signature"],
             )
 
-    schema = "doc_id long, node binary, n long, bands array<long>, signature binary"
-    return texts_of(docs).mapInArrow(run, schema)
+    schema = "doc_id long, tie long, node binary, n long, bands array<long>, signature binary"
+    return texts_of(docs).withColumn("tie", F.xxhash64("text")).mapInArrow(run, schema)
 
 
 def multisets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -179,14 +183,13 @@ def verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def meetings(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries (bucket, node, members) of buckets with several nodes, and the leader of each bucket."""
+    """Entries (bucket, node, members, reach) of buckets with several nodes, and the leader of each bucket."""
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = materialise(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "sizes")
     shared = materialise(entries.join(sizes, "bucket"), "meetings")
     reach = shared.groupBy("node").agg(F.sum("members").alias("reach"))
-    leaders = (
-        shared.join(reach, "node").groupBy("bucket").agg(F.max(F.struct("reach", "node"))["node"].alias("leader"))
-    )
+    shared = materialise(shared.join(reach, "node"), "meetings")
+    leaders = shared.groupBy("bucket").agg(F.max(F.struct("reach", "node"))["node"].alias("leader"))
     return shared, materialise(leaders, "leaders")
 
 
@@ -213,53 +216,81 @@ def near_links(docs: DataFrame, options: NearOptions = NearOptions()) -> tuple[D
     bags = materialise(multisets(docs, nodes.join(wanted, "node").select("doc_id", "node")), "multisets")
     links = materialise(verified(possible, bags, options.threshold), "star-links").select("a", "b")
     components = connected(links)
-    more = materialise(block_links(shared, leaders, components, nodes, bags, options), "block-links")
-    if not more.isEmpty():
-        links = links.union(more)
-        components = connected(links)
+    led = leaders
+    for turn in range(options.star_rounds + 1):
+        entries = open_entries(shared, components)
+        if entries.isEmpty():
+            break
+        if turn < options.star_rounds:
+            chosen = next_leaders(entries, led)
+            met = entries.join(chosen, "bucket").where("component != leader_component")
+            stars = met.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+            possible = agreeing(stars, nodes, options)
+            more = materialise(verified(possible, bags, options.threshold), "star-links").select("a", "b")
+            led = materialise(led.union(chosen.select("bucket", "leader")), "leaders")
+        else:
+            more = materialise(block_links(entries, led, nodes, bags, options), "block-links")
+        if not more.isEmpty():
+            links = links.union(more)
+            components = connected(links)
     return rows, links, components
 
 
-def open_entries(shared: DataFrame, leaders: DataFrame, components: DataFrame) -> DataFrame:
-    """Entries (bucket, node, component, leader) of buckets that still hold several components.
+def open_entries(shared: DataFrame, components: DataFrame) -> DataFrame:
+    """Entries (bucket, node, reach, component) of buckets that still hold several components.
 
     A bucket of two nodes is settled by its star.
     """
     labelled = (
-        shared.where("members > 2").select("bucket", "node")
+        shared.where("members > 2").select("bucket", "node", "reach")
         .join(components, "node", "left")
-        .select("bucket", "node", F.coalesce("component", "node").alias("component"))
+        .select("bucket", "node", "reach", F.coalesce("component", "node").alias("component"))
     )
     mixed = materialise(
         labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo != hi").select("bucket").join(leaders, "bucket"),
+        .where("lo != hi").select("bucket"),
         "mixed",
     )
     return materialise(labelled.join(mixed, "bucket"), "open")
 
 
+def next_leaders(entries: DataFrame, led: DataFrame) -> DataFrame:
+    """bucket, leader and its component: of the largest component without a leader, the most connected member.
+
+    Buckets all components of which have had a leader are not among them.
+    """
+    before = led.withColumnRenamed("leader", "node").join(entries, ["bucket", "node"]).select("bucket", "component")
+    fresh = entries.join(before.distinct(), ["bucket", "component"], "left_anti")
+    best = fresh.groupBy("bucket", "component").agg(
+        F.count(F.lit(1)).alias("members"), F.max(F.struct("reach", "node")).alias("best")
+    )
+    top = F.max(F.struct("members", "best", "component")).alias("top")
+    chosen = best.groupBy("bucket").agg(top).select(
+        "bucket", F.col("top.best.node").alias("leader"), F.col("top.component").alias("leader_component")
+    )
+    return materialise(chosen, "next-leaders")
+
+
 def block_links(
-    shared: DataFrame, leaders: DataFrame, components: DataFrame, nodes: DataFrame, bags: DataFrame,
-    options: NearOptions,
-) -> DataFrame:
+    entries: DataFrame, led: DataFrame, nodes: DataFrame, bags: DataFrame, options: NearOptions
+) -> DataFrame:
     """Links between components inside open buckets, each task holding two blocks of one bucket."""
-    entries = open_entries(shared, leaders, components)
-    order = Window.partitionBy("bucket").orderBy("node")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
     weight = F.col("n") * 8 + options.size * 2 + 400
-    placed = (
-        entries.join(nodes.select("node", "n"), "node")
-        .withColumn("block", F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0)) / options.block_bytes).cast("int"))
-        .drop("n")
+    leads = led.withColumnRenamed("leader", "node").withColumn("leads", F.lit(True))
+    sized = materialise(
+        entries.drop("reach").join(nodes.select("node", "n"), "node").withColumn("bytes", weight).drop("n")
+        .join(leads, ["bucket", "node"], "left").withColumn("leads", F.coalesce("leads", F.lit(False))),
+        "open-sizes",
+    )
+    counts = materialise(
+        sized.groupBy("bucket").agg(F.ceil(F.sum("bytes") / options.block_bytes).cast("int").alias("count")), "blocks"
     )
-    blocks = placed.groupBy("bucket").agg(F.max("block").alias("last"))
-    # unit (low, high): all pairs of blocks, a block with itself included
-    units = placed.join(blocks, "bucket").select(
-        "bucket", "node", "component", "leader", "block",
-        F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"),
-    ).select(
-        "bucket", "node", "component", "leader", "block",
-        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+    units = (
+        sized.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("count")).cast("int"))
+        # unit (low, high): all pairs of blocks, a block with itself included
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+        .select("bucket", "node", "component", "leads", "block", F.least("block", "other").alias("low"),
+                F.greatest("block", "other").alias("high"))
     )
     full = units.join(nodes.select("node", "bands", "signature"), "node").join(bags, "node")
 
@@ -274,7 +305,7 @@ def block_links(
 
 def settle(table: pa.Table, options: NearOptions) -> list[tuple[bytes, bytes]]:
     """The links among one or two blocks of a bucket that join components."""
-    bucket, leader = table.column("bucket")[0].as_py(), table.column("leader")[0].as_py()
+    bucket = table.column("bucket")[0].as_py()
     names = table.column("node").to_pylist()
     blocks = table.column("block").to_numpy()
     crossing = blocks.min() != blocks.max()
@@ -295,13 +326,13 @@ def settle(table: pa.Table, options: NearOptions) -> list[tuple[bytes, bytes]]:
     marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(count, options.size)
     keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(count, options.bands)
     band = int(np.flatnonzero(keys[0] == bucket)[0])
-    leads = np.array([n == leader for n in names])
+    leads = table.column("leads").to_numpy()
     alike: list[np.ndarray] = []
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     for i in range(count - 1):
         rest = np.arange(i + 1, count)
-        rest = rest[(own[rest] != own[i]) & ~(leads[rest] | leads[i])]  # the leader met everyone already
+        rest = rest[(own[rest] != own[i]) & ~(leads[rest] | leads[i])]  # a leader met everyone already
         if crossing:
             rest = rest[blocks[rest] != blocks[i]]
         rest = rest[np.minimum(sizes[rest], sizes[i]) >= options.threshold * np.maximum(sizes[rest], sizes[i])]
@@ -332,23 +363,36 @@ def settle(table: pa.Table, options: NearOptions) -> list[tuple[bytes, bytes]]:
 def near_classes(docs: DataFrame, options: NearOptions = NearOptions()) -> DataFrame:
     """doc_id, class_id and node for every row of ``docs``."""
     rows, _, components = near_links(docs, options)
-    return classes_of(rows, components)
+    placed = placed_rows(rows, components)
+    ids = materialise(placed.groupBy("component").agg(F.min("doc_id").alias("class_id")), "class-ids")
+    return placed.join(ids, "component").select("doc_id", "class_id", "node")
 
 
-def classes_of(rows: DataFrame, components: DataFrame) -> DataFrame:
-    placed = rows.select("doc_id", "node").join(components, "node", "left").select(
-        "doc_id", "node", F.coalesce("component", "node").alias("component")
+def placed_rows(rows: DataFrame, components: DataFrame) -> DataFrame:
+    return rows.select("doc_id", "tie", "node").join(components, "node", "left").select(
+        "doc_id", "tie", "node", F.coalesce("component", "node").alias("component")
     )
-    ids = materialise(placed.groupBy("component").agg(F.min("doc_id").alias("class_id")), "class-ids")
-    return placed.join(ids, "component").select("doc_id", "class_id", "node")
 
 
 def one_of_each(docs: DataFrame, options: NearOptions = NearOptions()) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of their class, with all columns.
+    """One row of ``docs`` for each class, with all columns: that of the smallest ``doc_id``.
 
-    Rows that repeat a kept id with the same text are one row; rows without an id cannot stand for a class and stay.
+    Where the smallest id repeats with several texts of the class, the text with the smallest key stays; rows that
+    repeat it are one row.  A row without an id stays only for a class in which no row has one.
     """
-    classes = near_classes(docs, options)
-    keep = materialise(classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct(), "kept")
-    kept = docs.join(keep, docs["doc_id"].cast("long") == keep["doc_id"], "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]).union(docs.where(docs["doc_id"].isNull()))
+    found, _, components = near_links(docs, options)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "tie")).alias("first")
+    keep = materialise(
+        placed_rows(found, components).groupBy("component").agg(first).select(
+            F.col("first.doc_id").alias("keep_id"), F.col("first.tie").alias("keep_tie")
+        ),
+        "kept",
+    )
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("row_id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("row_tie"),
+    )
+    same = F.col("row_id").eqNullSafe(F.col("keep_id")) & (F.col("row_tie") == F.col("keep_tie"))
+    kept = rows.join(keep, same, "left_semi").dropDuplicates(["row_id", "row_tie"])
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

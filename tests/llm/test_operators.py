@@ -102,8 +102,22 @@ def test_group_of_chained_copies_in_small_blocks(spark):
     texts = {i: " ".join(words[i * 3 : i * 3 + 60]) for i in range(60)}
     texts |= {1000 + i: " ".join(words[:40] + [f"x{i}"] + words[41:90]) for i in range(60)}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = neardup.near_classes(docs, neardup.NearOptions(block_bytes=4000)).collect()
-    assert {r.doc_id: r.class_id for r in got} == classes(texts)
+    for rounds in (0, 1, 3):
+        got = neardup.near_classes(docs, neardup.NearOptions(block_bytes=4000, star_rounds=rounds)).collect()
+        assert {r.doc_id: r.class_id for r in got} == classes(texts)
+
+
+def test_one_row_stays_of_each_class(spark):
+    rows = [
+        (1, "one two three four five six"), (1, "one two three four five six"), (1, "ONE two three  four five six"),
+        (2, "one two three four five six"), (2, "seven eight nine ten eleven twelve"), (None, "one two three four five six"),
+        (None, "only here and without an id"), (None, "only here and without an id"), (None, "ONLY here and without an id"),
+        (3, None), (3, ""), (None, " "),
+    ]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, node string")
+    kept = neardup.one_of_each(docs).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "2", "3", "None"]
+    assert {r.text.split()[0].lower() for r in kept if r.text} == {"one", "seven", "only"}
 
 
 def test_lm_counts_and_gain(table, texts):
