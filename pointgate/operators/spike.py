@@ -5,6 +5,8 @@ that and all later metrics as they were; any other value moves its baseline.  Wh
 baseline depends on the baseline, so the records of one key form one sequence.
 
 * Usual case: hash the rows by key, sort within partitions, walk them once.  One shuffle, constant memory.
+* The checked records are staged once.  Only the accepted ones' key, order and values are shuffled and reach Python;
+  the hits, which are few, are joined to the staged records by their number.
 * Keys with more rows than ``max_key_rows``: range-partition their rows by (key, order) so that a big key
   spans many partitions, walk all partitions at once from guessed baselines, and repeat only the partitions
   whose guess turns out wrong.  A guess counts as right only if it equals the baseline its predecessor really
@@ -26,13 +28,15 @@ from pyspark.sql import types as T
 
 from pointgate.operators import points as P
 from pointgate.options import GateOptions
-from pointgate.session import shared_dir
+from pointgate.session import checkpointed, staged
 
 State = tuple[float | None, ...]
 
 _VALUE = "__spike_value_{}"
 _KEY = "__spike_key"
 _CHUNK = "__spike_chunk"
+_ROW = "__spike_row"
+_STATE = "__spike_state"
 _ROUNDS = 3
 _OUT = T.StructType(
     [
@@ -41,6 +45,10 @@ _OUT = T.StructType(
         T.StructField("__hit_baseline", T.DoubleType()),
     ]
 )
+_FOUND = T.StructType(
+    [T.StructField(_ROW, T.LongType()), *_OUT.fields, T.StructField(_KEY, T.StringType()),
+     T.StructField(_CHUNK, T.IntegerType()), T.StructField(_STATE, T.ArrayType(T.DoubleType()))]
+)
 _SUMMARY = T.StructType(
     [
         T.StructField("chunk", T.IntegerType()),
@@ -150,6 +158,52 @@ def _decide(thresholds, alpha, kept: list[str], starts: dict[int, list[float | N
     return run
 
 
+def _find(thresholds, alpha, starts: dict[int, list[float | None]] | None = None, ends: bool = False):
+    """Task body: the rejected rows by number with their hit columns and, with ``ends``, the baselines that each key
+    of the partition ends with.  ``starts`` as in ``_decide``."""
+
+    def some(rows, hits, keys, chunks, states) -> pa.RecordBatch:
+        metric, delta, baseline = zip(*hits) if hits else ((), (), ())
+        none = [None] * len(keys)
+        return pa.RecordBatch.from_pydict(
+            {
+                _ROW: pa.array([*rows, *none], pa.int64()),
+                "__hit_metric": pa.array([*metric, *none], pa.int32()),
+                "__hit_delta": pa.array([*delta, *none], pa.float64()),
+                "__hit_baseline": pa.array([*baseline, *none], pa.float64()),
+                _KEY: pa.array([None] * len(rows) + keys, pa.string()),
+                _CHUNK: pa.array([None] * len(rows) + chunks, pa.int32()),
+                _STATE: pa.array([None] * len(rows) + states, pa.list_(pa.float64())),
+            }
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, first, chunk = None, [None] * len(thresholds), True, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            if first and starts is not None:
+                chunk = _column(batch, _CHUNK)[0].as_py()
+                state = list(starts.get(chunk) or state)
+            columns = _value_lists(batch, len(thresholds))
+            hits: list[tuple[int, int, float, float]] = []
+            done: list[tuple[str | None, list[float | None]]] = []
+            for begin, end, run_key in _runs(_column(batch, _KEY)):
+                if not first and run_key != key:
+                    done.append((key, state))
+                    state = [None] * len(thresholds)
+                key, first = run_key, False
+                walk(columns, begin, end, thresholds, alpha, state, hits)
+            if hits or ends and done:
+                numbers = _column(batch, _ROW).take(pa.array([h[0] for h in hits], pa.int64())).to_pylist()
+                done = done if ends else []
+                yield some(numbers, [h[1:] for h in hits], [k for k, _ in done], [chunk] * len(done), [s for _, s in done])
+        if ends and not first:
+            yield some([], [], [key], [chunk], [state])
+
+    return run
+
+
 def _summarise(thresholds, alpha, guesses: dict[int, list[list[float | None]]]):
     """Task body: one row per (chunk, guess) with the baselines its last key ends with.
 
@@ -347,16 +401,18 @@ def _by_hash(rows: DataFrame, keys, order, thresholds, alpha, kept, partitions)
     return placed.mapInArrow(_decide(thresholds, alpha, kept), schema)
 
 
-def _by_range(rows: DataFrame, order, thresholds, alpha, kept, partitions: int) -> DataFrame:
-    spark = rows.sparkSession
-    shared_dir(spark)
+def _found_by_hash(narrow: DataFrame, order, thresholds, alpha, ends: bool, partitions) -> DataFrame:
+    shuffled = narrow.repartition(partitions, _KEY) if partitions else narrow.repartition(_KEY)
+    return shuffled.sortWithinPartitions(_KEY, *order).mapInArrow(_find(thresholds, alpha, None, ends), _FOUND)
+
+
+def _by_range(rows: DataFrame, order, thresholds, alpha, ends: bool, partitions: int) -> DataFrame:
     # Written to the shared checkpoint folder: later rounds must see the very same partitions, also after
     # an executor is lost, and range bounds are sampled anew on every execution.
-    placed = (
+    placed = checkpointed(
         rows.repartitionByRange(partitions, _KEY, *order)
         .sortWithinPartitions(_KEY, *order)
         .withColumn(_CHUNK, F.spark_partition_id())
-        .checkpoint()
     )
     values = [_VALUE.format(s) for s in range(len(thresholds))]
     narrow = placed.select(_KEY, _CHUNK, *values)
@@ -378,8 +434,7 @@ def _by_range(rows: DataFrame, order, thresholds, alpha, kept, partitions: int)
         rest = rest.repartition(_KEY).sortWithinPartitions(_KEY, _CHUNK, *order).select(_KEY, _CHUNK, *values)
         for row in rest.mapInArrow(_follow(thresholds, alpha, firsts), _STARTS).collect():
             starts[row.chunk] = list(row.start)
-    schema = T.StructType([placed.schema[name] for name in kept] + _OUT.fields)
-    return placed.mapInArrow(_decide(thresholds, alpha, kept, starts), schema)
+    return placed.mapInArrow(_find(thresholds, alpha, starts, ends), _FOUND)
 
 
 def apply_spikes(
@@ -401,10 +456,50 @@ def apply_spikes(
     keys = [key] if isinstance(key, str) else list(key)
     order = list(order)
     thresholds = sorted((int(i), float(d)) for i, d in opts.spike_max_delta.items())
-    rows, kept = _prepared(df, keys, thresholds), list(df.columns)
     if max_key_rows is None:
+        rows, kept = _prepared(df, keys, thresholds), list(df.columns)
         return _merge(_by_hash(rows, keys, order, thresholds, opts.alpha, kept, partitions), thresholds)
-    counts = rows.filter(F.col("status") == P.ACCEPTED).groupBy(_KEY).agg(F.count("*").alias("count"))
+    judged, _ = _staged_spikes(df, opts, keys, order, thresholds, None, False, partitions, max_key_rows)
+    return judged
+
+
+def continue_spikes(
+    df: DataFrame,
+    opts: GateOptions,
+    key: str | Sequence[str],
+    order: Sequence[str],
+    baselines: DataFrame | None = None,
+    partitions: int | None = None,
+    max_key_rows: int = 20_000_000,
+) -> tuple[DataFrame, DataFrame]:
+    """``apply_spikes`` on records that follow others: the judged frame, and the baselines after it.
+
+    ``baselines`` (``key``, ``state``: one value per metric checked, in order of the metrics) is what the records
+    before ended with; the second result is the same for those in ``df``, to be carried on.  Keys may span tasks.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    thresholds = sorted((int(i), float(d)) for i, d in opts.spike_max_delta.items())
+    return _staged_spikes(df, opts, keys, list(order), thresholds, baselines, True, partitions, max_key_rows)
+
+
+def _staged_spikes(
+    df: DataFrame, opts: GateOptions, keys, order, thresholds, baselines: DataFrame | None, ends: bool, partitions,
+    max_key_rows: int,
+) -> tuple[DataFrame, DataFrame | None]:
+    # Decoded and checked once; the counts, the range sample, the shuffle and the result read this copy.
+    rows = staged(df.withColumn(_ROW, F.monotonically_increasing_id()), "checked")
+    values = [_VALUE.format(s) for s in range(len(thresholds))]
+    narrow = _prepared(rows, keys, thresholds).filter(F.col("status") == P.ACCEPTED).select(_ROW, _KEY, *order, *values)
+    if baselines is not None:
+        # A key's first value becomes its baseline: a row before all others hands the old one on.
+        none = F.lit(None)
+        before = baselines.select(
+            none.cast("long").alias(_ROW), F.col("key").alias(_KEY),
+            *[none.cast(rows.schema[name].dataType).alias(name) for name in order],
+            *[F.get("state", F.lit(s)).alias(name) for s, name in enumerate(values)],
+        )
+        narrow = narrow.unionByName(before)
+    counts = narrow.groupBy(_KEY).agg(F.count("*").alias("count"))
     is_big = F.col("count") > max_key_rows
     # One row comes back; at most one key per max_key_rows rows is in its list.
     sizes = counts.agg(
@@ -417,12 +512,18 @@ def apply_spikes(
     small_wanted = math.ceil(((sizes.total or 0) - sizes.split) / max_key_rows)
     small_parts = partitions or (small_wanted if small_wanted > shuffle else None)
     if not sizes.big:
-        return _merge(_by_hash(rows, keys, order, thresholds, opts.alpha, kept, small_parts), thresholds)
-    named = [row.key for row in sizes.big if row.key is not None]
-    split = F.coalesce(F.col(_KEY).isin(named), F.lit(any(row.key is None for row in sizes.big)))
-    # Rejected rows take no part and stay out of the ranges.
-    split = split & (F.col("status") == P.ACCEPTED)
-    big_parts = partitions or max(shuffle, math.ceil(sizes.split / max_key_rows))
-    big = _by_range(rows.filter(split), order, thresholds, opts.alpha, kept, big_parts)
-    small = _by_hash(rows.filter(~split), keys, order, thresholds, opts.alpha, kept, small_parts)
-    return _merge(big.unionByName(small), thresholds)
+        found = _found_by_hash(narrow, order, thresholds, opts.alpha, ends, small_parts)
+    else:
+        named = [row.key for row in sizes.big if row.key is not None]
+        split = F.coalesce(F.col(_KEY).isin(named), F.lit(any(row.key is None for row in sizes.big)))
+        big_parts = partitions or max(shuffle, math.ceil(sizes.split / max_key_rows))
+        big = _by_range(narrow.filter(split), order, thresholds, opts.alpha, ends, big_parts)
+        found = big.unionByName(_found_by_hash(narrow.filter(~split), order, thresholds, opts.alpha, ends, small_parts))
+    after = None
+    if ends:
+        found = staged(found, "spikes")
+        last = found.filter(F.col(_STATE).isNotNull()).groupBy(_KEY).agg(F.max_by(_STATE, _CHUNK).alias("state"))
+        after = last.withColumnRenamed(_KEY, "key")
+    hits = found.filter(F.col("__hit_metric").isNotNull()).select(_ROW, *_OUT.names)
+    merged = _merge(rows.join(hits, _ROW, "left"), thresholds)
+    return merged.select(*df.columns), after

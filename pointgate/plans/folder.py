@@ -12,7 +12,7 @@ from pointgate.operators.gate import apply_checks
 from pointgate.operators.points import FILE_READ_ERROR
 from pointgate.options import GateOptions, OutputOptions, PointMapping
 from pointgate.plans.run import gate_points, run_clock
-from pointgate.session import drop_scratch, scratch_path
+from pointgate.session import scratch, staged
 from pointgate.sinks.write import quarantine_unwritable, write_accepted, write_dead_letter
 from pointgate.sources import cursor as states
 from pointgate.sources.files import FILE_ORDER, catalogue, directory_points, list_files, unreadable_files
@@ -53,22 +53,30 @@ def run_folder(
     if not files:
         states.save_cursor(spark, state, cursor, status)
         return {"accepted": 0, "dropped": 0, "files": 0, "failed": 0}
+    with scratch(spark):
+        counters, last = _gated_folder(
+            spark, root, mapping, gate, output, out, number, files, formats, as_of_ms, dead_letter_text, spike_options
+        )
+    states.save_cursor(spark, state, last, status)
+    return counters
+
+
+def _gated_folder(
+    spark, root, mapping, gate, output, out, number, files, formats, as_of_ms, dead_letter_text, spike_options
+) -> tuple[dict[str, int], str]:
     width = mapping.field_count
     found = catalogue(spark, files)
     points = directory_points(spark, root, mapping, formats, None, as_of_ms, found=found, lenient=True)
     gated = gate_points(points, gate, "file_path", FILE_ORDER, as_of_ms, width, **spike_options)
     # Decoded and judged once; all outputs and counts come from this copy.
-    staged = scratch_path(spark, "folder-run")
-    quarantine_unwritable(gated, output, width).write.parquet(staged)
-    judged = spark.read.parquet(staged)
+    judged = staged(quarantine_unwritable(gated, output, width), "folder-run")
     # Files that failed the probe are among the staged points.  Parquet files cut short are found by their count of
     # rows; files without any row may have gone away since, which a second look tells.
-    report = _report(spark, found, judged).cache()
+    report = staged(_report(spark, found, judged), "folder-report")
     silent = [(r.file_path, r.format) for r in report.filter("accepted + dropped = 0 and not failed").collect()]
     gone = {r.path: r.error for r in probe(spark, silent, {}).filter("error is not null").collect()} if silent else {}
     if gone:
-        report.unpersist()
-        report = _report(spark, found, judged, list(gone)).cache()
+        report = staged(_report(spark, found, judged, list(gone)), "folder-report")
     reasons = {r.file_path: (r.format, "fewer rows than its footer promises") for r in report.filter("lost").collect()}
     reasons |= {path: (reasons[path][0], error) for path, error in gone.items()}
     if reasons:
@@ -83,10 +91,7 @@ def run_folder(
         F.count("*").alias("files"),
         F.count_if("failed").alias("failed"),
     ).first()
-    report.unpersist()
-    states.save_cursor(spark, state, files[-1][0], status)
-    drop_scratch(spark, staged)
-    return counters.asDict()
+    return counters.asDict(), files[-1][0]
 
 
 def _report(spark: SparkSession, found, judged: DataFrame, gone: Sequence[str] = ()) -> DataFrame:

@@ -284,4 +284,4 @@ WHERE taken < 700 OR (taken = 700 AND status = 'accepted')
 def limit_max_records_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same limit with several ranges."""
     judged = apply_checks(event_points(spark, sf_dir), options(bounds=BOUNDS, replay_mode=True), AS_OF_MS, 2)
-    return shown(limit_accepted(judged, 700, ORDER, part_rows=2_000))
+    return shown(limit_accepted(judged, 700, ORDER, part_rows=2_000, top_rows=0))

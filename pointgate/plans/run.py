@@ -12,6 +12,8 @@ from pointgate.operators.gate import abort_on_read_error, apply_checks
 from pointgate.operators.limits import limit_accepted
 from pointgate.operators.spike import apply_spikes
 from pointgate.options import GateOptions, LimitOptions, OutputOptions
+from pointgate.session import scratch, staged
+from pointgate.sinks.commit import Outputs, commit_run
 from pointgate.sinks.write import quarantine_unwritable, write_both
 
 
@@ -30,13 +32,17 @@ def gate_points(
     limits: LimitOptions | None = None,
     **spike_options,
 ) -> DataFrame:
-    """The whole gate on a table of points: stateless checks, spikes per ``key``, the record limit."""
+    """The whole gate on a table of points: stateless checks, spikes per ``key``, the record limit.
+
+    With spikes or a limit the points are decoded and checked once, into a staged table (``session.scratch`` says when
+    it goes); without, nothing is staged.
+    """
     as_of_ms = run_clock(as_of_ms)
     gated = apply_checks(abort_on_read_error(points, opts), opts, as_of_ms, width)
     if key is not None:
         gated = apply_spikes(gated, opts, key, order, **spike_options)
     if limits is not None and limits.max_records is not None:
-        gated = limit_accepted(gated, limits.max_records, order)
+        gated = limit_accepted(staged(gated, "gated"), limits.max_records, order)
     return gated
 
 
@@ -53,12 +59,37 @@ def run_batch(
     limits: LimitOptions | None = None,
     **spike_options,
 ) -> dict[str, int]:
-    """Gate a table of points, write both outputs, return the counters of what was written."""
+    """Gate a table of points, write both outputs, return the counters of what was written.
+
+    Appends to both outputs; ``run_committed`` makes them visible together and can be repeated.
+    """
+    as_of_ms = run_clock(as_of_ms)
+    with scratch(points.sparkSession):
+        gated = gate_points(points, opts, key, order, as_of_ms, field_count, limits, **spike_options)
+        gated = quarantine_unwritable(gated, output, field_count)
+        outcomes = Observation("outcomes")
+        write_both(
+            observe_outcomes(gated, outcomes), accepted_path, dead_letter_path, field_count, output, opts, as_of_ms
+        )
+        return dict(outcomes.get)
+
+
+def run_committed(
+    points: DataFrame,
+    opts: GateOptions,
+    output: OutputOptions,
+    outputs: Outputs,
+    run_id: str,
+    field_count: int,
+    key: str | Sequence[str] | None = None,
+    order: Sequence[str] = (),
+    as_of_ms: int | None = None,
+    limits: LimitOptions | None = None,
+    dead_letter_text: bool = True,
+    **spike_options,
+) -> dict[str, int]:
+    """``run_batch`` under a run id: both outputs appear with the run's row in the manifest, however often it is tried."""
     as_of_ms = run_clock(as_of_ms)
-    gated = gate_points(points, opts, key, order, as_of_ms, field_count, limits, **spike_options)
-    gated = quarantine_unwritable(gated, output, field_count)
-    outcomes = Observation("outcomes")
-    write_both(
-        observe_outcomes(gated, outcomes), accepted_path, dead_letter_path, field_count, output, opts, as_of_ms
-    )
-    return dict(outcomes.get)
+    with scratch(points.sparkSession):
+        gated = gate_points(points, opts, key, order, as_of_ms, field_count, limits, **spike_options)
+        return commit_run(gated, outputs, run_id, field_count, output, opts, as_of_ms, dead_letter_text)

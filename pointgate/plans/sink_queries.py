@@ -27,10 +27,12 @@ from pointgate.plans.gate_queries import (
     verdict_sql,
 )
 from pointgate.plans.registry import register
-from pointgate.plans.run import gate_points, run_batch
+from pointgate.plans.run import gate_points, run_batch, run_committed
 from pointgate.session import scratch_path
 from pointgate.sinks import render
+from pointgate.sinks.commit import Outputs, committed_runs, read_accepted, read_dead_letter
 from pointgate.sinks.write import quarantine_unwritable, write_accepted, write_both
+from pointgate.streaming.baselines import start_gate
 from pointgate.streaming.run import gate_stream, run_for, start
 from pointgate.streaming.spikes import stream_spikes
 
@@ -235,6 +237,37 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "two_output_commit",
+    GATED_SQL
+    + """
+SELECT 'whole' AS run, 'accepted' AS output, timestamp_ns, metric_0 AS price, 2 AS runs FROM gated WHERE status = 'accepted'
+UNION ALL
+SELECT 'whole', 'dead letter', timestamp_ns, NULL, 2 FROM gated WHERE status = 'rejected'
+UNION ALL
+SELECT 'unchecked', 'accepted', timestamp_ns, metric_0, 2 FROM gated
+""",
+)
+def two_output_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs are visible with their manifest row alone: one repeated after a failure between its outputs, one that
+    never got that far, and one more under other options."""
+    outputs, form = Outputs(scratch_path(spark, "outputs")), OutputOptions()
+    points, opts = event_points(spark, sf_dir), options(**FULL)
+    for failed in ("whole", "lost"):
+        judged = gate_points(points, opts, None, ORDER, AS_OF_MS, 2)
+        write_accepted(judged, f"{outputs.accepted}/run={failed}", 2, form, AS_OF_MS)
+    how = {"as_of_ms": AS_OF_MS, "order": ORDER, "dead_letter_text": False}
+    run_committed(points, opts, form, outputs, "whole", 2, key="event_type", **how)
+    loose = options(replay_mode=True, reject_nan_inf=False)
+    run_committed(points, loose, form, outputs, "unchecked", 2, **how)
+    runs = F.lit(committed_runs(spark, outputs).count()).alias("runs")
+    good = read_accepted(spark, outputs, form).select("run", F.lit("accepted").alias("output"), "timestamp_ns", "price", runs)
+    dead = read_dead_letter(spark, outputs, form, as_text=False).select(
+        "run", F.lit("dead letter").alias("output"), "timestamp_ns", F.lit(None).cast("double").alias("price"), runs
+    )
+    return good.unionByName(dead)
+
+
 _ROUTES = {"click": "clicks", "view": "views", "error": "errors"}
 _ROUTE_SQL = "CASE event_type " + " ".join(f"WHEN '{f}' THEN '{r}'" for f, r in _ROUTES.items()) + " END"
 
@@ -332,15 +365,7 @@ _OUTPUTS = ("SELECT 'accepted' AS output, timestamp_ns, event_type AS feed, metr
             "SELECT 'dead letter', timestamp_ns, NULL, NULL, NULL FROM {} WHERE status = 'rejected'")
 
 
-def _stream_outputs(spark: SparkSession, sf_dir: str, opts: GateOptions, key: str | None, slices: int) -> DataFrame:
-    """Both outputs of a stream that is started once per slice, read back."""
-    good, bad, state = (scratch_path(spark, label) for label in ("accepted", "dead", "stream-state"))
-
-    def begin(stream: DataFrame) -> StreamingQuery:
-        gated = gate_stream(stream, opts, key, ORDER, AS_OF_MS, 2)
-        return start(gated, good, bad, state, 2, OutputOptions(format="jsonl"), opts, AS_OF_MS)
-
-    _run_by_slices(spark, sf_dir, slices, begin)
+def _read_stream_outputs(spark: SparkSession, good: str, bad: str) -> DataFrame:
     accepted = spark.read.schema("timestamp_ns bigint, feed string, metric_0 double, metric_1 double").json(
         f"{good}/*"
     )
@@ -357,10 +382,54 @@ def _stream_outputs(spark: SparkSession, sf_dir: str, opts: GateOptions, key: st
     )
 
 
+def _stream_outputs(spark: SparkSession, sf_dir: str, opts: GateOptions, key: str | None, slices: int) -> DataFrame:
+    """Both outputs of a stream that is started once per slice, read back."""
+    good, bad, state = (scratch_path(spark, label) for label in ("accepted", "dead", "stream-state"))
+
+    def begin(stream: DataFrame) -> StreamingQuery:
+        gated = gate_stream(stream, opts, key, ORDER, AS_OF_MS, 2)
+        return start(gated, good, bad, state, 2, OutputOptions(format="jsonl"), opts, AS_OF_MS)
+
+    _run_by_slices(spark, sf_dir, slices, begin)
+    return _read_stream_outputs(spark, good, bad)
+
+
 @register("stream_gate_equals_batch", GATED_SQL + _OUTPUTS.format("gated", "gated"))
 def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole gate on a stream, both outputs per micro-batch."""
-    return _stream_outputs(spark, sf_dir, options(**FULL), "event_type", 2)
+    """The whole gate on a stream: baselines in a versioned table, a hot key split over tasks, both outputs per micro-batch."""
+    good, bad, state, table_ = (scratch_path(spark, n) for n in ("accepted", "dead", "stream-state", "baselines"))
+    opts = options(**FULL)
+
+    def begin(stream: DataFrame) -> StreamingQuery:
+        return start_gate(
+            stream, opts, "event_type", ORDER, good, bad, table_, state, 2, OutputOptions(format="jsonl"), AS_OF_MS,
+            max_key_rows=500,
+        )
+
+    _run_by_slices(spark, sf_dir, 2, begin)
+    return _read_stream_outputs(spark, good, bad)
+
+
+@register("limit_max_duration", f"{_V_SQL}, r AS (SELECT *, m0 AS metric_0, m1 AS metric_1 FROM v) " + _OUTPUTS.format("r", "r"))
+def limit_max_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that its time limit ends, and the run that goes on after it: no record twice, none lost."""
+    good, bad, state, root = (scratch_path(spark, n) for n in ("accepted", "dead", "stream-state", "stream-in"))
+    opts = options(**{**FULL, "spike_max_delta": {}})
+    points = event_points(spark, sf_dir).select(
+        "event_id", "timestamp_ns", "metrics", "feed", "raw", "parse_error", "error_code"
+    )
+    points.repartition(4, "event_id").write.parquet(root)
+
+    def begin(every: str | None) -> StreamingQuery:
+        stream = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(root)
+        gated = gate_stream(stream, opts, None, ORDER, AS_OF_MS, 2)
+        return start(gated, good, bad, state, 2, OutputOptions(format="jsonl"), opts, AS_OF_MS, every)
+
+    # a processing-time run never ends by itself
+    if run_for(begin("2 seconds"), 4):
+        raise RuntimeError("the time limit did not end the run")
+    run_for(begin(None), None)
+    return _read_stream_outputs(spark, good, bad)
 
 
 @register("stream_restart", f"{_V_SQL}, r AS (SELECT *, m0 AS metric_0, m1 AS metric_1 FROM v) " + _OUTPUTS.format("r", "r"))

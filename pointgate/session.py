@@ -6,9 +6,16 @@ import importlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Scratch folders named since each open ``scratch`` block began, innermost last.
+_open_blocks: list[list[str]] = []
 
 
 def ship_package() -> None:
@@ -54,8 +61,49 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/pointgate/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder; deleted at the end of the ``scratch`` block around it, if there is one."""
+    path = f"{shared_dir(spark).rstrip('/')}/pointgate/{label}-{uuid.uuid4().hex}"
+    if _open_blocks:
+        _open_blocks[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that operators stage inside the block, and their checkpoints, when it ends.
+
+    Results are lazy and read those tables: write them inside the block.
+    """
+    made: list[str] = []
+    _open_blocks.append(made)
+    try:
+        yield
+    finally:
+        _open_blocks.remove(made)
+        for path in made:
+            remove_folder(spark, path)
+
+
+def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: later jobs neither repeat it nor depend on executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    # no file format has columns without a type
+    void = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)}
+    kept = df.drop(*void)
+    kept.write.options(**options).parquet(path)
+    back = spark.read.schema(kept.schema).parquet(path)
+    return back.select(*[F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in df.columns]) if void else back
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``checkpoint()`` in the shared folder: partitions and their order stay.  Deleted as ``scratch_path``s are."""
+    shared_dir(df.sparkSession)
+    done = df.checkpoint()
+    written = done._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if _open_blocks and written.isDefined():
+        _open_blocks[-1].append(written.get())
+    return done
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -69,9 +117,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def drop_scratch(spark: SparkSession, path: str) -> None:
-    """Delete a folder that ``scratch_path`` named."""
-    if not path.startswith(f"{shared_dir(spark).rstrip('/')}/pointgate/"):
-        raise ValueError(f"not a scratch folder: {path}")
+def remove_folder(spark: SparkSession, path: str) -> None:
     files, target = _file_system(spark, path)
     files.delete(target, True)
+
+
+def folder_names(spark: SparkSession, path: str, holding: str) -> list[str]:
+    """Names of the folders below ``path`` that hold a file of this name."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    inner = spark._jvm.org.apache.hadoop.fs.Path
+    found = [s.getPath() for s in files.listStatus(target) if s.isDirectory()]
+    return [p.getName() for p in found if files.exists(inner(p, holding))]

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointgate.functions import times
 from pointgate.operators import points as P
 from pointgate.options import GateOptions, OutputOptions
-from pointgate.session import path_exists
+from pointgate.session import path_exists, staged
 from pointgate.sinks import render
 
 
@@ -129,12 +128,8 @@ def write_both(
 ) -> None:
     """Evaluate the frame once and write both outputs.
 
-    The frame is kept on the executors' disks between the two writes; blocks lost with an executor are
-    computed again.
+    The judged frame is staged in the shared folder between the two writes, so a lost executor repeats neither.
     """
-    gated = quarantine_unwritable(df, opts, field_count).persist(StorageLevel.DISK_ONLY)
-    try:
-        write_accepted(gated, accepted_path, field_count, opts, as_of_ms, mode=mode)
-        write_dead_letter(gated, dead_letter_path, opts, gate, as_of_ms, dead_letter_text, mode)
-    finally:
-        gated.unpersist()
+    gated = staged(quarantine_unwritable(df, opts, field_count), "judged")
+    write_accepted(gated, accepted_path, field_count, opts, as_of_ms, mode=mode)
+    write_dead_letter(gated, dead_letter_path, opts, gate, as_of_ms, dead_letter_text, mode)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pointgate.operators.counts import observe_outcomes
 from pointgate.operators.gate import apply_checks
 from pointgate.options import GateOptions, OutputOptions
+from pointgate.session import scratch
 from pointgate.sinks.write import quarantine_unwritable, write_both
 from pointgate.streaming.spikes import stream_spikes
 
@@ -48,16 +49,17 @@ def start(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_both(
-            batch,
-            f"{accepted_path}/batch={batch_id}",
-            f"{dead_letter_path}/batch={batch_id}",
-            field_count,
-            output,
-            gate,
-            as_of_ms,
-            mode="overwrite",
-        )
+        with scratch(batch.sparkSession):
+            write_both(
+                batch,
+                f"{accepted_path}/batch={batch_id}",
+                f"{dead_letter_path}/batch={batch_id}",
+                field_count,
+                output,
+                gate,
+                as_of_ms,
+                mode="overwrite",
+            )
         if on_batch is not None:
             on_batch(batch, batch_id)
 

@@ -199,8 +199,9 @@ def test_limits(spark, limit, last):
     from pointgate.operators.limits import limit_accepted
 
     df = spark.range(10).selectExpr("id", "if(id % 2 = 1, 'accepted', 'rejected') status").repartition(3)
-    got = sorted(r.id for r in limit_accepted(df, limit, ["id"], part_rows=2).collect())
-    assert got == ([] if last is None else list(range(last + 1)))
+    for how in ({"top_rows": 0}, {}):
+        got = sorted(r.id for r in limit_accepted(df, limit, ["id"], part_rows=2, **how).collect())
+        assert got == ([] if last is None else list(range(last + 1)))
 
 
 def test_limit_with_the_clock(spark):

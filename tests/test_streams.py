@@ -10,6 +10,7 @@ from pointgate.operators.gate import apply_checks
 from pointgate.options import GateOptions, OutputOptions
 from pointgate.plans.run import gate_points
 from pointgate.sources.messages import read_landed
+from pointgate.streaming.baselines import VERSION, carried_on, start_gate, versions
 from pointgate.streaming.run import gate_stream, run_for, start
 
 NOW = 1_700_000_000_000
@@ -108,3 +109,53 @@ def test_stateless_stream_needs_no_state(spark, tmp_path):
     query = checked.select("status").writeStream.format("memory").queryName("stateless").trigger(availableNow=True).start()
     run_for(query, None)
     assert spark.table("stateless").count() == 20
+
+
+def start_versioned(spark, folder, base, stream_options=None, **how):
+    raw = read_landed(spark, str(folder), streaming=True, maxFilesPerTrigger=1)
+    points = decode_feed(raw, "binance", as_of_ms=NOW).withColumn("seq", F.coalesce("timestamp_ns", F.lit(0)))
+    return start_gate(
+        points, OPTS, "feed", ["seq"], f"{base}/good", f"{base}/bad", f"{base}/baselines", f"{base}/state", 2,
+        OutputOptions(format="canonical_jsonl"), NOW, **how,
+    )
+
+
+@pytest.mark.parametrize("rows", [10**6, 7])
+def test_versioned_baselines_equal_batch_over_restarts(spark, tmp_path, rows):
+    folder, base = tmp_path / "in", str(tmp_path)
+    for number, (seed, begin) in enumerate(((1, 0), (2, 60), (3, 120), (4, 180))):
+        land(folder, f"{number}.txt", messages(seed, begin, 60))
+        if number != 1:  # two files wait for the third start
+            assert run_for(start_versioned(spark, folder, base, max_key_rows=rows), None)
+    batch = decode_feed(read_landed(spark, str(folder)), "binance", as_of_ms=NOW)
+    want = gate_points(batch.withColumn("seq", F.coalesce("timestamp_ns", F.lit(0))), OPTS, "feed", ["seq"], NOW)
+    good, bad = outputs(spark, base)
+    assert len(good) == want.filter("status = 'accepted'").count()
+    assert len(bad) == want.filter("status = 'rejected'").count() and any("Sudden" in b for b in bad)
+    assert versions(spark, f"{base}/baselines") == [1, 2, 3]
+
+
+def test_batch_that_fails_after_its_outputs_gives_the_same_again(spark, tmp_path):
+    folder, base = tmp_path / "in", str(tmp_path)
+    land(folder, "1.txt", messages(1, 0, 80))
+    assert run_for(start_versioned(spark, folder, base), None)
+    land(folder, "2.txt", messages(2, 80, 80))
+
+    def fail(judged, number):
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception):
+        run_for(start_versioned(spark, folder, base, on_batch=fail), None)
+    assert run_for(start_versioned(spark, folder, base), None)
+    batch = decode_feed(read_landed(spark, str(folder)), "binance", as_of_ms=NOW)
+    want = gate_points(batch.withColumn("seq", F.coalesce("timestamp_ns", F.lit(0))), OPTS, "feed", ["seq"], NOW)
+    good, bad = outputs(spark, base)
+    assert (len(good), len(bad)) == tuple(want.filter(F.col("status") == x).count() for x in ("accepted", "rejected"))
+
+
+def test_forgotten_keys(spark):
+    before = spark.createDataFrame([("a", [1.0], 3), (None, [2.0], 5), ("b", [3.0], 4)], VERSION)
+    after = spark.createDataFrame([("a", [9.0])], "key string, state array<double>")
+    got = {(r.key, r.state[0], r.batch) for r in carried_on(before, after, 6, 1).collect()}
+    assert got == {("a", 9.0, 6), (None, 2.0, 5)}
+    assert carried_on(before, after, 6, None).count() == 3
