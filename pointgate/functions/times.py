@@ -44,6 +44,14 @@ _PARTS = {
     "%s": ("epoch", r"\s*([+-]?\d+)"),
     "%a": ("weekday", r"(?i:(" + "|".join(WEEKDAYS) + "))"),
     "%A": ("weekday", r"(?i:(" + "|".join(LONG_WEEKDAYS) + "))"),
+    "%u": ("day_of_week", r"\s*([1-7])"),
+    "%w": ("day_of_week_0", r"\s*([0-6])"),
+    "%G": ("iso_year", r"\s*\+?(\d{4})"),
+    "%g": ("short_iso_year", _TWO_DIGITS),
+    "%V": ("iso_week", _TWO_DIGITS),
+    "%U": ("sunday_week", _TWO_DIGITS),
+    "%W": ("monday_week", _TWO_DIGITS),
+    "%C": ("century", _TWO_DIGITS),
     "%.f": ("fraction", r"(?:\.(\d+))?"),
     "%f": ("nanos", r"\s*(\d{1,9})"),
     "%z": (None, r"\s*(?:Z|[+-]\d{2}:?\d{2})"),
@@ -71,8 +79,10 @@ def _compile(fmt: str) -> tuple[str, dict[str, int]]:
             raise ValueError(f"unsupported date-time format token {token} in {fmt!r}")
     has = set(groups)
     if "epoch" not in has:
-        missing = [] if {"year", "short_year"} & has else ["year"]
-        if "year_day" not in has:
+        iso = {"iso_year", "short_iso_year"} & has and "iso_week" in has and _WEEKDAY & has
+        weeks = {"sunday_week", "monday_week"} & has and _WEEKDAY & has
+        missing = [] if iso or {"year", "short_year"} & has else ["year"]
+        if not (iso or weeks or "year_day" in has):
             missing += [*({"day"} - has), *([] if {"month", "month_name"} & has else ["month"])]
         missing += [] if "hour" in has or {"half_hour", "half"} <= has else ["hour"]
         missing += sorted({"minute"} - has)
@@ -94,7 +104,35 @@ def _month_number(name: Column) -> Column:
     return number
 
 
-_LESS_COMMON = {"short_year", "half_hour", "year_day", "epoch", "weekday"}
+_WEEKDAY = {"weekday", "day_of_week", "day_of_week_0"}
+_LESS_COMMON = {
+    "short_year", "half_hour", "year_day", "epoch", "iso_year", "short_iso_year", "iso_week", "sunday_week",
+    "monday_week", "century", *_WEEKDAY,
+}
+
+
+def _full_year(short: Column) -> Column:
+    return F.when(short < 69, short + 2000).otherwise(short + 1900)
+
+
+def _day_of(year: Column, month_day: str) -> Column:
+    return F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit(month_day)).try_cast("date")
+
+
+def _iso_year(day: Column) -> Column:
+    """The year of the week's Thursday."""
+    return F.year(F.date_add(day, 3 - F.weekday(day)))
+
+
+def _week_of(day: Column, first: int) -> Column:
+    """Number of the week in its year; weeks begin on weekday ``first`` (Monday: 0), days before the first are in week 0."""
+    return F.floor((F.dayofyear(day) + 6 - F.pmod(F.weekday(day) - first, F.lit(7))) / 7)
+
+
+def _first(year: Column, weekday: int) -> Column:
+    """The first such weekday of a year (Monday: 0)."""
+    begin = _day_of(year, "-01-01")
+    return F.date_add(begin, F.pmod(F.lit(weekday) - F.weekday(begin), F.lit(7)))
 
 
 def _from_parts(value: Column, regex: str, groups: dict[str, int]) -> Column:
@@ -104,19 +142,58 @@ def _from_parts(value: Column, regex: str, groups: dict[str, int]) -> Column:
     if "epoch" in groups:
         moment = F.try_multiply(pick("epoch").try_cast("bigint"), F.lit(1_000_000).cast("bigint"))
         return F.date_format(F.timestamp_micros(moment), "yyyy-MM-dd HH:mm:ss")
-    year = number("year") if "year" in groups else number("short_year")
-    if "year" not in groups:
-        year = F.when(year < 69, year + 2000).otherwise(year + 1900)
-    padded = F.lpad(year.cast("string"), 4, "0")
-    if "year_day" in groups:
-        day = F.date_add(F.concat(padded, F.lit("-01-01")).try_cast("date"), number("year_day") - 1)
-        day = F.when((F.year(day) == year) & (number("year_day") > 0), day)
+    has = set(groups)
+    year = number("year") if "year" in has else None
+    if year is None and "short_year" in has:
+        short = number("short_year")
+        year = number("century") * 100 + F.when(short < 100, short) if "century" in has else _full_year(short)
+    iso_year = number("iso_year") if "iso_year" in has else None
+    if iso_year is None and "short_iso_year" in has:
+        iso_year = _full_year(number("short_iso_year"))
+    weekday = None  # Monday: 0
+    if "day_of_week" in has:
+        weekday = number("day_of_week") - 1
+    elif "day_of_week_0" in has:
+        weekday = F.pmod(number("day_of_week_0") + 6, F.lit(7))
+    elif "weekday" in has:
+        weekday = F.array_position(F.array(*map(F.lit, WEEKDAYS)), F.initcap(F.substring(pick("weekday"), 1, 3))) - 1
+    month = _month_number(pick("month_name")) if "month_name" in has else pick("month") if "month" in has else None
+    if year is not None and month is not None and "day" in has:
+        day = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month, pick("day")).try_cast("date")
+    elif year is not None and "year_day" in has:
+        day = F.date_add(_day_of(year, "-01-01"), number("year_day") - 1)
+    elif iso_year is not None and "iso_week" in has and weekday is not None:
+        fourth = _day_of(iso_year, "-01-04")  # always in week 1
+        shift = (number("iso_week") - 1) * 7 + weekday - F.weekday(fourth)
+        day = F.date_add(fourth, shift.cast("int"))
     else:
-        month = _month_number(pick("month_name")) if "month_name" in groups else pick("month")
-        day = F.concat_ws("-", padded, month, pick("day")).try_cast("date")
-    if "weekday" in groups:
-        told = F.lower(F.substring(pick("weekday"), 1, 3))
-        day = F.when(F.lower(F.date_format(day, "EEE")) == told, day)
+        name, begin = ("sunday_week", 6) if "sunday_week" in has else ("monday_week", 0)
+        inside = F.pmod(weekday - begin, F.lit(7))
+        day = F.date_add(_first(year, begin), ((number(name) - 1) * 7 + inside).cast("int"))
+    # every part given must agree with the day
+    told = {
+        "year_day": lambda: F.dayofyear(day) == number("year_day"),
+        "iso_week": lambda: F.weekofyear(day) == number("iso_week"),
+        "sunday_week": lambda: _week_of(day, 6) == number("sunday_week"),
+        "monday_week": lambda: _week_of(day, 0) == number("monday_week"),
+        "weekday": lambda: F.lower(F.date_format(day, "EEE")) == F.lower(F.substring(pick("weekday"), 1, 3)),
+        "day_of_week": lambda: F.weekday(day) + 1 == number("day_of_week"),
+        "day_of_week_0": lambda: F.dayofweek(day) - 1 == number("day_of_week_0"),
+        "century": lambda: F.floor(F.year(day) / 100) == number("century"),
+        "short_year": lambda: F.year(day) % 100 == number("short_year"),
+    }
+    agrees = F.lit(True)
+    for name in sorted(has & set(told)):
+        agrees = agrees & told[name]()
+    if year is not None:
+        agrees = agrees & (F.year(day) == year)
+    if iso_year is not None:
+        agrees = agrees & (_iso_year(day) == iso_year)
+    if month is not None:
+        agrees = agrees & (F.month(day) == month.try_cast("int"))
+    if "day" in has:
+        agrees = agrees & (F.dayofmonth(day) == number("day"))
+    day = F.when(agrees, day)
     hour = number("hour") if "hour" in groups else number("half_hour")
     if "hour" not in groups:
         late = F.when(F.lower(pick("half")) == "pm", 12).otherwise(0)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import struct
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from pointgate.plans.fixtures import AS_OF_MS, ms, pick, table, text
 from pointgate.plans.registry import register
 from pointgate.session import scratch_path
 from pointgate.sources.messages import decode_csv_bodies, decode_datagrams, decode_kafka, decode_pages, read_landed
+from pointgate.sources.wire import wire_points
 from pointgate.streaming.run import run_for
 
 AS_OF_NS = AS_OF_MS * 1_000_000
@@ -120,6 +124,23 @@ def feed_kraken(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(decode_feed(messages, "kraken", as_of_ms=AS_OF_MS), "o_orderkey", metrics=5)
 
 
+@register(
+    "feed_kraken_all",
+    f"""
+SELECT o_orderkey, {AS_OF_NS} AS timestamp_ns, 'trade' AS feed, {_P} + n AS metric_0, CAST({_Q} AS DOUBLE) AS metric_1,
+       CAST(NULL AS VARCHAR) AS error_code
+FROM orders, range(3) AS r(n) WHERE n < o_orderkey % 4
+""",
+)
+def feed_kraken_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of up to three trades, a point of each; messages without a trade give none."""
+    row = lambda n: text('{"price":', _price() + n, ',"qty":', _quantity(), "}")
+    rows = [F.slice(F.array(row(0), row(1), row(2)), 1, n) for n in range(4)]
+    lists = [text('{"channel":"trade","data":[', F.array_join(part, ","), "]}") for part in rows]
+    messages = _order_messages(spark, sf_dir, *lists)
+    return shown(decode_feed(messages, "kraken", as_of_ms=AS_OF_MS, explode_all=True), "o_orderkey")
+
+
 _L_TS = "epoch_us(l_shipdate) * 1000"
 _LP, _LQ = "l_extendedprice", "l_quantity"
 
@@ -531,6 +552,53 @@ def syslog_3164(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(decode_syslog(messages, "raw", "rfc3164", 2, 2024, AS_OF_MS), "event_id")
 
 
+def _wire(kind: int, ns: int, price: float, volume: float) -> bytes:
+    """One message as bytes; kinds differ in form, the last two are damaged."""
+
+    def varint(n: int) -> bytes:
+        out = bytearray()
+        while n >= 0x80:
+            out.append(n & 0x7F | 0x80)
+            n >>= 7
+        return bytes(out) + bytes([n])
+
+    moment, doubles = b"\x08" + varint(ns), struct.pack("<2d", price, volume)
+    return (
+        moment + b"\x12\x10" + doubles,
+        b"\x11" + doubles[:8] + moment + b"\x11" + doubles[8:],
+        b"\x1a\x03abc" + b"\x12\x08" + doubles[:8] + b"\x12\x08" + doubles[8:] + b"\x25\x00\x00\x00\x00" + moment,
+        moment,
+        moment + b"\x12\x10" + doubles[:9],
+        b"\x0d\x00\x00\x00\x00" + b"\x12\x10" + doubles,
+    )[kind]
+
+
+@register(
+    "typed_points_wire",
+    f"""
+SELECT event_id, CASE WHEN event_id % 6 < 3 THEN epoch_us(ts) * 1000 ELSE -1 END AS timestamp_ns, CAST(NULL AS VARCHAR) AS feed,
+       CASE WHEN event_id % 6 < 3 THEN value END AS metric_0, CASE WHEN event_id % 6 < 3 THEN {_K} END AS metric_1,
+       CASE WHEN event_id % 6 >= 4 THEN 'PARSE_ERROR' END AS error_code
+FROM events WHERE event_id % 6 <> 3
+""",
+)
+def typed_points_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of typed points: packed, single, split with unknown fields, without metrics, cut off, of another type."""
+    fields = table(spark, sf_dir, "events").select(
+        "event_id", native_to_ns(F.col("ts")).alias("ns"), "value",
+        F.get_json_object("props", "$.k").cast("double").alias("k"),
+    )
+
+    def encode(batches):
+        for batch in batches:
+            ids, *rest = (c.to_pylist() for c in batch.columns)
+            made = [_wire(i % 6, *row) for i, row in zip(ids, zip(*rest))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["event_id", "value"])
+
+    messages = fields.mapInArrow(encode, "event_id long, value binary")
+    return shown(wire_points(messages, "value", AS_OF_MS), "event_id")
+
+
 @register(
     "typed_points",
     f"""

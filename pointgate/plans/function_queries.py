@@ -70,6 +70,41 @@ def ts_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "ts_week_dates",
+    """
+WITH e AS (SELECT event_id, epoch_us(ts) // 1000000 * 1000000000 AS ns FROM events)
+SELECT event_id, ns AS iso, ns AS short_iso, ns AS sunday, ns AS monday, ns AS century,
+       CASE WHEN event_id % 3 = 0 THEN 0 ELSE ns END AS defects
+FROM e
+""",
+)
+def ts_week_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates by week and weekday; every third has a weekday that contradicts its date."""
+    events = table(spark, sf_dir, "events")
+    day, clock = F.to_date("ts"), F.date_format("ts", "HH:mm:ss")
+    weekday = F.weekday(day)  # Monday: 0
+    iso_year = F.year(F.date_add(day, 3 - weekday))
+    year, number = F.year(day), F.dayofyear(day)
+    week = lambda first: F.floor((number + 6 - F.pmod(weekday - first, F.lit(7))) / 7)
+    iso = text(iso_year, "-W", F.weekofyear(day), "-", weekday + 1, " ", clock)
+    short = text(F.lpad((iso_year % 100).cast("string"), 2, "0"), " ", F.weekofyear(day), " ", weekday + 1, " ", clock)
+    sunday = text(year, " ", week(6), " ", F.pmod(weekday + 1, F.lit(7)), " ", clock)
+    monday = text(year, " ", week(0), " ", F.date_format(day, "EEEE"), " ", clock)
+    century = text(F.floor(year / 100), F.date_format(day, "yy-MM-dd "), clock)
+    told = F.pmod(weekday + F.when(F.pmod("event_id", F.lit(3)) == 0, 1).otherwise(0), F.lit(7)) + 1
+    defects = text(F.date_format(day, "yyyy-MM-dd "), told, " ", clock)
+    return events.select(
+        "event_id",
+        times.datetime_to_ns(iso, "%G-W%V-%u %T").alias("iso"),
+        times.datetime_to_ns(short, "%g %V %u %T").alias("short_iso"),
+        times.datetime_to_ns(sunday, "%Y %U %w %T").alias("sunday"),
+        times.datetime_to_ns(monday, "%Y %W %A %T").alias("monday"),
+        times.datetime_to_ns(century, "%C%y-%m-%d %T").alias("century"),
+        F.coalesce(times.datetime_to_ns(defects, "%Y-%m-%d %u %T"), F.lit(0)).alias("defects"),
+    )
+
+
 @register(
     "ts_time_of_day",
     """

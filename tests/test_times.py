@@ -123,3 +123,30 @@ def test_exact_division_near_midnight(spark):
     assert row.d == "2024-01-04"
     assert row.ms == last // 10**6
     assert row.t.microsecond == 999_999
+
+
+@pytest.mark.parametrize(
+    "fmt",
+    ["%G-W%V-%u %H:%M:%S", "%G %V %A %T", "%Y %U %w %T", "%Y %W %u %T", "%Y %W %a %T", "%C%y-%m-%d %T",
+     "%Y-%m-%d %u %w %j %U %W %V %G %T", "%g %V %u %T"],
+)
+def test_week_dates(spark, fmt):
+    years = range(1970, 2060)
+    days = [datetime(y, m, d, 1, 2, 3) for y in years for m, d in ((1, 1), (1, 4), (7, 9), (12, 28), (12, 31))]
+    days = [d for d in days if not fmt.startswith("%g") or 1970 <= d.isocalendar()[0] < 2069]
+    rows = [(d.strftime(fmt), int(d.replace(tzinfo=timezone.utc).timestamp()) * 10**9) for d in days]
+    df = spark.createDataFrame(rows, "text string, want long").withColumn("got", T.datetime_to_ns(F.col("text"), fmt))
+    assert df.filter(~F.col("got").eqNullSafe(F.col("want"))).take(1) == []
+
+
+def test_week_dates_that_contradict(spark):
+    cases = [
+        ("2024-01-05 3", "%Y-%m-%d %u"), ("2024 54 1", "%G %V %u"), ("2021 53 1", "%G %V %u"), ("2024 00 0", "%Y %U %w"),
+        ("2024 0 1", "%Y %W %u"), ("20 25 2024-01-05", "%C %y %Y-%m-%d"), ("2024-01-05 7", "%Y-%m-%d %V"),
+    ]
+    for text, fmt in cases:
+        moment = T.datetime_to_ns(F.lit(f"{text} 00:00:00"), f"{fmt} %T")
+        assert spark.range(1).select(moment).first()[0] is None, (text, fmt)
+    for fmt in ("%G %V %T", "%V %u %T", "%U %w %T", "%C-%m-%d %T"):
+        with pytest.raises(ValueError):
+            T.datetime_to_ns(F.lit(""), fmt)
