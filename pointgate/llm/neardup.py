@@ -7,12 +7,10 @@ larger counts) is at least ``threshold``; classes are the connected components o
 * A node's signature is cut into bands; nodes that share a band's key meet in a bucket.  First every bucket compares
   its most connected member (the one that meets most others over all buckets) with all others: one comparison per
   member, however large a group of near copies is.  Links are verified on the multisets and merged to components.
-* Buckets that still hold several components get further rounds: the most connected member of the largest component
-  without a leader yet meets all members of other components.  A round sends each member once.
-* Buckets open after ``star_rounds`` are cut into blocks of bounded size by a hash of the member; a task takes two
-  blocks and compares members of different components, each pair only in the first band it shares.  It sends the links
-  that joined something, at most one per member.  So no link that could join two components is left out, and no group
-  is ever held, ordered or sent whole.
+* Buckets that still hold several components are cut into blocks of bounded size by a hash of the member; a task
+  takes two blocks and compares members of different components, each pair only in the first band it shares.  It sends
+  the links that joined something, at most one per member.  So no link that could join two components is left out, and
+  no group is ever held, ordered or sent whole.
 * Pairs whose sizes rule the threshold out, or whose signatures agree far too little (six standard deviations), are
   dropped before their multisets are compared.
 
@@ -46,7 +44,6 @@ class NearOptions:
     bands: int = 24
     rows: int = 5
     block_bytes: int = 2_000_000
-    star_rounds: int = 3
 
     @property
     def size(self) -> int:
@@ -183,13 +180,14 @@ def verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def meetings(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries (bucket, node, members, reach) of buckets with several nodes, and the leader of each bucket."""
+    """Entries (bucket, node, members) of buckets with several nodes, and the leader of each bucket."""
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = materialise(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "sizes")
     shared = materialise(entries.join(sizes, "bucket"), "meetings")
     reach = shared.groupBy("node").agg(F.sum("members").alias("reach"))
-    shared = materialise(shared.join(reach, "node"), "meetings")
-    leaders = shared.groupBy("bucket").agg(F.max(F.struct("reach", "node"))["node"].alias("leader"))
+    leaders = (
+        shared.join(reach, "node").groupBy("bucket").agg(F.max(F.struct("reach", "node"))["node"].alias("leader"))
+    )
     return shared, materialise(leaders, "leaders")
 
 
@@ -216,20 +214,9 @@ def near_links(docs: DataFrame, options: NearOptions = NearOptions()) -> tuple[D
     bags = materialise(multisets(docs, nodes.join(wanted, "node").select("doc_id", "node")), "multisets")
     links = materialise(verified(possible, bags, options.threshold), "star-links").select("a", "b")
     components = connected(links)
-    led = leaders
-    for turn in range(options.star_rounds + 1):
-        entries = open_entries(shared, components)
-        if entries.isEmpty():
-            break
-        if turn < options.star_rounds:
-            chosen = next_leaders(entries, led)
-            met = entries.join(chosen, "bucket").where("component != leader_component")
-            stars = met.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-            possible = agreeing(stars, nodes, options)
-            more = materialise(verified(possible, bags, options.threshold), "star-links").select("a", "b")
-            led = materialise(led.union(chosen.select("bucket", "leader")), "leaders")
-        else:
-            more = materialise(block_links(entries, led, nodes, bags, options), "block-links")
+    entries = open_entries(shared, components)
+    if not entries.isEmpty():
+        more = materialise(block_links(entries, leaders, nodes, bags, options), "block-links")
         if not more.isEmpty():
             links = links.union(more)
             components = connected(links)
@@ -237,14 +224,14 @@ def near_links(docs: DataFrame, options: NearOptions = NearOptions()) -> tuple[D
 
 
 def open_entries(shared: DataFrame, components: DataFrame) -> DataFrame:
-    """Entries (bucket, node, reach, component) of buckets that still hold several components.
+    """Entries (bucket, node, component) of buckets that still hold several components.
 
     A bucket of two nodes is settled by its star.
     """
     labelled = (
-        shared.where("members > 2").select("bucket", "node", "reach")
+        shared.where("members > 2").select("bucket", "node")
         .join(components, "node", "left")
-        .select("bucket", "node", "reach", F.coalesce("component", "node").alias("component"))
+        .select("bucket", "node", F.coalesce("component", "node").alias("component"))
     )
     mixed = materialise(
         labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -254,31 +241,14 @@ def open_entries(shared: DataFrame, components: DataFrame) -> DataFrame:
     return materialise(labelled.join(mixed, "bucket"), "open")
 
 
-def next_leaders(entries: DataFrame, led: DataFrame) -> DataFrame:
-    """bucket, leader and its component: of the largest component without a leader, the most connected member.
-
-    Buckets all components of which have had a leader are not among them.
-    """
-    before = led.withColumnRenamed("leader", "node").join(entries, ["bucket", "node"]).select("bucket", "component")
-    fresh = entries.join(before.distinct(), ["bucket", "component"], "left_anti")
-    best = fresh.groupBy("bucket", "component").agg(
-        F.count(F.lit(1)).alias("members"), F.max(F.struct("reach", "node")).alias("best")
-    )
-    top = F.max(F.struct("members", "best", "component")).alias("top")
-    chosen = best.groupBy("bucket").agg(top).select(
-        "bucket", F.col("top.best.node").alias("leader"), F.col("top.component").alias("leader_component")
-    )
-    return materialise(chosen, "next-leaders")
-
-
 def block_links(
-    entries: DataFrame, led: DataFrame, nodes: DataFrame, bags: DataFrame, options: NearOptions
+    entries: DataFrame, leaders: DataFrame, nodes: DataFrame, bags: DataFrame, options: NearOptions
 ) -> DataFrame:
     """Links between components inside open buckets, each task holding two blocks of one bucket."""
     weight = F.col("n") * 8 + options.size * 2 + 400
-    leads = led.withColumnRenamed("leader", "node").withColumn("leads", F.lit(True))
+    leads = leaders.withColumnRenamed("leader", "node").withColumn("leads", F.lit(True))
     sized = materialise(
-        entries.drop("reach").join(nodes.select("node", "n"), "node").withColumn("bytes", weight).drop("n")
+        entries.join(nodes.select("node", "n"), "node").withColumn("bytes", weight).drop("n")
         .join(leads, ["bucket", "node"], "left").withColumn("leads", F.coalesce("leads", F.lit(False))),
         "open-sizes",
     )
