@@ -13,6 +13,7 @@ from pointgate.operators import normalize as N
 from pointgate.operators import points as P
 from pointgate.operators.limits import limit_pages
 from pointgate.options import PathMapping
+from pointgate.session import staged
 
 KAFKA_ORDER = ("topic", "partition", "offset")
 
@@ -81,7 +82,7 @@ def decode_pages(
 
     An array body is one record per element, any other body one record.  Visiting ends before the first page
     without a good record, and with the first page whose cursor is not a string (when ``cursor_path`` is set).
-    Columns ``next_cursor`` and ``item_no`` are added.
+    Columns ``next_cursor`` and ``item_no`` are added.  The points are staged (``session.scratch`` says when they go).
     """
     values = {} if cursor_path is None else {"__cursor": cursor_path}
     pages = with_json_fields(limit_pages(df, max_pages, page), F.col(body), values=values, ok="__valid")
@@ -94,6 +95,8 @@ def decode_pages(
         page, "next_cursor", F.posexplode_outer(items).alias("item_no", "__item")
     )
     points = N.normalize_json_paths(exploded, "__item", mapping, as_of_ms)
+    # Decoded once: the stop rule and the result read this copy.
+    points = staged(points.select(page, "item_no", "next_cursor", *P.POINT_COLUMNS), "pages")
     # An empty array leaves one row without an item: it counts for the stop rule only.
     per_page = points.groupBy(page).agg(
         F.count_if(F.col("error_code").isNull() & F.col("raw").isNotNull()).alias("good"),
