@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointgate.llm.logbilinear import LogBilinear
-from pointgate.llm.text import fold, fresh, held_out, materialise, pieces, row_of, share, split_words, sum_rows
-from pointgate.llm.text import text_column, texts_of
+from pointgate.llm.text import fold, fresh, held_out, materialise, partitions_for, pieces, row_of, share, split_words
+from pointgate.llm.text import sum_rows, text_column, texts_of
 
 
 @dataclass(frozen=True)
@@ -123,7 +123,12 @@ class Model:
         )
 
 
-def token_counts(chunked: DataFrame, options: LmOptions) -> DataFrame:
+def by_chunk(rows: DataFrame, chunks: int) -> DataFrame:
+    """As many partitions as chunks, at least: a task holds a few chunks, however many there are."""
+    return rows.repartition(partitions_for(rows.sparkSession, chunks), "chunk")
+
+
+def token_counts(chunked: DataFrame, chunks: int) -> DataFrame:
     """chunk, token and the token's count in the training documents, for every distinct token of every chunk."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -140,6 +145,7 @@ def token_counts(chunked: DataFrame, options: LmOptions) -> DataFrame:
             }
         )
 
+    chunked = by_chunk(chunked, chunks)
     asked = materialise(chunked.groupBy("chunk").applyInArrow(run, "chunk int, token string, n long"), "lm-tokens")
     return asked
 
@@ -182,7 +188,7 @@ def lm_scores(docs: DataFrame, options: LmOptions = LmOptions()) -> DataFrame:
     ).first()
     chunks = max(1, -(-size // options.chunk_chars))
     chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
-    asked = token_counts(chunked, options)
+    asked = token_counts(chunked, chunks)
     counts = materialise(asked.groupBy("token").agg(F.sum("n").alias("c")).where("c > 0"), "lm-counts")
 
     top = counts.orderBy(F.col("c").desc(), "token").limit(options.frequent).select("token").collect()
@@ -227,9 +233,9 @@ def lm_scores(docs: DataFrame, options: LmOptions = LmOptions()) -> DataFrame:
             }
         )
 
-    answers = asked.select("chunk", "token").join(counts, "token")
+    answers = by_chunk(asked.select("chunk", "token").join(counts, "token"), chunks)
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    texts = chunked.select("chunk", "doc_id", "held_out", "text")
+    texts = by_chunk(chunked.select("chunk", "doc_id", "held_out", "text"), chunks)
     return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
