@@ -27,6 +27,7 @@ def _text_time(text: Column, spec: TimeSpec) -> Column:
 
 def _time_error(text: Column, ns: Column, spec: TimeSpec) -> tuple[Column, Column]:
     """A time that did not parse, or lies before 1970."""
+    # The texts, which consumers of the dead letter match.
     if spec.format is None:
         return ns.isNull(), F.concat(F.lit("invalid timestamp value: "), text)
     reason = F.when(ns < 0, F.concat(F.lit("datetime before Unix epoch: "), text)).otherwise(
@@ -73,7 +74,7 @@ def normalize_csv(
             continue
         parsed[f"__m{index}"] = strict_double(cell(name))
         slots[index] = F.col(f"__m{index}")
-        text = (
+        text = (  # fixed values
             F.concat(F.lit("Type Error: Could not parse '"), cell(name), F.lit("' as f64"))
             if strict
             else F.lit(f"invalid numeric value for {name}")
@@ -283,7 +284,7 @@ def normalize_columns(
             ts = times.native_to_ns(moment)
             checks.append((moment.isNull(), f"Missing Field: {spec.field}"))
             checks.append((ts.isNull(), f"timestamp out of range at {spec.field}"))
-            checks.append((ts < 0, f"datetime before Unix epoch at {spec.field}"))
+            checks.append((ts < 0, f"datetime before Unix epoch at {spec.field}"))  # fixed value
         elif spec.format is not None:
             words = moment.cast("string")
             ts = times.datetime_to_ns(words, spec.format, spec.date_override)

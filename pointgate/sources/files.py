@@ -310,7 +310,7 @@ def read_jsonl(
         .withColumns(
             {
                 "error_code": F.when(over, F.lit(P.OVERSIZE)),
-                "parse_error": F.when(over, F.lit(f"JSONL line exceeded MAX_JSONL_LINE_BYTES ({max_line_bytes})")),
+                "parse_error": F.when(over, F.lit(f"line longer than {max_line_bytes} bytes")),
                 "raw": text
                 if max_line_bytes is None
                 else F.when(over, oversize_preview(F.col("value"), max_line_bytes, hash_raw)).otherwise(text),
@@ -364,6 +364,7 @@ def read_json(
         .when(has("data"), F.col("__wrapped.data"))
         .when(has("records"), F.col("__wrapped.records"))
     )
+    # The texts, which consumers of the dead letter match.
     problem = (
         F.when(F.col("__big"), F.lit(f"JSON document exceeds {max_bytes} bytes"))
         .when(~F.col("__first").isin("[", "{"), F.lit("JSON root must be array or object"))
