@@ -133,23 +133,28 @@ FROM lineitem
 """,
 )
 def strict_double_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good spellings, then ones a plain cast would let through."""
+    """Good spellings, then ones a plain cast would let through.  Odd keys (null, or below zero) have no spelling."""
     price, quantity = F.col("l_extendedprice").cast("string"), F.col("l_quantity").cast("string")
-    spelled = pick(
-        F.col("l_orderkey") + F.col("l_linenumber"),
+    size = F.ltrim(price, F.lit("-"))  # the price without its sign
+    spellings = [
         price,
-        text("-", price),
-        text("+", price),
+        F.when(F.startswith(price, F.lit("-")), size).otherwise(text("-", price)),
+        F.when(F.startswith(price, F.lit("-")), price).otherwise(text("+", price)),
         F.regexp_replace(quantity, r"\.0\z", "."),
         F.regexp_replace(F.col("l_discount").cast("string"), r"\A0\.", "."),
-        text(quantity, "e+3"),
+        # the exponent says the same only of whole numbers that are printed without one
+        F.when(quantity.rlike(r"\A-?\d+\.0\z"), text(quantity, "e+3")).otherwise(
+            (F.col("l_quantity") * 1000.0).cast("string")
+        ),
         text(price, "d"),
         text(" ", price),
         text("0x", F.hex("l_orderkey"), "p3"),
         text(price, " "),
         F.lit(""),
         F.lit("+Infinity"),
-    )
+    ]
+    kind = (F.col("l_orderkey") + F.col("l_linenumber")) % len(spellings)
+    spelled = F.coalesce(*[F.when(kind == i, spelling) for i, spelling in enumerate(spellings)])
     parsed = strict_double(spelled)
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", parsed.alias("parsed"))
 
