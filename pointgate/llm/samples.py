@@ -1,7 +1,9 @@
-"""A bounded sample of labelled documents for fitting classifiers."""
+"""Labelled documents for fitting classifiers: all of them, or a bounded sample."""
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +11,47 @@ from pyspark.sql import functions as F
 from pointgate.llm.text import fold, prepare
 
 
+def _usable(labels: DataFrame, label: str, modulus: int, remainder: int) -> DataFrame:
+    """doc_id and label (0 or 1), without the held-out remainder, null ids and ids with contradicting labels."""
+    return (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("__label"))
+        .where(F.col("__label").isin(0, 1) & (fold(F.col("doc_id"), modulus) != remainder))
+        .groupBy("doc_id")
+        .agg(F.min("__label").alias("__label"), F.max("__label").alias("__most"))
+        .where("__label = __most")
+        .drop("__most")
+    )
+
+
+def labelled_rows(
+    docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, part_rows: int, max_parts: int
+) -> DataFrame:
+    """doc_id, text, lang, label and part of every row that ``labelled_sample`` may choose from; one row per id.
+
+    Parts follow a hash of the id; each lies in a partition of its own and is in order of the id.
+    """
+    prepare(docs.sparkSession)
+    chosen = _usable(labels, label, modulus, remainder)
+    parts = min(max_parts, max(1, math.ceil(chosen.count() / part_rows)))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.struct(F.length("text").alias("chars"), F.col("text").cast("string").alias("text"), lang.alias("lang")).alias("row"),
+        F.lit(None).cast("int").alias("label"),
+    ).where((fold(F.col("doc_id"), modulus) != remainder) & F.col("text").isNotNull())
+    none = F.lit(None).cast(texts.schema["row"].dataType).alias("row")
+    # one shuffle of exactly that many partitions; a join would choose their number itself
+    both = texts.unionByName(chosen.select("doc_id", none, F.col("__label").alias("label")))
+    return (
+        both.repartition(parts, "doc_id")
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"), F.min("row").alias("row"))
+        .where("label is not null and row is not null")
+        .sortWithinPartitions("doc_id")
+        .select("doc_id", "row.text", "row.lang", "label", F.spark_partition_id().alias("part"))
+    )
+
+
 def labelled_sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -29,14 +72,7 @@ def labelled_sample(
     """
     spark = docs.sparkSession
     prepare(spark)
-    chosen = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("__label"))
-        .where(F.col("__label").isin(0, 1) & (fold(F.col("doc_id"), modulus) != remainder))
-        .groupBy("doc_id")
-        .agg(F.min("__label").alias("__label"), F.max("__label").alias("__most"))
-        .where("__label = __most")
-        .drop("__most")
-    )
+    chosen = _usable(labels, label, modulus, remainder)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang")

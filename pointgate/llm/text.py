@@ -209,7 +209,7 @@ def sum_rows(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def filtered(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+def filtered(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], limit: int = PIECE_BYTES) -> DataFrame:
     """The rows whose text (null: empty) ``keep`` accepts, with all columns whatever their names.  No shuffle."""
     prepare(docs.sparkSession)
     at = str(docs.columns.index("text"))
@@ -217,7 +217,7 @@ def filtered(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray]) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbered = pa.RecordBatch.from_arrays(batch.columns, [str(i) for i in range(batch.num_columns)])
-            for piece in pieces([numbered], at):
+            for piece in pieces([numbered], at, limit):
                 kept = piece.filter(pa.array(keep(text_column(piece, at)), pa.bool_()))
                 yield pa.RecordBatch.from_arrays(kept.columns, batch.schema.names)
 

@@ -67,3 +67,29 @@ def test_repeated_ids_count_once(spark, ids):
     again = docs.where(F.col("doc_id") == ids[0]).crossJoin(spark.range(50)).select("doc_id", "text")
     got = samples.labelled_sample(docs.union(again), labels, "toxic", max_rows=20)
     assert set(got["doc_id"]) == set(ids[:20])
+
+
+def test_the_fit_takes_every_labelled_row_of_all_parts(spark, ids):
+    """Words that only a few rows hold, far behind the first rows of any sample, are learnt."""
+    rows = [(i, f"day{n % 7} good rare{n}", int(n >= 90)) for n, i in enumerate(ids[:120])]
+    rows = [(i, text + " filthy" if k else text, k) for i, text, k in rows]
+    docs, labels = made(spark, rows)
+    options = toxicity.ToxicityOptions(max_rows=40)
+    parts = samples.labelled_rows(docs.union(docs), labels, "toxic", 5, 0, 40, 256).collect()
+    assert sorted(r.doc_id for r in parts) == sorted(ids[:120])
+    assert len({r.part for r in parts}) == 3
+    one = toxicity.fitted(docs, labels, options)
+    other = toxicity.fitted(docs.repartition(3), labels.repartition(2), options)
+    untouched, kept = toxicity.Network.new(options).embeddings, aside(spark, ids)
+    for n in range(120):
+        if ids[n] not in kept:
+            at = toxicity.places_of([f"rare{n}"], options.bits)[0][0]
+            assert (one.embeddings[at] != untouched[at]).any(), n
+    assert (one.embeddings == other.embeddings).all() and one.thresholds == other.thresholds
+    assert one.common_threshold == other.common_threshold
+
+
+def aside(spark, ids):
+    """Ids kept for the thresholds."""
+    rows = spark.range(1, 200).where("pmod(xxhash64(id), 5) = 4").collect()
+    return {r.id for r in rows} & set(ids)
