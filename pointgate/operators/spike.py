@@ -38,6 +38,8 @@ _CHUNK = "__spike_chunk"
 _ROW = "__spike_row"
 _STATE = "__spike_state"
 _ROUNDS = 3
+#: A range of fewer rows is not worth a task: partitions stream their rows, so a big one costs no memory.
+_RANGE_ROWS = 250_000
 _OUT = T.StructType(
     [
         T.StructField("__hit_metric", T.IntegerType()),
@@ -509,14 +511,14 @@ def _staged_spikes(
     ).first()
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Enough partitions that none gets much more rows than the biggest key may have.
-    small_wanted = math.ceil(((sizes.total or 0) - sizes.split) / max_key_rows)
+    small_wanted = math.ceil(((sizes.total or 0) - sizes.split) / max(max_key_rows, _RANGE_ROWS))
     small_parts = partitions or (small_wanted if small_wanted > shuffle else None)
     if not sizes.big:
         found = _found_by_hash(narrow, order, thresholds, opts.alpha, ends, small_parts)
     else:
         named = [row.key for row in sizes.big if row.key is not None]
         split = F.coalesce(F.col(_KEY).isin(named), F.lit(any(row.key is None for row in sizes.big)))
-        big_parts = partitions or max(shuffle, math.ceil(sizes.split / max_key_rows))
+        big_parts = partitions or max(shuffle, math.ceil(sizes.split / max(max_key_rows, _RANGE_ROWS)))
         big = _by_range(narrow.filter(split), order, thresholds, opts.alpha, ends, big_parts)
         found = big.unionByName(_found_by_hash(narrow.filter(~split), order, thresholds, opts.alpha, ends, small_parts))
     after = None

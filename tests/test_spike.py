@@ -190,3 +190,14 @@ def test_chain_settles_a_chunk_per_round_at_worst():
         chain.learn(rows, todo)
         starts, todo = chain.resolve()
     assert [starts[c] for c in range(1, 8)] == [[float(c - 1)] for c in range(1, 8)]
+
+
+def test_ranges_follow_the_rows_not_the_size_of_a_big_key(spark, monkeypatch):
+    """A task per ``max_key_rows`` rows would be thousands of tiny ones."""
+    asked, by_range = [], spike._by_range
+    monkeypatch.setattr(spike, "_by_range", lambda *a: asked.append(a[-1]) or by_range(*a))
+    rng = random.Random(3)
+    rows = series([rng.choice((10.0, 90.0)) + rng.random() for _ in range(200)])
+    got, count = found(spike.apply_spikes(frame(spark, rows), opts({0: 30.0}), "key", ["seq", "id"], max_key_rows=2))
+    assert (got, count) == (brute(rows, {0: 30.0}), len(rows))
+    assert asked == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
