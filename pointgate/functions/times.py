@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -135,9 +136,20 @@ def _first(year: Column, weekday: int) -> Column:
     return F.date_add(begin, F.pmod(F.lit(weekday) - F.weekday(begin), F.lit(7)))
 
 
-def _from_parts(value: Column, regex: str, groups: dict[str, int]) -> Column:
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _parts_of(value: Column, regex: str, groups: dict[str, int]) -> Column:
+    """All groups of a match as one array, found in one pass; null without a match."""
+    joined = F.regexp_replace(value, regex, "\u0001".join(f"${i}" for i in groups.values()))
+    return F.split(F.when(value.rlike(regex), joined), "\u0001", -1)
+
+
+def _from_parts(parts: Column, groups: dict[str, int]) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` from any parts; null when they contradict each other."""
-    pick = lambda name: F.regexp_extract(value, regex, groups[name])
+    pick = lambda name: F.get(parts, F.lit(groups[name] - 1))
     number = lambda name: pick(name).try_cast("int")
     if "epoch" in groups:
         moment = F.try_multiply(pick("epoch").try_cast("bigint"), F.lit(1_000_000).cast("bigint"))
@@ -170,30 +182,33 @@ def _from_parts(value: Column, regex: str, groups: dict[str, int]) -> Column:
         name, begin = ("sunday_week", 6) if "sunday_week" in has else ("monday_week", 0)
         inside = F.pmod(weekday - begin, F.lit(7))
         day = F.date_add(_first(year, begin), ((number(name) - 1) * 7 + inside).cast("int"))
-    # every part given must agree with the day
-    told = {
-        "year_day": lambda: F.dayofyear(day) == number("year_day"),
-        "iso_week": lambda: F.weekofyear(day) == number("iso_week"),
-        "sunday_week": lambda: _week_of(day, 6) == number("sunday_week"),
-        "monday_week": lambda: _week_of(day, 0) == number("monday_week"),
-        "weekday": lambda: F.lower(F.date_format(day, "EEE")) == F.lower(F.substring(pick("weekday"), 1, 3)),
-        "day_of_week": lambda: F.weekday(day) + 1 == number("day_of_week"),
-        "day_of_week_0": lambda: F.dayofweek(day) - 1 == number("day_of_week_0"),
-        "century": lambda: F.floor(F.year(day) / 100) == number("century"),
-        "short_year": lambda: F.year(day) % 100 == number("short_year"),
-    }
-    agrees = F.lit(True)
-    for name in sorted(has & set(told)):
-        agrees = agrees & told[name]()
-    if year is not None:
-        agrees = agrees & (F.year(day) == year)
-    if iso_year is not None:
-        agrees = agrees & (_iso_year(day) == iso_year)
-    if month is not None:
-        agrees = agrees & (F.month(day) == month.try_cast("int"))
-    if "day" in has:
-        agrees = agrees & (F.dayofmonth(day) == number("day"))
-    day = F.when(agrees, day)
+    def agreeing(day: Column) -> Column:
+        """The day, if every part given agrees with it."""
+        told = {
+            "year_day": lambda: F.dayofyear(day) == number("year_day"),
+            "iso_week": lambda: F.weekofyear(day) == number("iso_week"),
+            "sunday_week": lambda: _week_of(day, 6) == number("sunday_week"),
+            "monday_week": lambda: _week_of(day, 0) == number("monday_week"),
+            "weekday": lambda: F.lower(F.date_format(day, "EEE")) == F.lower(F.substring(pick("weekday"), 1, 3)),
+            "day_of_week": lambda: F.weekday(day) + 1 == number("day_of_week"),
+            "day_of_week_0": lambda: F.dayofweek(day) - 1 == number("day_of_week_0"),
+            "century": lambda: F.floor(F.year(day) / 100) == number("century"),
+            "short_year": lambda: F.year(day) % 100 == number("short_year"),
+        }
+        agrees = F.lit(True)
+        for name in sorted(has & set(told)):
+            agrees = agrees & told[name]()
+        if year is not None:
+            agrees = agrees & (F.year(day) == year)
+        if iso_year is not None:
+            agrees = agrees & (_iso_year(day) == iso_year)
+        if month is not None:
+            agrees = agrees & (F.month(day) == month.try_cast("int"))
+        if "day" in has:
+            agrees = agrees & (F.dayofmonth(day) == number("day"))
+        return F.when(agrees, day)
+
+    day = _once(day, agreeing)
     hour = number("hour") if "hour" in groups else number("half_hour")
     if "hour" not in groups:
         late = F.when(F.lower(pick("half")) == "pm", 12).otherwise(0)
@@ -203,6 +218,16 @@ def _from_parts(value: Column, regex: str, groups: dict[str, int]) -> Column:
     return F.concat(day.cast("string"), F.lit(" "), clock)
 
 
+def _parts_to_ns(parts: Column, groups: dict[str, int]) -> Column:
+    moment = F.concat(_from_parts(parts, groups), F.lit("+00:00")).try_cast("timestamp")
+    extra = None
+    if "fraction" in groups:
+        extra = F.rpad(F.substring(F.get(parts, F.lit(groups["fraction"] - 1)), 1, 9), 9, "0").try_cast("bigint")
+    elif "nanos" in groups:
+        extra = F.get(parts, F.lit(groups["nanos"] - 1)).try_cast("bigint")
+    return F.when(parts.isNotNull(), _micros_to_ns(moment, extra))
+
+
 def datetime_to_ns(text: Column, fmt: str, date_override: str | None = None) -> Column:
     """Date-time text -> ns, exact to the nanosecond; null when it does not parse.  Negative before 1970."""
     value = F.trim(text)
@@ -213,8 +238,8 @@ def datetime_to_ns(text: Column, fmt: str, date_override: str | None = None) ->
         fmt = "datetime_utc_ms"
     regex, groups = _compile(PRESETS.get(fmt, fmt))
     if _LESS_COMMON & set(groups):
-        canonical = _from_parts(value, regex, groups)
-    elif "month_name" in groups:
+        return _once(value, lambda v: _once(_parts_of(v, regex, groups), lambda parts: _parts_to_ns(parts, groups)))
+    if "month_name" in groups:
         month = _month_number(F.regexp_extract(value, regex, groups["month_name"]))
         pick = lambda name: F.regexp_extract(value, regex, groups[name])
         head = F.concat(pick("year"), F.lit("-"), month, F.lit("-"), pick("day"), F.lit(" "))

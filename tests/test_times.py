@@ -150,3 +150,12 @@ def test_week_dates_that_contradict(spark):
     for fmt in ("%G %V %T", "%V %u %T", "%U %w %T", "%C-%m-%d %T"):
         with pytest.raises(ValueError):
             T.datetime_to_ns(F.lit(""), fmt)
+
+
+def test_parts_use_the_text_once(spark):
+    """Each use repeated the text's own computation: the plan grew beyond what compiles."""
+    df = spark.createDataFrame([("2024-W02-3 04:05:06",), ("2024-W02-8 04:05:06",), (None,)], "words string")
+    got = df.select(T.datetime_to_ns(F.concat("words", F.lit("")), "%G-W%V-%u %T").alias("ns"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat(words") <= 1
+    assert [r.ns for r in got.collect()] == [1_704_859_506_000_000_000, None, None]
