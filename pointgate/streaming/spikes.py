@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+import tempfile
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +21,8 @@ from pointgate.options import GateOptions
 _GROUP, _ORDER, _METRIC, _ABSENT, _CARRIED = "spike_group", "spike_order{}", "spike_value{}", "spike_absent{}", "carried{}"
 _EXACT = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DecimalType)
 _REJECTED_GROUPS = 1024
+#: Rows that are walked at once.
+_STEP_ROWS = 20_000
 
 
 class _SpikeProcessor(StatefulProcessor):
@@ -31,23 +36,46 @@ class _SpikeProcessor(StatefulProcessor):
         self.state = handle.getValueState("baselines", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # Rows of one key and micro-batch; the source's rate limit bounds them.
-        frame = pd.concat(list(rows), ignore_index=True)
-        frame = frame.sort_values(self.order, kind="stable", ignore_index=True)
+        # Rows of one key and micro-batch: what is only carried waits in a local file, order and values stay as arrays.
+        slots = range(len(self.thresholds))
+        orders, values, absent, sizes = [], [[] for _ in slots], [[] for _ in slots], []
+        with tempfile.TemporaryFile() as waiting:
+            for part in rows:
+                pickle.dump(part[self.carried], waiting, pickle.HIGHEST_PROTOCOL)
+                orders.append(part[self.order].copy())
+                sizes.append(len(part))
+                for s in slots:
+                    values[s].append(part[_METRIC.format(s)].to_numpy(float, copy=True))
+                    absent[s].append(part[_ABSENT.format(s)].to_numpy(bool, copy=True))
+            place = pd.concat(orders, ignore_index=True).sort_values(self.order, kind="stable").index.to_numpy()
+            del orders
+            hits = self._hits(place, [np.concatenate(v) for v in values], [np.concatenate(a) for a in absent])
+            waiting.seek(0)
+            begin = 0
+            for size in sizes:
+                carried = pickle.load(waiting).reset_index(drop=True)
+                low, high = np.searchsorted(hits["row"], [begin, begin + size])
+                own = hits.iloc[low:high]
+                found = own.assign(row=own["row"] - begin).set_index("row").reindex(carried.index)
+                found["__hit_metric"] = found["__hit_metric"].astype("Int32")
+                yield pd.concat([carried, found], axis=1)
+                begin += size
+
+    def _hits(self, place: np.ndarray, values: list[np.ndarray], absent: list[np.ndarray]) -> pd.DataFrame:
+        """The rejected rows by their place of arrival; ``place`` lists the places in order."""
         stored = self.state.get() if self.state.exists() else None
         state = [None] * len(self.thresholds) if stored is None else list(stored[0])
-        columns = [
-            [None if absent else float(v) for v, absent in zip(frame[_METRIC.format(s)], frame[_ABSENT.format(s)])]
-            for s in range(len(self.thresholds))
-        ]
-        before = list(state)
-        hits: list[tuple[int, int, float, float]] = []
-        walk(columns, 0, len(frame), self.thresholds, self.alpha, state, hits)
+        before, found = list(state), []
+        for begin in range(0, len(place), _STEP_ROWS):
+            some = place[begin : begin + _STEP_ROWS]
+            columns = [[None if a else v for v, a in zip(v[some].tolist(), a[some])] for v, a in zip(values, absent)]
+            hits: list[tuple[int, int, float, float]] = []
+            walk(columns, 0, len(some), self.thresholds, self.alpha, state, hits)
+            part = pd.DataFrame(hits, columns=["row", *_OUT.names])
+            found.append(part.assign(row=some[part["row"].to_numpy(int)]))
         if state != before:
             self.state.update((state,))
-        found = pd.DataFrame(hits, columns=["row", *_OUT.names]).set_index("row").reindex(frame.index)
-        found["__hit_metric"] = found["__hit_metric"].astype("Int32")
-        yield pd.concat([frame[self.carried], found], axis=1)
+        return pd.concat(found, ignore_index=True).sort_values("row", ignore_index=True)
 
     def close(self) -> None:
         pass
